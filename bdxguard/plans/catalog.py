@@ -190,3 +190,235 @@ def q_cal_life(spark, d):
     """Insureds whose life-level claims (current + other files) exceed the limit."""
     rows = va.enrich_with_treaty(clean_claims(spark, d), fx.treaty(spark, d)).filter(F.col("category") == "claims")
     return va.cal_life_breaches(rows, claims_history(spark, d)).select("file_hash", "client_id", "insured_id")
+
+
+# ------------------------------------------------------------------ reconciliation
+from ..operators import recon as rc  # noqa: E402
+from ..operators import soa as so  # noqa: E402
+from ..operators import upsert as up  # noqa: E402
+
+REPORT_DATE = "2024-01-01"
+RECON_COLS = ("run_id", "client_id", "category", "year", "period", "soa_amount", "file_amount", "variance", "status")
+
+
+def soa_fixture(spark, d):
+    return fx.soa_entries(clean_premium(spark, d), clean_claims(spark, d))
+
+
+def _validated(df):
+    return df.withColumn("period", F.col("quarter"))
+
+
+def recon_results(spark, d, net_adjustments=False):
+    sp, sc = staged_premium(spark, d), staged_claims(spark, d)
+    scope = (sp.select("client_id", "category", "year", F.col("quarter").alias("period"))
+             .unionByName(sc.select("client_id", "category", "year", F.col("quarter").alias("period"))))
+    amounts = rc.period_amounts(_validated(clean_premium(spark, d)), _validated(clean_claims(spark, d)), scope,
+                                net_adjustments=net_adjustments)
+    return rc.reconcile(amounts, soa_fixture(spark, d), run_id=RUN_ID, checked_at=CHECKED_AT)
+
+
+_RECON_SQL = """
+    recon_scope AS (SELECT DISTINCT client_id, category, year, quarter AS period FROM s_premium
+                    UNION SELECT DISTINCT client_id, category, year, quarter AS period FROM s_claims),
+    recon_amt AS (SELECT client_id, category, year, quarter AS period, sum(premium_amount) AS amt FROM c_premium GROUP BY ALL
+                  UNION ALL
+                  SELECT client_id, category, year, quarter AS period, sum(claim_amount) AS amt FROM c_claims GROUP BY ALL),
+    soa_ok AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY client_id, year, period ORDER BY version DESC) AS rn
+                              FROM soa WHERE status = 'APPROVED') WHERE rn = 1),
+    recon AS (
+      SELECT '{run}' AS run_id, s.client_id, s.category, s.year, s.period,
+        CAST(CASE WHEN o.client_id IS NULL THEN 0
+                  WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END AS DECIMAL(18,2)) AS soa_amount,
+        CAST(coalesce(a.amt, 0) AS DECIMAL(18,2)) AS file_amount,
+        CAST(CASE WHEN o.client_id IS NULL THEN 0
+                  ELSE coalesce(a.amt, 0) - CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END
+             END AS DECIMAL(18,2)) AS variance,
+        CASE WHEN o.client_id IS NULL THEN 'PENDING_SOA'
+             WHEN abs(coalesce(a.amt, 0) - CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END) <= 1.00
+             THEN 'RECONCILED' ELSE 'BREAK' END AS status
+      FROM recon_scope s
+      LEFT JOIN recon_amt a ON a.client_id = s.client_id AND a.category = s.category AND a.year = s.year AND a.period = s.period
+      LEFT JOIN soa_ok o ON o.client_id = s.client_id AND o.year = s.year AND o.period = s.period)
+""".format(run=RUN_ID)
+
+
+def _with_recon(select: str, extra: str = "") -> str:
+    return orc.with_views(select, _RECON_SQL.strip() + ("," + extra if extra.strip() else ""))
+
+
+@register("reconcile", _with_recon("SELECT * FROM recon"))
+def q_reconcile(spark, d):
+    """Every (client, category, year, period) of the run against the latest approved SOA."""
+    return recon_results(spark, d).select(*RECON_COLS)
+
+
+@register("recon_health", _with_recon("""
+    SELECT run_id, count(*) AS groups, count(*) FILTER (WHERE status = 'RECONCILED') AS reconciled,
+           count(*) FILTER (WHERE status = 'BREAK') AS breaks, count(*) FILTER (WHERE status = 'PENDING_SOA') AS pending_soa,
+           count(*) FILTER (WHERE status = 'NO_DATA') AS no_data, count(*) FILTER (WHERE status = 'ERROR') AS errors,
+           bool_or(status IN ('PENDING_SOA', 'BREAK', 'ERROR')) AS failed
+    FROM recon GROUP BY run_id"""))
+def q_recon_health(spark, d):
+    """Run health; NO_DATA does not fail the run."""
+    return rc.recon_health(recon_results(spark, d))
+
+
+@register("reconcile_net", _with_recon("SELECT * FROM recon"))
+def q_reconcile_net(spark, d):
+    """R1 with net_adjustments=True (base + _adj summed first; equal to `reconcile` when no _adj file exists)."""
+    return recon_results(spark, d, net_adjustments=True).select(*RECON_COLS)
+
+
+@register("recon_statement")
+def q_recon_statement(spark, d):
+    """Formatted statement line per group (rows-only check)."""
+    return rc.recon_statement(recon_results(spark, d))
+
+
+@register("upsert_gold", _with_recon("""
+    SELECT client_id, file_hash, year, quarter, policy_number, benefit_id, valuation_date, policy_effective_date, premium_amount
+    FROM (SELECT * FROM gold_tgt t WHERE NOT EXISTS (SELECT 1 FROM gold_src s WHERE s.policy_number = t.policy_number
+              AND s.benefit_id = t.benefit_id AND s.valuation_date = t.valuation_date
+              AND s.policy_effective_date = t.policy_effective_date AND s.year = t.year AND s.quarter = t.quarter)
+          UNION ALL SELECT * FROM gold_src)""", """
+    gold_src AS (SELECT p.* FROM c_premium p WHERE EXISTS (
+          SELECT 1 FROM recon r WHERE r.status = 'RECONCILED' AND r.client_id = p.client_id AND r.category = p.category
+            AND r.year = p.year AND r.period = p.quarter)),
+      gold_tgt AS (SELECT * REPLACE (CAST(0 AS DECIMAL(18,2)) AS premium_amount) FROM c_premium WHERE year = 1995)"""))
+def q_upsert_gold(spark, d):
+    """R4 + S10/S11: rows of RECONCILED premium periods upserted into a gold table (year 1995 pre-loaded)."""
+    results = recon_results(spark, d)
+    src = rc.reconciled_rows(_validated(clean_premium(spark, d)), results)
+    tgt = _validated(clean_premium(spark, d)).filter(F.col("year") == 1995).withColumn("premium_amount", F.lit(0).cast("decimal(18,2)"))
+    merged = up.upsert(tgt, src, up.merge_keys("premium"))
+    return merged.select("client_id", "file_hash", "year", "quarter", "policy_number", "benefit_id", "valuation_date",
+                         "policy_effective_date", "premium_amount")
+
+
+@register("upsert_validated", orc.with_views("""
+    SELECT client_id, file_hash, year, quarter, policy_number, benefit_id, valuation_date, policy_effective_date,
+           CAST(premium_amount AS DECIMAL(18,2)) AS premium_amount
+    FROM (SELECT * FROM u_tgt t WHERE NOT EXISTS (SELECT 1 FROM u_src s WHERE s.policy_number = t.policy_number
+              AND s.benefit_id = t.benefit_id AND s.valuation_date = t.valuation_date
+              AND s.policy_effective_date = t.policy_effective_date AND s.year = t.year AND s.quarter = t.quarter)
+          UNION ALL SELECT * FROM u_src)""", """
+    u_tgt AS (SELECT * FROM c_premium WHERE quarter IN ('Q1', 'Q2')),
+    u_src AS (SELECT * REPLACE (CASE WHEN quarter = 'Q2' THEN premium_amount + 1 ELSE premium_amount END AS premium_amount)
+              FROM c_premium WHERE quarter IN ('Q2', 'Q3'))"""))
+def q_upsert_validated(spark, d):
+    """Keyed upsert (MERGE semantics, NULL keys never match) of Q2-Q3 rows into Q1-Q2 rows."""
+    c = _validated(clean_premium(spark, d))
+    tgt = c.filter(F.col("quarter").isin("Q1", "Q2"))
+    src = (c.filter(F.col("quarter").isin("Q2", "Q3"))
+           .withColumn("premium_amount", F.when(F.col("quarter") == "Q2", F.col("premium_amount") + 1)
+                       .otherwise(F.col("premium_amount")).cast("decimal(18,2)")))
+    return up.upsert(tgt, src, up.merge_keys("premium")).select(
+        "client_id", "file_hash", "year", "quarter", "policy_number", "benefit_id", "valuation_date",
+        "policy_effective_date", "premium_amount")
+
+
+# ------------------------------------------------------------------ SOA work lists
+@register("soa_net", orc.with_views("""
+    SELECT client_id, year, period, version,
+        CAST(premium_soa - claims_soa - commission_soa - tax_soa + coalesce(list_sum(list_transform(items,
+             lambda x: CASE WHEN lower(trim(x.direction)) = 'credit' THEN x.amount ELSE -x.amount END)), 0) AS DECIMAL(18,2)) AS net_soa,
+        array_to_string(list_filter([
+            CASE WHEN list_bool_or(list_transform(items, lambda x: coalesce(trim(x.label), '') = '')) THEN 'ITEM_LABEL_MISSING' END,
+            CASE WHEN list_bool_or(list_transform(items, lambda x: NOT coalesce(lower(trim(x.direction)) IN ('credit', 'debit'), false)))
+                 THEN 'ITEM_DIRECTION_INVALID' END,
+            CASE WHEN list_bool_or(list_transform(items, lambda x: x.amount < 0)) THEN 'ITEM_AMOUNT_NEGATIVE' END],
+            lambda x: x IS NOT NULL), '|') AS issues
+    FROM (SELECT *, json_transform(additional_items,
+            '[{"label":"VARCHAR","amount":"DECIMAL(18,2)","direction":"VARCHAR"}]') AS items FROM soa)"""))
+def q_soa_net(spark, d):
+    """net SOA from amounts and JSON additional items (credit +, debit -) and item issues."""
+    s = soa_fixture(spark, d)
+    items = so.parse_items()
+    return s.select("client_id", "year", "period", "version",
+                    so.net_soa("premium_soa", "claims_soa", "commission_soa", "tax_soa", items).alias("net_soa"),
+                    F.array_join(so.item_issues(items), "|").alias("issues"))
+
+
+def _periods(spark, d):
+    files = staged_premium(spark, d).select("client_id", "file_hash", "file_name", "category", "year", "quarter").unionByName(
+        staged_claims(spark, d).select("client_id", "file_hash", "file_name", "category", "year", "quarter"))
+    return so.uploaded_periods(fx.tracking_from_files(files), REPORT_DATE)
+
+
+_PERIODS_SQL = f"""
+    up AS (SELECT DISTINCT client_id, year, quarter AS period FROM tracking
+           WHERE uploaded_at >= CAST(DATE '{REPORT_DATE}' AS TIMESTAMP)
+             AND uploaded_at < CAST(DATE '{REPORT_DATE}' + 1 AS TIMESTAMP)),
+    soa_last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY client_id, year, period ORDER BY version DESC) AS rn
+                                FROM soa) WHERE rn = 1)
+"""
+
+
+def _with_periods(select: str) -> str:
+    return orc.with_views(select, _PERIODS_SQL)
+
+
+@register("soa_worklist", _with_periods("""
+    SELECT u.client_id, u.year, u.period,
+        CASE WHEN s.status IS NULL THEN 'READY_FOR_SOA_ENTRY' ELSE 'REJECTED - RESUBMISSION REQUIRED' END AS action
+    FROM up u LEFT JOIN soa_last s USING (client_id, year, period)
+    WHERE s.status IS NULL OR s.status = 'REJECTED'"""))
+def q_soa_worklist(spark, d):
+    """Periods uploaded on the report day that need an SOA action."""
+    return so.soa_worklist(_periods(spark, d), soa_fixture(spark, d))
+
+
+@register("soa_board", _with_periods("""
+    SELECT u.client_id, u.year, u.period, s.version, coalesce(s.status, 'READY_FOR_SOA_ENTRY') AS status,
+        CASE WHEN s.status IS NULL OR s.status = 'REJECTED' THEN 'action_required'
+             WHEN s.status = 'PENDING_APPROVAL' THEN 'pending_approval' WHEN s.status = 'APPROVED' THEN 'approved'
+             WHEN s.status = 'RECONCILED' THEN 'reconciled' END AS bucket,
+        s.status = 'RECONCILED' AS adjustment_candidate
+    FROM up u LEFT JOIN soa_last s USING (client_id, year, period)
+    WHERE s.status IS NULL OR s.status IN ('REJECTED', 'PENDING_APPROVAL', 'APPROVED', 'RECONCILED')"""))
+def q_soa_board(spark, d):
+    """SOA dashboard buckets for the periods uploaded on the report day."""
+    return so.soa_board(_periods(spark, d), soa_fixture(spark, d)).select(
+        "client_id", "year", "period", "version", "status", "bucket", "adjustment_candidate")
+
+
+def _decisions(soa):
+    """Decisions on every SOA version, derived from its keys (approve / reject / duplicate)."""
+    k = (F.col("year") + F.col("version") + F.substring("period", 2, 1).cast("int")) % 4
+    return soa.select(
+        "client_id", "year", "period", "version",
+        F.when(k == 0, "approve").when(k == 1, "reject").when(k == 2, "duplicate").otherwise("approve").alias("action"),
+        F.when(k == 3, F.col("entered_by")).otherwise(F.lit("manager")).alias("approved_by"),
+        F.when((k == 1) & (F.col("version") == 1), F.lit("amounts differ")).alias("rejection_reason"))
+
+
+_DEC_SQL = """
+    dec AS (SELECT client_id, year, period, version,
+                CASE (year + version + CAST(substr(period, 2, 1) AS INTEGER)) % 4 WHEN 0 THEN 'approve' WHEN 1 THEN 'reject'
+                     WHEN 2 THEN 'duplicate' ELSE 'approve' END AS action,
+                CASE WHEN (year + version + CAST(substr(period, 2, 1) AS INTEGER)) % 4 = 3 THEN entered_by ELSE 'manager' END AS approved_by,
+                CASE WHEN (year + version + CAST(substr(period, 2, 1) AS INTEGER)) % 4 = 1 AND version = 1
+                     THEN 'amounts differ' END AS rejection_reason
+              FROM soa)"""
+
+
+@register("soa_decisions", orc.with_views("""
+    SELECT d.client_id, d.year, d.period, d.version, d.action,
+        array_to_string(list_filter([
+            CASE WHEN s.status IS NULL THEN 'ENTRY_NOT_FOUND' END,
+            CASE WHEN d.action NOT IN ('approve', 'reject', 'duplicate') THEN 'UNKNOWN_ACTION' END,
+            CASE WHEN d.action IN ('approve', 'reject') AND coalesce(trim(d.approved_by), '') = '' THEN 'APPROVER_REQUIRED' END,
+            CASE WHEN d.action = 'approve' AND trim(d.approved_by) = trim(s.entered_by) THEN 'SEGREGATION_OF_DUTIES' END,
+            CASE WHEN d.action = 'reject' AND coalesce(trim(d.rejection_reason), '') = '' THEN 'REASON_REQUIRED' END],
+            lambda x: x IS NOT NULL), '|') AS issues,
+        CASE WHEN d.action = 'approve' AND trim(d.approved_by) = trim(s.entered_by) THEN s.status
+             WHEN d.action = 'reject' AND coalesce(trim(d.rejection_reason), '') = '' THEN s.status
+             WHEN d.action = 'approve' THEN 'APPROVED' WHEN d.action = 'reject' THEN 'REJECTED' ELSE 'DUPLICATE' END AS new_status
+    FROM dec d LEFT JOIN soa s USING (client_id, year, period, version)""", _DEC_SQL))
+def q_soa_decisions(spark, d):
+    """Approve / reject / duplicate with approver checks, segregation of duties, mandatory reason."""
+    s = soa_fixture(spark, d)
+    out = so.apply_decisions(s, _decisions(s))
+    return out.select("client_id", "year", "period", "version", "action",
+                      F.array_join("issues", "|").alias("issues"), "new_status")

@@ -211,3 +211,64 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rate = ((F.col("_units") + F.col("_v")).cast("decimal(18,6)") * F.lit(Decimal("0.001"))).cast("decimal(18,6)")
     return both.select("client_id", "treaty_id", "benefit_id", "age", "gender", "smoker_status", rate.alias("rate"),
                        "effective_from", "effective_to")
+
+
+# Fixed fixture values for SOA additional items, chosen by (s + version) % 4.
+SOA_ITEMS = (
+    "[]",
+    '[{"label":"profit commission","amount":12.50,"direction":"credit"}]',
+    '[{"label":"levy","amount":3.25,"direction":"debit"},{"label":"fee","amount":1.00,"direction":"Credit"}]',
+    '[{"label":"","amount":2.00,"direction":"sideways"},{"label":"refund","amount":-4.00,"direction":"debit"}]',
+)
+
+
+def soa_entries(premium_clean: DataFrame, claims_clean: DataFrame) -> DataFrame:
+    """Statements of account per (client, year, quarter) from the staged totals.
+
+    s = year * 4 + quarter: s % 12 = 0 no entry; 6 pending; 7 already reconciled;
+    s % 6 = 2 off by 1.00 (inside tolerance), 3 off by 1.01 (break), 4 two
+    approved versions (the later one exact), 5 approved then a rejected version.
+    """
+    keys = ["client_id", "year", "quarter"]
+    p = premium_clean.groupBy(*keys).agg(F.sum("premium_amount").alias("_p"))
+    c = claims_clean.groupBy(*keys).agg(F.sum("claim_amount").alias("_c"))
+    g = (p.join(c, keys, "full")
+         .select(F.col("client_id"), F.col("year"), F.col("quarter").alias("period"),
+                 F.coalesce("_p", F.lit(0)).cast(MONEY).alias("_p"), F.coalesce("_c", F.lit(0)).cast(MONEY).alias("_c")))
+    s = F.col("year") * 4 + F.substring("period", 2, 1).cast("int")
+    g = g.withColumn("_s", s)
+    s12, s6 = F.col("_s") % 12, F.col("_s") % 6
+
+    def money(x):
+        return F.lit(Decimal(x))
+
+    v1 = g.filter(s12 != 0).select(
+        "*", F.lit(1).alias("version"),
+        F.when(s12 == 6, "PENDING_APPROVAL").when(s12 == 7, "RECONCILED").otherwise("APPROVED").alias("status"),
+        F.when(s6 == 2, money("1.00")).when(s6 == 3, money("1.01")).when(s6 == 4, money("5.00"))
+        .otherwise(money("0.00")).alias("_bump"),
+        F.lit(None).cast("string").alias("rejection_reason"))
+    v2 = g.filter(s6.isin(4, 5)).select(
+        "*", F.lit(2).alias("version"),
+        F.when(s6 == 4, "APPROVED").otherwise("REJECTED").alias("status"),
+        F.when(s6 == 4, money("0.00")).otherwise(money("2.00")).alias("_bump"),
+        F.when((s6 == 5) & (s12 != 11), F.lit("totals differ")).alias("rejection_reason"))
+    e = v1.unionByName(v2)
+    prem = (F.col("_p") + F.col("_bump")).cast(MONEY)
+    entered = F.concat(F.lit("clerk_"), (F.col("_s") % 3).cast("string"))
+    return e.select(
+        "client_id", "year", "period", F.lit("quarterly").alias("period_type"),
+        prem.alias("premium_soa"), (F.col("_c") - F.col("_bump")).cast(MONEY).alias("claims_soa"),
+        (prem * F.lit(Decimal("0.1"))).cast(MONEY).alias("commission_soa"),
+        (prem * F.lit(Decimal("0.05"))).cast(MONEY).alias("tax_soa"),
+        _pick((F.col("_s") + F.col("version")) % 4, SOA_ITEMS).alias("additional_items"),
+        "status", "version", entered.alias("entered_by"),
+        F.when(F.col("status").isin("APPROVED", "RECONCILED"),
+               F.when(F.col("_s") % 5 == 0, entered).otherwise(F.lit("manager"))).alias("approved_by"),
+        "rejection_reason")
+
+
+def tracking_from_files(files: DataFrame) -> DataFrame:
+    """File-tracking rows of staged bordereau files; even years uploaded on 2024-01-01, odd on the 2nd."""
+    return (files.select("client_id", "file_hash", "file_name", "category", "year", "quarter").distinct()
+            .withColumn("uploaded_at", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("year") % 2).cast("int")).cast("timestamp")))

@@ -7,7 +7,7 @@ the same data as ``fixtures.py``.  Each oracle query is ``WITH <views> SELECT``.
 
 from __future__ import annotations
 
-from .fixtures import BENEFITS, CHANNELS, COUNTRIES, PRODUCTS, RAW_CLAIMS, RAW_PREMIUM
+from .fixtures import BENEFITS, CHANNELS, COUNTRIES, PRODUCTS, RAW_CLAIMS, RAW_PREMIUM, SOA_ITEMS
 
 RUN_ID = "20240101_000000Z"
 CHECKED_AT = "2024-01-01 00:00:00"
@@ -201,11 +201,13 @@ def _tagged(src: str, tags) -> str:
     FROM (SELECT *, [{items}] AS r_list FROM {src})"""
 
 
-def with_views(select: str, needed: list[str] | None = None) -> str:
+def with_views(select: str, extra: str = "") -> str:
+    """``WITH <all fixture views>[, extra CTEs] select`` (DuckDB only evaluates what is referenced)."""
     v = views()
     v.update(extra_views())
-    names = list(v) if needed is None else needed
-    body = ",\n".join(f"{name} AS ({v[name]})" for name in names)
+    body = ",\n".join(f"{name} AS ({v[name]})" for name in v)
+    if extra.strip():
+        body += ",\n" + extra.strip().lstrip(",")
     return f"WITH {body}\n{select}"
 
 
@@ -324,6 +326,41 @@ def extra_views(as_of: bool = False) -> dict[str, str]:
         ("NO_ZERO_NEGATIVE", "WARN", "n_neg", full), ("DOL_COVERAGE", "WARN", "n_dol", full),
         ("LAPSE_CHECK", "WARN", "n_lapse", full),
     ])
+    # ---------------- statements of account
+    v["soa_g"] = """
+    SELECT coalesce(p.client_id, c.client_id) AS client_id, coalesce(p.year, c.year) AS year,
+           coalesce(p.quarter, c.quarter) AS period,
+           CAST(coalesce(p.p, 0) AS DECIMAL(18,2)) AS p, CAST(coalesce(c.c, 0) AS DECIMAL(18,2)) AS c
+    FROM (SELECT client_id, year, quarter, sum(premium_amount) AS p FROM c_premium GROUP BY ALL) p
+    FULL JOIN (SELECT client_id, year, quarter, sum(claim_amount) AS c FROM c_claims GROUP BY ALL) c
+      ON p.client_id = c.client_id AND p.year = c.year AND p.quarter = c.quarter"""
+    v["soa_v"] = """
+    SELECT *, 1 AS version,
+        CASE WHEN s % 12 = 6 THEN 'PENDING_APPROVAL' WHEN s % 12 = 7 THEN 'RECONCILED' ELSE 'APPROVED' END AS status,
+        CASE s % 6 WHEN 2 THEN 1.00 WHEN 3 THEN 1.01 WHEN 4 THEN 5.00 ELSE 0.00 END AS bump,
+        CAST(NULL AS VARCHAR) AS rejection_reason
+    FROM (SELECT *, year * 4 + CAST(substr(period, 2, 1) AS INTEGER) AS s FROM soa_g) WHERE s % 12 <> 0
+    UNION ALL
+    SELECT *, 2, CASE WHEN s % 6 = 4 THEN 'APPROVED' ELSE 'REJECTED' END,
+        CASE WHEN s % 6 = 4 THEN 0.00 ELSE 2.00 END,
+        CASE WHEN s % 6 = 5 AND s % 12 <> 11 THEN 'totals differ' END
+    FROM (SELECT *, year * 4 + CAST(substr(period, 2, 1) AS INTEGER) AS s FROM soa_g) WHERE s % 6 IN (4, 5)"""
+    items = _pick("(s + version) % 4", [x.replace("'", "''") for x in SOA_ITEMS])
+    v["soa"] = f"""
+    SELECT client_id, year, period, 'quarterly' AS period_type,
+        CAST(p + bump AS DECIMAL(18,2)) AS premium_soa, CAST(c - bump AS DECIMAL(18,2)) AS claims_soa,
+        CAST(CAST(p + bump AS DECIMAL(18,2)) * 0.1 AS DECIMAL(18,2)) AS commission_soa,
+        CAST(CAST(p + bump AS DECIMAL(18,2)) * 0.05 AS DECIMAL(18,2)) AS tax_soa,
+        {items} AS additional_items, status, version, 'clerk_' || CAST(s % 3 AS VARCHAR) AS entered_by,
+        CASE WHEN status IN ('APPROVED', 'RECONCILED') THEN
+             CASE WHEN s % 5 = 0 THEN 'clerk_' || CAST(s % 3 AS VARCHAR) ELSE 'manager' END END AS approved_by,
+        rejection_reason
+    FROM soa_v"""
+    v["tracking"] = """
+    SELECT DISTINCT client_id, file_hash, file_name, category, year, quarter,
+        CAST(DATE '2024-01-01' + CAST(year % 2 AS INTEGER) AS TIMESTAMP) AS uploaded_at
+    FROM (SELECT client_id, file_hash, file_name, category, year, quarter FROM s_premium
+          UNION ALL SELECT client_id, file_hash, file_name, category, year, quarter FROM s_claims)"""
     return v
 
 
