@@ -422,3 +422,211 @@ def q_soa_decisions(spark, d):
     out = so.apply_decisions(s, _decisions(s))
     return out.select("client_id", "year", "period", "version", "action",
                       F.array_join("issues", "|").alias("issues"), "new_status")
+
+
+# ------------------------------------------------------------------ ingestion
+from ..operators import canonical as cn  # noqa: E402
+from ..operators import drift as dr  # noqa: E402
+from ..operators import ingest as ig  # noqa: E402
+from ..operators import reports as rp  # noqa: E402
+
+INV_COLS = ("doc_id", "rel_path", "file_name", "client_id", "file_hash", "name_category", "year", "quarter", "category",
+            "accepted", "reject_reason")
+
+
+def inventory(spark, d):
+    return ig.file_inventory(fx.landed_files(spark, d))
+
+
+def tracking(spark, d):
+    return inventory(spark, d).filter(F.col("accepted"))
+
+
+@register("file_inventory", orc.with_views(f"SELECT {', '.join(INV_COLS)} FROM inv"))
+def q_file_inventory(spark, d):
+    """Name pattern, classification, client folder, content md5 of every landed file."""
+    return inventory(spark, d).select(*INV_COLS)
+
+
+@register("file_status", orc.with_views(
+    "SELECT doc_id, client_id, file_name, file_hash, category, status, duplicate_count FROM fstatus"))
+def q_file_status(spark, d):
+    """G1, A2, A3, A4: CROSS_CLIENT_DUP > DUPLICATE > UNKNOWN_CATEGORY > SUCCESS per tracked file."""
+    return ig.file_status(tracking(spark, d)).select("doc_id", "client_id", "file_name", "file_hash", "category",
+                                                     "status", "duplicate_count")
+
+
+@register("duplicate_members", orc.with_views("""
+    SELECT DISTINCT file_hash, client_id, file_name FROM trk
+    WHERE file_hash IN (SELECT file_hash FROM trk GROUP BY 1 HAVING count(*) > 1)"""))
+def q_duplicate_members(spark, d):
+    """A2/A3 as rows: members of every hash tracked more than once."""
+    return ig.duplicate_members(tracking(spark, d))
+
+
+@register("file_registration", orc.with_views("""
+    SELECT file_hash, doc_id, client_id, file_name FROM (
+      SELECT *, row_number() OVER (PARTITION BY file_hash ORDER BY doc_id) AS rn FROM trk
+      WHERE uploaded_at >= TIMESTAMP '2024-01-02 00:00:00') c
+    WHERE rn = 1 AND file_hash NOT IN (SELECT file_hash FROM trk WHERE uploaded_at < TIMESTAMP '2024-01-02 00:00:00')"""))
+def q_file_registration(spark, d):
+    """Later arrivals registered once per content hash (first wins), skipping hashes already tracked."""
+    t = tracking(spark, d)
+    day1 = F.lit("2024-01-02").cast("timestamp")
+    return ig.register_files(t.filter(F.col("uploaded_at") >= day1), t.filter(F.col("uploaded_at") < day1),
+                             order=["doc_id"], payload=["file_hash", "doc_id", "client_id", "file_name"])
+
+
+@register("retry_skip_set", orc.with_views("SELECT client_id, file_hash FROM skipset"))
+def q_retry_skip_set(spark, d):
+    """Pairs already written or with >= 3 failures."""
+    return ig.skip_set(fx.ingestion_log(spark, d))
+
+
+@register("files_to_ingest", orc.with_views("""
+    SELECT DISTINCT client_id, file_hash FROM ilog
+    WHERE (client_id, file_hash) NOT IN (SELECT (client_id, file_hash) FROM skipset)"""))
+def q_files_to_ingest(spark, d):
+    """Tracked files minus the skip set."""
+    log = fx.ingestion_log(spark, d)
+    return ig.files_to_ingest(log.select("client_id", "file_hash").distinct(), log)
+
+
+@register("run_queue", orc.with_views("""
+    SELECT file_hash, client_id, file_name, category, year, quarter, quarter AS period, 'quarterly' AS period_type
+    FROM (SELECT b.*, row_number() OVER (PARTITION BY b.file_hash ORDER BY b.client_id, b.file_name) AS rn
+          FROM fstatus b LEFT JOIN (
+              SELECT file_hash, status FROM (SELECT *, row_number() OVER (PARTITION BY file_hash
+                                             ORDER BY run_id DESC, event_id DESC) AS r FROM sruns) WHERE r = 1) s
+            USING (file_hash)
+          WHERE b.status = 'SUCCESS' AND (s.status IS NULL OR s.status = 'FAILED'))
+    WHERE rn = 1"""))
+def q_run_queue(spark, d):
+    """Bronze SUCCESS files never staged or whose latest staging run failed, once per hash."""
+    files = fx.landed_files(spark, d)
+    bronze = ig.file_status(tracking(spark, d))
+    runs = fx.staging_runs(spark, d, files)
+    return ig.staging_candidates(bronze, runs, order=("run_id", "event_id")).select(
+        "file_hash", "client_id", "file_name", "category", "year", "quarter", "period", "period_type")
+
+
+# ------------------------------------------------------------------ drift and mapping governance
+def _unmapped(spark, d):
+    h = fx.header_rows(spark, d)
+    return dr.unmapped_columns(h, fx.column_mapping(h))
+
+
+@register("schema_drift", orc.with_views("""
+    SELECT client_id, file_hash, file_name, category, 'NEW_COLUMN' AS issue_type, column_name, '{run}' AS run_id
+    FROM hdr_n h WHERE category <> 'others' AND NOT EXISTS (SELECT 1 FROM expcols e WHERE e.category = h.category
+                                                              AND e.column_name = h.column_name)
+    UNION ALL
+    SELECT f.client_id, f.file_hash, f.file_name, f.category, 'MISSING_COLUMN', e.column_name, '{run}'
+    FROM (SELECT DISTINCT client_id, file_hash, file_name, category FROM hdr_n WHERE category <> 'others') f
+    JOIN expcols e ON e.category = f.category
+    WHERE NOT EXISTS (SELECT 1 FROM hdr_n h WHERE h.file_hash = f.file_hash AND h.column_name = e.column_name)""".format(run=RUN_ID)))
+def q_schema_drift(spark, d):
+    """NEW_COLUMN / MISSING_COLUMN against the expected set (normalised names both sides)."""
+    return dr.schema_drift(fx.header_rows(spark, d), dr.expected_frame(spark), RUN_ID).select(
+        "client_id", "file_hash", "file_name", "category", "issue_type", "column_name", "run_id")
+
+
+@register("mapping_gate", orc.with_views("""
+    SELECT f.client_id, f.file_hash, f.file_name, f.category, f.columns, CAST(coalesce(u.n, 0) AS BIGINT) AS unmapped,
+        CASE WHEN coalesce(u.n, 0) > 0 THEN 'BLOCKED' ELSE 'QUEUED' END AS status
+    FROM (SELECT client_id, file_hash, file_name, category, count(*) AS columns FROM hdr_n GROUP BY ALL) f
+    LEFT JOIN (SELECT file_hash, count(*) AS n FROM unm GROUP BY 1) u USING (file_hash)"""))
+def q_mapping_gate(spark, d):
+    """Files with unmapped headers blocked, the rest queued."""
+    h = fx.header_rows(spark, d)
+    return dr.mapping_gate(h, fx.column_mapping(h)).select("client_id", "file_hash", "file_name", "category", "columns",
+                                                           "unmapped", "status")
+
+
+@register("review_queue", orc.with_views("SELECT client_id, category, raw_col_name, file_name, status FROM rq_new"))
+def q_review_queue(spark, d):
+    """New PENDING review items unless an open one exists."""
+    un = _unmapped(spark, d)
+    return dr.review_queue_inserts(un, fx.review_queue(un)).select("client_id", "category", "raw_col_name", "file_name", "status")
+
+
+def _queue_after(spark, d):
+    un = _unmapped(spark, d)
+    old = fx.review_queue(un)
+    new = dr.review_queue_inserts(un, old).withColumn("de_resolved", F.lit(False))
+    return old.unionByName(new)
+
+
+def _review_decisions(queue):
+    n = F.length("raw_col_name") % 4
+    return (queue.filter(F.col("status") == "PENDING")
+            .select("client_id", "category", "raw_col_name",
+                    F.when(n == 0, "approve").when(n == 1, "affects_calculations").when(n == 2, "reject").alias("action"),
+                    F.col("raw_col_name").alias("canonical_name"),
+                    F.col("raw_col_name").startswith("policy").alias("is_critical"),
+                    F.col("raw_col_name").contains("birth").alias("is_pii"))
+            .filter(F.col("action").isNotNull()))
+
+
+@register("mapping_versions", orc.with_views("""
+    SELECT client_id, category, raw_col_name, raw_col_name AS canonical_name,
+        CAST(coalesce(m.mx, 0) + row_number() OVER (PARTITION BY client_id, category ORDER BY raw_col_name) AS INTEGER) AS mapping_version,
+        CASE length(raw_col_name) % 4 WHEN 0 THEN 'APPROVED' ELSE 'AFFECTS_CALCULATIONS' END AS status
+    FROM rq_all q LEFT JOIN (SELECT client_id, category, max(mapping_version) AS mx FROM cmap GROUP BY ALL) m
+      USING (client_id, category)
+    WHERE q.status = 'PENDING' AND length(raw_col_name) % 4 IN (0, 1)"""))
+def q_mapping_versions(spark, d):
+    """Approved review items become mapping rows with the next version per (client, category)."""
+    q = _queue_after(spark, d)
+    h = fx.header_rows(spark, d)
+    rows, _ = dr.apply_review_decisions(q.filter(F.col("status") == "PENDING"), _review_decisions(q), fx.column_mapping(h))
+    return rows.select("client_id", "category", "raw_col_name", "canonical_name", "mapping_version", "status")
+
+
+@register("pending_digest", orc.with_views("""
+    SELECT client_id, count(*) AS pending_items, count(DISTINCT file_name) AS files
+    FROM rq_all WHERE status = 'PENDING' GROUP BY client_id"""))
+def q_pending_digest(spark, d):
+    """Pending mapping reviews per client."""
+    return dr.pending_digest(_queue_after(spark, d))
+
+
+@register("open_review_items", orc.with_views("""
+    SELECT client_id, category, raw_col_name, status FROM rq_all
+    WHERE status = 'PENDING' OR (status = 'AFFECTS_CALCULATIONS' AND NOT coalesce(de_resolved, false))"""))
+def q_open_review_items(spark, d):
+    """Open review items (pending, or affecting calculations and not yet resolved)."""
+    return dr.open_review_items(_queue_after(spark, d)).select("client_id", "category", "raw_col_name", "status")
+
+
+# ------------------------------------------------------------------ canonicalisation and PII
+_CRAW = """
+    craw AS (SELECT 'client_' || CAST(c_nationkey % 3 AS VARCHAR) AS client_id, CAST(c_custkey AS VARCHAR) AS customer_key,
+        c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation_key, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS acct_bal_pct,
+        c_mktsegment AS mkt_segment, CASE WHEN c_custkey % 4 = 0 THEN 'X' || CAST(c_custkey AS VARCHAR) END AS insured_id
+      FROM customer),
+    ccanon AS (SELECT client_id,
+        CASE WHEN client_id = 'client_0' THEN acct_bal_pct END AS balance,
+        CASE WHEN client_id = 'client_1' THEN nation_key END AS country_code,
+        coalesce(insured_id, CASE WHEN client_id IN ('client_0', 'client_1', 'client_2') THEN customer_key END) AS insured_id,
+        CASE WHEN client_id IN ('client_0', 'client_1', 'client_2') THEN name END AS insured_name,
+        CASE WHEN client_id IN ('client_0', 'client_2') THEN mkt_segment END AS segment
+      FROM craw)"""
+
+
+def _canonical(spark, d):
+    return cn.canonicalise(cn.normalize_columns(fx.customer_raw(spark, d)), fx.customer_mapping(spark))
+
+
+@register("canonicalise", orc.with_views("SELECT * FROM ccanon", _CRAW))
+def q_canonicalise(spark, d):
+    """Per-client versioned mapping to canonical names in one projection."""
+    return _canonical(spark, d)
+
+
+@register("pii_mask", orc.with_views("""
+    SELECT * REPLACE (CASE WHEN client_id IN ('client_0', 'client_1') THEN sha256(insured_name) ELSE insured_name END
+                      AS insured_name) FROM ccanon""", _CRAW))
+def q_pii_mask(spark, d):
+    """SHA-256 of the columns each client flags as PII."""
+    return cn.mask_pii(_canonical(spark, d), fx.customer_mapping(spark))

@@ -38,10 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pick(idx: Column, values) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v))
-    return expr
+    """values[idx] as a compact array lookup (NULL when idx is NULL)."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
 def _iso(d: Column) -> Column:
@@ -272,3 +270,127 @@ def tracking_from_files(files: DataFrame) -> DataFrame:
     """File-tracking rows of staged bordereau files; even years uploaded on 2024-01-01, odd on the 2nd."""
     return (files.select("client_id", "file_hash", "file_name", "category", "year", "quarter").distinct()
             .withColumn("uploaded_at", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("year") % 2).cast("int")).cast("timestamp")))
+
+
+# ------------------------------------------------------------------ governance fixtures
+# Fixed fixture values: landed file-name shapes by doc_id % 8 (prefix, period form, extension).
+FILE_NAME_KINDS = (
+    ("premium_", "q", ".csv"), ("PREM_ADJ_", "q", ".csv"), ("premium_adj_", "q", ".csv"), ("claims_", "q", ".csv"),
+    ("claims_adj_", "q", ".csv"), ("notes_", "q", ".csv"), ("claims_", "y", ".csv"), ("claims_", "q5", ".txt"),
+)
+# Header vocabulary by slot (k % 20 of the event's props).
+HEADER_VOCAB = (
+    "policy_number", "benefit_id", "valuation_date", "policy_effective_date", "plan_code", "insured_id", "gender",
+    "age", "premium_amount", "sum_at_risk", "reinsured_sum_at_risk", "issue_date", "date_of_birth", "new_renew",
+    "product_code", "distribution_channel", "resident_country", "claim_id", "claim_amount", "loss_event_date",
+)
+HEADER_CATEGORIES = ("premium", "claims", "premium_adj", "others")
+
+
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as landed files: client folder = source (root for doc_id % 50 = 0), hash = md5(text)."""
+    doc = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    y = _s(F.lit(1995) + F.col("doc_id") % 7)
+    q = _s(F.lit(1) + F.col("doc_id") % 4)
+    forms = {"q": F.concat(y, F.lit("_Q"), q), "y": y, "q5": F.concat(y, F.lit("_Q5"))}
+    name = None
+    for i, (prefix, form, ext) in enumerate(FILE_NAME_KINDS):
+        v = F.concat(F.lit(prefix), forms[form], F.lit(ext))
+        name = F.when(F.col("doc_id") % 8 == i, v) if name is None else name.when(F.col("doc_id") % 8 == i, v)
+    return doc.select(
+        "doc_id", name.alias("file_name"),
+        F.when(F.col("doc_id") % 50 == 0, name).otherwise(F.concat(F.col("source"), F.lit("/"), name)).alias("rel_path"),
+        F.md5(F.col("text")).alias("file_hash"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 3).cast("int")).cast("timestamp").alias("uploaded_at"))
+
+
+def ingestion_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as a bronze ingestion log: file = (user, week); error -> FAILED, purchase -> SUCCESS, signup -> DUPLICATE."""
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    client = F.concat(F.lit("U"), _s(F.col("user_id")))
+    week = F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd")
+    status = (F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "purchase", "SUCCESS")
+              .when(F.col("event_type") == "signup", "DUPLICATE").otherwise("RETRYING"))
+    return e.select("event_id", client.alias("client_id"), F.md5(F.concat(client, F.lit("/"), week)).alias("file_hash"),
+                    F.concat(F.lit("bdx_"), week, F.lit(".csv")).alias("file_name"), status.alias("status"))
+
+
+def staging_runs(spark: SparkSession, sf_dir: str, files: DataFrame) -> DataFrame:
+    """events as staging runs of landed files (event user_id = doc_id): error -> FAILED, purchase -> SUCCESS."""
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    st = F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "purchase", "SUCCESS")
+    j = e.join(files.select("doc_id", "file_hash"), F.col("user_id") == F.col("doc_id"))
+    return (j.select("event_id", "file_hash", F.concat(F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit("Z")).alias("run_id"),
+                     st.alias("status")).filter(F.col("status").isNotNull()))
+
+
+def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as file headers: one file per user, one raw column per event, spelled by event type."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", "props")
+    slot = F.get_json_object("props", "$.k").cast("int") % 20
+    e = e.select("user_id", "event_type", _pick(slot, HEADER_VOCAB).alias("_name"))
+    name = F.col("_name")
+    et = F.col("event_type")
+    raw = (F.when(et == "view", F.upper(name)).when(et == "click", F.concat(F.lit(" "), name, F.lit(" ")))
+           .when(et == "signup", F.replace(name, F.lit("_"), F.lit(" "))).when(et == "error", F.concat(name, F.lit("%")))
+           .otherwise(name))
+    cat = _pick(F.col("user_id") % 4, HEADER_CATEGORIES)
+    return e.select(
+        F.concat(F.lit("client_"), _s(F.col("user_id") % 7)).alias("client_id"),
+        F.md5(F.concat(F.lit("hdr/"), _s(F.col("user_id")))).alias("file_hash"),
+        F.concat(cat, F.lit("_2024_Q"), _s(F.col("user_id") % 4 + 1), F.lit("_u"), _s(F.col("user_id")), F.lit(".csv")).alias("file_name"),
+        cat.alias("category"), raw.alias("raw_col_name"))
+
+
+def column_mapping(headers: DataFrame) -> DataFrame:
+    """Mapping version 1 of every header column seen; some already expired (effective_to set)."""
+    from ..functions.columns import normalize_name_col
+    h = headers.select("client_id", "category", normalize_name_col("raw_col_name").alias("raw_col_name")).distinct()
+    expired = (F.length("raw_col_name") + F.length("client_id")) % 5 == 0
+    return h.select("client_id", "category", "raw_col_name", F.col("raw_col_name").alias("canonical_name"),
+                    F.lit(1).alias("mapping_version"), F.lit(False).alias("is_pii"),
+                    F.when(expired, F.lit("2023-12-31").cast("date")).alias("effective_to"))
+
+
+def review_queue(unmapped: DataFrame) -> DataFrame:
+    """Existing review items for some unmapped columns: PENDING, REJECTED or AFFECTS_CALCULATIONS."""
+    items = (unmapped.groupBy("client_id", "category", F.col("column_name").alias("raw_col_name"))
+             .agg(F.min("file_name").alias("file_name")))
+    n = F.length("raw_col_name") % 3
+    st = (F.when(n == 0, "PENDING").when(n == 1, "REJECTED")
+          .when(F.length("client_id") % 2 == 0, "AFFECTS_CALCULATIONS"))
+    return items.withColumn("status", st).filter(F.col("status").isNotNull()).withColumn("de_resolved", F.lit(False))
+
+
+def customer_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as a bronze file of three clients with untidy raw headers."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.concat(F.lit("client_"), _s(F.col("c_nationkey") % 3)).alias("client_id"),
+        _s(F.col("c_custkey")).alias("Customer Key"), F.col("c_name").alias("Name"),
+        _s(F.col("c_nationkey")).alias("Nation-Key"), _s(F.col("c_acctbal").cast(MONEY)).alias("Acct Bal%"),
+        F.col("c_mktsegment").alias("MKT/Segment"),
+        F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("X"), _s(F.col("c_custkey")))).alias("insured_id"))
+
+
+# Fixed fixture values: per-client column mapping of the customer file
+# (client, raw name, canonical name, is_pii, effective_to).
+CUSTOMER_MAPPING = (
+    ("client_0", "Customer Key", "insured_id", False, None),
+    ("client_0", "Name", "insured_name", True, None),
+    ("client_0", "MKT/Segment", "segment", False, None),
+    ("client_0", "Acct Bal%", "balance", False, None),
+    ("client_1", "Customer Key", "insured_id", False, None),
+    ("client_1", "Name", "insured_name", True, None),
+    ("client_1", "Nation-Key", "nation", False, "2023-12-31"),
+    ("client_1", "Nation-Key", "country_code", False, None),
+    ("client_2", "Name", "insured_name", False, None),
+    ("client_2", "Customer Key", "insured_id", False, None),
+    ("client_2", "MKT/Segment", "segment", False, None),
+)
+
+
+def customer_mapping(spark: SparkSession) -> DataFrame:
+    return (spark.createDataFrame(list(CUSTOMER_MAPPING),
+                                  "client_id string, raw_col_name string, canonical_name string, is_pii boolean, effective_to string")
+            .withColumn("effective_to", F.col("effective_to").cast("date")))

@@ -205,6 +205,7 @@ def with_views(select: str, extra: str = "") -> str:
     """``WITH <all fixture views>[, extra CTEs] select`` (DuckDB only evaluates what is referenced)."""
     v = views()
     v.update(extra_views())
+    v.update(gov_views())
     body = ",\n".join(f"{name} AS ({v[name]})" for name in v)
     if extra.strip():
         body += ",\n" + extra.strip().lstrip(",")
@@ -402,3 +403,88 @@ def _checks_sql(files: str, checks, rate_view: str | None = None) -> str:
         parts.append(f"SELECT {cols.format(run=RUN_ID, name='FILE_REJECTED', status=chr(39) + 'FAIL' + chr(39), n='quarantined_rows')} "
                      f"FROM {files} WHERE rejected")
     return "\n    UNION ALL\n    ".join(parts)
+
+
+# ------------------------------------------------------------------ governance views
+def _norm_sql(c: str) -> str:
+    return f"replace(replace(replace(replace(trim(lower({c})), '/', '_'), ' ', '_'), '%', '_pct'), '-', '_')"
+
+
+def gov_views() -> dict[str, str]:
+    from ..operators.drift import EXPECTED_COLUMNS
+    from .fixtures import FILE_NAME_KINDS, HEADER_CATEGORIES, HEADER_VOCAB
+
+    forms = {"q": "y || '_Q' || q", "y": "y", "q5": "y || '_Q5'"}
+    name = "CASE doc_id % 8 " + " ".join(
+        f"WHEN {i} THEN '{p}' || {forms[f]} || '{e}'" for i, (p, f, e) in enumerate(FILE_NAME_KINDS)) + " END"
+    pat = r"([a-zA-Z]+)_(\d{4})_(Q[1-4])"
+    v: dict[str, str] = {}
+    v["landed"] = f"""
+    SELECT doc_id, file_name, CASE WHEN doc_id % 50 = 0 THEN file_name ELSE source || '/' || file_name END AS rel_path,
+           md5(text) AS file_hash, CAST(DATE '2024-01-01' + CAST(doc_id % 3 AS INTEGER) AS TIMESTAMP) AS uploaded_at
+    FROM (SELECT *, {name} AS file_name FROM (SELECT *, CAST(1995 + doc_id % 7 AS VARCHAR) AS y,
+                                                    CAST(1 + doc_id % 4 AS VARCHAR) AS q FROM documents))"""
+    v["inv"] = f"""
+    SELECT *, reject_reason IS NULL AS accepted FROM (
+      SELECT l.*, lower(nullif(regexp_extract(file_name, '{pat}', 1), '')) AS name_category,
+        CAST(nullif(regexp_extract(file_name, '{pat}', 2), '') AS INTEGER) AS year,
+        nullif(regexp_extract(file_name, '{pat}', 3), '') AS quarter,
+        CASE WHEN contains(lower(file_name), 'prem') AND contains(lower(file_name), 'adj') THEN 'premium_adj'
+             WHEN contains(lower(file_name), 'prem') THEN 'premium'
+             WHEN contains(lower(file_name), 'claim') AND contains(lower(file_name), 'adj') THEN 'claims_adj'
+             WHEN contains(lower(file_name), 'claim') THEN 'claims' ELSE 'others' END AS category,
+        CASE WHEN NOT ends_with(file_name, '.csv') THEN 'NOT_CSV'
+             WHEN nullif(regexp_extract(file_name, '{pat}', 2), '') IS NULL THEN 'NAME_PATTERN' END AS reject_reason,
+        CASE WHEN len(string_split(rel_path, '/')) >= 2 THEN string_split(rel_path, '/')[-2] ELSE 'UNKNOWN_CLIENT' END AS client_id
+      FROM landed l)"""
+    v["trk"] = "SELECT * FROM inv WHERE accepted"
+    v["fstatus"] = """
+    SELECT t.*, CASE WHEN h.nc > 1 THEN 'CROSS_CLIENT_DUP' WHEN h.nf > 1 THEN 'DUPLICATE'
+                     WHEN t.category = 'others' THEN 'UNKNOWN_CATEGORY' ELSE 'SUCCESS' END AS status,
+        CAST(CASE WHEN h.nc > 1 THEN h.nc WHEN h.nf > 1 THEN h.nf ELSE 1 END AS BIGINT) AS duplicate_count
+    FROM trk t JOIN (SELECT file_hash, count(*) AS nf, count(DISTINCT client_id) AS nc FROM trk GROUP BY 1) h USING (file_hash)"""
+    v["ilog"] = """
+    SELECT event_id, 'U' || CAST(user_id AS VARCHAR) AS client_id,
+        md5('U' || CAST(user_id AS VARCHAR) || '/' || strftime(date_trunc('week', ts), '%Y-%m-%d')) AS file_hash,
+        CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'SUCCESS' WHEN 'signup' THEN 'DUPLICATE'
+             ELSE 'RETRYING' END AS status
+    FROM events"""
+    v["skipset"] = """
+    SELECT client_id, file_hash FROM ilog WHERE status IN ('SUCCESS', 'DUPLICATE', 'CROSS_CLIENT_DUP', 'UNKNOWN_CATEGORY')
+    UNION
+    SELECT client_id, file_hash FROM ilog WHERE status = 'FAILED' GROUP BY ALL HAVING count(*) >= 3"""
+    v["sruns"] = """
+    SELECT e.event_id, f.file_hash, strftime(e.ts, '%Y%m%d_%H%M%S') || 'Z' AS run_id,
+        CASE e.event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'SUCCESS' END AS status
+    FROM events e JOIN landed f ON e.user_id = f.doc_id
+    WHERE e.event_type IN ('error', 'purchase')"""
+    v["hdr"] = f"""
+    SELECT 'client_' || CAST(user_id % 7 AS VARCHAR) AS client_id, md5('hdr/' || CAST(user_id AS VARCHAR)) AS file_hash,
+        cat || '_2024_Q' || CAST(user_id % 4 + 1 AS VARCHAR) || '_u' || CAST(user_id AS VARCHAR) || '.csv' AS file_name,
+        cat AS category,
+        CASE event_type WHEN 'view' THEN upper(nm) WHEN 'click' THEN ' ' || nm || ' '
+             WHEN 'signup' THEN replace(nm, '_', ' ') WHEN 'error' THEN nm || '%' ELSE nm END AS raw_col_name
+    FROM (SELECT *, {_pick('user_id % 4', HEADER_CATEGORIES)} AS cat,
+                 {_pick("CAST(json_extract_string(props, '$.k') AS INTEGER) % 20", HEADER_VOCAB)} AS nm FROM events)"""
+    v["hdr_n"] = f"SELECT DISTINCT client_id, file_hash, file_name, category, {_norm_sql('raw_col_name')} AS column_name FROM hdr"
+    exp_rows = ", ".join(f"('{c}', '{col}')" for c, cols in EXPECTED_COLUMNS.items() for col in cols)
+    v["expcols"] = f"SELECT * FROM (VALUES {exp_rows}) t(category, column_name)"
+    v["cmap"] = """
+    SELECT client_id, category, raw_col_name, raw_col_name AS canonical_name, 1 AS mapping_version,
+        CASE WHEN (length(raw_col_name) + length(client_id)) % 5 = 0 THEN DATE '2023-12-31' END AS effective_to
+    FROM (SELECT DISTINCT client_id, category, column_name AS raw_col_name FROM hdr_n)"""
+    v["unm"] = """
+    SELECT h.* FROM hdr_n h WHERE NOT EXISTS (SELECT 1 FROM cmap m WHERE m.effective_to IS NULL
+        AND m.client_id = h.client_id AND m.category = h.category AND m.raw_col_name = h.column_name)"""
+    v["rq_items"] = "SELECT client_id, category, column_name AS raw_col_name, min(file_name) AS file_name FROM unm GROUP BY ALL"
+    v["rq_old"] = """
+    SELECT *, false AS de_resolved FROM (
+      SELECT *, CASE WHEN length(raw_col_name) % 3 = 0 THEN 'PENDING' WHEN length(raw_col_name) % 3 = 1 THEN 'REJECTED'
+                     WHEN length(client_id) % 2 = 0 THEN 'AFFECTS_CALCULATIONS' END AS status
+      FROM rq_items) WHERE status IS NOT NULL"""
+    v["rq_new"] = """
+    SELECT i.*, 'PENDING' AS status FROM rq_items i WHERE NOT EXISTS (SELECT 1 FROM rq_old o
+        WHERE o.status IN ('PENDING', 'AFFECTS_CALCULATIONS') AND o.client_id = i.client_id AND o.category = i.category
+          AND o.raw_col_name = i.raw_col_name)"""
+    v["rq_all"] = "SELECT * FROM rq_old UNION ALL SELECT *, false FROM rq_new"
+    return v
