@@ -32,7 +32,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import age_by_days, expected_premium, frequency_multiplier, reinsured_sum
+from ..functions.columns import age_by_days, frequency_multiplier, reinsured_sum
 from .joins import bounded_broadcast, join_null_safe
 
 # Fixed values from the reference.
@@ -98,28 +98,38 @@ def enrich_with_treaty(rows: DataFrame, treaty: DataFrame, broadcast_rows: int |
 
 # -------------------------------------------------------------- duplicates
 def in_file_duplicates(rows: DataFrame, keys: Sequence[str], flag: str, scope: Column | None = None) -> DataFrame:
-    """Flag every row of a (file, keys) group except the one with the smallest (fingerprint, row id).
-
-    Group-by + join back (both partial-aggregated and skew-split by AQE) instead
-    of ``row_number`` over a window.  NULL keys form one group, as in a window.
+    """Flag every row of a (file, keys) group except one kept row.
+
+    The kept row has the smallest content fingerprint (``_fp``); among rows of
+    identical content any one is kept.  Group-by + join back instead of
+    ``row_number`` over a window: the aggregate is partial (map-side) and a hot
+    key is split by AQE's skew join, so no single task holds a whole group.
+    ``min_by(row_id, 60-bit fingerprint prefix)`` keeps the aggregate hash-based.
+    NULL keys form one group, as in a window.
     """
-    ident = F.struct(F.col("_fp"), F.col("_row_id"))
+    ordv = F.conv(F.substring("_fp", 1, 15), 16, 10).cast("bigint")
     src = rows if scope is None else rows.filter(scope)
-    keep = src.groupBy("file_hash", *keys).agg(F.min(ident).alias("_keep"))
+    keep = src.groupBy("file_hash", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"))
     out = join_null_safe(rows, keep, ["file_hash", *keys], "left")
-    cond = F.col("_keep").isNotNull() & (ident != F.col("_keep"))
+    cond = F.col("_keep").isNotNull() & (F.col("_row_id") != F.col("_keep"))
     return out.withColumn(flag, F.coalesce(cond, F.lit(False))).drop("_keep")
 
 
 def history_duplicates(rows: DataFrame, history: DataFrame | None, keys: Sequence[str], flag: str) -> DataFrame:
-    """Flag rows whose (client, keys) appear in history rows of *another* file."""
+    """Flag rows whose (client, keys) appear in history rows of *another* file.
+
+    Per key we keep only min/max of a 64-bit hash of the file hash (hash
+    aggregate, no list): another file exists iff either differs from our own.
+    """
     if history is None:
         return rows.withColumn(flag, F.lit(False))
-    h = (history.select("client_id", *keys, "file_hash")
+    hf = F.xxhash64("file_hash")
+    h = (history.select("client_id", *keys, hf.alias("_hf"))
          .groupBy("client_id", *keys)
-         .agg(F.min("file_hash").alias("_h_min"), F.max("file_hash").alias("_h_max")))
+         .agg(F.min("_hf").alias("_h_min"), F.max("_hf").alias("_h_max")))
     out = rows.join(h, ["client_id", *keys], "left")
-    hit = F.col("_h_min").isNotNull() & ((F.col("_h_min") != F.col("file_hash")) | (F.col("_h_max") != F.col("file_hash")))
+    own = F.xxhash64("file_hash")
+    hit = F.col("_h_min").isNotNull() & ((F.col("_h_min") != own) | (F.col("_h_max") != own))
     return out.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_h_min", "_h_max")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import staging as st
 from ..operators import validation as va
+from ..sources.tables import materialize
 from . import fixtures as fx
 from . import oracle as orc
 
@@ -37,46 +38,87 @@ def register(name: str, sql: str | None = None):
 
 
 # ------------------------------------------------------------------ shared pipeline pieces
-def staged_premium(spark, d):
-    return st.stage_premium(fx.premium_raw(spark, d))
+class Pipeline:
+    """The bordereau pipeline over one scale-factor directory, built lazily per query.
 
+    Staged premium and claims are written once as silver tables (the stage
+    boundary of the real pipeline) and every later step scans them, so no
+    branch of a plan recomputes the fixture joins.
+    """
 
-def staged_claims(spark, d):
-    return st.stage_claims(fx.claims_raw(spark, d))
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
+        self._memo: dict = {}
+
+    def _get(self, key, fn):
+        if key not in self._memo:
+            self._memo[key] = fn()
+        return self._memo[key]
+
+    @property
+    def staged_premium(self) -> DataFrame:
+        return self._get("sp", lambda: materialize(st.stage_premium(fx.premium_raw(self.spark, self.d)), "staged-premium"))
+
+    @property
+    def staged_claims(self) -> DataFrame:
+        return self._get("sc", lambda: materialize(st.stage_claims(fx.claims_raw(self.spark, self.d)), "staged-claims"))
 
+    @property
+    def clean_premium(self) -> DataFrame:
+        return st.split_clean(self.staged_premium)[0]
 
-def clean_premium(spark, d):
-    return st.split_clean(staged_premium(spark, d))[0]
+    @property
+    def clean_claims(self) -> DataFrame:
+        return st.split_clean(self.staged_claims)[0]
 
+    @property
+    def treaty(self) -> DataFrame:
+        return self._get("t", lambda: fx.treaty(self.spark, self.d))
 
-def clean_claims(spark, d):
-    return st.split_clean(staged_claims(spark, d))[0]
+    @property
+    def treaty_primary(self) -> DataFrame:
+        """Treaty rows without fan-out copies (what a promoted history carries)."""
+        return self.treaty.filter(F.col("segment_id") == "A")
 
+    def _with_treaty_id(self, df, how):
+        t = self.treaty_primary.select("client_id", "benefit_id", "plan_code", "treaty_id")
+        return df.join(t, ["client_id", "benefit_id", "plan_code"], how)
 
-def treaty_primary(spark, d):
-    """Treaty rows without fan-out copies (what a promoted history carries)."""
-    return fx.treaty(spark, d).filter(F.col("segment_id") == "A")
+    @property
+    def premium_history(self) -> DataFrame:
+        """Validated premium stand-in: staged clean premium rows with their treaty id."""
+        return self._with_treaty_id(self.clean_premium, "inner")
 
+    @property
+    def claims_history(self) -> DataFrame:
+        return self._with_treaty_id(self.clean_claims, "left")
 
-def premium_history(spark, d):
-    """Validated premium stand-in: staged clean premium rows with their treaty id."""
-    t = treaty_primary(spark, d).select("client_id", "benefit_id", "plan_code", "treaty_id")
-    return clean_premium(spark, d).join(t, ["client_id", "benefit_id", "plan_code"])
+    def premium_validation(self, as_of=False):
+        return self._get(("pv", as_of), lambda: va.validate_premium(
+            self.clean_premium, self.treaty, fx.rates(self.spark, self.d), None,
+            run_id=RUN_ID, checked_at=CHECKED_AT, as_of=as_of))
 
+    def claims_validation(self):
+        return self._get("cv", lambda: va.validate_claims(
+            self.clean_claims, self.treaty, self.premium_history, self.claims_history,
+            run_id=RUN_ID, checked_at=CHECKED_AT))
 
-def claims_history(spark, d):
-    t = treaty_primary(spark, d).select("client_id", "benefit_id", "plan_code", "treaty_id")
-    return clean_claims(spark, d).join(t, ["client_id", "benefit_id", "plan_code"], "left")
+
+def staged_premium(spark, d):
+    """Staged premium as one plan (no intermediate table), for single-use queries."""
+    return st.stage_premium(fx.premium_raw(spark, d))
+
+
+def staged_claims(spark, d):
+    return st.stage_claims(fx.claims_raw(spark, d))
 
 
 def premium_validation(spark, d, as_of=False):
-    return va.validate_premium(clean_premium(spark, d), fx.treaty(spark, d), fx.rates(spark, d), None,
-                               run_id=RUN_ID, checked_at=CHECKED_AT, as_of=as_of)
+    return Pipeline(spark, d).premium_validation(as_of)
 
 
 def claims_validation(spark, d):
-    return va.validate_claims(clean_claims(spark, d), fx.treaty(spark, d), premium_history(spark, d),
-                              claims_history(spark, d), run_id=RUN_ID, checked_at=CHECKED_AT)
+    return Pipeline(spark, d).claims_validation()
 
 
 def _checks(v, names=None) -> DataFrame:
@@ -188,8 +230,9 @@ for _name, _checks_names in {
 @register("cal_life", orc.with_views("SELECT file_hash, client_id, insured_id FROM c_breach"))
 def q_cal_life(spark, d):
     """Insureds whose life-level claims (current + other files) exceed the limit."""
-    rows = va.enrich_with_treaty(clean_claims(spark, d), fx.treaty(spark, d)).filter(F.col("category") == "claims")
-    return va.cal_life_breaches(rows, claims_history(spark, d)).select("file_hash", "client_id", "insured_id")
+    p = Pipeline(spark, d)
+    rows = va.enrich_with_treaty(p.clean_claims, p.treaty).filter(F.col("category") == "claims")
+    return va.cal_life_breaches(rows, p.claims_history).select("file_hash", "client_id", "insured_id")
 
 
 # ------------------------------------------------------------------ reconciliation
@@ -201,21 +244,21 @@ REPORT_DATE = "2024-01-01"
 RECON_COLS = ("run_id", "client_id", "category", "year", "period", "soa_amount", "file_amount", "variance", "status")
 
 
-def soa_fixture(spark, d):
-    return fx.soa_entries(clean_premium(spark, d), clean_claims(spark, d))
+def soa_fixture(p: Pipeline):
+    return fx.soa_entries(p.clean_premium, p.clean_claims)
 
 
 def _validated(df):
     return df.withColumn("period", F.col("quarter"))
 
 
-def recon_results(spark, d, net_adjustments=False):
-    sp, sc = staged_premium(spark, d), staged_claims(spark, d)
+def recon_results(p: Pipeline, net_adjustments=False):
+    sp, sc = p.staged_premium, p.staged_claims
     scope = (sp.select("client_id", "category", "year", F.col("quarter").alias("period"))
              .unionByName(sc.select("client_id", "category", "year", F.col("quarter").alias("period"))))
-    amounts = rc.period_amounts(_validated(clean_premium(spark, d)), _validated(clean_claims(spark, d)), scope,
+    amounts = rc.period_amounts(_validated(p.clean_premium), _validated(p.clean_claims), scope,
                                 net_adjustments=net_adjustments)
-    return rc.reconcile(amounts, soa_fixture(spark, d), run_id=RUN_ID, checked_at=CHECKED_AT)
+    return rc.reconcile(amounts, soa_fixture(p), run_id=RUN_ID, checked_at=CHECKED_AT)
 
 
 _RECON_SQL = """
@@ -250,7 +293,7 @@ def _with_recon(select: str, extra: str = "") -> str:
 @register("reconcile", _with_recon("SELECT * FROM recon"))
 def q_reconcile(spark, d):
     """Every (client, category, year, period) of the run against the latest approved SOA."""
-    return recon_results(spark, d).select(*RECON_COLS)
+    return recon_results(Pipeline(spark, d)).select(*RECON_COLS)
 
 
 @register("recon_health", _with_recon("""
@@ -261,19 +304,19 @@ def q_reconcile(spark, d):
     FROM recon GROUP BY run_id"""))
 def q_recon_health(spark, d):
     """Run health; NO_DATA does not fail the run."""
-    return rc.recon_health(recon_results(spark, d))
+    return rc.recon_health(recon_results(Pipeline(spark, d)))
 
 
 @register("reconcile_net", _with_recon("SELECT * FROM recon"))
 def q_reconcile_net(spark, d):
     """R1 with net_adjustments=True (base + _adj summed first; equal to `reconcile` when no _adj file exists)."""
-    return recon_results(spark, d, net_adjustments=True).select(*RECON_COLS)
+    return recon_results(Pipeline(spark, d), net_adjustments=True).select(*RECON_COLS)
 
 
 @register("recon_statement")
 def q_recon_statement(spark, d):
     """Formatted statement line per group (rows-only check)."""
-    return rc.recon_statement(recon_results(spark, d))
+    return rc.recon_statement(recon_results(Pipeline(spark, d)))
 
 
 @register("upsert_gold", _with_recon("""
@@ -288,9 +331,10 @@ def q_recon_statement(spark, d):
       gold_tgt AS (SELECT * REPLACE (CAST(0 AS DECIMAL(18,2)) AS premium_amount) FROM c_premium WHERE year = 1995)"""))
 def q_upsert_gold(spark, d):
     """R4 + S10/S11: rows of RECONCILED premium periods upserted into a gold table (year 1995 pre-loaded)."""
-    results = recon_results(spark, d)
-    src = rc.reconciled_rows(_validated(clean_premium(spark, d)), results)
-    tgt = _validated(clean_premium(spark, d)).filter(F.col("year") == 1995).withColumn("premium_amount", F.lit(0).cast("decimal(18,2)"))
+    p = Pipeline(spark, d)
+    results = recon_results(p)
+    src = rc.reconciled_rows(_validated(p.clean_premium), results)
+    tgt = _validated(p.clean_premium).filter(F.col("year") == 1995).withColumn("premium_amount", F.lit(0).cast("decimal(18,2)"))
     merged = up.upsert(tgt, src, up.merge_keys("premium"))
     return merged.select("client_id", "file_hash", "year", "quarter", "policy_number", "benefit_id", "valuation_date",
                          "policy_effective_date", "premium_amount")
@@ -308,7 +352,7 @@ def q_upsert_gold(spark, d):
               FROM c_premium WHERE quarter IN ('Q2', 'Q3'))"""))
 def q_upsert_validated(spark, d):
     """Keyed upsert (MERGE semantics, NULL keys never match) of Q2-Q3 rows into Q1-Q2 rows."""
-    c = _validated(clean_premium(spark, d))
+    c = _validated(Pipeline(spark, d).clean_premium)
     tgt = c.filter(F.col("quarter").isin("Q1", "Q2"))
     src = (c.filter(F.col("quarter").isin("Q2", "Q3"))
            .withColumn("premium_amount", F.when(F.col("quarter") == "Q2", F.col("premium_amount") + 1)
@@ -333,16 +377,16 @@ def q_upsert_validated(spark, d):
             '[{"label":"VARCHAR","amount":"DECIMAL(18,2)","direction":"VARCHAR"}]') AS items FROM soa)"""))
 def q_soa_net(spark, d):
     """net SOA from amounts and JSON additional items (credit +, debit -) and item issues."""
-    s = soa_fixture(spark, d)
+    s = soa_fixture(Pipeline(spark, d))
     items = so.parse_items()
     return s.select("client_id", "year", "period", "version",
                     so.net_soa("premium_soa", "claims_soa", "commission_soa", "tax_soa", items).alias("net_soa"),
                     F.array_join(so.item_issues(items), "|").alias("issues"))
 
 
-def _periods(spark, d):
-    files = staged_premium(spark, d).select("client_id", "file_hash", "file_name", "category", "year", "quarter").unionByName(
-        staged_claims(spark, d).select("client_id", "file_hash", "file_name", "category", "year", "quarter"))
+def _periods(p: Pipeline):
+    files = p.staged_premium.select("client_id", "file_hash", "file_name", "category", "year", "quarter").unionByName(
+        p.staged_claims.select("client_id", "file_hash", "file_name", "category", "year", "quarter"))
     return so.uploaded_periods(fx.tracking_from_files(files), REPORT_DATE)
 
 
@@ -366,7 +410,8 @@ def _with_periods(select: str) -> str:
     WHERE s.status IS NULL OR s.status = 'REJECTED'"""))
 def q_soa_worklist(spark, d):
     """Periods uploaded on the report day that need an SOA action."""
-    return so.soa_worklist(_periods(spark, d), soa_fixture(spark, d))
+    p = Pipeline(spark, d)
+    return so.soa_worklist(_periods(p), soa_fixture(p))
 
 
 @register("soa_board", _with_periods("""
@@ -379,7 +424,8 @@ def q_soa_worklist(spark, d):
     WHERE s.status IS NULL OR s.status IN ('REJECTED', 'PENDING_APPROVAL', 'APPROVED', 'RECONCILED')"""))
 def q_soa_board(spark, d):
     """SOA dashboard buckets for the periods uploaded on the report day."""
-    return so.soa_board(_periods(spark, d), soa_fixture(spark, d)).select(
+    p = Pipeline(spark, d)
+    return so.soa_board(_periods(p), soa_fixture(p)).select(
         "client_id", "year", "period", "version", "status", "bucket", "adjustment_candidate")
 
 
@@ -418,7 +464,7 @@ _DEC_SQL = """
     FROM dec d LEFT JOIN soa s USING (client_id, year, period, version)""", _DEC_SQL))
 def q_soa_decisions(spark, d):
     """Approve / reject / duplicate with approver checks, segregation of duties, mandatory reason."""
-    s = soa_fixture(spark, d)
+    s = soa_fixture(Pipeline(spark, d))
     out = so.apply_decisions(s, _decisions(s))
     return out.select("client_id", "year", "period", "version", "action",
                       F.array_join("issues", "|").alias("issues"), "new_status")

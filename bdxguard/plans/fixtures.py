@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY
+from ..sources.tables import ensure_parallelism
 
 RAW_PREMIUM = ("policy_number", "insured_id", "benefit_id", "plan_code", "product_code", "gender",
                "valuation_date", "policy_effective_date", "issue_date", "date_of_birth", "age", "sum_at_risk",
@@ -62,6 +63,7 @@ def _base(spark: SparkSession, sf_dir: str, claims: bool) -> DataFrame:
                   "l_returnflag", "l_shipdate")
           .filter(flag if claims else ~flag)
           .withColumn("_row_id", F.monotonically_increasing_id()))
+    li = ensure_parallelism(li)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     # nation ⋈ region has one row per nation: bounded by definition, broadcast.
