@@ -40,29 +40,51 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
-              right_cols: Sequence[str], prefix: str = "") -> DataFrame:
-    """Backward as-of join (J12): for each left row, the last right row at or before it.
-
-    Formulated as a union + ``last(ignorenulls)`` over a window partitioned by
-    the ``by`` keys and ordered by time, so no pair of rows is ever emitted.
-    Ties: a right row at exactly the left time is visible to that left row.
-    Output: left columns + ``prefix + c`` for each ``c`` in right_cols.
+              right_cols: Sequence[str], prefix: str = "", bucket_days: int = 31) -> DataFrame:
+    """Backward as-of join (J12): for each left row, the right row with the latest
+    time at or before the left time, per ``by`` key.  A right row at exactly the
+    left time is visible.  Output: left columns + ``prefix + c`` for right_cols.
+
+    Skew-aware: time is cut into buckets of ``bucket_days``.
+    1. per (key, bucket) the last right row (a partial aggregate);
+    2. per key, the last right bucket strictly before each left bucket, by a
+       window over *bucket summaries* (a few rows per key, however hot the key);
+    3. inside a (key, bucket) partition, a running ``last(ignorenulls)`` over
+       the union of left and right rows ordered by time.
+    A key holding a third of all rows is spread over its time buckets, and no
+    pair of rows is ever emitted.
     """
-    lcols = left.columns
-    payload = [F.lit(None).cast(right.schema[c].dataType).alias(f"__v_{c}") for c in right_cols]
-    l = left.select(*[F.col(c) for c in lcols], F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
-                    F.monotonically_increasing_id().alias("__lid"), *payload)
-    rsel = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols if c not in by]
-    r = right.select(*[F.col(k) for k in by], *rsel, F.col(right_ts).alias("__t"), F.lit(0).alias("__side"),
-                     F.lit(None).cast("bigint").alias("__lid"),
-                     *[F.col(c).alias(f"__v_{c}") for c in right_cols]).select(l.columns)
-    u = l.unionByName(r)
-    w = (Window.partitionBy(*by).orderBy(F.col("__t").asc_nulls_first(), F.col("__side"))
+    ts_l, ts_r = F.col(left_ts), F.col(right_ts)
+
+    def bucket(t):
+        return F.floor(F.unix_date(t.cast("date")) / F.lit(bucket_days)).cast("bigint")
+
+    payload = F.struct(*[F.col(c).alias(c) for c in right_cols])
+    r = (right.filter(ts_r.isNotNull())
+         .select(*by, ts_r.alias("__t"), bucket(ts_r).alias("__b"), payload.alias("__v")))
+    l = left.select(*by, ts_l.alias("__t"), bucket(ts_l).alias("__b"),
+                    F.struct(*[F.col(c) for c in left.columns]).alias("__l"))
+    # 1. last right row per (key, bucket)
+    summ = r.groupBy(*by, "__b").agg(F.max_by("__v", "__t").alias("__v"))
+    # 2. carry: last summary of an earlier bucket, for every left (key, bucket)
+    lk = l.select(*by, "__b").distinct().withColumn("__side", F.lit(1)).withColumn("__v", F.lit(None).cast(summ.schema["__v"].dataType))
+    u = summ.withColumn("__side", F.lit(0)).unionByName(lk)
+    w = (Window.partitionBy(*by).orderBy(F.col("__b").asc_nulls_first(), F.col("__side").desc())
          .rowsBetween(Window.unboundedPreceding, 0))
-    filled = u.select(*[F.col(c) for c in u.columns if not c.startswith("__v_")], *[
-        F.last(F.when(F.col("__side") == 0, F.struct(F.col(f"__v_{c}").alias("v"))), ignorenulls=True).over(w)
-        .getField("v").alias(f"{prefix}{c}") for c in right_cols])
-    return filled.filter(F.col("__side") == 1).drop("__t", "__side", "__lid")
+    carry = (u.withColumn("__carry", F.last("__v", ignorenulls=True).over(w))
+             .filter(F.col("__side") == 1).select(*by, "__b", "__carry"))
+    # 3. within the bucket
+    rr = r.withColumn("__side", F.lit(0)).withColumn("__l", F.lit(None).cast(l.schema["__l"].dataType))
+    ll = l.withColumn("__side", F.lit(1)).withColumn("__v", F.lit(None).cast(r.schema["__v"].dataType))
+    u2 = rr.unionByName(ll)
+    w2 = (Window.partitionBy(*by, "__b").orderBy(F.col("__t"), F.col("__side"))
+          .rowsBetween(Window.unboundedPreceding, 0))
+    inb = (u2.withColumn("__in", F.last("__v", ignorenulls=True).over(w2)).filter(F.col("__side") == 1)
+           .select(*by, "__b", "__l", "__in"))
+    j = join_null_safe(inb, carry, [*by, "__b"], "left")
+    val = F.coalesce(F.col("__in"), F.col("__carry"))
+    return j.select(*[F.col("__l")[c].alias(c) for c in left.columns],
+                    *[val[c].alias(f"{prefix}{c}") for c in right_cols])
 
 
 def range_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: Column | str,

@@ -101,7 +101,7 @@ class Pipeline:
     def claims_validation(self):
         return self._get("cv", lambda: va.validate_claims(
             self.clean_claims, self.treaty, self.premium_history, self.claims_history,
-            run_id=RUN_ID, checked_at=CHECKED_AT))
+            run_id=orc.RUN_ID2, checked_at=orc.CHECKED_AT2))
 
 
 def staged_premium(spark, d):
@@ -676,3 +676,110 @@ def q_canonicalise(spark, d):
 def q_pii_mask(spark, d):
     """SHA-256 of the columns each client flags as PII."""
     return cn.mask_pii(_canonical(spark, d), fx.customer_mapping(spark))
+
+
+# ------------------------------------------------------------------ calendar, as-of, reports
+from ..functions import columns as fc  # noqa: E402
+from ..operators import joins as jn  # noqa: E402
+
+
+@register("policy_calendar", orc.with_views("""
+    SELECT client_id, file_hash, year, quarter,
+        count(*) FILTER (WHERE date_trunc('month', valuation_date) = date_trunc('month', issue_date)) AS n_new,
+        count(*) FILTER (WHERE date_trunc('month', valuation_date) <> date_trunc('month', issue_date)) AS n_renew,
+        min(CAST(date_trunc('quarter', valuation_date) AS DATE)) AS quarter_start,
+        max(CAST(date_trunc('quarter', valuation_date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)) AS quarter_end,
+        count(*) FILTER (WHERE year(valuation_date) - year(date_of_birth)
+              - CASE WHEN month(valuation_date) < month(date_of_birth) OR (month(valuation_date) = month(date_of_birth)
+                      AND day(valuation_date) < day(date_of_birth)) THEN 1 ELSE 0 END
+              <> floor(date_diff('day', date_of_birth, valuation_date) / 365.25)) AS n_age_mismatch,
+        CAST(sum(sum_at_risk * TRY_CAST(ri_share_pct AS DECIMAL(9,2)) * 0.01) AS DECIMAL(18,2)) AS ri_share_total
+    FROM c_premium GROUP BY ALL"""))
+def q_policy_calendar(spark, d):
+    """new/renew, quarter bounds, completed-years vs day-count age, RI share per file."""
+    c = Pipeline(spark, d).clean_premium
+    v, i, b = "valuation_date", "issue_date", "date_of_birth"
+    share = fc.reinsured_share("sum_at_risk", F.col("ri_share_pct").try_cast("decimal(9,2)"))
+    return c.groupBy("client_id", "file_hash", "year", "quarter").agg(
+        F.count_if(fc.new_or_renew(v, i) == "New").alias("n_new"),
+        F.count_if(fc.new_or_renew(v, i) == "Renew").alias("n_renew"),
+        F.min(fc.quarter_start(v)).alias("quarter_start"), F.max(fc.quarter_end(v)).alias("quarter_end"),
+        F.count_if(fc.age_completed_years(v, b) != fc.age_by_days(v, b)).alias("n_age_mismatch"),
+        F.sum(share).cast("decimal(18,2)").alias("ri_share_total"))
+
+
+@register("asof_premium", orc.with_views("""
+    SELECT c.file_hash, c.claim_id, c.policy_number, c.benefit_id, c.loss_event_date, p.valuation_date AS last_valuation_date
+    FROM c_claims c ASOF LEFT JOIN c_premium p
+      ON c.client_id = p.client_id AND c.policy_number = p.policy_number AND c.benefit_id = p.benefit_id
+     AND c.loss_event_date >= p.valuation_date"""))
+def q_asof_premium(spark, d):
+    """For every claim, the last premium valuation at or before the loss date (skew-aware as-of join)."""
+    p = Pipeline(spark, d)
+    claims = p.clean_claims.select("client_id", "file_hash", "claim_id", "policy_number", "benefit_id", "loss_event_date")
+    prem = p.clean_premium.select("client_id", "policy_number", "benefit_id", "valuation_date")
+    out = jn.asof_join(claims, prem, ["client_id", "policy_number", "benefit_id"], "loss_event_date", "valuation_date",
+                       ["valuation_date"], prefix="last_")
+    return out.select("file_hash", "claim_id", "policy_number", "benefit_id", "loss_event_date", "last_valuation_date")
+
+
+def _all_checks(p: Pipeline):
+    return p.premium_validation().checks.unionByName(p.claims_validation().checks)
+
+
+_ALL_CHECKS = """
+    all_checks AS (SELECT *, TIMESTAMP '{t1}' AS checked_at FROM p_checks
+                   UNION ALL SELECT *, TIMESTAMP '{t2}' AS checked_at FROM c_checks)""".format(t1=CHECKED_AT, t2=orc.CHECKED_AT2)
+
+
+@register("run_summary", orc.with_views("""
+    SELECT run_id, strftime(min(checked_at), '%Y-%m-%d %H:%M:%S') AS run_date, count(*) AS total_checks,
+        count(*) FILTER (WHERE status = 'PASS') AS passed, count(*) FILTER (WHERE status = 'FAIL') AS failed,
+        count(*) FILTER (WHERE status = 'WARN') AS warned, count(*) FILTER (WHERE status = 'SKIPPED') AS skipped
+    FROM all_checks GROUP BY run_id ORDER BY min(checked_at) DESC, run_id DESC LIMIT 10""", _ALL_CHECKS))
+def q_run_summary(spark, d):
+    """Last 10 validation runs with counts by status."""
+    out = rp.run_summary(_all_checks(Pipeline(spark, d)))
+    return out.withColumn("run_date", F.date_format("run_date", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("open_failures", orc.with_views("""
+    SELECT client_id, file_name, check_name, failed_count, total_count, run_id,
+        strftime(checked_at, '%Y-%m-%d %H:%M:%S') AS checked_at
+    FROM all_checks WHERE status = 'FAIL'
+    ORDER BY all_checks.checked_at DESC, client_id, file_name, check_name LIMIT 100""", _ALL_CHECKS))
+def q_open_failures(spark, d):
+    """O3: the newest 100 FAIL check rows (top-k is the feature; total order)."""
+    out = rp.open_failures(_all_checks(Pipeline(spark, d)))
+    return out.withColumn("checked_at", F.date_format("checked_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("run_detail", orc.with_views("""
+    SELECT client_id, file_name, category, check_name, status, failed_count, total_count,
+        CAST(coalesce(list_position([{order}], check_name), 999) AS INTEGER) AS check_rank
+    FROM all_checks WHERE run_id = '{run}'""".format(
+    order=", ".join(f"'{c}'" for c in rp.CHECK_ORDER), run=orc.RUN_ID2), _ALL_CHECKS))
+def q_run_detail(spark, d):
+    """One run's checks with the display rank of each check name."""
+    out = rp.run_detail(_all_checks(Pipeline(spark, d)), orc.RUN_ID2)
+    return out.select("client_id", "file_name", "category", "check_name", "status", "failed_count", "total_count",
+                      "check_rank")
+
+
+@register("staging_summary", orc.with_views("""
+    SELECT '{run}' AS run_id, count(*) AS total_files, count(*) AS processed_files, 0 AS failed_files,
+        CAST(sum(c) AS BIGINT) AS rows_to_silver, CAST(sum(q) AS BIGINT) AS rows_quarantined
+    FROM (SELECT file_hash, count(*) FILTER (WHERE len(dq_issues) = 0) AS c, count(*) FILTER (WHERE len(dq_issues) > 0) AS q
+          FROM (SELECT file_hash, dq_issues FROM s_premium UNION ALL SELECT file_hash, dq_issues FROM s_claims) GROUP BY 1)
+    """.format(run=RUN_ID)))
+def q_staging_summary(spark, d):
+    """Staging run summary (files, rows to silver, rows quarantined)."""
+    logp = st.staging_log(staged_premium(spark, d), RUN_ID)
+    logc = st.staging_log(staged_claims(spark, d), RUN_ID)
+    return st.staging_summary(logp.unionByName(logc))
+
+
+@register("latest_staging_run", orc.with_views("SELECT max(run_id) AS run_id FROM sruns WHERE status = 'SUCCESS'"))
+def q_latest_staging_run(spark, d):
+    """O1: latest successful staging run id (sortable yyyyMMdd_HHmmssZ)."""
+    return rp.latest_successful_run(fx.staging_runs(spark, d, fx.landed_files(spark, d)))

@@ -11,6 +11,9 @@ from .fixtures import BENEFITS, CHANNELS, COUNTRIES, PRODUCTS, RAW_CLAIMS, RAW_P
 
 RUN_ID = "20240101_000000Z"
 CHECKED_AT = "2024-01-01 00:00:00"
+# claims are validated in a second run, after premium promotion
+RUN_ID2 = "20240101_000100Z"
+CHECKED_AT2 = "2024-01-01 00:01:00"
 
 
 def _pick(idx: str, values) -> str:
@@ -326,7 +329,7 @@ def extra_views(as_of: bool = False) -> dict[str, str]:
         ("RISAR_GTE_CLAIM", "FAIL", "n_risar", full), ("CAL_CHECK", "FAIL", "n_cal", full),
         ("NO_ZERO_NEGATIVE", "WARN", "n_neg", full), ("DOL_COVERAGE", "WARN", "n_dol", full),
         ("LAPSE_CHECK", "WARN", "n_lapse", full),
-    ])
+    ], run=RUN_ID2)
     # ---------------- statements of account
     v["soa_g"] = """
     SELECT coalesce(p.client_id, c.client_id) AS client_id, coalesce(p.year, c.year) AS year,
@@ -380,7 +383,7 @@ def _files_sql(src: str, extra: str, fail_expr: str) -> str:
         FROM {src} GROUP BY ALL)"""
 
 
-def _checks_sql(files: str, checks, rate_view: str | None = None) -> str:
+def _checks_sql(files: str, checks, rate_view: str | None = None, run: str = RUN_ID) -> str:
     parts = []
     cols = ("'{run}' AS run_id, client_id, file_hash, file_name, category, year, quarter AS period, '{name}' AS check_name, "
             "{status} AS status, CAST({n} AS BIGINT) AS failed_count, CAST(total_count AS BIGINT) AS total_count")
@@ -389,7 +392,7 @@ def _checks_sql(files: str, checks, rate_view: str | None = None) -> str:
                   "WARN": f"CASE WHEN {n} > 0 THEN 'WARN' ELSE 'PASS' END",
                   "ALWAYS_WARN": "'WARN'"}[kind]
         w = f" WHERE {where}" if where else ""
-        parts.append(f"SELECT {cols.format(run=RUN_ID, name=name, status=status, n=n)} FROM {files}{w}")
+        parts.append(f"SELECT {cols.format(run=run, name=name, status=status, n=n)} FROM {files}{w}")
     if rate_view:
         src = f"(SELECT f.*, coalesce(r.n_rate_missing, 0) AS n_rate_missing, coalesce(r.n_rate_fail, 0) AS n_rate_fail " \
               f"FROM {files} f LEFT JOIN {rate_view} r USING (file_hash))"
@@ -398,9 +401,9 @@ def _checks_sql(files: str, checks, rate_view: str | None = None) -> str:
         parts.append(f"SELECT {cols.format(run=RUN_ID, name='RATE_TABLE', status='CASE WHEN n_rate_fail > 0 THEN ' + chr(39) + 'WARN' + chr(39) + ' ELSE ' + chr(39) + 'PASS' + chr(39) + ' END', n='n_rate_fail')} "
                      f"FROM {src} WHERE category = 'premium'")
     if checks:
-        parts.append(f"SELECT {cols.format(run=RUN_ID, name='ROW_INTEGRITY_CHECK', status=chr(39) + 'FAIL' + chr(39), n='extra')} "
+        parts.append(f"SELECT {cols.format(run=run, name='ROW_INTEGRITY_CHECK', status=chr(39) + 'FAIL' + chr(39), n='extra')} "
                      f"FROM {files} WHERE integrity_failed")
-        parts.append(f"SELECT {cols.format(run=RUN_ID, name='FILE_REJECTED', status=chr(39) + 'FAIL' + chr(39), n='quarantined_rows')} "
+        parts.append(f"SELECT {cols.format(run=run, name='FILE_REJECTED', status=chr(39) + 'FAIL' + chr(39), n='quarantined_rows')} "
                      f"FROM {files} WHERE rejected")
     return "\n    UNION ALL\n    ".join(parts)
 
