@@ -783,3 +783,26 @@ def q_staging_summary(spark, d):
 def q_latest_staging_run(spark, d):
     """O1: latest successful staging run id (sortable yyyyMMdd_HHmmssZ)."""
     return rp.latest_successful_run(fx.staging_runs(spark, d, fx.landed_files(spark, d)))
+
+
+# ------------------------------------------------------------------ streaming arrival (K1)
+from ..session import scratch_dir  # noqa: E402
+from ..streaming import arrival as ar  # noqa: E402
+
+
+@register("stream_bronze", orc.with_views("""
+    SELECT file_hash, doc_id, client_id, file_name FROM (
+      SELECT *, row_number() OVER (PARTITION BY file_hash ORDER BY doc_id) AS rn FROM trk) WHERE rn = 1"""))
+def q_stream_bronze(spark, d):
+    """Documents arrive through a file-source stream; foreachBatch registers each
+    content hash once (first arrival wins) into a tracking table; availableNow trigger."""
+    import uuid
+    schema = fx.table(spark, d, "documents").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+              .parquet(d.rstrip("/")))
+    run = uuid.uuid4().hex[:12]
+    tracking_path = scratch_dir(spark, f"tracking-{run}")
+    q, _ = ar.run_arrivals(spark, stream, tracking_path, scratch_dir(spark, f"arrivals-ckpt-{run}"),
+                           lambda b: ig.file_inventory(fx.landed_files_from(b)).filter(F.col("accepted")))
+    q.stop()
+    return spark.read.parquet(tracking_path).select("file_hash", "doc_id", "client_id", "file_name")

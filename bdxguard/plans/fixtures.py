@@ -291,7 +291,11 @@ HEADER_CATEGORIES = ("premium", "claims", "premium_adj", "others")
 
 def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as landed files: client folder = source (root for doc_id % 50 = 0), hash = md5(text)."""
-    doc = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return landed_files_from(table(spark, sf_dir, "documents"))
+
+
+def landed_files_from(documents: DataFrame) -> DataFrame:
+    doc = documents.select("doc_id", "text", "source")
     y = _s(F.lit(1995) + F.col("doc_id") % 7)
     q = _s(F.lit(1) + F.col("doc_id") % 4)
     forms = {"q": F.concat(y, F.lit("_Q"), q), "y": y, "q5": F.concat(y, F.lit("_Q5"))}
