@@ -320,15 +320,17 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     treaty_id, claim_amount, file_hash); own-file rows are ignored.
     """
     full = F.col("category") == "claims"
-    r = in_file_duplicates(clean, CLAIMS_DUP_KEYS, "_dup_file", full)
+    # Treaty enrichment first (broadcast, no shuffle): every later branch (duplicates,
+    # CAL life breaches) starts from this narrow base instead of from the joined chain.
+    base = enrich_with_treaty(clean, treaty)
+    breaches = cal_life_breaches(base.filter(full), claims_history, cal_by_key)
+    r = in_file_duplicates(base, CLAIMS_DUP_KEYS, "_dup_file", full)
     r = history_duplicates(r, claims_history, CLAIMS_DUP_KEYS, "_dup_hist")
-    r = enrich_with_treaty(r, treaty)
     if premium_history is not None:
         r = r.join(premium_history_aggregate(premium_history), ["client_id", *PREMIUM_HISTORY_KEYS], "left")
     else:
         r = (r.withColumn("_has_prem", F.lit(None).cast("boolean")).withColumn("_max_risar", F.lit(None).cast("decimal(18,2)"))
              .withColumn("_last_paid_to", F.lit(None).cast("date")).withColumn("_first_effective", F.lit(None).cast("date")))
-    breaches = cal_life_breaches(r.filter(full), claims_history, cal_by_key)
     bkeys = ["file_hash", "client_id", "insured_id"] + (["treaty_id", "benefit_id"] if cal_by_key else [])
     r = r.join(breaches, bkeys, "left")
     claim = F.col("claim_amount")

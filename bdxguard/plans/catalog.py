@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import staging as st
 from ..operators import validation as va
-from ..sources.tables import materialize
+from ..sources.tables import materialize, write_scratch
 from . import fixtures as fx
 from . import oracle as orc
 
@@ -38,6 +38,9 @@ def register(name: str, sql: str | None = None):
 
 
 # ------------------------------------------------------------------ shared pipeline pieces
+_TABLES: dict = {}  # (application id, input folder, table) -> path of the written table
+
+
 class Pipeline:
     """The bordereau pipeline over one scale-factor directory, built lazily per query.
 
@@ -46,8 +49,8 @@ class Pipeline:
     branch of a plan recomputes the fixture joins.
     """
 
-    def __init__(self, spark: SparkSession, d: str):
-        self.spark, self.d = spark, d
+    def __init__(self, spark: SparkSession, d: str, reuse: bool = True):
+        self.spark, self.d, self.reuse = spark, d, reuse
         self._memo: dict = {}
 
     def _get(self, key, fn):
@@ -55,13 +58,30 @@ class Pipeline:
             self._memo[key] = fn()
         return self._memo[key]
 
+    def _table(self, name: str, build):
+        """Silver/metadata table of this input folder, written once per Spark application and reused."""
+        if not self.reuse:
+            return materialize(build(), name)
+        key = (self.spark.sparkContext.applicationId, self.d.rstrip("/"), name)
+        path = _TABLES.get(key)
+        if path is not None:
+            try:
+                return self.spark.read.parquet(path)
+            except Exception:  # noqa: BLE001 - table gone: write it again
+                pass
+        path = write_scratch(build(), name)
+        _TABLES[key] = path
+        return self.spark.read.parquet(path)
+
     @property
     def staged_premium(self) -> DataFrame:
-        return self._get("sp", lambda: materialize(st.stage_premium(fx.premium_raw(self.spark, self.d)), "staged-premium"))
+        return self._get("sp", lambda: self._table(
+            "staged-premium", lambda: st.stage_premium(fx.premium_raw(self.spark, self.d))))
 
     @property
     def staged_claims(self) -> DataFrame:
-        return self._get("sc", lambda: materialize(st.stage_claims(fx.claims_raw(self.spark, self.d)), "staged-claims"))
+        return self._get("sc", lambda: self._table(
+            "staged-claims", lambda: st.stage_claims(fx.claims_raw(self.spark, self.d))))
 
     @property
     def clean_premium(self) -> DataFrame:
@@ -73,7 +93,12 @@ class Pipeline:
 
     @property
     def treaty(self) -> DataFrame:
-        return self._get("t", lambda: fx.treaty(self.spark, self.d))
+        """Treaty config: a metadata table, written once and scanned by every branch."""
+        return self._get("t", lambda: self._table("treaty", lambda: fx.treaty(self.spark, self.d).coalesce(1)))
+
+    @property
+    def rates(self) -> DataFrame:
+        return self._get("r", lambda: self._table("rates", lambda: fx.rates(self.spark, self.d).coalesce(1)))
 
     @property
     def treaty_primary(self) -> DataFrame:
@@ -95,7 +120,7 @@ class Pipeline:
 
     def premium_validation(self, as_of=False):
         return self._get(("pv", as_of), lambda: va.validate_premium(
-            self.clean_premium, self.treaty, fx.rates(self.spark, self.d), None,
+            self.clean_premium, self.treaty, self.rates, None,
             run_id=RUN_ID, checked_at=CHECKED_AT, as_of=as_of))
 
     def claims_validation(self):

@@ -31,15 +31,19 @@ def restrict_to_files(df: DataFrame, files: DataFrame) -> DataFrame:
     return df.join(files.select("file_hash").distinct(), "file_hash", "left_semi")
 
 
-def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and return a scan of it."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+def write_scratch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder; return its path."""
+    path = scratch_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     w = df.write.mode("overwrite").option("compression", "lz4")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and return a scan of it."""
+    return df.sparkSession.read.parquet(write_scratch(df, name, partition_by))
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -3,6 +3,11 @@
 Each query is planned and fully executed (``write.format("noop")`` forces every
 row and column without collecting to the driver).  Reported per query: wall
 seconds of one warm run (one untimed warm-up run of the whole suite first).
+
+As in the pipeline, staging writes the silver tables once per input and the
+downstream queries (validation, recon, ...) scan them; the staging cost itself
+is measured by ``staging_rules_premium`` / ``staging_rules_claims`` /
+``rule_counts``, which stage the raw rows from scratch on every run.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = (
-    "staging_rules_premium", "rule_counts", "premium_checks", "claims_checks", "cal_life", "reconcile",
+    "staging_rules_premium", "staging_rules_claims", "rule_counts", "premium_checks", "claims_checks", "cal_life", "reconcile",
     "upsert_validated", "soa_net", "file_status", "schema_drift", "mapping_gate", "run_queue",
 )
 
