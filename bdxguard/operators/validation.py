@@ -133,6 +133,35 @@ def history_duplicates(rows: DataFrame, history: DataFrame | None, keys: Sequenc
     return out.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_h_min", "_h_max")
 
 
+def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | None,
+                    scope: Column | None = None) -> DataFrame:
+    """In-file (W1/V2/V10) and historical (V3/V10) duplicate flags with one join of the rows.
+
+    Both rules depend only on (file, keys): the kept-row aggregate per (file,
+    keys) is joined with the history aggregate per (client, keys) at key level
+    (small x small), and the rows are shuffled once to pick up ``_dup_file``
+    and ``_dup_hist``.  Same semantics as ``in_file_duplicates`` +
+    ``history_duplicates``.
+    """
+    ordv = F.conv(F.substring("_fp", 1, 15), 16, 10).cast("bigint")
+    src = rows if scope is None else rows.filter(scope)
+    look = src.groupBy("file_hash", "client_id", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"))
+    if history is not None:
+        hf = F.xxhash64("file_hash")
+        h = (history.select("client_id", *keys, hf.alias("_hf")).groupBy("client_id", *keys)
+             .agg(F.min("_hf").alias("_h_min"), F.max("_hf").alias("_h_max")))
+        own = F.xxhash64("file_hash")
+        look = (look.join(h, ["client_id", *keys], "left")
+                .withColumn("_hist", F.col("_h_min").isNotNull() & ((F.col("_h_min") != own) | (F.col("_h_max") != own)))
+                .drop("_h_min", "_h_max"))
+    else:
+        look = look.withColumn("_hist", F.lit(False))
+    out = join_null_safe(rows, look.drop("client_id"), ["file_hash", *keys], "left")
+    dup = F.col("_keep").isNotNull() & (F.col("_row_id") != F.col("_keep"))
+    return (out.withColumn("_dup_file", F.coalesce(dup, F.lit(False)))
+            .withColumn("_dup_hist", F.coalesce(F.col("_hist"), F.lit(False))).drop("_keep", "_hist"))
+
+
 # --------------------------------------------------------------------- rates (V8, V9)
 def prepare_rates(rates: DataFrame) -> DataFrame:
     """Rate table grouped per lookup key; each key holds its (few) effective-dated versions."""
@@ -232,8 +261,7 @@ def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | Non
     benefit_id, valuation_date, file_hash); own-file rows are ignored.
     """
     full = (F.col("category") == "premium") if not validate_adjustments else F.col("category").isin("premium", "premium_adj")
-    r = in_file_duplicates(clean, PREMIUM_DUP_KEYS, "_dup_file", full)
-    r = history_duplicates(r, history, PREMIUM_DUP_KEYS, "_dup_hist")
+    r = duplicate_flags(clean, PREMIUM_DUP_KEYS, history, full)
     r = enrich_with_treaty(r, treaty)
     r = r.withColumn("_current_age", age_by_days("valuation_date", "date_of_birth"))
     r = r.withColumn("dq_reasons", _fail_tags([
@@ -324,8 +352,7 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     # CAL life breaches) starts from this narrow base instead of from the joined chain.
     base = enrich_with_treaty(clean, treaty)
     breaches = cal_life_breaches(base.filter(full), claims_history, cal_by_key)
-    r = in_file_duplicates(base, CLAIMS_DUP_KEYS, "_dup_file", full)
-    r = history_duplicates(r, claims_history, CLAIMS_DUP_KEYS, "_dup_hist")
+    r = duplicate_flags(base, CLAIMS_DUP_KEYS, claims_history, full)
     if premium_history is not None:
         r = r.join(premium_history_aggregate(premium_history), ["client_id", *PREMIUM_HISTORY_KEYS], "left")
     else:

@@ -58,10 +58,10 @@ class Pipeline:
             self._memo[key] = fn()
         return self._memo[key]
 
-    def _table(self, name: str, build):
+    def _table(self, name: str, build, partition_by=()):
         """Silver/metadata table of this input folder, written once per Spark application and reused."""
         if not self.reuse:
-            return materialize(build(), name)
+            return materialize(build(), name, partition_by)
         key = (self.spark.sparkContext.applicationId, self.d.rstrip("/"), name)
         path = _TABLES.get(key)
         if path is not None:
@@ -69,27 +69,33 @@ class Pipeline:
                 return self.spark.read.parquet(path)
             except Exception:  # noqa: BLE001 - table gone: write it again
                 pass
-        path = write_scratch(build(), name)
+        path = write_scratch(build(), name, partition_by)
         _TABLES[key] = path
         return self.spark.read.parquet(path)
 
+    @staticmethod
+    def _flag_clean(df: DataFrame) -> DataFrame:
+        return df.withColumn("_clean", (F.size("dq_issues") == 0).cast("int"))  # int: partition type is inferred back
+
     @property
     def staged_premium(self) -> DataFrame:
+        """Staged premium silver, partitioned by the clean flag (clean / quarantine in one table)."""
         return self._get("sp", lambda: self._table(
-            "staged-premium", lambda: st.stage_premium(fx.premium_raw(self.spark, self.d))))
+            "staged-premium", lambda: self._flag_clean(st.stage_premium(fx.premium_raw(self.spark, self.d))), ["_clean"]))
 
     @property
     def staged_claims(self) -> DataFrame:
         return self._get("sc", lambda: self._table(
-            "staged-claims", lambda: st.stage_claims(fx.claims_raw(self.spark, self.d))))
+            "staged-claims", lambda: self._flag_clean(st.stage_claims(fx.claims_raw(self.spark, self.d))), ["_clean"]))
 
     @property
     def clean_premium(self) -> DataFrame:
-        return st.split_clean(self.staged_premium)[0]
+        """Clean rows: a partition filter, pruned at the scan."""
+        return self.staged_premium.filter(F.col("_clean") == 1).drop("_clean")
 
     @property
     def clean_claims(self) -> DataFrame:
-        return st.split_clean(self.staged_claims)[0]
+        return self.staged_claims.filter(F.col("_clean") == 1).drop("_clean")
 
     @property
     def treaty(self) -> DataFrame:
