@@ -837,3 +837,18 @@ def q_stream_bronze(spark, d):
                            lambda b: ig.file_inventory(fx.landed_files_from(b)).filter(F.col("accepted")))
     q.stop()
     return spark.read.parquet(tracking_path).select("file_hash", "doc_id", "client_id", "file_name")
+
+
+@register("promoted_rows", orc.with_views("""
+    SELECT f.client_id, f.file_hash, f.file_name, f.year, f.quarter,
+        count(*) FILTER (WHERE NOT f.rejected AND NOT coalesce(r.f_treaty OR r.f_dup, false)) AS promoted_rows,
+        count(*) FILTER (WHERE f.rejected OR coalesce(r.f_treaty OR r.f_dup, false)) AS quarantined_rows
+    FROM p_flags r JOIN p_files f USING (file_hash)
+    GROUP BY ALL"""))
+def q_promoted_rows(spark, d):
+    """V19 + P8/P11 promotion path: rows promoted (clean rows of files under the 30 % threshold) vs quarantined."""
+    v = Pipeline(spark, d).premium_validation()
+    t = v.tagged_rows()
+    ok = ~F.col("rejected") & (F.size("dq_reasons") == 0)
+    return t.groupBy("client_id", "file_hash", "file_name", "year", "quarter").agg(
+        F.count_if(ok).alias("promoted_rows"), F.count_if(~ok).alias("quarantined_rows"))
