@@ -37,9 +37,25 @@ def normalized_headers(headers: DataFrame, raw_col: str = "raw_col_name") -> Dat
     return headers.select(*FILE_KEYS, normalize_name_col(raw_col).alias("column_name")).distinct()
 
 
-def schema_drift(headers: DataFrame, expected: DataFrame, run_id: str = "run") -> DataFrame:
-    """NEW_COLUMN (header not expected) and MISSING_COLUMN (expected not in header); not for 'others'."""
-    h = normalized_headers(headers).filter(F.col("category") != "others")
+def canonical_headers(headers: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Header names translated to canonical names by the client's active mapping (unmapped names kept)."""
+    h = normalized_headers(headers)
+    m = (active_mapping(mapping)
+         .select("client_id", "category", normalize_name_col("raw_col_name").alias("column_name"), "canonical_name")
+         .dropDuplicates(["client_id", "category", "column_name"]))
+    return (h.join(m, ["client_id", "category", "column_name"], "left")
+            .select(*FILE_KEYS, F.coalesce("canonical_name", "column_name").alias("column_name")).distinct())
+
+
+def schema_drift(headers: DataFrame, expected: DataFrame, run_id: str = "run",
+                 mapping: DataFrame | None = None) -> DataFrame:
+    """NEW_COLUMN (header not expected) and MISSING_COLUMN (expected not in header); not for 'others'.
+
+    With ``mapping``, header names are compared after translation to canonical
+    names, so expected sets are written once in the canonical vocabulary.
+    """
+    h = (normalized_headers(headers) if mapping is None else canonical_headers(headers, mapping))
+    h = h.filter(F.col("category") != "others")
     files = h.select(*FILE_KEYS).distinct()
     exp = files.join(F.broadcast(expected), "category")  # expected: a few rows per category
     new = h.join(exp.select("file_hash", "column_name"), ["file_hash", "column_name"], "left_anti")

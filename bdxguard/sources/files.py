@@ -1,5 +1,9 @@
 """Landing-zone sources: file inventory scan, header probe, bronze CSV read.
 
+Paths: ``binaryFile`` reports decoded paths while ``_metadata.file_path`` is
+URL-encoded, so metadata paths are decoded before any join on the path
+(a client folder such as ``MIDDLE EAST`` would otherwise never match).
+
 All files of a landing folder are read by *one* scan each, never one job per
 file.  Files can have different headers (schema drift); they are grouped by
 header signature and each group is read with its own header, then the groups
@@ -33,20 +37,32 @@ def scan_landing(spark: SparkSession, root: str) -> DataFrame:
     return file_inventory(files)
 
 
-def header_probe(spark: SparkSession, paths: DataFrame | list[str], path_col: str = "path") -> DataFrame:
-    """First line of every file, reading only the files' first blocks (text source).
+def header_probe(spark: SparkSession, paths: DataFrame | list[str], path_col: str = "path",
+                 probe_bytes: str = "1m") -> DataFrame:
+    """First line of every file, reading only the first ``probe_bytes`` of each file.
 
-    Lines of the first split of a file keep their order, so the line with the
-    smallest row id of block 0 is the header.
+    The scan's split size is narrowed to ``probe_bytes`` while this one scan is
+    planned and run, so block 0 of a file is its first megabyte, not its first
+    128 MB.  Lines of a split keep their order: the line with the smallest row
+    id of block 0 is the header.  The (small, one row per file) result is
+    written to the shared scratch folder and returned as a scan.
     """
+    from .tables import materialize
+
     plist = paths if isinstance(paths, list) else [r[path_col] for r in paths.select(path_col).distinct().collect()]
     if not plist:
         return spark.createDataFrame([], "path string, header string")
-    t = (spark.read.text(plist)
-         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_bs"))
-         .filter(F.col("_bs") == 0)
-         .withColumn("_id", F.monotonically_increasing_id()))
-    return t.groupBy("path").agg(F.min_by("value", "_id").alias("header"))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, probe_bytes)
+    try:
+        t = (spark.read.text(plist)
+             .select("value", F.url_decode(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("_bs"))
+             .filter(F.col("_bs") == 0)
+             .withColumn("_id", F.monotonically_increasing_id()))
+        return materialize(t.groupBy("path").agg(F.min_by("value", "_id").alias("header")), "headers")
+    finally:
+        spark.conf.set(key, old)
 
 
 def header_columns(headers: DataFrame) -> DataFrame:
@@ -71,7 +87,7 @@ def read_bordereaux(spark: SparkSession, landing: DataFrame) -> DataFrame:
         names = [normalize_name(c) for c in g["header"].split(",")]
         schema = ", ".join(f"`{n}` string" for n in names)
         df = (spark.read.option("header", True).schema(schema).csv(g["paths"])
-              .select("*", F.col("_metadata.file_path").alias("path")))
+              .select("*", F.url_decode(F.col("_metadata.file_path")).alias("path")))
         frames.append(df)
     if not frames:
         return spark.createDataFrame([], "path string")
