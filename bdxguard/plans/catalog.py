@@ -344,9 +344,14 @@ def q_reconcile_net(spark, d):
     return recon_results(Pipeline(spark, d), net_adjustments=True).select(*RECON_COLS)
 
 
-@register("recon_statement")
+@register("recon_statement", _with_recon("""
+    SELECT client_id, category, year, period, status,
+        client_id || ' ' || category || ' ' || CAST(year AS VARCHAR) || '-' || period
+        || ' | file ' || format('{:,.2f}', file_amount) || ' | soa ' || format('{:,.2f}', soa_amount)
+        || ' | variance ' || format('{:,.2f}', variance) || ' | ' || status AS statement
+    FROM recon"""))
 def q_recon_statement(spark, d):
-    """Formatted statement line per group (rows-only check)."""
+    """Formatted statement line per group."""
     return rc.recon_statement(recon_results(Pipeline(spark, d)))
 
 
