@@ -81,12 +81,14 @@ def read_bordereaux(spark: SparkSession, landing: DataFrame) -> DataFrame:
     """
     acc = landing.filter(F.col("accepted"))
     heads = header_probe(spark, acc)
-    groups = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()  # one row per header version
     frames = []
-    for g in groups:
-        names = [normalize_name(c) for c in g["header"].split(",")]
+    # Loop over distinct header versions (a handful), not files.  The path list of a
+    # version is what the CSV reader's file index holds anyway; no task builds a list.
+    for (header,) in heads.select("header").distinct().collect():
+        paths = [r[0] for r in heads.filter(F.col("header") == header).select("path").collect()]
+        names = [normalize_name(c) for c in header.split(",")]
         schema = ", ".join(f"`{n}` string" for n in names)
-        df = (spark.read.option("header", True).schema(schema).csv(g["paths"])
+        df = (spark.read.option("header", True).schema(schema).csv(paths)
               .select("*", F.url_decode(F.col("_metadata.file_path")).alias("path")))
         frames.append(df)
     if not frames:
