@@ -32,6 +32,10 @@ from ..sources import tables as tb
 
 PREMIUM_LIKE = ("premium", "premium_adj")
 CLAIMS_LIKE = ("claims", "claims_adj")
+REQUIRED = {
+    "premium": ("policy_number", "benefit_id", "plan_code", "valuation_date", "premium_amount", "_fp", "_row_id"),
+    "claims": ("claim_id", "policy_number", "benefit_id", "plan_code", "claim_amount", "insured_id", "_fp", "_row_id"),
+}
 
 
 @dataclass
@@ -55,11 +59,18 @@ def _fingerprint(df: DataFrame, data_cols) -> DataFrame:
 
 def run_batch(spark: SparkSession, landing: str, warehouse: str, meta: Metadata, run_id: str,
               checked_at: str | None = None) -> dict[str, DataFrame]:
+    """Scan the landing folder and process every file not tracked yet."""
+    return run_files(spark, sf.scan_landing(spark, landing), warehouse, meta, run_id, checked_at)
+
+
+def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: Metadata, run_id: str,
+              checked_at: str | None = None) -> dict[str, DataFrame]:
+    """Process the files of an inventory frame (a folder scan or one micro-batch of arrivals)."""
     w = warehouse.rstrip("/")
     out: dict[str, DataFrame] = {}
 
     # ---- 1. inventory, registration, file status
-    inv = tb.materialize(sf.scan_landing(spark, landing), "landing")
+    inv = tb.materialize(inventory, "landing")
     acc = inv.filter("accepted")
     tracked = _read(spark, f"{w}/audit/file_tracking")
     cols = ["file_hash", "path", "file_name", "client_id", "category", "year", "quarter"]
@@ -97,38 +108,45 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, meta: Metadata,
     canon = cn.canonicalise(bronze, meta.mapping)
     prem = st.stage_premium(canon.filter(F.col("category").isin(*PREMIUM_LIKE)))
     clm = st.stage_claims(canon.filter(F.col("category").isin(*CLAIMS_LIKE)))
+    staged_tables = {}
     for name, staged in (("premium", prem), ("claims", clm)):
-        staged = cn.mask_pii(staged, meta.mapping).withColumn("_clean", (F.size("dq_issues") == 0).cast("int"))
-        tb.append(staged.withColumn("period", F.col("quarter")), f"{w}/silver/staging/{name}", ["category", "_clean"])
-    sp = spark.read.parquet(f"{w}/silver/staging/premium").join(queued, "file_hash", "left_semi")
-    sc = spark.read.parquet(f"{w}/silver/staging/claims").join(queued, "file_hash", "left_semi")
+        staged = (cn.mask_pii(staged, meta.mapping).withColumn("_clean", (F.size("dq_issues") == 0).cast("int"))
+                  .withColumn("period", F.col("quarter")))
+        tb.append(staged, f"{w}/silver/staging/{name}", ["category", "_clean"])
+        table = _read(spark, f"{w}/silver/staging/{name}")        # None while no file of the kind ever arrived
+        staged_tables[name] = (table if table is not None else staged.filter(F.lit(False))).join(queued, "file_hash", "left_semi")
+    sp, sc = staged_tables["premium"], staged_tables["claims"]
     log = st.staging_log(sp, run_id).unionByName(st.staging_log(sc, run_id))
     tb.append(log, f"{w}/audit/staging_log")
     tb.append(st.rule_counts(sp).unionByName(st.rule_counts(sc)).withColumn("run_id", F.lit(run_id)),
               f"{w}/audit/quarantine_summary")
 
     # ---- 5. premium validation and promotion, then claims
+    # A kind of file absent from the run has no columns to check: its validation is skipped.
     clean_p = sp.filter(F.col("_clean") == 1).drop("_clean")
-    hist_p = _read(spark, f"{w}/silver/validated/premium")
-    pv = va.validate_premium(clean_p, meta.treaty, meta.rates, hist_p, run_id=run_id, checked_at=checked_at)
-    tb.append(pv.checks, f"{w}/audit/validation_results")
-    promote_p = tb.materialize(pv.promotable(), "promote-premium")
-    for cat in PREMIUM_LIKE:
-        part = promote_p.filter(F.col("category") == cat)
-        if part.limit(1).count():
-            up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
+    if all(c in clean_p.columns for c in REQUIRED["premium"]):
+        hist_p = _read(spark, f"{w}/silver/validated/premium")
+        pv = va.validate_premium(clean_p, meta.treaty, meta.rates, hist_p, run_id=run_id, checked_at=checked_at)
+        tb.append(pv.checks, f"{w}/audit/validation_results")
+        promote_p = tb.materialize(pv.promotable(), "promote-premium")
+        for cat in PREMIUM_LIKE:
+            part = promote_p.filter(F.col("category") == cat)
+            if part.limit(1).count():
+                up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
+        out["premium_checks"] = pv.checks
 
     clean_c = sc.filter(F.col("_clean") == 1).drop("_clean")
-    prem_hist = _read(spark, f"{w}/silver/validated/premium")
-    claims_hist = _read(spark, f"{w}/silver/validated/claims")
-    cv = va.validate_claims(clean_c, meta.treaty, prem_hist, claims_hist, run_id=run_id, checked_at=checked_at)
-    tb.append(cv.checks, f"{w}/audit/validation_results")
-    promote_c = tb.materialize(cv.promotable(), "promote-claims")
-    for cat in CLAIMS_LIKE:
-        part = promote_c.filter(F.col("category") == cat)
-        if part.limit(1).count():
-            up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
-    out["premium_checks"], out["claims_checks"] = pv.checks, cv.checks
+    if all(c in clean_c.columns for c in REQUIRED["claims"]):
+        prem_hist = _read(spark, f"{w}/silver/validated/premium")
+        claims_hist = _read(spark, f"{w}/silver/validated/claims")
+        cv = va.validate_claims(clean_c, meta.treaty, prem_hist, claims_hist, run_id=run_id, checked_at=checked_at)
+        tb.append(cv.checks, f"{w}/audit/validation_results")
+        promote_c = tb.materialize(cv.promotable(), "promote-claims")
+        for cat in CLAIMS_LIKE:
+            part = promote_c.filter(F.col("category") == cat)
+            if part.limit(1).count():
+                up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
+        out["claims_checks"] = cv.checks
 
     # ---- 6. reconciliation and gold
     scope = log.select("client_id", "category", "year", F.col("quarter").alias("period"))

@@ -31,9 +31,14 @@ def scan_landing(spark: SparkSession, root: str) -> DataFrame:
     ``binaryFile`` reads each file as one value; the content is hashed in the
     scan task and dropped, only the 32-character digest leaves it.
     """
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-           .select("path", "length", "modificationTime", F.md5("content").alias("file_hash")))
-    files = raw.select("*", F.element_at(F.split("path", "/"), -1).alias("file_name"), _rel("path", root).alias("rel_path"))
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return inventory_from_binary(raw, root)
+
+
+def inventory_from_binary(raw: DataFrame, root: str) -> DataFrame:
+    """Inventory rows from a ``binaryFile`` frame (batch or one micro-batch of a stream)."""
+    files = (raw.select("path", "length", "modificationTime", F.md5("content").alias("file_hash"))
+             .select("*", F.element_at(F.split("path", "/"), -1).alias("file_name"), _rel("path", root).alias("rel_path")))
     return file_inventory(files)
 
 

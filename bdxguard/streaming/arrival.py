@@ -55,3 +55,34 @@ def run_arrivals(spark: SparkSession, stream: DataFrame, tracking_path: str, che
     if available_now:
         q.awaitTermination(timeout_s)
     return q, metrics
+
+
+def landing_stream(spark: SparkSession, landing: str, warehouse: str, meta, checkpoint_path: str,
+                   available_now: bool = True, timeout_s: int | None = 1800):
+    """K1 end to end: CSV files landing under ``landing`` (any client folder) are picked up by a
+    ``binaryFile`` stream; every micro-batch runs the batch pipeline on its new files.
+
+    Registration against the tracking table keeps a file from being processed
+    twice across batches and restarts; the stream checkpoint remembers which
+    files were offered.  The poll interval of the reference (60 s) is the
+    processing-time trigger when ``available_now`` is false.
+    """
+    from ..plans.pipeline import run_files
+    from ..sources.files import inventory_from_binary
+
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    stream = (spark.readStream.format("binaryFile").schema(schema)
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(landing))
+    runs: list[str] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        run_id = f"stream_{batch_id:08d}"
+        run_files(spark, inventory_from_binary(batch, landing), warehouse, meta, run_id)
+        runs.append(run_id)
+
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_path)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
+    q = w.start()
+    if available_now:
+        q.awaitTermination(timeout_s)
+    return q, runs
