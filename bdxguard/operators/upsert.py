@@ -62,11 +62,12 @@ def write_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     """
     from ..session import scratch_dir
 
-    try:
-        target = spark.read.option("mergeSchema", "true").parquet(path)
-        exists = True
-    except Exception:  # noqa: BLE001 - no table yet: create path
-        target, exists = empty_like(spark, source), False
+    from ..sources.tables import try_read
+
+    target = try_read(spark, path)
+    exists = target is not None
+    if not exists:                     # create path (S11): same upsert against an empty target
+        target = empty_like(spark, source)
     touched = source.select(*partition_by).distinct()
     part_target = target.join(touched, list(partition_by), "left_semi") if exists else target
     merged = upsert(part_target, source, keys)

@@ -47,10 +47,7 @@ class Metadata:
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except Exception:  # noqa: BLE001 - table does not exist yet
-        return None
+    return tb.try_read(spark, path)
 
 
 def _fingerprint(df: DataFrame, data_cols) -> DataFrame:

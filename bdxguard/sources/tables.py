@@ -18,6 +18,27 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 
+def table_exists(path: str) -> bool | None:
+    """True/False for local paths (checked without a failing read); None when unknown (remote store)."""
+    import os
+
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if local.startswith("/"):
+        return os.path.isdir(local) and any(not n.startswith((".", "_")) or n.startswith("_delta") or "=" in n
+                                            for n in os.listdir(local))
+    return None
+
+
+def try_read(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
+    """Scan of a Parquet table, or None when it does not exist (yet)."""
+    if table_exists(path) is False:
+        return None
+    try:
+        return read_table(spark, path, merge_schema)
+    except Exception:  # noqa: BLE001 - remote path without data
+        return None
+
+
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """Parquet table scan; filters and projections on the result are pushed into the scan."""
     r = spark.read

@@ -22,11 +22,10 @@ PAYLOAD = ("file_hash", "doc_id", "client_id", "file_name", "rel_path")
 
 
 def _existing(spark: SparkSession, tracking_path: str, batch_id: int) -> DataFrame | None:
-    try:
-        t = spark.read.parquet(tracking_path)
-    except Exception:  # noqa: BLE001 - no tracking table yet
-        return None
-    return t.filter(F.col("batch_id") != batch_id)
+    from ..sources.tables import try_read
+
+    t = try_read(spark, tracking_path)
+    return None if t is None else t.filter(F.col("batch_id") != batch_id)
 
 
 def register_batch(spark: SparkSession, files: DataFrame, batch_id: int, tracking_path: str,
