@@ -803,7 +803,7 @@ def q_run_detail(spark, d):
 
 
 @register("staging_summary", orc.with_views("""
-    SELECT '{run}' AS run_id, count(*) AS total_files, count(*) AS processed_files, 0 AS failed_files,
+    SELECT '{run}' AS run_id, count(*) AS total_files, count(*) AS processed_files, CAST(0 AS BIGINT) AS failed_files,
         CAST(sum(c) AS BIGINT) AS rows_to_silver, CAST(sum(q) AS BIGINT) AS rows_quarantined
     FROM (SELECT file_hash, count(*) FILTER (WHERE len(dq_issues) = 0) AS c, count(*) FILTER (WHERE len(dq_issues) > 0) AS q
           FROM (SELECT file_hash, dq_issues FROM s_premium UNION ALL SELECT file_hash, dq_issues FROM s_claims) GROUP BY 1)

@@ -28,7 +28,7 @@ def _fp(cols) -> str:
 _BASE = """
     SELECT l.*, o_custkey, o_totalprice, o_orderdate, c_name, c_nationkey, r_name, p_type,
            CAST(l_shipdate AS DATE) AS ship, CAST(o_orderdate AS DATE) AS od,
-           r_name AS client_id, '{cat}' AS category, year(CAST(l_shipdate AS DATE)) AS year,
+           r_name AS client_id, '{cat}' AS category, CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS year,
            'Q' || CAST(quarter(CAST(l_shipdate AS DATE)) AS VARCHAR) AS quarter,
            '{cat}_' || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '_Q'
              || CAST(quarter(CAST(l_shipdate AS DATE)) AS VARCHAR) || '.csv' AS file_name
