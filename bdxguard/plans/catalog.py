@@ -117,12 +117,13 @@ class Pipeline:
 
     @property
     def premium_history(self) -> DataFrame:
-        """Validated premium stand-in: staged clean premium rows with their treaty id."""
-        return self._with_treaty_id(self.clean_premium, "inner")
+        """Validated premium stand-in: staged clean base-premium rows with their treaty id
+        (adjustments live in their own table, as in the reference)."""
+        return self._with_treaty_id(self.clean_premium.filter(F.col("category") == "premium"), "inner")
 
     @property
     def claims_history(self) -> DataFrame:
-        return self._with_treaty_id(self.clean_claims, "left")
+        return self._with_treaty_id(self.clean_claims.filter(F.col("category") == "claims"), "left")
 
     def premium_validation(self, as_of=False):
         return self._get(("pv", as_of), lambda: va.validate_premium(
@@ -317,8 +318,30 @@ _RECON_SQL = """
 """.format(run=RUN_ID)
 
 
-def _with_recon(select: str, extra: str = "") -> str:
-    return orc.with_views(select, _RECON_SQL.strip() + ("," + extra if extra.strip() else ""))
+_RECON_NET_SQL = _RECON_SQL.replace("recon AS (", "recon_unused AS (").rstrip().rstrip(",") + """,
+    recon_amt_net AS (SELECT client_id, regexp_replace(category, '_adj$', '') AS base, year, period, sum(amt) AS amt
+                      FROM recon_amt GROUP BY ALL),
+    recon AS (
+      SELECT '{run}' AS run_id, s.client_id, s.category, s.year, s.period,
+        CAST(CASE WHEN o.client_id IS NULL THEN 0
+                  WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END AS DECIMAL(18,2)) AS soa_amount,
+        CAST(coalesce(a.amt, 0) AS DECIMAL(18,2)) AS file_amount,
+        CAST(CASE WHEN o.client_id IS NULL THEN 0
+                  ELSE coalesce(a.amt, 0) - CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END
+             END AS DECIMAL(18,2)) AS variance,
+        CASE WHEN o.client_id IS NULL THEN 'PENDING_SOA'
+             WHEN abs(coalesce(a.amt, 0) - CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END) <= 1.00
+             THEN 'RECONCILED' ELSE 'BREAK' END AS status
+      FROM recon_scope s
+      LEFT JOIN recon_amt_net a ON a.client_id = s.client_id AND a.base = regexp_replace(s.category, '_adj$', '')
+        AND a.year = s.year AND a.period = s.period
+      LEFT JOIN soa_ok o ON o.client_id = s.client_id AND o.year = s.year AND o.period = s.period)
+""".format(run=RUN_ID)
+
+
+def _with_recon(select: str, extra: str = "", net: bool = False) -> str:
+    body = (_RECON_NET_SQL if net else _RECON_SQL).strip()
+    return orc.with_views(select, body + ("," + extra if extra.strip() else ""))
 
 
 @register("reconcile", _with_recon("SELECT * FROM recon"))
@@ -338,9 +361,9 @@ def q_recon_health(spark, d):
     return rc.recon_health(recon_results(Pipeline(spark, d)))
 
 
-@register("reconcile_net", _with_recon("SELECT * FROM recon"))
+@register("reconcile_net", _with_recon("SELECT * FROM recon", net=True))
 def q_reconcile_net(spark, d):
-    """R1 with net_adjustments=True (base + _adj summed first; equal to `reconcile` when no _adj file exists)."""
+    """R1 with net_adjustments=True: base and _adj amounts of a period are summed before the SOA comparison."""
     return recon_results(Pipeline(spark, d), net_adjustments=True).select(*RECON_COLS)
 
 

@@ -60,7 +60,7 @@ def _base(spark: SparkSession, sf_dir: str, claims: bool) -> DataFrame:
     flag = F.col("l_returnflag") == "R"
     li = (table(spark, sf_dir, "lineitem")
           .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-                  "l_returnflag", "l_shipdate")
+                  "l_returnflag", "l_linestatus", "l_shipdate")
           .filter(flag if claims else ~flag)
           .withColumn("_row_id", F.monotonically_increasing_id()))
     li = ensure_parallelism(li)
@@ -76,12 +76,14 @@ def _base(spark: SparkSession, sf_dir: str, claims: bool) -> DataFrame:
          .join(p, F.col("l_partkey") == F.col("p_partkey")))
     ship = F.to_date("l_shipdate")
     cat = "claims" if claims else "premium"
+    # open lines shipped in a fourth quarter arrive as adjustment files (late data, *_adj)
+    category = F.when((F.col("l_linestatus") == "O") & (F.quarter(ship) == 4), F.lit(f"{cat}_adj")).otherwise(F.lit(cat))
     year = F.year(ship)
     quarter = F.concat(F.lit("Q"), _s(F.quarter(ship)))
-    fname = F.concat(F.lit(f"{cat}_"), _s(year), F.lit("_"), quarter, F.lit(".csv"))
+    fname = F.concat(category, F.lit("_"), _s(year), F.lit("_"), quarter, F.lit(".csv"))
     return b.select(
         "*", ship.alias("_ship"), F.to_date("o_orderdate").alias("_od"),
-        F.col("r_name").alias("client_id"), F.lit(cat).alias("category"), year.alias("year"), quarter.alias("quarter"),
+        F.col("r_name").alias("client_id"), category.alias("category"), year.alias("year"), quarter.alias("quarter"),
         fname.alias("file_name"),
         F.md5(F.concat(F.col("r_name"), F.lit("/"), fname)).alias("file_hash"))
 

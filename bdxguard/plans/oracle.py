@@ -28,9 +28,12 @@ def _fp(cols) -> str:
 _BASE = """
     SELECT l.*, o_custkey, o_totalprice, o_orderdate, c_name, c_nationkey, r_name, p_type,
            CAST(l_shipdate AS DATE) AS ship, CAST(o_orderdate AS DATE) AS od,
-           r_name AS client_id, '{cat}' AS category, CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS year,
+           r_name AS client_id,
+           CASE WHEN l_linestatus = 'O' AND quarter(CAST(l_shipdate AS DATE)) = 4 THEN '{cat}_adj' ELSE '{cat}' END AS category,
+           CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS year,
            'Q' || CAST(quarter(CAST(l_shipdate AS DATE)) AS VARCHAR) AS quarter,
-           '{cat}_' || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '_Q'
+           CASE WHEN l_linestatus = 'O' AND quarter(CAST(l_shipdate AS DATE)) = 4 THEN '{cat}_adj' ELSE '{cat}' END
+             || '_' || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '_Q'
              || CAST(quarter(CAST(l_shipdate AS DATE)) AS VARCHAR) || '.csv' AS file_name
     FROM lineitem l
     JOIN orders o ON l_orderkey = o_orderkey
@@ -277,9 +280,11 @@ def extra_views(as_of: bool = False) -> dict[str, str]:
     SELECT p.client_id, t.treaty_id, p.policy_number, p.benefit_id, max(p.reinsured_sum_at_risk) AS max_risar,
            max(p.valuation_date) AS last_paid, min(p.policy_effective_date) AS first_eff
     FROM c_premium p JOIN treaty_a t USING (client_id, benefit_id, plan_code)
+    WHERE p.category = 'premium'
     GROUP BY ALL"""
     v["claims_hist"] = """
-    SELECT c.*, t.treaty_id FROM c_claims c LEFT JOIN treaty_a t USING (client_id, benefit_id, plan_code)"""
+    SELECT c.*, t.treaty_id FROM c_claims c LEFT JOIN treaty_a t USING (client_id, benefit_id, plan_code)
+    WHERE c.category = 'claims'"""
     v["c_rows"] = """
     SELECT c.*, category = 'claims' AND row_number() OVER (
         PARTITION BY file_hash, claim_id, policy_number, benefit_id ORDER BY _fp) > 1 AS dup_file
