@@ -148,7 +148,10 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
     look = src.groupBy("file_hash", "client_id", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"))
     if history is not None:
         hf = F.xxhash64("file_hash")
-        h = (history.select("client_id", *keys, hf.alias("_hf")).groupBy("client_id", *keys)
+        batch_keys = src.select("client_id", *keys).distinct()
+        h = (history.select("client_id", *keys, hf.alias("_hf"))
+             .join(batch_keys, ["client_id", *keys], "left_semi")          # only keys of this batch
+             .groupBy("client_id", *keys)
              .agg(F.min("_hf").alias("_h_min"), F.max("_hf").alias("_h_max")))
         own = F.xxhash64("file_hash")
         look = (look.join(h, ["client_id", *keys], "left")
@@ -302,8 +305,15 @@ def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | Non
 
 
 # ------------------------------------------------------------------- claims
-def premium_history_aggregate(premium_history: DataFrame) -> DataFrame:
-    """Per (client, treaty, policy, benefit): existence, max reinsured sum, last paid-to, first effective."""
+def premium_history_aggregate(premium_history: DataFrame, batch_keys: DataFrame | None = None) -> DataFrame:
+    """Per (client, treaty, policy, benefit): existence, max reinsured sum, last paid-to, first effective.
+
+    With ``batch_keys`` the history is first restricted to the keys of the
+    batch (semi-join), so a run costs in proportion to its batch, not to the
+    whole validated history; a small key set is broadcast by AQE.
+    """
+    if batch_keys is not None:
+        premium_history = premium_history.join(batch_keys, ["client_id", *PREMIUM_HISTORY_KEYS], "left_semi")
     return (premium_history.groupBy("client_id", *PREMIUM_HISTORY_KEYS)
             .agg(F.lit(True).alias("_has_prem"),
                  F.max("reinsured_sum_at_risk").alias("_max_risar"),
@@ -327,7 +337,8 @@ def cal_life_breaches(rows: DataFrame, claims_history: DataFrame | None, by_key:
     else:
         k4 = ["client_id", "insured_id", "treaty_id", "benefit_id"]
         keys = life.select("file_hash", *k4).distinct()
-        h_file = claims_history.groupBy(*k4, "file_hash").agg(F.sum("claim_amount").alias("_s_file"))
+        hist = claims_history.join(keys.select(*k4).distinct(), k4, "left_semi")   # J7: history of these insureds only
+        h_file = hist.groupBy(*k4, "file_hash").agg(F.sum("claim_amount").alias("_s_file"))
         h_all = h_file.groupBy(*k4).agg(F.sum("_s_file").alias("_s_all"))
         other = (keys.join(h_all, k4, "left").join(h_file, k4 + ["file_hash"], "left")
                  .withColumn("_other", F.coalesce(F.col("_s_all"), F.lit(0)) - F.coalesce(F.col("_s_file"), F.lit(0)))
@@ -354,7 +365,8 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     breaches = cal_life_breaches(base.filter(full), claims_history, cal_by_key)
     r = duplicate_flags(base, CLAIMS_DUP_KEYS, claims_history, full)
     if premium_history is not None:
-        r = r.join(premium_history_aggregate(premium_history), ["client_id", *PREMIUM_HISTORY_KEYS], "left")
+        keys = base.filter(full).select("client_id", *PREMIUM_HISTORY_KEYS).distinct()
+        r = r.join(premium_history_aggregate(premium_history, keys), ["client_id", *PREMIUM_HISTORY_KEYS], "left")
     else:
         r = (r.withColumn("_has_prem", F.lit(None).cast("boolean")).withColumn("_max_risar", F.lit(None).cast("decimal(18,2)"))
              .withColumn("_last_paid_to", F.lit(None).cast("date")).withColumn("_first_effective", F.lit(None).cast("date")))
