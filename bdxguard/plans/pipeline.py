@@ -54,6 +54,12 @@ def _fingerprint(df: DataFrame, data_cols) -> DataFrame:
     return df.withColumn("_fp", F.md5(F.concat_ws("|", F.col("file_hash"), *[F.col(c) for c in data_cols])))
 
 
+def _promotion_columns(df: DataFrame, run_id: str) -> DataFrame:
+    """Columns the validated tables carry: run id of the validation, period and its type."""
+    return (df.withColumn("validation_run_id", F.lit(run_id))
+            .withColumn("period", F.col("quarter")).withColumn("period_type", F.lit("quarterly")))
+
+
 def run_batch(spark: SparkSession, landing: str, warehouse: str, meta: Metadata, run_id: str,
               checked_at: str | None = None) -> dict[str, DataFrame]:
     """Scan the landing folder and process every file not tracked yet."""
@@ -125,7 +131,7 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
         hist_p = _read(spark, f"{w}/silver/validated/premium")
         pv = va.validate_premium(clean_p, meta.treaty, meta.rates, hist_p, run_id=run_id, checked_at=checked_at)
         tb.append(pv.checks, f"{w}/audit/validation_results")
-        promote_p = tb.materialize(pv.promotable(), "promote-premium")
+        promote_p = tb.materialize(_promotion_columns(pv.promotable(), run_id), "promote-premium")
         for cat in PREMIUM_LIKE:
             part = promote_p.filter(F.col("category") == cat)
             if part.limit(1).count():
@@ -138,7 +144,7 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
         claims_hist = _read(spark, f"{w}/silver/validated/claims")
         cv = va.validate_claims(clean_c, meta.treaty, prem_hist, claims_hist, run_id=run_id, checked_at=checked_at)
         tb.append(cv.checks, f"{w}/audit/validation_results")
-        promote_c = tb.materialize(cv.promotable(), "promote-claims")
+        promote_c = tb.materialize(_promotion_columns(cv.promotable(), run_id), "promote-claims")
         for cat in CLAIMS_LIKE:
             part = promote_c.filter(F.col("category") == cat)
             if part.limit(1).count():
