@@ -148,7 +148,7 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
     look = src.groupBy("file_hash", "client_id", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"))
     if history is not None:
         hf = F.xxhash64("file_hash")
-        batch_keys = src.select("client_id", *keys).distinct()
+        batch_keys = look.select("client_id", *keys).distinct()        # from the key-level lookup, not the rows
         h = (history.select("client_id", *keys, hf.alias("_hf"))
              .join(batch_keys, ["client_id", *keys], "left_semi")          # only keys of this batch
              .groupBy("client_id", *keys)

@@ -217,8 +217,10 @@ for _name, _checks_names in {
     "rate_check": ("RATE_TABLE", "RATE_TABLE_MISSING_MATCH"),
     "row_integrity": ("ROW_INTEGRITY_CHECK",),
 }.items():
-    register(_name, _sql_checks("p_checks", _checks_names))(
-        lambda spark, d, _n=_checks_names: _checks(premium_validation(spark, d), _n))
+    def _q(spark, d, _n=_checks_names):
+        return _checks(premium_validation(spark, d), _n)
+    _q.__doc__ = f"{', '.join(_checks_names)} rows of the premium validation (all files in one pass)."
+    register(_name, _sql_checks("p_checks", _checks_names))(_q)
 
 
 @register("rate_check_as_of", _sql_checks("p_checks_asof", ("RATE_TABLE", "RATE_TABLE_MISSING_MATCH")))
@@ -255,8 +257,10 @@ for _name, _checks_names in {
     "dol_coverage": ("DOL_COVERAGE",),
     "lapse_check": ("LAPSE_CHECK",),
 }.items():
-    register(_name, _sql_checks("c_checks", _checks_names))(
-        lambda spark, d, _n=_checks_names: _checks(claims_validation(spark, d), _n))
+    def _q(spark, d, _n=_checks_names):
+        return _checks(claims_validation(spark, d), _n)
+    _q.__doc__ = f"{', '.join(_checks_names)} rows of the claims validation (all files in one pass)."
+    register(_name, _sql_checks("c_checks", _checks_names))(_q)
 
 
 @register("cal_life", orc.with_views("SELECT file_hash, client_id, insured_id FROM c_breach"))
