@@ -253,6 +253,39 @@ def _file_agg(rows: DataFrame, extra: list[Column]) -> DataFrame:
         *extra)
 
 
+# ------------------------------------------------------------------ optional columns
+PREMIUM_OPTIONAL = {"policy_effective_date": "date", "date_of_birth": "date", "sum_at_risk": "decimal(18,2)",
+                    "reinsured_sum_at_risk": "decimal(18,2)", "premium_amount": "decimal(18,2)", "gender": "string"}
+CLAIMS_OPTIONAL = {"loss_event_date": "date", "claim_amount": "decimal(18,2)", "insured_id": "string"}
+PREMIUM_REQUIRES = {
+    "NEW_BUSINESS_FLAG": ("valuation_date", "policy_effective_date"),
+    "RISAR_VALIDATION": ("sum_at_risk", "reinsured_sum_at_risk"),
+    "EFFECTIVE_DATE": ("policy_effective_date",),
+    "AGE_RANGE": ("valuation_date", "date_of_birth"),
+    "RATE_TABLE": ("date_of_birth", "gender", "reinsured_sum_at_risk", "premium_amount"),
+}
+CLAIMS_REQUIRES = {
+    "RISAR_GTE_CLAIM": ("claim_amount",), "CAL_CHECK": ("claim_amount", "insured_id"),
+    "NO_ZERO_NEGATIVE": ("claim_amount",), "DOL_COVERAGE": ("loss_event_date",), "LAPSE_CHECK": ("loss_event_date",),
+}
+
+
+def _fill_optional(df: DataFrame, optional: dict) -> tuple[DataFrame, set]:
+    """Add absent optional columns as typed NULLs; return the frame and the names that were absent."""
+    missing = {c for c in optional if c not in df.columns}
+    for c in sorted(missing):
+        df = df.withColumn(c, F.lit(None).cast(optional[c]))
+    return df, missing
+
+
+def _skip(check: Column, name: str, requires: dict, missing: set) -> Column:
+    """A check whose columns are absent is reported as SKIPPED with count 0."""
+    if not any(c in missing for c in requires.get(name, ())):
+        return check
+    s = F.struct(F.lit(name).alias("check_name"), F.lit("SKIPPED").alias("status"), F.lit(0).cast("bigint").alias("failed_count"))
+    return F.when(check.isNotNull(), s)
+
+
 # ------------------------------------------------------------------ premium (V1-V9)
 def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | None = None,
                      history: DataFrame | None = None, run_id: str = "run", checked_at: str | None = None,
@@ -264,6 +297,7 @@ def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | Non
     benefit_id, valuation_date, file_hash); own-file rows are ignored.
     """
     full = (F.col("category") == "premium") if not validate_adjustments else F.col("category").isin("premium", "premium_adj")
+    clean, missing = _fill_optional(clean, PREMIUM_OPTIONAL)
     r = duplicate_flags(clean, PREMIUM_DUP_KEYS, history, full)
     r = enrich_with_treaty(r, treaty)
     r = r.withColumn("_current_age", age_by_days("valuation_date", "date_of_birth"))
@@ -301,6 +335,9 @@ def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | Non
                is_full & has_rates & (F.col("_n_rate_missing") > 0)),
         _check("RATE_TABLE", _pass_or("WARN", F.col("_n_rate_fail")), F.col("_n_rate_fail"), is_full & has_rates),
     ]
+    names = ["TREATY_MAPPING", "DUPLICATE_PREMIUM", "NEW_BUSINESS_FLAG", "RISAR_VALIDATION", "EFFECTIVE_DATE",
+             "AGE_RANGE", "RATE_TABLE_MISSING_MATCH", "RATE_TABLE"]
+    checks = [_skip(c, n, PREMIUM_REQUIRES, missing) for c, n in zip(checks, names)]
     return Validation(rows=r, checks=_unpivot(files, checks, run_id, checked_at), files=files)
 
 
@@ -359,6 +396,7 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     treaty_id, claim_amount, file_hash); own-file rows are ignored.
     """
     full = F.col("category") == "claims"
+    clean, missing = _fill_optional(clean, CLAIMS_OPTIONAL)
     # Treaty enrichment first (broadcast, no shuffle): every later branch (duplicates,
     # CAL life breaches) starts from this narrow base instead of from the joined chain.
     base = enrich_with_treaty(clean, treaty)
@@ -409,6 +447,9 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
         _check("DOL_COVERAGE", _pass_or("WARN", F.col("_n_dol")), F.col("_n_dol"), full & hist),
         _check("LAPSE_CHECK", _pass_or("WARN", F.col("_n_lapse")), F.col("_n_lapse"), full & hist),
     ]
+    names = ["TREATY_MAPPING", "DUPLICATE_CLAIMS", "PREMIUM_EXISTS", "RISAR_GTE_CLAIM", "CAL_CHECK",
+             "NO_ZERO_NEGATIVE", "DOL_COVERAGE", "LAPSE_CHECK"]
+    checks = [_skip(c, n, CLAIMS_REQUIRES, missing) for c, n in zip(checks, names)]
     return Validation(rows=r, checks=_unpivot(files, checks, run_id, checked_at), files=files)
 
 
