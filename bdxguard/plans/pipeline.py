@@ -102,8 +102,9 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     landing_rows = inv.join(queued, "file_hash", "left_semi")
     bronze = sf.read_bordereaux(spark, landing_rows)
     data_cols = [c for c in bronze.columns if c not in ("path", "_row_id", "file_hash", "file_name", "client_id",
-                                                          "category", "year", "quarter")]
-    bronze = _fingerprint(bronze, sorted(data_cols)).withColumn("run_id", F.lit(run_id))
+                                                          "category", "year", "quarter", "source_path", "ingestion_time")]
+    bronze = (_fingerprint(bronze, sorted(data_cols)).withColumn("run_id", F.lit(run_id))
+              .withColumn("source_path", F.col("path")).withColumn("ingestion_time", F.current_timestamp()))
     tb.append(bronze, f"{w}/bronze", ["category"])
     bronze = tb.restrict_to_files(spark.read.option("mergeSchema", "true").parquet(f"{w}/bronze"), queued)
 
