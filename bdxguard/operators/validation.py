@@ -363,8 +363,13 @@ def cal_life_breaches(rows: DataFrame, claims_history: DataFrame | None, by_key:
 
     Current life rows of the file + history claims of *other* files for the same
     (insured, treaty, benefit); summed per insured (reference grouping) or per
-    (insured, treaty, benefit) with ``by_key=True``.  History is pre-aggregated
-    per (key, file) so no claim row is ever replicated.
+    (insured, treaty, benefit) with ``by_key=True``.
+
+    History is restricted to the batch's keys, then one aggregate over the union
+    of "file has key" markers and history amounts gives, per (key, file), the
+    file's own history sum; a window per key (one row per file, bounded) adds
+    the key's total.  Other files = total - own.  No claim row is replicated
+    and no pair of files is ever emitted.
     """
     grp = ["file_hash", "client_id", "insured_id"] + (["treaty_id", "benefit_id"] if by_key else [])
     life = rows.filter(F.col("cal_level") == "life")
@@ -373,13 +378,15 @@ def cal_life_breaches(rows: DataFrame, claims_history: DataFrame | None, by_key:
         tot = cur.withColumn("_hist", F.lit(0))
     else:
         k4 = ["client_id", "insured_id", "treaty_id", "benefit_id"]
-        keys = life.select("file_hash", *k4).distinct()
-        hist = claims_history.join(keys.select(*k4).distinct(), k4, "left_semi")   # J7: history of these insureds only
-        h_file = hist.groupBy(*k4, "file_hash").agg(F.sum("claim_amount").alias("_s_file"))
-        h_all = h_file.groupBy(*k4).agg(F.sum("_s_file").alias("_s_all"))
-        other = (keys.join(h_all, k4, "left").join(h_file, k4 + ["file_hash"], "left")
-                 .withColumn("_other", F.coalesce(F.col("_s_all"), F.lit(0)) - F.coalesce(F.col("_s_file"), F.lit(0)))
-                 .groupBy(*grp).agg(F.sum("_other").alias("_hist")))
+        amt_t = claims_history.schema["claim_amount"].dataType
+        hist = claims_history.join(life.select(*k4), k4, "left_semi")          # J7: these insureds only
+        marks = life.select(*k4, "file_hash", F.lit(1).alias("_is_cur"), F.lit(None).cast(amt_t).alias("_amt"))
+        amounts = hist.select(*k4, "file_hash", F.lit(0).alias("_is_cur"), F.col("claim_amount").alias("_amt"))
+        per = (marks.unionByName(amounts).groupBy(*k4, "file_hash")
+               .agg(F.max("_is_cur").alias("_is_cur"), F.coalesce(F.sum("_amt"), F.lit(0)).alias("_s_file")))
+        per = per.withColumn("_s_all", F.sum("_s_file").over(Window.partitionBy(*k4)))
+        other = (per.filter(F.col("_is_cur") == 1)
+                 .groupBy(*grp).agg(F.sum(F.col("_s_all") - F.col("_s_file")).alias("_hist")))
         tot = cur.join(other, grp, "left")
     return (tot.filter((F.col("_cur") + F.coalesce(F.col("_hist"), F.lit(0))) > F.col("_lim"))
             .select(*grp).withColumn("_cal_life_breach", F.lit(True)))
