@@ -145,7 +145,8 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
     """
     ordv = F.conv(F.substring("_fp", 1, 15), 16, 10).cast("bigint")
     src = rows if scope is None else rows.filter(scope)
-    look = src.groupBy("file_hash", "client_id", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"))
+    look = src.groupBy("file_hash", "client_id", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"),
+                                                           F.count(F.lit(1)).alias("_n"))
     if history is not None:
         hf = F.xxhash64("file_hash")
         batch_keys = look.select("client_id", *keys).distinct()        # from the key-level lookup, not the rows
@@ -159,6 +160,9 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
                 .drop("_h_min", "_h_max"))
     else:
         look = look.withColumn("_hist", F.lit(False))
+    # Only keys that tag a row (repeated in the file, or seen in another file) go back to the
+    # rows: duplicates are rare, so this side is small and AQE broadcasts it.
+    look = look.filter((F.col("_n") > 1) | F.col("_hist")).drop("_n")
     out = join_null_safe(rows, look.drop("client_id"), ["file_hash", *keys], "left")
     dup = F.col("_keep").isNotNull() & (F.col("_row_id") != F.col("_keep"))
     return (out.withColumn("_dup_file", F.coalesce(dup, F.lit(False)))
