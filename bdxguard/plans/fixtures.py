@@ -158,8 +158,9 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def treaty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Treaty benefit config: one row per (client, plan, benefit) seen in part ⋈ region,
-    some combinations removed (k % 13 = 0), one combination doubled (fan-out)."""
+    """Treaty benefit config: one row per (client, plan, benefit) seen in part ⋈ region, except the
+    combinations no treaty covers (PROMO plans for Critical_Illness; LARGE plans in AFRICA), and one
+    combination doubled (fan-out)."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     base = (p.join(r, (F.col("p_partkey") % 5) == F.col("r_regionkey"))
@@ -168,7 +169,9 @@ def treaty(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _pick(F.col("p_size") % 3, PRODUCTS).alias("product_id"))
             .distinct())
     k = F.length("client_id") * 7 + F.length("plan_code") * 3 + F.length("benefit_id")
-    base = base.withColumn("_k", k).filter(F.col("_k") % 13 != 0)
+    uncovered = (((F.col("plan_code") == "PROMO") & (F.col("benefit_id") == "Critical_Illness"))
+                 | ((F.col("client_id") == "AFRICA") & (F.col("plan_code") == "LARGE")))
+    base = base.withColumn("_k", k).filter(~uncovered)
     kk = F.col("_k")
     cfg = base.select(
         F.concat(F.lit("T-"), F.substring("client_id", 1, 3), F.lit("-"), F.col("benefit_id")).alias("treaty_id"),

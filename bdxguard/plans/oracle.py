@@ -177,7 +177,8 @@ def views() -> dict[str, str]:
         CASE k % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS is_inforce_block,
         'quarterly' AS bdx_reporting_freq,
         CASE k % 3 WHEN 0 THEN 'Annual' WHEN 1 THEN 'QUARTERLY' ELSE 'monthly' END AS policy_renewal_freq
-    FROM (SELECT *, {k} AS k FROM treaty0) WHERE k % 13 <> 0"""
+    FROM (SELECT *, {k} AS k FROM treaty0)
+    WHERE NOT ((plan_code = 'PROMO' AND benefit_id = 'Critical_Illness') OR (client_id = 'AFRICA' AND plan_code = 'LARGE'))"""
     v["treaty"] = """
     SELECT * FROM treaty1
     UNION ALL
