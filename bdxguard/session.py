@@ -25,13 +25,31 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "bdxguard") -> SparkSession:
+# Settings for a large cluster (~100 TB input, ~1000 executors).  The shuffle width is left to AQE:
+# start wide, let it coalesce to ~256 MB partitions and split skewed ones.  Scan splits of 512 MB keep
+# the task count of a 100 TB scan near 200k.  Apply with ``get_spark(..., extra=CLUSTER_CONF)``.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.shuffle.partitions": "20000",
+}
+
+
+def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "bdxguard",
+              extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     builder = builder.config("spark.driver.memory", os.environ.get("BDX_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
