@@ -267,6 +267,7 @@ PREMIUM_REQUIRES = {
     "EFFECTIVE_DATE": ("policy_effective_date",),
     "AGE_RANGE": ("valuation_date", "date_of_birth"),
     "RATE_TABLE": ("date_of_birth", "gender", "reinsured_sum_at_risk", "premium_amount"),
+    "RATE_TABLE_MISSING_MATCH": ("date_of_birth", "gender"),
 }
 CLAIMS_REQUIRES = {
     "RISAR_GTE_CLAIM": ("claim_amount",), "CAL_CHECK": ("claim_amount", "insured_id"),
