@@ -134,7 +134,7 @@ def history_duplicates(rows: DataFrame, history: DataFrame | None, keys: Sequenc
 
 
 def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | None,
-                    scope: Column | None = None) -> DataFrame:
+                    scope: Column | None = None, with_lookup: bool = False):
     """In-file (W1/V2/V10) and historical (V3/V10) duplicate flags with one join of the rows.
 
     Both rules depend only on (file, keys): the kept-row aggregate per (file,
@@ -147,6 +147,7 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
     src = rows if scope is None else rows.filter(scope)
     look = src.groupBy("file_hash", "client_id", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"),
                                                            F.count(F.lit(1)).alias("_n"))
+    all_keys = look
     if history is not None:
         hf = F.xxhash64("file_hash")
         batch_keys = look.select("client_id", *keys).distinct()        # from the key-level lookup, not the rows
@@ -165,8 +166,9 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
     look = look.filter((F.col("_n") > 1) | F.col("_hist")).drop("_n")
     out = join_null_safe(rows, look.drop("client_id"), ["file_hash", *keys], "left")
     dup = F.col("_keep").isNotNull() & (F.col("_row_id") != F.col("_keep"))
-    return (out.withColumn("_dup_file", F.coalesce(dup, F.lit(False)))
-            .withColumn("_dup_hist", F.coalesce(F.col("_hist"), F.lit(False))).drop("_keep", "_hist"))
+    out = (out.withColumn("_dup_file", F.coalesce(dup, F.lit(False)))
+           .withColumn("_dup_hist", F.coalesce(F.col("_hist"), F.lit(False))).drop("_keep", "_hist"))
+    return (out, all_keys) if with_lookup else out
 
 
 # --------------------------------------------------------------------- rates (V8, V9)
@@ -413,10 +415,13 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     # CAL life breaches) starts from this narrow base instead of from the joined chain.
     base = enrich_with_treaty(clean, treaty)
     breaches = cal_life_breaches(base.filter(full), claims_history, cal_by_key)
-    r = duplicate_flags(base, CLAIMS_DUP_KEYS, claims_history, full)
+    r, look = duplicate_flags(base, CLAIMS_DUP_KEYS, claims_history, full, with_lookup=True)
     if premium_history is not None:
-        keys = base.filter(full).select("client_id", *PREMIUM_HISTORY_KEYS).distinct()
-        r = r.join(premium_history_aggregate(premium_history, keys), ["client_id", *PREMIUM_HISTORY_KEYS], "left")
+        # batch keys from the duplicate rule's key-level aggregate (one row per key, already computed);
+        # (client, policy, benefit) is a superset filter of the full (client, treaty, policy, benefit) key
+        keys = look.select("client_id", "policy_number", "benefit_id").distinct()
+        ph = premium_history.join(keys, ["client_id", "policy_number", "benefit_id"], "left_semi")
+        r = r.join(premium_history_aggregate(ph), ["client_id", *PREMIUM_HISTORY_KEYS], "left")
     else:
         r = (r.withColumn("_has_prem", F.lit(None).cast("boolean")).withColumn("_max_risar", F.lit(None).cast("decimal(18,2)"))
              .withColumn("_last_paid_to", F.lit(None).cast("date")).withColumn("_first_effective", F.lit(None).cast("date")))
