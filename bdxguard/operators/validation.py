@@ -379,12 +379,14 @@ def cal_life_breaches(rows: DataFrame, claims_history: DataFrame | None, by_key:
     and no pair of files is ever emitted.
     """
     grp = ["file_hash", "client_id", "insured_id"] + (["treaty_id", "benefit_id"] if by_key else [])
-    life = rows.filter(F.col("cal_level") == "life")
-    cur = life.groupBy(*grp).agg(F.sum("claim_amount").alias("_cur"), F.min("cal_limit").alias("_lim"))
+    k4 = ["client_id", "insured_id", "treaty_id", "benefit_id"]
+    # one pass over the life rows: per (key, file) sums and limits; everything below reads this
+    life = (rows.filter(F.col("cal_level") == "life").groupBy(*k4, "file_hash")
+            .agg(F.sum("claim_amount").alias("_c"), F.min("cal_limit").alias("_l")))
+    cur = life.groupBy(*grp).agg(F.sum("_c").alias("_cur"), F.min("_l").alias("_lim"))
     if claims_history is None:
         tot = cur.withColumn("_hist", F.lit(0))
     else:
-        k4 = ["client_id", "insured_id", "treaty_id", "benefit_id"]
         amt_t = claims_history.schema["claim_amount"].dataType
         hist = claims_history.join(life.select(*k4), k4, "left_semi")          # J7: these insureds only
         marks = life.select(*k4, "file_hash", F.lit(1).alias("_is_cur"), F.lit(None).cast(amt_t).alias("_amt"))
