@@ -401,15 +401,29 @@ def cal_life_breaches(rows: DataFrame, claims_history: DataFrame | None, by_key:
             .select(*grp).withColumn("_cal_life_breach", F.lit(True)))
 
 
+def refresh_premium_index(index: DataFrame | None, validated_premium: DataFrame, touched: DataFrame) -> DataFrame:
+    """Maintained premium index: the index rows of the keys touched by a promotion, recomputed from the
+    validated table (exact under updates), plus the untouched rows of the previous index."""
+    keys = ["client_id", *PREMIUM_HISTORY_KEYS]
+    t = touched.select(*keys).distinct()
+    fresh = premium_history_aggregate(validated_premium, t)
+    if index is None:
+        return fresh
+    return index.join(t, keys, "left_anti").unionByName(fresh)
+
+
 def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFrame | None,
                     claims_history: DataFrame | None = None, run_id: str = "run", checked_at: str | None = None,
-                    cal_by_key: bool = False) -> Validation:
+                    cal_by_key: bool = False, premium_index: DataFrame | None = None) -> Validation:
     """Claims and claims_adj validation.
 
     ``premium_history``: validated premium rows with treaty_id (the claims stage
-    runs after premium promotion, O7).  ``claims_history``: validated claims
-    rows (client_id, claim_id, policy_number, benefit_id, insured_id,
-    treaty_id, claim_amount, file_hash); own-file rows are ignored.
+    runs after premium promotion, O7).  ``premium_index``: the same history
+    already aggregated per key (``premium_history_aggregate`` /
+    ``refresh_premium_index``); when given it is used instead of aggregating
+    the history.  ``claims_history``: validated claims rows (client_id,
+    claim_id, policy_number, benefit_id, insured_id, treaty_id, claim_amount,
+    file_hash); own-file rows are ignored.
     """
     full = F.col("category") == "claims"
     clean, missing = _fill_optional(clean, CLAIMS_OPTIONAL)
@@ -418,12 +432,16 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     base = enrich_with_treaty(clean, treaty)
     breaches = cal_life_breaches(base.filter(full), claims_history, cal_by_key)
     r, look = duplicate_flags(base, CLAIMS_DUP_KEYS, claims_history, full, with_lookup=True)
-    if premium_history is not None:
+    if premium_history is not None or premium_index is not None:
         # batch keys from the duplicate rule's key-level aggregate (one row per key, already computed);
         # (client, policy, benefit) is a superset filter of the full (client, treaty, policy, benefit) key
         keys = look.select("client_id", "policy_number", "benefit_id").distinct()
-        ph = premium_history.join(keys, ["client_id", "policy_number", "benefit_id"], "left_semi")
-        r = r.join(premium_history_aggregate(ph), ["client_id", *PREMIUM_HISTORY_KEYS], "left")
+        if premium_index is not None:
+            pidx = premium_index.join(keys, ["client_id", "policy_number", "benefit_id"], "left_semi")
+        else:
+            ph = premium_history.join(keys, ["client_id", "policy_number", "benefit_id"], "left_semi")
+            pidx = premium_history_aggregate(ph)
+        r = r.join(pidx, ["client_id", *PREMIUM_HISTORY_KEYS], "left")
     else:
         r = (r.withColumn("_has_prem", F.lit(None).cast("boolean")).withColumn("_max_risar", F.lit(None).cast("decimal(18,2)"))
              .withColumn("_last_paid_to", F.lit(None).cast("date")).withColumn("_first_effective", F.lit(None).cast("date")))
@@ -455,7 +473,7 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
         F.count_if(F.col("_dol_fail")).alias("_n_dol"), F.count_if(F.col("_lapse_fail")).alias("_n_lapse"),
     ])
     files = _files_frame(agg)
-    hist = F.lit(premium_history is not None)
+    hist = F.lit(premium_history is not None or premium_index is not None)
     checks = [
         _check("TREATY_MAPPING", _pass_or("FAIL", F.col("_n_treaty")), F.col("_n_treaty")),
         _check("DUPLICATE_CLAIMS", _pass_or("FAIL", F.col("_n_dup")), F.col("_n_dup"), full),

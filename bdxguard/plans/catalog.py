@@ -130,10 +130,16 @@ class Pipeline:
             self.clean_premium, self.treaty, self.rates, None,
             run_id=RUN_ID, checked_at=CHECKED_AT, as_of=as_of))
 
+    @property
+    def premium_index(self) -> DataFrame:
+        """Premium history aggregated per (client, treaty, policy, benefit): a maintained table."""
+        return self._get("pi", lambda: self._table("premium-index",
+                                                   lambda: va.premium_history_aggregate(self.premium_history)))
+
     def claims_validation(self):
         return self._get("cv", lambda: va.validate_claims(
-            self.clean_claims, self.treaty, self.premium_history, self.claims_history,
-            run_id=orc.RUN_ID2, checked_at=orc.CHECKED_AT2))
+            self.clean_claims, self.treaty, None, self.claims_history,
+            run_id=orc.RUN_ID2, checked_at=orc.CHECKED_AT2, premium_index=self.premium_index))
 
 
 def staged_premium(spark, d):

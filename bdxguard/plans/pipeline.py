@@ -137,13 +137,21 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
             part = promote_p.filter(F.col("category") == cat)
             if part.limit(1).count():
                 up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
+        # maintained premium index: rows of the touched keys recomputed from the validated table
+        base_promoted = promote_p.filter(F.col("category") == "premium")
+        if base_promoted.limit(1).count():
+            index = tb.materialize(va.refresh_premium_index(
+                _read(spark, f"{w}/silver/premium_index"), _read(spark, f"{w}/silver/validated/premium"),
+                base_promoted), "premium-index")
+            index.write.mode("overwrite").parquet(f"{w}/silver/premium_index")   # scratch copy already written
         out["premium_checks"] = pv.checks
 
     clean_c = sc.filter(F.col("_clean") == 1).drop("_clean")
     if all(c in clean_c.columns for c in REQUIRED["claims"]):
-        prem_hist = _read(spark, f"{w}/silver/validated/premium")
+        prem_index = _read(spark, f"{w}/silver/premium_index")
         claims_hist = _read(spark, f"{w}/silver/validated/claims")
-        cv = va.validate_claims(clean_c, meta.treaty, prem_hist, claims_hist, run_id=run_id, checked_at=checked_at)
+        cv = va.validate_claims(clean_c, meta.treaty, None, claims_hist, run_id=run_id, checked_at=checked_at,
+                                premium_index=prem_index)
         tb.append(cv.checks, f"{w}/audit/validation_results")
         promote_c = tb.materialize(_promotion_columns(cv.promotable(), run_id), "promote-claims")
         for cat in CLAIMS_LIKE:
