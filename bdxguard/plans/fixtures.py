@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY
+from ..operators.joins import bounded_broadcast
 from ..sources.tables import ensure_parallelism
 
 RAW_PREMIUM = ("policy_number", "insured_id", "benefit_id", "plan_code", "product_code", "gender",
@@ -66,13 +67,14 @@ def _base(spark: SparkSession, sf_dir: str, claims: bool) -> DataFrame:
     li = ensure_parallelism(li)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    # nation ⋈ region has one row per nation: bounded by definition, broadcast.
-    nr = (table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-          .select("n_nationkey", "r_name"))
+    # nation ⋈ region has one row per nation; broadcast after the usual row-count check
+    nr = bounded_broadcast(table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
+                                                               F.col("n_regionkey") == F.col("r_regionkey"))
+                           .select("n_nationkey", "r_name"), max_rows=100_000)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     b = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(c, F.col("o_custkey") == F.col("c_custkey"))
-         .join(F.broadcast(nr), F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(nr, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(p, F.col("l_partkey") == F.col("p_partkey")))
     ship = F.to_date("l_shipdate")
     cat = "claims" if claims else "premium"
@@ -195,9 +197,10 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate table: (client, treaty, benefit, age, gender) seen in customer ⋈ nation ⋈ region,
     two effective-dated versions each; gender spelled untidily on purpose."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nr = (table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-          .select("n_nationkey", "r_name"))
-    keys = (c.join(F.broadcast(nr), F.col("c_nationkey") == F.col("n_nationkey"))
+    nr = bounded_broadcast(table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
+                                                               F.col("n_regionkey") == F.col("r_regionkey"))
+                           .select("n_nationkey", "r_name"), max_rows=100_000)
+    keys = (c.join(nr, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("r_name").alias("client_id"), _pick(F.col("c_custkey") % 3, BENEFITS).alias("benefit_id"),
                     (F.col("c_custkey") % 57 + 5).cast("int").alias("age"),
                     F.when(F.col("c_custkey") % 2 == 0, "M").otherwise("F").alias("_g"))
