@@ -70,9 +70,23 @@ def header_probe(spark: SparkSession, paths: DataFrame | list[str], path_col: st
         spark.conf.set(key, old)
 
 
+# split on commas outside double quotes; then drop the surrounding quotes
+_CSV_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
 def header_columns(headers: DataFrame) -> DataFrame:
-    """Headers as (path, position, raw_col_name) rows for drift and mapping checks."""
-    return headers.select("path", F.posexplode(F.split("header", ",")).alias("position", "raw_col_name"))
+    """Headers as (path, position, raw_col_name) rows for drift and mapping checks (quote-aware)."""
+    parts = F.posexplode(F.split("header", _CSV_SPLIT)).alias("position", "_raw")
+    return (headers.select("path", parts)
+            .select("path", "position", F.regexp_replace(F.regexp_replace("_raw", r'^\s*"|"\s*$', ""), '""', '"')
+                    .alias("raw_col_name")))
+
+
+def parse_header(header: str) -> list[str]:
+    """Driver-side parse of one header line (one per header version), CSV quoting rules."""
+    import csv
+
+    return next(csv.reader([header]))
 
 
 def read_bordereaux(spark: SparkSession, landing: DataFrame) -> DataFrame:
@@ -91,7 +105,7 @@ def read_bordereaux(spark: SparkSession, landing: DataFrame) -> DataFrame:
     # version is what the CSV reader's file index holds anyway; no task builds a list.
     for (header,) in heads.select("header").distinct().collect():
         paths = [r[0] for r in heads.filter(F.col("header") == header).select("path").collect()]
-        names = [normalize_name(c) for c in header.split(",")]
+        names = [normalize_name(c) for c in parse_header(header)]
         schema = ", ".join(f"`{n}` string" for n in names)
         df = (spark.read.option("header", True).schema(schema).csv(paths)
               .select("*", F.url_decode(F.col("_metadata.file_path")).alias("path")))
