@@ -47,13 +47,20 @@ def period_amounts(premium: DataFrame | None, claims: DataFrame | None,
     ``scope``: (client_id, category, year, period) groups of the run (R5).
     A category whose validated table is absent (None) gets status NO_DATA.
     """
+    sc = scope.select(*GROUP_KEYS).distinct()
+    base = F.regexp_replace("category", "_adj$", "")
+    # Only the periods of the run are read and summed: a semi-join on the scope before the
+    # aggregate (on (year, period)-partitioned tables this prunes partitions at the scan).
+    # With net_adjustments the base and _adj groups of a scoped period are both needed.
+    want = sc if not net_adjustments else sc.select("client_id", "year", "period").distinct()
+    on = list(GROUP_KEYS) if not net_adjustments else ["client_id", "year", "period"]
     parts = []
     if premium is not None:
-        parts.append(premium.select(*GROUP_KEYS, F.col("premium_amount").cast(MONEY).alias("_amt")))
+        parts.append(premium.join(want, on, "left_semi")
+                     .select(*GROUP_KEYS, F.col("premium_amount").cast(MONEY).alias("_amt")))
     if claims is not None:
-        parts.append(claims.select(*GROUP_KEYS, F.col("claim_amount").cast(MONEY).alias("_amt")))
-    sc = scope.select(*GROUP_KEYS).distinct()
-    base = F.regexp_replace("category", "_adj$", "")
+        parts.append(claims.join(want, on, "left_semi")
+                     .select(*GROUP_KEYS, F.col("claim_amount").cast(MONEY).alias("_amt")))
     if not parts:
         return sc.withColumn("file_amount", F.lit(None).cast(MONEY)).withColumn("_has_table", F.lit(False))
     data = parts[0]
