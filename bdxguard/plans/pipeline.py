@@ -6,7 +6,7 @@ stage boundaries are tables under ``warehouse``:
 
   audit/file_tracking, audit/ingestion_log, audit/schema_drift, audit/staging_log,
   audit/quarantine_summary, audit/validation_results, audit/recon_results,
-  bronze, silver/staging (partitioned by category, clean flag),
+  bronze (partitioned by run, category), silver/staging (by run, category, clean flag),
   silver/validated/<category>, gold/<category>   (partitioned by year, period)
 
 Premium is validated and promoted before claims, because the claims checks
@@ -105,8 +105,10 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
                                                           "category", "year", "quarter", "source_path", "ingestion_time")]
     bronze = (_fingerprint(bronze, sorted(data_cols)).withColumn("run_id", F.lit(run_id))
               .withColumn("source_path", F.col("path")).withColumn("ingestion_time", F.current_timestamp()))
-    tb.append(bronze, f"{w}/bronze", ["category"])
-    bronze = tb.restrict_to_files(spark.read.option("mergeSchema", "true").parquet(f"{w}/bronze"), queued)
+    # partitioned by run first: reading this run's rows back prunes to one partition, never past runs
+    tb.append(bronze, f"{w}/bronze", ["run_id", "category"])
+    bronze = tb.restrict_to_files(spark.read.option("mergeSchema", "true").parquet(f"{w}/bronze")
+                                  .filter(F.col("run_id") == run_id), queued)
 
     # ---- 4. canonicalise, stage, split (P3, P5-P8, D1-D13, A7, A12, P6 after checks)
     canon = cn.canonicalise(bronze, meta.mapping)
@@ -116,9 +118,10 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     for name, staged in (("premium", prem), ("claims", clm)):
         staged = (cn.mask_pii(staged, meta.mapping).withColumn("_clean", (F.size("dq_issues") == 0).cast("int"))
                   .withColumn("period", F.col("quarter")))
-        tb.append(staged, f"{w}/silver/staging/{name}", ["category", "_clean"])
+        tb.append(staged, f"{w}/silver/staging/{name}", ["run_id", "category", "_clean"])
         table = _read(spark, f"{w}/silver/staging/{name}")        # None while no file of the kind ever arrived
-        staged_tables[name] = (table if table is not None else staged.filter(F.lit(False))).join(queued, "file_hash", "left_semi")
+        table = table.filter(F.col("run_id") == run_id) if table is not None else staged.filter(F.lit(False))
+        staged_tables[name] = table.join(queued, "file_hash", "left_semi")
     sp, sc = staged_tables["premium"], staged_tables["claims"]
     log = st.staging_log(sp, run_id).unionByName(st.staging_log(sc, run_id))
     tb.append(log, f"{w}/audit/staging_log")
