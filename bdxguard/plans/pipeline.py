@@ -54,6 +54,14 @@ def _fingerprint(df: DataFrame, data_cols) -> DataFrame:
     return df.withColumn("_fp", F.md5(F.concat_ws("|", F.col("file_hash"), *[F.col(c) for c in data_cols])))
 
 
+INDEX_BUCKETS = 64
+
+
+def _bucket():
+    """Hash bucket of a premium-index key (client, policy): the unit a refresh rewrites."""
+    return F.pmod(F.xxhash64("client_id", "policy_number"), F.lit(INDEX_BUCKETS)).cast("int")
+
+
 def _promotion_columns(df: DataFrame, run_id: str) -> DataFrame:
     """Columns the validated tables carry: run id of the validation, period and its type."""
     return (df.withColumn("validation_run_id", F.lit(run_id))
@@ -140,13 +148,18 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
             part = promote_p.filter(F.col("category") == cat)
             if part.limit(1).count():
                 up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
-        # maintained premium index: rows of the touched keys recomputed from the validated table
+        # maintained premium index, hash-bucketed: only the buckets of the touched keys are read,
+        # recomputed (exact under updates) and rewritten (dynamic partition overwrite)
         base_promoted = promote_p.filter(F.col("category") == "premium")
         if base_promoted.limit(1).count():
+            touched = base_promoted.select("client_id", *va.PREMIUM_HISTORY_KEYS).distinct().withColumn("_bucket", _bucket())
+            old = _read(spark, f"{w}/silver/premium_index")
+            if old is not None:
+                old = old.join(touched.select("_bucket").distinct(), "_bucket", "left_semi").drop("_bucket")
             index = tb.materialize(va.refresh_premium_index(
-                _read(spark, f"{w}/silver/premium_index"), _read(spark, f"{w}/silver/validated/premium"),
-                base_promoted), "premium-index")
-            index.write.mode("overwrite").parquet(f"{w}/silver/premium_index")   # scratch copy already written
+                old, _read(spark, f"{w}/silver/validated/premium"), touched.drop("_bucket")).withColumn("_bucket", _bucket()),
+                "premium-index")
+            tb.write_partitions(index, f"{w}/silver/premium_index", ["_bucket"])
         out["premium_checks"] = pv.checks
 
     clean_c = sc.filter(F.col("_clean") == 1).drop("_clean")
