@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +19,104 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, with likeness to the edited text and the next document."""
+    from .fingerprint import edited_likeness
+
+    return edited_likeness(_table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    from .langid import held_out, predict, train
+
+    docs = _table(spark, sf_dir, "documents")
+    return predict(docs.withColumn("held_out", held_out()), train(docs), ["doc_id", "held_out"])
+
+
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's byte-level ids written to fixed-stride shards in training order; all records read back."""
+    from .token_shards import new_folder, read_back, write_shards
+
+    layout, manifest = write_shards(_table(spark, sf_dir, "documents"), new_folder(spark))
+    return read_back(spark, layout, manifest)
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by weak labels and a hashed linear scorer."""
+    from .quality import classify
+
+    return classify(_table(spark, sf_dir, "documents"))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7 formatted by the template, and digests read back from the output."""
+    from .chat import digests, with_probe
+
+    return digests(with_probe(_table(spark, sf_dir, "conversations")))
+
+
+OP6_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+marked AS (
+  SELECT *, CASE role WHEN 'assistant' THEN 15 WHEN 'user' THEN 10 WHEN 'system' THEN 12 ELSE 9 + 7 + length(role) + {role} END + length(text) + {text} + 7 AS chars
+  FROM t)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(chars) + count(*) - 1)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id"""
+
+
+def _escapes(column: str) -> str:
+    """SQL for the number of backslashes that escaping adds to a column."""
+    from .chat import CONTROL
+
+    return "(" + " + ".join(f"(length({column}) - length(replace({column}, '{c}', ''))) / {len(c)}" for c in ("\\", *CONTROL)).replace(") / ", ") // ") + ")"
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and kept rows of all embeddings by the pivot-permutation index."""
+    from .pivot_dedup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins for all documents, without copies together and with at most two documents of a source."""
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled documents that are not held out."""
+    from .toxicity import THRESHOLD, held_out, score, train
+
+    docs = _table(spark, sf_dir, "documents")
+    scored = score(docs.withColumn("held_out", held_out()), train(docs, _table(spark, sf_dir, "labels")), ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Ids of every document under the 50k byte-level vocabulary and the bytes they decode to, as digests."""
+    from .byte_bpe import digests
+
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return digests(_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    f.__name__: f for f in (
+        op1_ngram_jaccard_join, op2_document_fingerprints, op3_language_id, op4_token_shards, op5_quality_classifier, op6_chat_formatting,
+        op7_embedding_near_dedup, op8_best_fit_packing, op9_toxicity, op10_byte_bpe)
 }
 
 #: Queries whose rows SQL can express; the others are tested against brute force, a round trip or held-out accuracy.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_chat_formatting": OP6_SQL.format(role=_escapes("role"), text=_escapes("text"))}
