@@ -8,17 +8,45 @@ next stage's ``docs``.  All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from bdxguard.llm import langid, toxicity
 from bdxguard.llm.ngram_join import one_of_each
+from bdxguard.llm.packing import pack
 from bdxguard.sources.tables import materialize
 
+#: A document stays if some language has at least this mean probability over its bytes.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def _whole(docs: DataFrame) -> DataFrame:
+    """Every row as one column, so that no column of ``docs`` can clash with what an operator adds."""
+    return docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the network can tell; null texts, texts without letters and undecided ones go."""
+    told = langid.predict(_whole(docs), langid.train(docs), ["row"])
+    return told.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine, learned from the labels of the documents so far, scores below the threshold."""
+    machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(_whole(docs), machine, ["row"]).where(F.col("score") < toxicity.THRESHOLD).select("row.*")
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the n-gram Jaccard join stays: the one with the smallest doc_id."""
     return one_of_each(docs)
 
 
-STAGES = [("ngram_jaccard_join", near_duplicates)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every token of the documents goes: best-fit packing with conflicts."""
+    return pack(docs)
+
+
+STAGES = [("language_id", language_id), ("toxicity", not_toxic), ("ngram_jaccard_join", near_duplicates), ("best_fit_packing", packed)]
 
 #: No SQL: the stages learn models and pack bins.  Tested against brute force in tests/llm.
 ORACLE_SQL = None
