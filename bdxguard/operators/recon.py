@@ -45,7 +45,10 @@ def period_amounts(premium: DataFrame | None, claims: DataFrame | None,
     """Amount per scope group: premium_amount for *premium* categories, claim_amount for *claims*.
 
     ``scope``: (client_id, category, year, period) groups of the run (R5).
-    A category whose validated table is absent (None) gets status NO_DATA.
+    A (client, category) without any validated row in any period has no table: its groups get status NO_DATA.
+
+    With ``net_adjustments`` a group's amount is its base plus its adjustment amount, also where only one of the
+    two has rows; the netted table is present where either is.
     """
     sc = scope.select(*GROUP_KEYS).distinct()
     base = F.regexp_replace("category", "_adj$", "")
@@ -54,37 +57,36 @@ def period_amounts(premium: DataFrame | None, claims: DataFrame | None,
     # With net_adjustments the base and _adj groups of a scoped period are both needed.
     want = sc if not net_adjustments else sc.select("client_id", "year", "period").distinct()
     on = list(GROUP_KEYS) if not net_adjustments else ["client_id", "year", "period"]
-    parts = []
-    if premium is not None:
-        parts.append(premium.join(want, on, "left_semi")
-                     .select(*GROUP_KEYS, F.col("premium_amount").cast(MONEY).alias("_amt")))
-    if claims is not None:
-        parts.append(claims.join(want, on, "left_semi")
-                     .select(*GROUP_KEYS, F.col("claim_amount").cast(MONEY).alias("_amt")))
+    parts, tables = [], []
+    for validated, amount in ((premium, "premium_amount"), (claims, "claim_amount")):
+        if validated is not None:
+            parts.append(validated.join(want, on, "left_semi").select(*GROUP_KEYS, F.col(amount).cast(MONEY).alias("_amt")))
+            tables.append(validated.select("client_id", "category").distinct())
     if not parts:
         return sc.withColumn("file_amount", F.lit(None).cast(MONEY)).withColumn("_has_table", F.lit(False))
     data = parts[0]
     for p in parts[1:]:
         data = data.unionByName(p)
-    sums = data.groupBy(*GROUP_KEYS).agg(F.sum("_amt").alias("_sum"))
-    if net_adjustments:
-        net = (sums.withColumn("_base", base).groupBy("client_id", "_base", "year", "period")
-               .agg(F.sum("_sum").alias("_net")))
-        sums = (sums.withColumn("_base", base)
-                .join(net, ["client_id", "_base", "year", "period"]).select(*GROUP_KEYS, F.col("_net").alias("_sum")))
-    present = []
-    if premium is not None:
-        present.append("premium")
-    if claims is not None:
-        present.append("claims")
-    out = sc.join(sums, list(GROUP_KEYS), "left")
-    return (out.withColumn("_has_table", base.isin(*present))
-            .withColumn("file_amount", F.coalesce(F.col("_sum"), F.lit(0)).cast(MONEY)).drop("_sum"))
+    present = tables[0]
+    for t in tables[1:]:
+        present = present.unionByName(t)
+    # the key that groups amounts: the category itself, or its base when adjustments are netted
+    key = base if net_adjustments else F.col("category")
+    sums = (data.withColumn("_key", key).groupBy("client_id", "_key", "year", "period").agg(F.sum("_amt").alias("_sum")))
+    present = present.select("client_id", key.alias("_key"), F.lit(True).alias("_present")).distinct()
+    out = (sc.withColumn("_key", key).join(sums, ["client_id", "_key", "year", "period"], "left")
+           .join(present, ["client_id", "_key"], "left"))
+    return out.select(*GROUP_KEYS, F.coalesce("_present", F.lit(False)).alias("_has_table"),
+                      F.coalesce(F.col("_sum"), F.lit(0)).cast(MONEY).alias("file_amount"))
 
 
 def reconcile(amounts: DataFrame, soa: DataFrame, run_id: str = "run",
               threshold: Decimal = VARIANCE_THRESHOLD, checked_at: str | None = None) -> DataFrame:
-    """Status per group (R2): NO_DATA / PENDING_SOA / RECONCILED (|variance| <= threshold) / BREAK."""
+    """Status per group (R2): NO_DATA / PENDING_SOA / RECONCILED (|variance| <= threshold) / BREAK / ERROR.
+
+    ERROR: the group has a table and a statement, but no comparable amount (the statement's amount is null, or the
+    category is neither premium nor claims).
+    """
     s = approved_soa(soa).select("client_id", "year", "period", F.col("premium_soa").cast(MONEY).alias("_p"),
                                  F.col("claims_soa").cast(MONEY).alias("_c"), F.lit(True).alias("_has_soa"))
     j = amounts.join(s, ["client_id", "year", "period"], "left")
@@ -93,15 +95,16 @@ def reconcile(amounts: DataFrame, soa: DataFrame, run_id: str = "run",
     variance = (F.col("file_amount") - soa_amt).cast(MONEY)
     status = (F.when(~F.col("_has_table"), F.lit("NO_DATA"))
               .when(F.col("_has_soa").isNull(), F.lit("PENDING_SOA"))
+              .when(variance.isNull(), F.lit("ERROR"))
               .when(F.abs(variance) <= F.lit(threshold), F.lit("RECONCILED"))
               .otherwise(F.lit("BREAK")))
     known = F.col("_has_table") & F.col("_has_soa").isNotNull()
     ts = F.lit(checked_at).cast("timestamp") if checked_at else F.current_timestamp()
     return j.select(
         F.lit(run_id).alias("run_id"), *GROUP_KEYS,
-        F.when(known, soa_amt).otherwise(F.lit(0)).cast(MONEY).alias("soa_amount"),
+        F.when(known, F.coalesce(soa_amt, F.lit(0))).otherwise(F.lit(0)).cast(MONEY).alias("soa_amount"),
         F.when(F.col("_has_table"), F.col("file_amount")).otherwise(F.lit(0)).cast(MONEY).alias("file_amount"),
-        F.when(known, variance).otherwise(F.lit(0)).cast(MONEY).alias("variance"),
+        F.when(known, F.coalesce(variance, F.lit(0))).otherwise(F.lit(0)).cast(MONEY).alias("variance"),
         status.alias("status"), ts.alias("checked_at"))
 
 

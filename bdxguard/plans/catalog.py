@@ -303,50 +303,34 @@ def recon_results(p: Pipeline, net_adjustments=False):
     return rc.reconcile(amounts, soa_fixture(p), run_id=RUN_ID, checked_at=CHECKED_AT)
 
 
-_RECON_SQL = """
+_RECON_HEAD = """
     recon_scope AS (SELECT DISTINCT client_id, category, year, quarter AS period FROM s_premium
                     UNION SELECT DISTINCT client_id, category, year, quarter AS period FROM s_claims),
-    recon_amt AS (SELECT client_id, category, year, quarter AS period, sum(premium_amount) AS amt FROM c_premium GROUP BY ALL
-                  UNION ALL
-                  SELECT client_id, category, year, quarter AS period, sum(claim_amount) AS amt FROM c_claims GROUP BY ALL),
+    recon_rows AS (SELECT client_id, category, {key} AS grp, year, quarter AS period, premium_amount AS amt FROM c_premium
+                   UNION ALL
+                   SELECT client_id, category, {key} AS grp, year, quarter AS period, claim_amount AS amt FROM c_claims),
+    recon_amt AS (SELECT client_id, grp, year, period, sum(amt) AS amt FROM recon_rows GROUP BY ALL),
+    recon_table AS (SELECT DISTINCT client_id, grp FROM recon_rows),
     soa_ok AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY client_id, year, period ORDER BY version DESC) AS rn
                               FROM soa WHERE status = 'APPROVED') WHERE rn = 1),
+    recon_joined AS (
+      SELECT s.*, t.client_id IS NOT NULL AS has_table, o.client_id IS NOT NULL AS has_soa, coalesce(a.amt, 0) AS amt,
+        CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END AS soa
+      FROM (SELECT *, {key} AS grp FROM recon_scope) s
+      LEFT JOIN recon_table t ON t.client_id = s.client_id AND t.grp = s.grp
+      LEFT JOIN recon_amt a ON a.client_id = s.client_id AND a.grp = s.grp AND a.year = s.year AND a.period = s.period
+      LEFT JOIN soa_ok o ON o.client_id = s.client_id AND o.year = s.year AND o.period = s.period),
     recon AS (
-      SELECT '{run}' AS run_id, s.client_id, s.category, s.year, s.period,
-        CAST(CASE WHEN o.client_id IS NULL THEN 0
-                  WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END AS DECIMAL(18,2)) AS soa_amount,
-        CAST(coalesce(a.amt, 0) AS DECIMAL(18,2)) AS file_amount,
-        CAST(CASE WHEN o.client_id IS NULL THEN 0
-                  ELSE coalesce(a.amt, 0) - CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END
-             END AS DECIMAL(18,2)) AS variance,
-        CASE WHEN o.client_id IS NULL THEN 'PENDING_SOA'
-             WHEN abs(coalesce(a.amt, 0) - CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END) <= 1.00
-             THEN 'RECONCILED' ELSE 'BREAK' END AS status
-      FROM recon_scope s
-      LEFT JOIN recon_amt a ON a.client_id = s.client_id AND a.category = s.category AND a.year = s.year AND a.period = s.period
-      LEFT JOIN soa_ok o ON o.client_id = s.client_id AND o.year = s.year AND o.period = s.period)
-""".format(run=RUN_ID)
-
-
-_RECON_NET_SQL = _RECON_SQL.replace("recon AS (", "recon_unused AS (").rstrip().rstrip(",") + """,
-    recon_amt_net AS (SELECT client_id, regexp_replace(category, '_adj$', '') AS base, year, period, sum(amt) AS amt
-                      FROM recon_amt GROUP BY ALL),
-    recon AS (
-      SELECT '{run}' AS run_id, s.client_id, s.category, s.year, s.period,
-        CAST(CASE WHEN o.client_id IS NULL THEN 0
-                  WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END AS DECIMAL(18,2)) AS soa_amount,
-        CAST(coalesce(a.amt, 0) AS DECIMAL(18,2)) AS file_amount,
-        CAST(CASE WHEN o.client_id IS NULL THEN 0
-                  ELSE coalesce(a.amt, 0) - CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END
-             END AS DECIMAL(18,2)) AS variance,
-        CASE WHEN o.client_id IS NULL THEN 'PENDING_SOA'
-             WHEN abs(coalesce(a.amt, 0) - CASE WHEN s.category LIKE '%premium%' THEN o.premium_soa ELSE o.claims_soa END) <= 1.00
-             THEN 'RECONCILED' ELSE 'BREAK' END AS status
-      FROM recon_scope s
-      LEFT JOIN recon_amt_net a ON a.client_id = s.client_id AND a.base = regexp_replace(s.category, '_adj$', '')
-        AND a.year = s.year AND a.period = s.period
-      LEFT JOIN soa_ok o ON o.client_id = s.client_id AND o.year = s.year AND o.period = s.period)
-""".format(run=RUN_ID)
+      SELECT '{run}' AS run_id, client_id, category, year, period,
+        CAST(CASE WHEN has_table AND has_soa THEN coalesce(soa, 0) ELSE 0 END AS DECIMAL(18,2)) AS soa_amount,
+        CAST(CASE WHEN has_table THEN amt ELSE 0 END AS DECIMAL(18,2)) AS file_amount,
+        CAST(CASE WHEN has_table AND has_soa THEN coalesce(amt - soa, 0) ELSE 0 END AS DECIMAL(18,2)) AS variance,
+        CASE WHEN NOT has_table THEN 'NO_DATA' WHEN NOT has_soa THEN 'PENDING_SOA' WHEN soa IS NULL THEN 'ERROR'
+             WHEN abs(amt - soa) <= 1.00 THEN 'RECONCILED' ELSE 'BREAK' END AS status
+      FROM recon_joined)
+"""
+_RECON_SQL = _RECON_HEAD.format(run=RUN_ID, key="category")
+_RECON_NET_SQL = _RECON_HEAD.format(run=RUN_ID, key="regexp_replace(category, '_adj$', '')")
 
 
 def _with_recon(select: str, extra: str = "", net: bool = False) -> str:
