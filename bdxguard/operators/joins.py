@@ -52,7 +52,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     3. inside a (key, bucket) partition, a running ``last(ignorenulls)`` over
        the union of left and right rows ordered by time.
     A key holding a third of all rows is spread over its time buckets, and no
-    pair of rows is ever emitted.
+    pair of rows is ever emitted.  A NULL key or a NULL time matches nothing.
     """
     ts_l, ts_r = F.col(left_ts), F.col(right_ts)
 
@@ -60,7 +60,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
         return F.floor(F.unix_date(t.cast("date")) / F.lit(bucket_days)).cast("bigint")
 
     payload = F.struct(*[F.col(c).alias(c) for c in right_cols])
-    r = (right.filter(ts_r.isNotNull())
+    known = ts_r.isNotNull()
+    for k in by:  # an equality never matches NULL keys
+        known &= F.col(k).isNotNull()
+    r = (right.filter(known)
          .select(*by, ts_r.alias("__t"), bucket(ts_r).alias("__b"), payload.alias("__v")))
     l = left.select(*by, ts_l.alias("__t"), bucket(ts_l).alias("__b"),
                     F.struct(*[F.col(c) for c in left.columns]).alias("__l"))

@@ -44,6 +44,8 @@ PREMIUM_DUP_KEYS = ("policy_number", "benefit_id", "valuation_date")
 CLAIMS_DUP_KEYS = ("claim_id", "policy_number", "benefit_id")
 PREMIUM_HISTORY_KEYS = ("treaty_id", "policy_number", "benefit_id")
 TOLERANCE = Decimal("0.01")
+# Length of a check message, treaty of a file without one.
+MESSAGE_CHARS, UNRESOLVED = 200, "UNRESOLVED"
 REJECT_RATIO = 0.30
 NEW_BUSINESS_DAYS = 365
 LAPSE_DAYS = 30
@@ -202,12 +204,15 @@ def attach_rates(rows: DataFrame, rates: DataFrame | None, as_of: bool = False)
     # |risar/1000 * rate * freq - premium| > 0.01, compared scaled by 1000 so the
     # decimal arithmetic stays exact (no precision-loss rounding near the boundary).
     mult = frequency_multiplier("policy_renewal_freq").cast("decimal(2,0)")
-    risar = F.col("reinsured_sum_at_risk").cast("decimal(16,2)")
-    prem1000 = F.col("premium_amount") * F.lit(1000)
+    # try_cast: a sum too wide for the exact product cannot be checked, and counts as failed instead of ending the run.
+    risar = F.col("reinsured_sum_at_risk").try_cast("decimal(16,2)")
+    wide = F.col("reinsured_sum_at_risk").isNotNull() & risar.isNull()
+    prem1000 = F.col("premium_amount").cast("decimal(21,2)") * F.lit(1000)
     n_matched = F.coalesce(F.size(arr), F.lit(0))
     missing = F.when(n_matched == 0, F.lit(1)).otherwise(F.size(F.filter(arr, lambda x: x["rate"].isNull())))
-    fail = F.coalesce(F.size(F.filter(arr, lambda x: x["rate"].isNotNull() & (
-        F.abs(risar * x["rate"].cast("decimal(14,6)") * mult - prem1000) > F.lit(TOLERANCE * 1000)))), F.lit(0))
+    fail = F.coalesce(F.size(F.filter(arr, lambda x: x["rate"].isNotNull() & F.coalesce(
+        wide | x["rate"].try_cast("decimal(14,6)").isNull()
+        | (F.abs(risar * x["rate"].try_cast("decimal(14,6)") * mult - prem1000) > F.lit(TOLERANCE * 1000)), F.lit(False)))), F.lit(0))
     return out.withColumn("_rate_missing", missing).withColumn("_rate_fail", fail).drop("_rates")
 
 
@@ -242,10 +247,18 @@ def _unpivot(files: DataFrame, checks: list[Column], run_id: str, checked_at: st
         _check("FILE_REJECTED", F.lit("FAIL"), F.col("quarantined_rows"), F.col("rejected")),
     ]
     arr = F.filter(F.array(*checks, *common), lambda x: x.isNotNull())
-    return (files.select(*FILE_COLUMNS, "total_count", F.explode(arr).alias("c"))
+    return (files.select(*FILE_COLUMNS, "total_count", F.coalesce("_treaty", F.lit(UNRESOLVED)).alias("treaty_id"), F.explode(arr).alias("c"))
             .select(F.lit(run_id).alias("run_id"), "client_id", "file_hash", "file_name", "category", "year",
                     F.col("quarter").alias("period"), "c.check_name", "c.status", "c.failed_count",
-                    F.col("total_count").cast("bigint").alias("total_count"), ts.alias("checked_at")))
+                    F.col("total_count").cast("bigint").alias("total_count"), ts.alias("checked_at"),
+                    "treaty_id", check_message().alias("message")))
+
+
+def check_message() -> Column:
+    """what a check row says, at most 200 characters."""
+    said = F.concat_ws(" ", F.col("c.check_name"), F.concat(F.col("c.status"), F.lit(":")), F.col("c.failed_count").cast("string"),
+                       F.lit("of"), F.col("total_count").cast("string"), F.lit("rows"))
+    return F.substring(said, 1, MESSAGE_CHARS)
 
 
 def _file_agg(rows: DataFrame, extra: list[Column]) -> DataFrame:
@@ -256,6 +269,7 @@ def _file_agg(rows: DataFrame, extra: list[Column]) -> DataFrame:
         F.count_if(F.col("_cfg_rank") > 1).alias("_extra"),
         F.count_if(F.size("dq_reasons") > 0).alias("_quarantined"),
         F.count_if(F.array_contains("dq_reasons", "TREATY_MAPPING")).alias("_n_treaty"),
+        F.any_value("_present").alias("_present"), F.min("treaty_id").alias("_treaty"),
         *extra)
 
 
@@ -277,26 +291,43 @@ CLAIMS_REQUIRES = {
 }
 
 
-def _fill_optional(df: DataFrame, optional: dict) -> tuple[DataFrame, set]:
-    """Add absent optional columns as typed NULLs; return the frame and the names that were absent."""
-    missing = {c for c in optional if c not in df.columns}
-    for c in sorted(missing):
-        df = df.withColumn(c, F.lit(None).cast(optional[c]))
-    return df, missing
+def _with_presence(df: DataFrame, optional: dict, present: DataFrame | None) -> DataFrame:
+    """Add absent optional columns as typed NULLs, and ``_present``: the canonical columns the row's own file has.
+
+    ``present``: (file_hash, columns array) from the files' headers; a file it does not list, or no frame at all,
+    has the columns of the run's frame.
+    """
+    own = F.array(*[F.lit(c) for c in df.columns])
+    if present is None:
+        out = df.withColumn("_present", own)
+    else:
+        out = (df.join(present.select("file_hash", F.col("columns").alias("_file_columns")), "file_hash", "left")
+               .withColumn("_present", F.coalesce("_file_columns", own)).drop("_file_columns"))
+    for c in sorted(c for c in optional if c not in df.columns):
+        out = out.withColumn(c, F.lit(None).cast(optional[c]))
+    return out
+
+
+def _has(column: str) -> Column:
+    return F.array_contains("_present", F.lit(column))
 
 
-def _skip(check: Column, name: str, requires: dict, missing: set) -> Column:
-    """A check whose columns are absent is reported as SKIPPED with count 0."""
-    if not any(c in missing for c in requires.get(name, ())):
+def _skip(check: Column, name: str, requires: dict) -> Column:
+    """A check whose columns the file does not have is reported as SKIPPED with count 0."""
+    needed = requires.get(name, ())
+    if not needed:
         return check
+    lacks = F.lit(False)
+    for c in needed:
+        lacks = lacks | ~_has(c)
     s = F.struct(F.lit(name).alias("check_name"), F.lit("SKIPPED").alias("status"), F.lit(0).cast("bigint").alias("failed_count"))
-    return F.when(check.isNotNull(), s)
+    return F.when(check.isNotNull() & lacks, s).otherwise(check)
 
 
 # ------------------------------------------------------------------ premium (V1-V9)
 def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | None = None,
                      history: DataFrame | None = None, run_id: str = "run", checked_at: str | None = None,
-                     as_of: bool = False, validate_adjustments: bool = False) -> Validation:
+                     as_of: bool = False, validate_adjustments: bool = False, present: DataFrame | None = None) -> Validation:
     """Premium and premium_adj validation.
 
     ``clean``: staged clean rows with FILE_COLUMNS, ``_fp`` and ``_row_id``.
@@ -304,7 +335,7 @@ def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | Non
     benefit_id, valuation_date, file_hash); own-file rows are ignored.
     """
     full = (F.col("category") == "premium") if not validate_adjustments else F.col("category").isin("premium", "premium_adj")
-    clean, missing = _fill_optional(clean, PREMIUM_OPTIONAL)
+    clean = _with_presence(clean, PREMIUM_OPTIONAL, present)
     r = duplicate_flags(clean, PREMIUM_DUP_KEYS, history, full)
     r = enrich_with_treaty(r, treaty)
     r = r.withColumn("_current_age", age_by_days("valuation_date", "date_of_birth"))
@@ -344,7 +375,7 @@ def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | Non
     ]
     names = ["TREATY_MAPPING", "DUPLICATE_PREMIUM", "NEW_BUSINESS_FLAG", "RISAR_VALIDATION", "EFFECTIVE_DATE",
              "AGE_RANGE", "RATE_TABLE_MISSING_MATCH", "RATE_TABLE"]
-    checks = [_skip(c, n, PREMIUM_REQUIRES, missing) for c, n in zip(checks, names)]
+    checks = [_skip(c, n, PREMIUM_REQUIRES) for c, n in zip(checks, names)]
     return Validation(rows=r, checks=_unpivot(files, checks, run_id, checked_at), files=files)
 
 
@@ -402,11 +433,15 @@ def cal_life_breaches(rows: DataFrame, claims_history: DataFrame | None, by_key:
 
 
 def refresh_premium_index(index: DataFrame | None, validated_premium: DataFrame, touched: DataFrame) -> DataFrame:
-    """Maintained premium index: the index rows of the keys touched by a promotion, recomputed from the
-    validated table (exact under updates), plus the untouched rows of the previous index."""
-    keys = ["client_id", *PREMIUM_HISTORY_KEYS]
+    """Maintained premium index: the index rows of the policies touched by a promotion, recomputed from the
+    validated table, plus the untouched rows of the previous index.
+
+    Touched is (client, policy, benefit) without the treaty: a policy that moves to another treaty also loses its
+    row under the old one.
+    """
+    keys = ["client_id", "policy_number", "benefit_id"]
     t = touched.select(*keys).distinct()
-    fresh = premium_history_aggregate(validated_premium, t)
+    fresh = premium_history_aggregate(validated_premium.join(t, keys, "left_semi"))
     if index is None:
         return fresh
     return index.join(t, keys, "left_anti").unionByName(fresh)
@@ -414,7 +449,7 @@ def refresh_premium_index(index: DataFrame | None, validated_premium: DataFrame,
 
 def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFrame | None,
                     claims_history: DataFrame | None = None, run_id: str = "run", checked_at: str | None = None,
-                    cal_by_key: bool = False, premium_index: DataFrame | None = None) -> Validation:
+                    cal_by_key: bool = False, premium_index: DataFrame | None = None, present: DataFrame | None = None) -> Validation:
     """Claims and claims_adj validation.
 
     ``premium_history``: validated premium rows with treaty_id (the claims stage
@@ -426,7 +461,7 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     file_hash); own-file rows are ignored.
     """
     full = F.col("category") == "claims"
-    clean, missing = _fill_optional(clean, CLAIMS_OPTIONAL)
+    clean = _with_presence(clean, {**CLAIMS_OPTIONAL, "reinsured_sum_at_risk": "decimal(18,2)"}, present)
     # Treaty enrichment first (broadcast, no shuffle): every later branch (duplicates,
     # CAL life breaches) starts from this narrow base instead of from the joined chain.
     base = enrich_with_treaty(clean, treaty)
@@ -448,10 +483,8 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     bkeys = ["file_hash", "client_id", "insured_id"] + (["treaty_id", "benefit_id"] if cal_by_key else [])
     r = r.join(breaches, bkeys, "left")
     claim = F.col("claim_amount")
-    if "reinsured_sum_at_risk" in clean.columns:
-        risar_fail = F.col("reinsured_sum_at_risk") < claim
-    else:
-        risar_fail = F.col("_max_risar").isNull() | (F.col("_max_risar") < claim)
+    risar_fail = (F.when(_has("reinsured_sum_at_risk"), F.col("reinsured_sum_at_risk") < claim)
+                  .otherwise(F.col("_max_risar").isNull() | (F.col("_max_risar") < claim)))
     cal_fail = (((F.col("cal_level") == "policy") & (claim > F.col("cal_limit")))
                 | (F.coalesce(F.col("_cal_life_breach"), F.lit(False)) & (F.col("cal_level") == "life")))
     r = r.withColumn("dq_reasons", _fail_tags([
@@ -486,7 +519,7 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     ]
     names = ["TREATY_MAPPING", "DUPLICATE_CLAIMS", "PREMIUM_EXISTS", "RISAR_GTE_CLAIM", "CAL_CHECK",
              "NO_ZERO_NEGATIVE", "DOL_COVERAGE", "LAPSE_CHECK"]
-    checks = [_skip(c, n, CLAIMS_REQUIRES, missing) for c, n in zip(checks, names)]
+    checks = [_skip(c, n, CLAIMS_REQUIRES) for c, n in zip(checks, names)]
     return Validation(rows=r, checks=_unpivot(files, checks, run_id, checked_at), files=files)
 
 
@@ -497,4 +530,5 @@ def load_failures(inventory: DataFrame, loaded: DataFrame, run_id: str = "run",
     return missing.select(F.lit(run_id).alias("run_id"), "client_id", "file_hash", "file_name", "category", "year",
                           F.col("quarter").alias("period"), F.lit("LOAD_DELTA").alias("check_name"),
                           F.lit("FAIL").alias("status"), F.lit(0).cast("bigint").alias("failed_count"),
-                          F.lit(0).cast("bigint").alias("total_count"), ts.alias("checked_at"))
+                          F.lit(0).cast("bigint").alias("total_count"), ts.alias("checked_at"),
+                          F.lit(UNRESOLVED).alias("treaty_id"), F.lit("LOAD_DELTA FAIL: the file has no rows to validate").alias("message"))
