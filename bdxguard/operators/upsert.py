@@ -14,8 +14,7 @@ same plan still reads.
 
 from __future__ import annotations
 
-import hashlib
-import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,13 +56,14 @@ def write_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     """Upsert ``source`` into the Parquet table at ``path``, rewriting only touched partitions.
 
     The touched partitions of the target are read, merged and written to a
-    staging folder first (materialised, so the plan no longer reads ``path``),
-    then swapped in with dynamic partition overwrite.
+    pending folder beside the table (so the plan no longer reads ``path``), then
+    swapped in with dynamic partition overwrite.  The pending folder is removed
+    only after the swap: a crash in between is finished by ``recover_upserts``,
+    which every upsert calls first.
     """
-    from ..session import scratch_dir
-
-    from ..sources.tables import try_read
+    from ..sources.tables import remove_folder, try_read
 
+    recover_upserts(spark, path)
     target = try_read(spark, path)
     exists = target is not None
     if not exists:                     # create path (S11): same upsert against an empty target
@@ -71,9 +71,34 @@ def write_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     touched = source.select(*partition_by).distinct()
     part_target = target.join(touched, list(partition_by), "left_semi") if exists else target
     merged = upsert(part_target, source, keys)
-    tag = hashlib.md5(f"{path}|{','.join(keys)}|{time.time_ns()}".encode()).hexdigest()[:16]
-    stage = staging_path or scratch_dir(spark, f"upsert-{tag}")
+    stage = staging_path or f"{pending_folder(path)}/{uuid.uuid4().hex}"
     merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
-    staged = spark.read.parquet(stage)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    _swap(spark, stage, path, partition_by)
+    if staging_path is None:
+        remove_folder(spark, stage)
+
+
+def pending_folder(path: str) -> str:
+    """Where completed merges wait until they are swapped in: beside the table, in the same store."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_pending_{name}"
+
+
+def _swap(spark: SparkSession, stage: str, path: str, partition_by: Sequence[str]) -> None:
+    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
+
+
+def recover_upserts(spark: SparkSession, path: str, partition_by: Sequence[str] = PARTITION_KEYS) -> int:
+    """Finish swaps that a crash cut off.  A merge is complete when its ``_SUCCESS`` mark is there; swapping it in
+    again gives the same partitions.  Incomplete ones are removed: their source was never taken as done."""
+    from ..sources.tables import folders, remove_folder
+
+    done = 0
+    for name in folders(spark, pending_folder(path)):
+        stage = f"{pending_folder(path)}/{name}"
+        if "_SUCCESS" in folders(spark, stage):
+            _swap(spark, stage, path, partition_by)
+            done += 1
+        remove_folder(spark, stage)
+    return done

@@ -18,25 +18,35 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 
-def table_exists(path: str) -> bool | None:
-    """True/False for local paths (checked without a failing read); None when unknown (remote store)."""
-    import os
+def _hadoop(spark: SparkSession, path: str):
+    """Spark's own file system for a path, and the path: the driver's local folders are not asked."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if local.startswith("/"):
-        return os.path.isdir(local) and any(not n.startswith((".", "_")) or n.startswith("_delta") or "=" in n
-                                            for n in os.listdir(local))
-    return None
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder of a table is there and holds anything but hidden entries; errors of the store rise."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p) and any(not s.getPath().getName().startswith((".", "_")) for s in fs.listStatus(p))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none where it does not exist."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
 def try_read(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
-    """Scan of a Parquet table, or None when it does not exist (yet)."""
-    if table_exists(path) is False:
-        return None
-    try:
-        return read_table(spark, path, merge_schema)
-    except Exception:  # noqa: BLE001 - remote path without data
-        return None
+    """Scan of a Parquet table, or None when it provably does not exist (yet).
+
+    Only an absent folder is "no table"; any error in reading one that is there rises.
+    """
+    return read_table(spark, path, merge_schema) if table_exists(spark, path) else None
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
