@@ -70,7 +70,8 @@ def _promotion_columns(df: DataFrame, run_id: str) -> DataFrame:
 
 def run_batch(spark: SparkSession, landing: str, warehouse: str, meta: Metadata, run_id: str,
               checked_at: str | None = None) -> dict[str, DataFrame]:
-    """Scan the landing folder and process every file not tracked yet."""
+    """Scan the landing folder and process every file that is not done yet: new ones, and earlier ones that were
+    blocked by the gate, failed, or belong to a run that did not end."""
     return run_files(spark, sf.scan_landing(spark, landing), warehouse, meta, run_id, checked_at)
 
 
@@ -79,71 +80,73 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     """Process the files of an inventory frame (a folder scan or one micro-batch of arrivals)."""
     w = warehouse.rstrip("/")
     out: dict[str, DataFrame] = {}
+    for t in (*(f"silver/validated/{c}" for c in (*PREMIUM_LIKE, *CLAIMS_LIKE)), *(f"gold/{c}" for c in (*PREMIUM_LIKE, *CLAIMS_LIKE))):
+        up.recover_upserts(spark, f"{w}/{t}")
 
-    # ---- 1. inventory, registration, file status
+    # ---- 1. seen: the inventory, and each content hash tracked once
     inv = tb.materialize(inventory, "landing")
-    acc = inv.filter("accepted")
-    tracked = _read(spark, f"{w}/audit/file_tracking")
     cols = ["file_hash", "path", "file_name", "client_id", "category", "year", "quarter"]
-    new = tb.materialize(ig.register_files(acc, tracked, order=["path"], payload=cols), "registered")
-    # status over every sighting: this scan plus what earlier runs tracked (duplicates, cross-client)
-    sightings = acc.select(*cols, F.lit(True).alias("_this_run"))
-    if tracked is not None:
-        sightings = sightings.unionByName(tracked.select(*cols, F.lit(False).alias("_this_run")))
-    status = (ig.file_status(sightings).filter("_this_run")
-              .join(new.select("file_hash", "path"), ["file_hash", "path"], "left_semi"))
-    tb.append(new.withColumn("run_id", F.lit(run_id)), f"{w}/audit/file_tracking")
-    tb.append(status.drop("_this_run").withColumn("run_id", F.lit(run_id)), f"{w}/audit/ingestion_log")
-
-    # ---- 2. drift and mapping gate on headers
-    ok_files = status.filter(F.col("status") == "SUCCESS").select("path", "file_hash", "client_id", "file_name", "category")
-    heads = sf.header_columns(sf.header_probe(spark, ok_files)).join(ok_files, "path")
-    drift = dr.schema_drift(heads, dr.expected_frame(spark), run_id, mapping=meta.mapping)
-    tb.append(drift, f"{w}/audit/schema_drift")
+    acc = inv.filter("accepted")
+    new = ig.register_files(acc, _read(spark, f"{w}/audit/file_tracking"), order=["path"], payload=cols)
+    tb.append(tb.materialize(new, "registered").withColumn("run_id", F.lit(run_id)), f"{w}/audit/file_tracking")
+
+    # ---- 2. one attempt per file: bronze, then its status in the log
+    _ingest(spark, inv, w, meta, run_id)
+
+    # ---- 3. files to stage: in bronze, and never staged to the end or last FAILED (J2, J9, S15), gated by the mapping
+    log = _read(spark, f"{w}/audit/ingestion_log")
+    if log is None:
+        return out
+    pending = tb.materialize(pending_files(log, _read(spark, f"{w}/audit/staging_log")), "pending")
+    heads = sf.header_columns(pending.withColumn("path", F.col("file_hash"))).withColumnRenamed("path", "file_hash").join(
+        pending.select("file_hash", "client_id", "file_name", "category"), "file_hash")
     gate = dr.mapping_gate(heads, meta.mapping)
-    queued = tb.materialize(gate.filter(F.col("status") == "QUEUED").select("file_hash"), "queued")
+    _queue_reviews(spark, heads, meta.mapping, f"{w}/audit/mapping_review_queue")
+    queue = tb.materialize(pending.join(gate.filter(F.col("status") == "QUEUED").select("file_hash"), "file_hash", "left_semi"), "queued")
+    queued = queue.select("file_hash")
     out["gate"] = gate
-    if queued.limit(1).count() == 0:   # nothing new or everything blocked: no further stage runs
+    if queue.limit(1).count() == 0:   # nothing new or everything blocked: no further stage runs
         return out
+    # canonical columns of each file, from its own header
+    present = tb.materialize(dr.canonical_headers(heads, meta.mapping).groupBy("file_hash")
+                             .agg(F.collect_set("column_name").alias("columns")), "present")
 
-    # ---- 3. bronze
-    landing_rows = inv.join(queued, "file_hash", "left_semi")
-    bronze = sf.read_bordereaux(spark, landing_rows)
-    data_cols = [c for c in bronze.columns if c not in ("path", "_row_id", "file_hash", "file_name", "client_id",
-                                                          "category", "year", "quarter", "source_path", "ingestion_time")]
-    bronze = (_fingerprint(bronze, sorted(data_cols)).withColumn("run_id", F.lit(run_id))
-              .withColumn("source_path", F.col("path")).withColumn("ingestion_time", F.current_timestamp()))
-    # partitioned by run first: reading this run's rows back prunes to one partition, never past runs
-    tb.append(bronze, f"{w}/bronze", ["run_id", "category"])
-    bronze = tb.restrict_to_files(spark.read.option("mergeSchema", "true").parquet(f"{w}/bronze")
-                                  .filter(F.col("run_id") == run_id), queued)
-
-    # ---- 4. canonicalise, stage, split (P3, P5-P8, D1-D13, A7, A12, P6 after checks)
-    canon = cn.canonicalise(bronze, meta.mapping)
+    # ---- 4. canonicalise, stage, split (P3, P5-P8, D1-D13, A7, A12); PII is hashed at the sinks
+    canon = cn.canonicalise(_bronze_rows(spark, queue, f"{w}/bronze").withColumn("run_id", F.lit(run_id)), meta.mapping)
     prem = st.stage_premium(canon.filter(F.col("category").isin(*PREMIUM_LIKE)))
     clm = st.stage_claims(canon.filter(F.col("category").isin(*CLAIMS_LIKE)))
     staged_tables = {}
     for name, staged in (("premium", prem), ("claims", clm)):
-        staged = (cn.mask_pii(staged, meta.mapping).withColumn("_clean", (F.size("dq_issues") == 0).cast("int"))
-                  .withColumn("period", F.col("quarter")))
-        tb.append(staged, f"{w}/silver/staging/{name}", ["run_id", "category", "_clean"])
-        table = _read(spark, f"{w}/silver/staging/{name}")        # None while no file of the kind ever arrived
-        table = table.filter(F.col("run_id") == run_id) if table is not None else staged.filter(F.lit(False))
-        staged_tables[name] = table.join(queued, "file_hash", "left_semi")
+        staged = (staged.withColumn("_clean", (F.size("dq_issues") == 0).cast("int")).withColumn("period", F.col("quarter"))
+                  .withColumn("staging_time", F.current_timestamp()))
+        staged = tb.materialize(staged, f"staged-{name}", ["_clean"]) if _any(staged) else staged.filter(F.lit(False))
+        staged_tables[name] = staged
+        if _any(staged):
+            tb.write_partitions(cn.mask_pii(staged, meta.mapping), f"{w}/silver/staging/{name}", ["run_id", "category", "_clean"])
     sp, sc = staged_tables["premium"], staged_tables["claims"]
-    log = st.staging_log(sp, run_id).unionByName(st.staging_log(sc, run_id))
-    tb.append(log, f"{w}/audit/staging_log")
+    # every file of the queue has a log row, also one whose header has no rows below it
+    counts = st.staging_log(sp, run_id).unionByName(st.staging_log(sc, run_id))
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows_read", "rows_to_silver", "rows_quarantined")]
+    log = tb.materialize(
+        queue.select("client_id", "file_hash", "file_name", "category", "year", "quarter", "period", "period_type")
+        .join(counts.select("file_hash", "rows_read", "rows_to_silver", "rows_quarantined"), "file_hash", "left")
+        .select("client_id", "file_hash", "file_name", "category", "year", "quarter", *zero, F.lit(run_id).alias("run_id"),
+                F.lit("SUCCESS").alias("status"), "period", "period_type", F.current_timestamp().alias("processed_at")), "staging-log")
     tb.append(st.rule_counts(sp).unionByName(st.rule_counts(sc)).withColumn("run_id", F.lit(run_id)),
               f"{w}/audit/quarantine_summary")
+    failures = va.load_failures(queue, log.filter("rows_to_silver > 0"), run_id, checked_at)
+    tb.append(failures, f"{w}/audit/validation_results")
 
     # ---- 5. premium validation and promotion, then claims
     # A kind of file absent from the run has no columns to check: its validation is skipped.
     clean_p = sp.filter(F.col("_clean") == 1).drop("_clean")
     if all(c in clean_p.columns for c in REQUIRED["premium"]):
         hist_p = _read(spark, f"{w}/silver/validated/premium")
-        pv = va.validate_premium(clean_p, meta.treaty, meta.rates, hist_p, run_id=run_id, checked_at=checked_at)
-        tb.append(pv.checks, f"{w}/audit/validation_results")
-        promote_p = tb.materialize(_promotion_columns(pv.promotable(), run_id), "promote-premium")
+        pv = va.validate_premium(clean_p, meta.treaty, meta.rates, hist_p, run_id=run_id, checked_at=checked_at, present=present)
+        out["premium_checks"] = tb.materialize(pv.checks, "premium-checks")
+        tb.append(out["premium_checks"], f"{w}/audit/validation_results")
+        _export(pv, meta.mapping, f"{w}/quarantine/run_id={run_id}/premium", run_id)
+        promote_p = tb.materialize(cn.mask_pii(_promotion_columns(pv.promotable(), run_id), meta.mapping), "promote-premium")
         for cat in PREMIUM_LIKE:
             part = promote_p.filter(F.col("category") == cat)
             if part.limit(1).count():
@@ -160,21 +163,21 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
                 old, _read(spark, f"{w}/silver/validated/premium"), touched.drop("_bucket")).withColumn("_bucket", _bucket()),
                 "premium-index")
             tb.write_partitions(index, f"{w}/silver/premium_index", ["_bucket"])
-        out["premium_checks"] = pv.checks
 
     clean_c = sc.filter(F.col("_clean") == 1).drop("_clean")
     if all(c in clean_c.columns for c in REQUIRED["claims"]):
         prem_index = _read(spark, f"{w}/silver/premium_index")
         claims_hist = _read(spark, f"{w}/silver/validated/claims")
         cv = va.validate_claims(clean_c, meta.treaty, None, claims_hist, run_id=run_id, checked_at=checked_at,
-                                premium_index=prem_index)
-        tb.append(cv.checks, f"{w}/audit/validation_results")
-        promote_c = tb.materialize(_promotion_columns(cv.promotable(), run_id), "promote-claims")
+                                premium_index=prem_index, present=present)
+        out["claims_checks"] = tb.materialize(cv.checks, "claims-checks")
+        tb.append(out["claims_checks"], f"{w}/audit/validation_results")
+        _export(cv, meta.mapping, f"{w}/quarantine/run_id={run_id}/claims", run_id)
+        promote_c = tb.materialize(cn.mask_pii(_promotion_columns(cv.promotable(), run_id), meta.mapping), "promote-claims")
         for cat in CLAIMS_LIKE:
             part = promote_c.filter(F.col("category") == cat)
             if part.limit(1).count():
                 up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
-        out["claims_checks"] = cv.checks
 
     # ---- 6. reconciliation and gold
     scope = log.select("client_id", "category", "year", F.col("quarter").alias("period"))
@@ -198,4 +201,89 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
             if part.limit(1).count():
                 up.write_upsert(spark, part, f"{w}/gold/{sub}", up.merge_keys(cat))
     out["recon"] = res
+
+    # ---- 7. done: only now are the files of the queue taken as staged; a run that ended before offers them again
+    tb.append(log, f"{w}/audit/staging_log")
     return out
+
+
+def pending_files(ingestion_log: DataFrame, staging_log: DataFrame | None) -> DataFrame:
+    """Files in bronze that were never staged to the end, or whose latest staging run FAILED, with the run that ingested them."""
+    ok = ingestion_log.filter(F.col("status") == "SUCCESS")
+    if staging_log is None:
+        staging_log = ok.select("file_hash", "run_id", "status").filter(F.lit(False))
+    first = ok.groupBy("file_hash").agg(F.max(F.struct("run_id", "header")).alias("_last"))
+    return (ig.staging_candidates(ok, staging_log).join(first, "file_hash")
+            .withColumn("bronze_run", F.col("_last.run_id")).withColumn("header", F.col("_last.header")).drop("_last"))
+
+
+def _ingest(spark: SparkSession, inv: DataFrame, w: str, meta: Metadata, run_id: str) -> None:
+    """Write the files that still need it to bronze and log one attempt per file.
+
+    Of equal content one copy is ingested (the tracked one if it is there) and the others are logged as duplicates.
+    A file is left out if it is already in bronze, of unknown category, or failed MAX_RETRIES times.  The log is
+    written after bronze: rows of a run that ended in between belong to no logged attempt and are never read.
+    """
+    cols = ["file_hash", "path", "file_name", "client_id", "category", "year", "quarter"]
+    acc = inv.filter("accepted")
+    tracking = _read(spark, f"{w}/audit/file_tracking").select("file_hash", F.col("path").alias("_path"), F.col("client_id").alias("_client"))
+    log = _read(spark, f"{w}/audit/ingestion_log")
+    seen = acc.join(tracking, "file_hash")
+    chosen = seen.groupBy("file_hash").agg(F.min(F.struct(F.col("path") != F.col("_path"), "path")).alias("_c")).select("file_hash", F.col("_c.path").alias("_chosen"))
+    seen = tb.materialize(seen.join(chosen, "file_hash"), "sightings")
+    copies = (seen.filter(F.col("path") != F.col("_chosen"))
+              .withColumn("status", F.when(F.col("client_id") != F.col("_client"), "CROSS_CLIENT_DUP").otherwise("DUPLICATE"))
+              .withColumn("message", F.concat(F.lit("same content as "), F.col("_path")))
+              .select(*cols, "header", "status", "message"))
+    todo = seen.filter(F.col("path") == F.col("_chosen"))
+    if log is not None:
+        copies = copies.join(log.select("file_hash", "path", "status"), ["file_hash", "path", "status"], "left_anti")
+        attempts = log.filter(~F.col("status").isin("DUPLICATE", "CROSS_CLIENT_DUP"))
+        todo = ig.files_to_ingest(todo, attempts)
+    todo = tb.materialize(todo, "to-ingest")
+    good = todo.filter(F.col("header_error").isNull() & (F.col("category") != "others"))
+    if _any(good):
+        bronze = sf.read_bordereaux(spark, good)
+        audit = ("path", "_row_id", "file_hash", "file_name", "client_id", "category", "year", "quarter")
+        bronze = (_fingerprint(bronze, sorted(c for c in bronze.columns if c not in audit)).withColumn("run_id", F.lit(run_id))
+                  .withColumn("source_path", F.col("path")).withColumn("ingestion_time", F.current_timestamp()))
+        # partitioned by run first: a run replaces only its own rows, and readers prune to the runs they need
+        tb.write_partitions(bronze, f"{w}/bronze", ["run_id", "category"])
+        files = good.select("file_hash", "client_id", "file_name", "category")
+        heads = sf.header_columns(good).join(good.select("path", "file_hash"), "path").drop("path").join(files, "file_hash")
+        drift = dr.schema_drift(heads, dr.expected_frame(spark), run_id, mapping=meta.mapping)
+        tb.append(drift, f"{w}/audit/schema_drift")
+    status = (F.when(F.col("header_error").isNotNull(), "FAILED").when(F.col("category") == "others", "UNKNOWN_CATEGORY").otherwise("SUCCESS"))
+    attempts = todo.select(*cols, "header", status.alias("status"), F.substring("header_error", 1, 200).alias("message"))
+    tb.append(attempts.unionByName(copies).withColumn("run_id", F.lit(run_id)).withColumn("logged_at", F.current_timestamp()),
+              f"{w}/audit/ingestion_log")
+
+
+def _bronze_rows(spark: SparkSession, queue: DataFrame, path: str) -> DataFrame:
+    """Bronze rows of the queued files, each from the run that logged it; only those runs' partitions are read."""
+    runs = sorted(r[0] for r in queue.select("bronze_run").distinct().collect())  # runs with pending files
+    rows = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col("run_id").cast("string").isin(runs))
+    mine = queue.select("file_hash", F.col("bronze_run").alias("_run"))
+    return rows.join(mine, (rows.file_hash == mine.file_hash) & (rows.run_id.cast("string") == mine._run), "left_semi")
+
+
+def _queue_reviews(spark: SparkSession, heads: DataFrame, mapping: DataFrame, path: str) -> None:
+    """A PENDING review item for every column without a mapping that has no open item."""
+    queue = _read(spark, path)
+    if queue is None:
+        queue = spark.createDataFrame([], "client_id string, category string, raw_col_name string, file_name string, status string")
+    items = tb.materialize(dr.review_queue_inserts(dr.unmapped_columns(heads, mapping), queue), "review-items")
+    if _any(items):
+        tb.append(items.withColumn("created_at", F.current_timestamp()), path)
+
+
+def _export(v: va.Validation, mapping: DataFrame, path: str, run_id: str) -> None:
+    """The rows a validation quarantined, as CSV per file with PII hashed."""
+    rows = v.quarantined()
+    kinds = dict(rows.dtypes)
+    flat = rows.drop(*[c for c in rows.columns if c != "dq_reasons" and kinds[c].startswith(("array", "map", "struct"))])
+    tb.export_csv(cn.mask_pii(flat, mapping), path, run_id=run_id)
+
+
+def _any(df: DataFrame) -> bool:
+    return df.limit(1).count() > 0

@@ -10,8 +10,10 @@ one of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -27,7 +29,7 @@ DEFAULT_CONF = {
 
 # Settings for a large cluster (~100 TB input, ~1000 executors).  The shuffle width is left to AQE:
 # start wide, let it coalesce to ~256 MB partitions and split skewed ones.  Scan splits of 512 MB keep
-# the task count of a 100 TB scan near 200k.  Apply with ``get_spark(..., extra=CLUSTER_CONF)``.
+# the task count of a 100 TB scan near 200k.  ``get_spark`` without a master applies what spark-submit leaves open.
 CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -40,17 +42,23 @@ CLUSTER_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "bdxguard",
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "bdxguard",
               extra: dict | None = None) -> SparkSession:
+    """A session.  With ``master`` (local runs) it has the library's defaults; without, spark-submit's settings hold
+    and DEFAULT_CONF and CLUSTER_CONF only fill in what these leave open."""
     builder = SparkSession.builder.appName(app)
     if master:
+        conf = {**DEFAULT_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+                "spark.driver.memory": os.environ.get("BDX_DRIVER_MEMORY", "16g")}
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
+    else:
+        SparkContext._ensure_initialized()  # so that SparkConf sees what spark-submit was given
+        given = SparkConf()
+        conf = {k: v for k, v in {**CLUSTER_CONF, **DEFAULT_CONF}.items() if not given.contains(k)}
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in {**conf, **(extra or {})}.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
-        builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory", os.environ.get("BDX_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -70,7 +78,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if none is configured."""
+    """Return the shared checkpoint folder; on a local master, one of our own if none is configured."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -79,6 +87,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="bdxguard-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import normalize_name
+from ..functions.columns import normalize_name, normalize_name_col
 from ..operators.ingest import file_inventory
 
 
@@ -26,60 +26,68 @@ def _rel(path_col: str, root: str):
 
 
 def scan_landing(spark: SparkSession, root: str) -> DataFrame:
-    """S4 + S3 + S17: one row per landed file with md5 of its content and the name-based inventory.
+    """S4 + S3 + S5 + S17: one row per landed file with md5 of its content, its header and the name-based inventory.
 
-    ``binaryFile`` reads each file as one value; the content is hashed in the
-    scan task and dropped, only the 32-character digest leaves it.
+    ``binaryFile`` reads each file as one value; the content is hashed and its
+    first line taken in the same scan task, then dropped: only the digest and the
+    header leave it.  Spark's reader leaves out files of length zero; they are
+    added from the listing, so that no landed file goes unreported.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return inventory_from_binary(raw, root).unionByName(_empty_files(spark, root))
+
+
+def _empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """Inventory rows of the files of length zero below ``root`` (from the store's listing; no data is read)."""
+    from .tables import _hadoop
+
+    fs, p = _hadoop(spark, root)
+    rows, found = [], fs.listFiles(p, True)
+    while found.hasNext():
+        f = found.next()
+        if f.getLen() == 0 and not f.getPath().getName().startswith((".", "_")):
+            rows.append((f.getPath().toString(), f.getModificationTime()))
+    listed = spark.createDataFrame(rows, "path string, ms long")
+    raw = listed.select("path", F.timestamp_millis("ms").alias("modificationTime"), F.lit(0).cast("long").alias("length"),
+                        F.lit(b"").alias("content"))
     return inventory_from_binary(raw, root)
 
 
-def inventory_from_binary(raw: DataFrame, root: str) -> DataFrame:
-    """Inventory rows from a ``binaryFile`` frame (batch or one micro-batch of a stream)."""
-    files = (raw.select("path", "length", "modificationTime", F.md5("content").alias("file_hash"))
-             .select("*", F.element_at(F.split("path", "/"), -1).alias("file_name"), _rel("path", root).alias("rel_path")))
-    return file_inventory(files)
+def first_line(content) -> F.Column:
+    """First line of a file's bytes, without a byte-order mark or a carriage return."""
+    line = F.substring_index(F.col(content).cast("string"), "\n", 1)
+    return F.regexp_replace(F.regexp_replace(line, "\r$", ""), "^\ufeff", "")
 
 
-def header_probe(spark: SparkSession, paths: DataFrame | list[str], path_col: str = "path",
-                 probe_bytes: str = "1m") -> DataFrame:
-    """First line of every file, reading only the first ``probe_bytes`` of each file.
+def inventory_from_binary(raw: DataFrame, root: str) -> DataFrame:
+    """Inventory rows from a ``binaryFile`` frame (batch or one micro-batch of a stream).
 
-    The scan's split size is narrowed to ``probe_bytes`` while this one scan is
-    planned and run, so block 0 of a file is its first megabyte, not its first
-    128 MB.  Lines of a split keep their order: the line with the smallest row
-    id of block 0 is the header.  The (small, one row per file) result is
-    written to the shared scratch folder and returned as a scan.
+    ``header_error`` tells why a file cannot be read as a table: it is empty, or two of its column names are equal
+    after normalising.  Such a file fails alone.  The hash of an empty file includes its path: it has no content that
+    could be a copy of another's.
     """
-    from .tables import materialize
-
-    plist = paths if isinstance(paths, list) else [r[path_col] for r in paths.select(path_col).distinct().collect()]
-    if not plist:
-        return spark.createDataFrame([], "path string, header string")
-    key = "spark.sql.files.maxPartitionBytes"
-    old = spark.conf.get(key)
-    spark.conf.set(key, probe_bytes)
-    try:
-        t = (spark.read.text(plist)
-             .select("value", F.url_decode(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("_bs"))
-             .filter(F.col("_bs") == 0)
-             .withColumn("_id", F.monotonically_increasing_id()))
-        return materialize(t.groupBy("path").agg(F.min_by("value", "_id").alias("header")), "headers")
-    finally:
-        spark.conf.set(key, old)
+    empty = F.col("length") == 0
+    files = (raw.select("path", "length", "modificationTime", first_line("content").alias("header"),
+                        F.when(empty, F.md5("path")).otherwise(F.md5("content")).alias("file_hash"))
+             .select("*", F.element_at(F.split("path", "/"), -1).alias("file_name"), _rel("path", root).alias("rel_path")))
+    names = F.transform(F.split("header", _CSV_SPLIT), lambda c: normalize_name_col(_unquoted(c)))
+    error = (F.when(F.col("length") == 0, "EMPTY_FILE").when(F.trim("header") == "", "NO_HEADER")
+             .when(F.size(F.array_distinct(names)) < F.size(names), "DUPLICATE_COLUMN"))
+    return file_inventory(files.withColumn("header_error", error))
 
 
 # split on commas outside double quotes; then drop the surrounding quotes
 _CSV_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
+def _unquoted(c) -> F.Column:
+    return F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"')
+
+
 def header_columns(headers: DataFrame) -> DataFrame:
     """Headers as (path, position, raw_col_name) rows for drift and mapping checks (quote-aware)."""
     parts = F.posexplode(F.split("header", _CSV_SPLIT)).alias("position", "_raw")
-    return (headers.select("path", parts)
-            .select("path", "position", F.regexp_replace(F.regexp_replace("_raw", r'^\s*"|"\s*$', ""), '""', '"')
-                    .alias("raw_col_name")))
+    return headers.select("path", parts).select("path", "position", _unquoted(F.col("_raw")).alias("raw_col_name"))
 
 
 def parse_header(header: str) -> list[str]:
@@ -92,29 +100,29 @@ def parse_header(header: str) -> list[str]:
 def read_bordereaux(spark: SparkSession, landing: DataFrame) -> DataFrame:
     """S1 + S2: all accepted CSV files as one bronze frame of strings.
 
-    ``landing``: output of ``scan_landing`` (accepted rows are read).  Files are
-    grouped by header; each group is one CSV scan with header on and every
-    column a string (no inference), column names normalised, then unioned by
-    name.  Each row carries ``path``, the file's audit columns and a row id
-    assigned in the scan.
+    ``landing``: output of ``scan_landing`` (accepted rows without a header error
+    are read).  Files are grouped by header; each group is one CSV scan with
+    header on and every column a string (no inference), column names normalised,
+    then unioned by name.  Each row carries ``path``, the file's audit columns
+    (which take the place of data columns of the same name) and a row id assigned
+    in the scan.
     """
-    acc = landing.filter(F.col("accepted"))
-    heads = header_probe(spark, acc)
+    acc = landing.filter(F.col("accepted") & F.col("header_error").isNull())
+    audit = acc.select("path", "file_hash", "file_name", "client_id", "category", "year", "quarter")
     frames = []
     # Loop over distinct header versions (a handful), not files.  The path list of a
     # version is what the CSV reader's file index holds anyway; no task builds a list.
-    for (header,) in heads.select("header").distinct().collect():
-        paths = [r[0] for r in heads.filter(F.col("header") == header).select("path").collect()]
+    for (header,) in acc.select("header").distinct().collect():
+        paths = [r[0] for r in acc.filter(F.col("header") == header).select("path").collect()]
         names = [normalize_name(c) for c in parse_header(header)]
         schema = ", ".join(f"`{n}` string" for n in names)
         df = (spark.read.option("header", True).schema(schema).csv(paths)
-              .select("*", F.url_decode(F.col("_metadata.file_path")).alias("path")))
+              .select(*[F.col(f"`{n}`") for n in names if n not in audit.columns],
+                      F.url_decode(F.col("_metadata.file_path")).alias("path")))
         frames.append(df)
     if not frames:
-        return spark.createDataFrame([], "path string")
+        return spark.createDataFrame([], "path string").join(audit, "path").withColumn("_row_id", F.lit(0).cast("long"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    out = out.withColumn("_row_id", F.monotonically_increasing_id())
-    audit = acc.select("path", "file_hash", "file_name", "client_id", "category", "year", "quarter")
-    return out.join(audit, "path")
+    return out.withColumn("_row_id", F.monotonically_increasing_id()).join(audit, "path")

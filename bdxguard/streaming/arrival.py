@@ -41,8 +41,11 @@ def register_batch(spark: SparkSession, files: DataFrame, batch_id: int, trackin
 
 def run_arrivals(spark: SparkSession, stream: DataFrame, tracking_path: str, checkpoint_path: str,
                  to_files: Callable[[DataFrame], DataFrame], order=("doc_id",), payload=PAYLOAD,
-                 available_now: bool = True, timeout_s: int | None = 600):
-    """Start the arrival stream; with ``available_now`` process what is there and stop."""
+                 available_now: bool = True):
+    """Start the arrival stream; with ``available_now`` process all that is there, however long it takes, and stop.
+
+    A failed batch raises; the returned metrics hold the rows each batch registered.
+    """
     metrics: list[dict] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -52,19 +55,21 @@ def run_arrivals(spark: SparkSession, stream: DataFrame, tracking_path: str, che
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
     q = w.start()
     if available_now:
-        q.awaitTermination(timeout_s)
+        q.awaitTermination()  # raises if the query failed
     return q, metrics
 
 
 def landing_stream(spark: SparkSession, landing: str, warehouse: str, meta, checkpoint_path: str,
-                   available_now: bool = True, timeout_s: int | None = 1800):
+                   available_now: bool = True):
     """K1 end to end: CSV files landing under ``landing`` (any client folder) are picked up by a
     ``binaryFile`` stream; every micro-batch runs the batch pipeline on its new files.
 
-    Registration against the tracking table keeps a file from being processed
-    twice across batches and restarts; the stream checkpoint remembers which
-    files were offered.  The poll interval of the reference (60 s) is the
-    processing-time trigger when ``available_now`` is false.
+    The stream checkpoint remembers which files were offered; what became of them
+    is in the run's own logs.  A batch that is replayed after a failure has the
+    same run id: files it already finished are skipped, files it had only
+    registered are processed.  Each batch also takes up files of earlier batches
+    that were blocked or failed.  The poll interval (60 s) is the processing-time
+    trigger when ``available_now`` is false.
     """
     from ..plans.pipeline import run_files
     from ..sources.files import inventory_from_binary
@@ -83,5 +88,5 @@ def landing_stream(spark: SparkSession, landing: str, warehouse: str, meta, chec
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
     q = w.start()
     if available_now:
-        q.awaitTermination(timeout_s)
+        q.awaitTermination()  # raises if the query failed
     return q, runs
