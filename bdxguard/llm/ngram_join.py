@@ -14,7 +14,9 @@ shingle).  The join is exact up to collisions of those hashes.
    A text stands in the tile of its own band and visits the one below, so each
    pair of compatible sizes meets there; a crowded tile is cut into block pairs.
 3. In a tile, bit counts of the XOR of two bitmaps bound the overlap from above:
-   ``|A & B| <= (|A| + |B| - bits) / 2``.  Pairs that fail the bound end there.
+   ``|A & B| <= (|A| + |B| - bits) / 2``.  So does the place of the shingle: at the first
+   one two sets share, both must still have the overlap they need ahead.  Pairs that
+   fail a bound end there.
 4. The rest is decided by intersecting the sorted arrays.
 
 Large groups of near copies would fill their tiles with pairs that all link.
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
@@ -67,8 +69,8 @@ def set_key(s: np.ndarray) -> int:
 
 
 def bitmap_width(n: int) -> int:
-    """Bits of the parity bitmap of a set of n shingles: a power of two of 2n or more, 64 at least."""
-    return max(64, 1 << (2 * n - 1).bit_length())
+    """Bits of the parity bitmap of a set of n shingles: a power of two of 2n or more, 256 at least."""
+    return max(256, 1 << (2 * n - 1).bit_length())
 
 
 def parity_bitmap(s: np.ndarray, width: int) -> np.ndarray:
@@ -160,33 +162,33 @@ class _Join:
         self.bitmaps = materialize(self.sets.where("n > 0").select("key", "n", "bitmap").dropDuplicates(["key"]), "ngram-bitmaps")
 
     def postings(self) -> DataFrame:
-        """``(shingle, key, n)`` for leading shingles that two different sets share, each once."""
-        rows = self.sets.where("n > 0").select(F.explode("lead").alias("shingle"), "key", "n")
+        """``(shingle, key, n, pos)`` for leading shingles that two different sets share, each once; pos: place in the order."""
+        rows = self.sets.where("n > 0").select(F.posexplode("lead").alias("pos", "shingle"), "key", "n")
         met = rows.groupBy("shingle").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi")
         met = materialize(met.select("shingle"), "ngram-met")
         return rows.join(_ids(met), "shingle", "left_semi").distinct()
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of keys whose bitmaps leave room for the overlap they need."""
+        """Pairs of keys whose bitmaps leave room for the overlap they need, with the most they may share (``room``)."""
         percent = self.percent
         left = self.bitmaps.toDF("a", "na", "ba")
         right = self.bitmaps.toDF("b", "nb", "bb")
 
         def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                na, nb = column(batch, "na").to_numpy(), column(batch, "nb").to_numpy()
-                keep = np.zeros(batch.num_rows, bool)
+                both = column(batch, "na").to_numpy().astype(np.int64) + column(batch, "nb").to_numpy()
+                bits = np.zeros(batch.num_rows, np.int64)
                 for i, (x, y) in enumerate(zip(column(batch, "ba"), column(batch, "bb"), strict=True)):
                     x, y = np.frombuffer(x.as_py(), np.uint64)[None], np.frombuffer(y.as_py(), np.uint64)[None]
                     w = min(x.shape[1], y.shape[1])
-                    bits = int(np.bitwise_count(fold(x, w) ^ fold(y, w)).sum())
-                    both = int(na[i]) + int(nb[i])
-                    keep[i] = (100 + percent) * ((both - bits) // 2) >= percent * both
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+                    bits[i] = np.bitwise_count(fold(x, w) ^ fold(y, w)).sum()
+                most = (both - bits) // 2
+                keep = (100 + percent) * most >= percent * both
+                out = batch.select(["a", "b"]).add_column(2, "room", pa.array(most / np.maximum(both - most, 1)))
+                yield out.filter(pa.array(keep))
 
-        sized = (pairs.join(left, "a").join(right, "b")
-                 .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-        return sized.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(test, "a long, b long")
+        joined = pairs.join(left, "a").join(right, "b")
+        return joined.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(test, "a long, b long, room double")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs of keys whose sets link, by intersecting the sorted arrays. Sets are recomputed from the texts."""
@@ -222,20 +224,35 @@ class _Join:
         joined = pairs.join(arrays.toDF("a", "sa"), "a").join(arrays.toDF("b", "sb"), "b")
         return joined.select("a", "b", "sa", "sb").mapInArrow(intersect, "a long, b long")
 
-    def hub_pairs(self, rows: DataFrame) -> DataFrame:
-        """For each set one set of another component: the hub it meets in most of its shingles."""
-        hubs = rows.groupBy("shingle").agg(F.min(F.struct("comp", "key")).alias("lo"), F.max(F.struct("comp", "key")).alias("hi"))
-        other = F.when(F.col("comp") != F.col("lo.comp"), F.col("lo.key")).otherwise(F.col("hi.key"))
-        met = rows.join(hubs.where("lo.comp != hi.comp"), "shingle").select("key", other.alias("hub"))
-        best = met.groupBy("key", "hub").count().groupBy("key").agg(F.max(F.struct("count", "hub")).alias("best"))
-        return best.select(F.least("key", "best.hub").alias("a"), F.greatest("key", "best.hub").alias("b")).distinct()
+    def hub_pairs(self, rows: DataFrame, first: bool) -> DataFrame:
+        """For each set one set of another component: of the hubs of its tiles, the one it may overlap most.
+
+        A tile's hubs are two of its sets: at first any, later one of its smallest and one of its largest component.
+        """
+        percent = self.percent
+        rows = rows.withColumn("band", self.band())
+        order = [F.xxhash64("key", "shingle").alias("any"), "comp"]  # another set in each tile
+        member = F.struct(*(order if first else order[::-1]), "key", "n", "pos")
+        hubs = rows.groupBy("shingle", "band").agg(F.min(member).alias("lo"), F.max(member).alias("hi")).where("lo.comp != hi.comp")
+        hub = F.when(F.col("comp") != F.col("lo.comp"), F.col("lo")).otherwise(F.col("hi"))
+        met = rows.join(hubs, ["shingle", "band"]).withColumn("hub", hub)
+        need = (F.col("n") + F.col("hub.n")) * percent
+        met = met.where((F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent)
+                        & (F.least(F.col("n") - F.col("pos"), F.col("hub.n") - F.col("hub.pos")) * (100 + percent) >= need))
+        pairs = self.bounded(met.select(F.col("key").alias("a"), F.col("hub.key").alias("b")).distinct())
+        best = pairs.groupBy("a").agg(F.max(F.struct("room", "b")).alias("best"))
+        return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
+
+    def band(self) -> Column:
+        """Size band of a row with ``n``: sizes that can link are in the same or in neighbouring bands."""
+        return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / self.percent)) + 1e-9).cast("int")
 
     def tile_pairs(self, rows: DataFrame) -> DataFrame:
         """All pairs of sets of different components that meet in a tile and pass the bound."""
         percent = self.percent
         live = rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
         rows = rows.join(live.select("shingle"), "shingle", "left_semi")
-        band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
+        band = self.band()
         rows = rows.withColumn("band", band).withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
         rows = rows.withColumn("home", F.col("band") == band)
         tiles = (rows.groupBy("shingle", "band").agg(F.count("*").alias("m"), F.min("comp").alias("lo"),
@@ -246,7 +263,7 @@ class _Join:
         own = F.pmod(F.xxhash64("key"), blocks).cast("int")
         rows = (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
                 .select("shingle", "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                        "own", "home", "key", "n", "comp"))
+                        "own", "home", "key", "n", "pos", "comp"))
         rows = rows.join(self.bitmaps.select("key", "bitmap"), "key")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,8 +281,8 @@ class _Join:
         postings = materialize(self.postings(), "ngram-postings")
         found = spark.createDataFrame([], "a long, b long")
         comps = spark.createDataFrame([], "node long, component long")
-        for _ in range(2):
-            new = self.verified(self.bounded(self.hub_pairs(_with_component(postings, comps))))
+        for turn in range(2):
+            new = self.verified(self.hub_pairs(_with_component(postings, comps), turn == 0))
             found = materialize(found.unionByName(new), "ngram-links")
             comps = materialize(connected_components(found), "ngram-comps")
         rest = self.verified(self.tile_pairs(_with_component(postings, comps)))
@@ -281,6 +298,7 @@ def tile_candidates(tile: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarra
     """Keys of the pairs of a tile that may link: other component, sizes and bitmaps allow it, one at home at least."""
     get = lambda c: tile.column(c).to_numpy()
     key, n, comp = get("key"), get("n").astype(np.int64), get("comp")
+    after = n - get("pos")  # shingles from this one on, in the common order
     home, own, p, q = get("home").astype(bool), get("own"), get("p")[0], get("q")[0]
     raw = [np.frombuffer(x, np.uint64) for x in tile.column("bitmap").to_pylist()]
     width = np.array([len(x) for x in raw])
@@ -295,6 +313,7 @@ def tile_candidates(tile: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarra
                 li = rows[w][c:c + 256]
                 lo, hi = np.minimum(n[li, None], n[None, ri]), np.maximum(n[li, None], n[None, ri])
                 may = (comp[li, None] != comp[None, ri]) & (lo * 100 >= hi * percent) & (home[li, None] | home[None, ri])
+                may &= (100 + percent) * np.minimum(after[li, None], after[None, ri]) >= percent * (lo + hi)
                 if v == w:
                     may &= li[:, None] < ri[None]
                 if p != q:
