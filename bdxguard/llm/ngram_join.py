@@ -166,7 +166,7 @@ class _Join:
         rows = self.sets.where("n > 0").select(F.posexplode("lead").alias("pos", "shingle"), "key", "n")
         met = rows.groupBy("shingle").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi")
         met = materialize(met.select("shingle"), "ngram-met")
-        return rows.join(_ids(met), "shingle", "left_semi").distinct()
+        return rows.join(met, "shingle", "left_semi").distinct()
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """Pairs of keys whose bitmaps leave room for the overlap they need, with the most they may share (``room``)."""
