@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
@@ -39,12 +39,16 @@ PIVOTS_MAX = 2048
 BLOCK_ROWS = 1024
 
 
-def pivots_of(vectors: DataFrame) -> np.ndarray:
-    """Reference points (n x dimension, unit length): a bounded sample of the distinct vectors, by a hash of their values."""
-    total = vectors.count()
-    wanted = int(np.clip(total // VECTORS_EACH, PIVOTS_MIN, PIVOTS_MAX))
-    rows = vectors.orderBy(F.xxhash64("v", F.lit(5)), "key").limit(wanted).select("v").collect()
-    return np.stack([np.frombuffer(r[0], np.float64) for r in rows]) if rows else np.zeros((0, 1))
+def pivots_of(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """Reference points (n x dimension, unit length) of each dimension: a bounded sample of the distinct vectors, by a hash of their values."""
+    size = F.octet_length("v")
+    total = vectors.groupBy(size.alias("size")).agg(F.greatest(F.lit(PIVOTS_MIN), F.least(F.lit(PIVOTS_MAX), F.count("*") / VECTORS_EACH)).alias("wanted"))
+    rank = F.row_number().over(Window.partitionBy("size").orderBy(F.xxhash64("v", F.lit(5)), "key"))
+    few = vectors.select(size.alias("size"), "key", "v").withColumn("rank", rank).where(F.col("rank") <= PIVOTS_MAX)
+    found: dict[int, list] = {}
+    for r in few.join(total, "size").where("rank <= wanted").orderBy("size", "rank").select("v").collect():
+        found.setdefault(len(r[0]) // 8, []).append(np.frombuffer(r[0], np.float64))
+    return {d: np.stack(rows) for d, rows in found.items()}
 
 
 def unit_vectors(table: DataFrame) -> DataFrame:
@@ -80,28 +84,25 @@ def unit_vectors(table: DataFrame) -> DataFrame:
     return made.withColumn("key", F.xxhash64("label", "v"))
 
 
-def described(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
+def described(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     """``(label, pivot, key, weight, v, near)``, a row for each inverted list a class enters; near: its pivots, nearest first."""
     shared = classes.sparkSession.sparkContext.broadcast(pivots)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = shared.value
         for batch in batches:
-            near = np.zeros((batch.num_rows, NEAREST), np.int16)
+            near = np.full((batch.num_rows, NEAREST), -1, np.int16)  # -1: the dimension has fewer pivots
             raw = [np.frombuffer(x, np.float64) for x in column(batch, "v").to_pylist()]
             sizes = np.array([len(x) for x in raw])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                if size == p.shape[1]:
-                    like = np.stack([raw[i] for i in at]) @ p.T
-                    order = np.argsort(-like, axis=1, kind="stable")[:, :NEAREST]
-                    near[at, :order.shape[1]] = order
-                    near[at, order.shape[1]:] = -1
-            width = min(LOOKED_UP, len(p))
-            again = pa.array(np.repeat(np.arange(batch.num_rows), width))
+                like = np.stack([raw[i] for i in at]) @ shared.value[int(size)].T
+                order = np.argsort(-like, axis=1, kind="stable")[:, :NEAREST]
+                near[at[:, None], np.arange(order.shape[1])] = order
+            row, place = np.nonzero(near[:, :LOOKED_UP] >= 0)
+            again = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [*[column(batch, c).take(again) for c in ("label", "key", "weight", "v")],
-                 pa.array(near[:, :width].ravel().astype(np.int32)), binary_array(np.repeat(near, width, axis=0).ravel(), [NEAREST] * (width * batch.num_rows))],
+                 pa.array(near[row, place].astype(np.int32)), binary_array(near[row].ravel(), [NEAREST] * len(row))],
                 names=["label", "key", "weight", "v", "pivot", "near"])
 
     return classes.select("label", "key", "weight", "v").mapInArrow(
@@ -115,7 +116,7 @@ def list_links(block: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarra
     near = np.stack([np.frombuffer(x, np.int16) for x in block.column("near").to_pylist()])
     raw = block.column("v").to_pylist()
     n = len(key)
-    size = np.array([len(x) for x in raw])
+    size = np.array([len(x) for x in raw])  # vectors of different dimensions do not link
     counts = np.zeros(n, np.int64)
     root = np.arange(n)
     edges: list[tuple[int, int]] = []
@@ -131,6 +132,7 @@ def list_links(block: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarra
         v = np.stack([np.frombuffer(raw[i], np.float64) for i in rows])
         named = near[rows]
         pivots = int(named.max()) + 1
+        shared = min(SHARED, int((named >= 0).sum(axis=1).max()))  # a dimension may have fewer pivots
         member = np.zeros((len(rows), pivots + 1), np.float32)
         member[np.arange(len(rows))[:, None], named] = 1.0
         member[:, -1] = 0.0  # -1: no pivot
@@ -139,7 +141,7 @@ def list_links(block: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarra
         looked[:, -1] = 0.0
         for a in range(0, len(rows), 256):
             left = slice(a, a + 256)
-            may = member[left] @ member.T >= SHARED
+            may = member[left] @ member.T >= shared
             may &= looked[left, :pivot] @ looked[:, :pivot].T == 0  # the list of the smallest shared pivot takes the pair
             if p != q:
                 may &= own[rows[left]][:, None] < own[rows][None]
