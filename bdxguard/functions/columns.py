@@ -62,13 +62,6 @@ def file_name_part(file_name, group: int) -> Column:
     return F.when(x != "", x)
 
 
-def client_from_path(path) -> Column:
-    """Parent folder of a landed file is the client; files at the root get UNKNOWN_CLIENT."""
-    parts = F.split(F.regexp_replace(_c(path), r"^[a-zA-Z0-9+.-]+:/+", "/"), "/")
-    parent = F.element_at(parts, -2)
-    return F.when(parent.isNull() | (parent == "") | (F.size(parts) <= 2), F.lit(UNKNOWN_CLIENT)).otherwise(parent)
-
-
 def run_id_from_ts(ts) -> Column:
     """Run id ``yyyyMMdd_HHmmssZ`` from a UTC timestamp (F16)."""
     return F.concat(F.date_format(_c(ts), "yyyyMMdd_HHmmss"), F.lit("Z"))

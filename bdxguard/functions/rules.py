@@ -53,11 +53,3 @@ def add_tags(df: DataFrame, rules: Sequence[Rule], col: str = "dq_issues") -> Da
     return df.withColumn(col, new)
 
 
-def has_tag(name: str, col: str = "dq_issues") -> Column:
-    """Exact tag membership (P10); no substring accidents."""
-    return F.array_contains(F.col(col), F.lit(name))
-
-
-def joined_tags(col: str = "dq_issues") -> Column:
-    """Pipe-joined form used only at sinks and in exported files."""
-    return F.array_join(F.col(col), "|")

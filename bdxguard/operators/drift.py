@@ -133,6 +133,16 @@ def open_review_items(queue: DataFrame) -> DataFrame:
                         | ((F.col("status") == "AFFECTS_CALCULATIONS") & ~F.coalesce("de_resolved", F.lit(False))))
 
 
+def review_list(queue: DataFrame, statuses: Sequence[str] = ("PENDING",)) -> DataFrame:
+    """Review items of the given statuses, newest first (then by client, category and column)."""
+    return queue.filter(F.col("status").isin(*statuses)).orderBy(F.col("created_at").desc(), "client_id", "category", "raw_col_name")
+
+
+def review_item(queue: DataFrame, client_id: str, category: str, raw_col_name: str) -> DataFrame:
+    """The items of one column of one client and category; the filters reach the scan."""
+    return queue.filter((F.col("client_id") == client_id) & (F.col("category") == category) & (F.col("raw_col_name") == raw_col_name))
+
+
 def pending_digest(queue: DataFrame) -> DataFrame:
     """Per client, pending items and files (counts; the item rows stay a frame)."""
     p = queue.filter(F.col("status") == "PENDING")

@@ -22,15 +22,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
-def mark_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
-    """Left join to the *distinct* keys of ``keys_df`` adding boolean ``flag``.
-
-    The key side is de-duplicated first, so the join can never fan out.
-    """
-    marks = keys_df.select(*on).distinct().withColumn(flag, F.lit(True))
-    return df.join(marks, list(on), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join where NULL keys match NULL keys (``<=>``); right key columns are dropped."""
     ren = {k: f"__r_{k}" for k in on}

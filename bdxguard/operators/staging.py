@@ -171,9 +171,10 @@ def staging_log(staged: DataFrame, run_id: str,
 
 
 def staging_summary(log: DataFrame) -> DataFrame:
-    """Run summary of a staging log."""
+    """Run summary of a staging log (G15, A14); with ``processed_at`` in the log also the run's latest time."""
+    latest = [F.max("processed_at").alias("run_time")] if "processed_at" in log.columns else []
     return (log.groupBy("run_id")
-            .agg(F.count(F.lit(1)).alias("total_files"),
+            .agg(*latest, F.count(F.lit(1)).alias("total_files"),
                  F.count_if(F.col("status") == "SUCCESS").alias("processed_files"),
                  F.count_if(F.col("status") == "FAILED").alias("failed_files"),
                  F.coalesce(F.sum("rows_to_silver"), F.lit(0)).cast("bigint").alias("rows_to_silver"),

@@ -99,51 +99,17 @@ def enrich_with_treaty(rows: DataFrame, treaty: DataFrame, broadcast_rows: int |
 
 
 # -------------------------------------------------------------- duplicates
-def in_file_duplicates(rows: DataFrame, keys: Sequence[str], flag: str, scope: Column | None = None) -> DataFrame:
-    """Flag every row of a (file, keys) group except one kept row.
-
-    The kept row has the smallest content fingerprint (``_fp``); among rows of
-    identical content any one is kept.  Group-by + join back instead of
-    ``row_number`` over a window: the aggregate is partial (map-side) and a hot
-    key is split by AQE's skew join, so no single task holds a whole group.
-    ``min_by(row_id, 60-bit fingerprint prefix)`` keeps the aggregate hash-based.
-    NULL keys form one group, as in a window.
-    """
-    ordv = F.conv(F.substring("_fp", 1, 15), 16, 10).cast("bigint")
-    src = rows if scope is None else rows.filter(scope)
-    keep = src.groupBy("file_hash", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"))
-    out = join_null_safe(rows, keep, ["file_hash", *keys], "left")
-    cond = F.col("_keep").isNotNull() & (F.col("_row_id") != F.col("_keep"))
-    return out.withColumn(flag, F.coalesce(cond, F.lit(False))).drop("_keep")
-
-
-def history_duplicates(rows: DataFrame, history: DataFrame | None, keys: Sequence[str], flag: str) -> DataFrame:
-    """Flag rows whose (client, keys) appear in history rows of *another* file.
-
-    Per key we keep only min/max of a 64-bit hash of the file hash (hash
-    aggregate, no list): another file exists iff either differs from our own.
-    """
-    if history is None:
-        return rows.withColumn(flag, F.lit(False))
-    hf = F.xxhash64("file_hash")
-    h = (history.select("client_id", *keys, hf.alias("_hf"))
-         .groupBy("client_id", *keys)
-         .agg(F.min("_hf").alias("_h_min"), F.max("_hf").alias("_h_max")))
-    out = rows.join(h, ["client_id", *keys], "left")
-    own = F.xxhash64("file_hash")
-    hit = F.col("_h_min").isNotNull() & ((F.col("_h_min") != own) | (F.col("_h_max") != own))
-    return out.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_h_min", "_h_max")
-
-
 def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | None,
                     scope: Column | None = None, with_lookup: bool = False):
     """In-file (W1/V2/V10) and historical (V3/V10) duplicate flags with one join of the rows.
 
-    Both rules depend only on (file, keys): the kept-row aggregate per (file,
-    keys) is joined with the history aggregate per (client, keys) at key level
-    (small x small), and the rows are shuffled once to pick up ``_dup_file``
-    and ``_dup_hist``.  Same semantics as ``in_file_duplicates`` +
-    ``history_duplicates``.
+    In a (file, keys) group every row but one is a duplicate; the kept row has the smallest content fingerprint, and
+    among rows of identical content any one is kept.  NULL keys form one group, as in a window.  A row is also a
+    duplicate if its (client, keys) appear in the history of another file.
+
+    Both rules depend only on (file, keys): the kept-row aggregate per (file, keys) (partial, so a hot key costs a
+    counter) is joined with the history aggregate per (client, keys) at key level, and the rows are shuffled once to
+    pick up ``_dup_file`` and ``_dup_hist``.
     """
     ordv = F.conv(F.substring("_fp", 1, 15), 16, 10).cast("bigint")
     src = rows if scope is None else rows.filter(scope)

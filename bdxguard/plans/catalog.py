@@ -698,6 +698,36 @@ def q_open_review_items(spark, d):
     return dr.open_review_items(_queue_after(spark, d)).select("client_id", "category", "raw_col_name", "status")
 
 
+def _timed_queue(spark, d):
+    """The review queue with a creation time (the fixture's column names arrive on days of their length)."""
+    q = _queue_after(spark, d)
+    return q.withColumn("created_at", F.timestamp_seconds(F.lit(1704067200) + F.length("raw_col_name") * 86400))
+
+
+_TIMED = """timed AS (SELECT *, strftime(TIMESTAMP '2024-01-01' + to_days(CAST(length(raw_col_name) AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS created_at
+                  FROM rq_all)"""
+
+
+@register("review_list", orc.with_views("""
+    SELECT client_id, category, raw_col_name, file_name, created_at FROM timed WHERE status = 'PENDING'
+    ORDER BY created_at DESC, client_id, category, raw_col_name""", _TIMED))
+def q_review_list(spark, d):
+    """Pending review items, newest first."""
+    return dr.review_list(_timed_queue(spark, d)).select("client_id", "category", "raw_col_name", "file_name",
+                                                         F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
+
+
+@register("review_item", orc.with_views("""
+    SELECT client_id, category, raw_col_name, file_name, status FROM timed
+    WHERE client_id = 'client_1' AND category = 'premium' AND raw_col_name = (SELECT min(raw_col_name) FROM rq_all
+        WHERE client_id = 'client_1' AND category = 'premium')""", _TIMED))
+def q_review_item(spark, d):
+    """Point lookup of one review item (the first column by name of one client and category)."""
+    q = _timed_queue(spark, d)
+    first = q.filter("client_id = 'client_1' AND category = 'premium'").agg(F.min("raw_col_name")).first()[0]
+    return dr.review_item(q, "client_1", "premium", first or "").select("client_id", "category", "raw_col_name", "file_name", "status")
+
+
 # ------------------------------------------------------------------ canonicalisation and PII
 _CRAW = """
     craw AS (SELECT 'client_' || CAST(c_nationkey % 3 AS VARCHAR) AS client_id, CAST(c_custkey AS VARCHAR) AS customer_key,
