@@ -381,18 +381,37 @@ def q_recon_statement(spark, d):
     gold_src AS (SELECT p.* FROM c_premium p WHERE EXISTS (
           SELECT 1 FROM recon r WHERE r.status = 'RECONCILED' AND r.client_id = p.client_id AND r.category = p.category
             AND r.year = p.year AND r.period = p.quarter)),
-      gold_tgt AS (SELECT * REPLACE (CAST(0 AS DECIMAL(18,2)) AS premium_amount) FROM c_premium WHERE year = 1995)"""))
+      gold_tgt AS (SELECT * REPLACE (CAST(0 AS DECIMAL(18,2)) AS premium_amount) FROM c_premium)"""))
 def q_upsert_gold(spark, d):
-    """R4 + S10/S11: rows of RECONCILED premium periods upserted into a gold table (year 1995 pre-loaded)."""
+    """R4 + S10/S11: rows of RECONCILED premium periods upserted into a gold table that holds all periods with amount 0."""
     p = Pipeline(spark, d)
     results = recon_results(p)
     src = rc.reconciled_rows(_validated(p.clean_premium), results)
-    tgt = _validated(p.clean_premium).filter(F.col("year") == 1995).withColumn("premium_amount", F.lit(0).cast("decimal(18,2)"))
+    tgt = _validated(p.clean_premium).withColumn("premium_amount", F.lit(0).cast("decimal(18,2)"))
     merged = up.upsert(tgt, src, up.merge_keys("premium"))
     return merged.select("client_id", "file_hash", "year", "quarter", "policy_number", "benefit_id", "valuation_date",
                          "policy_effective_date", "premium_amount")
 
 
+@register("upsert_gold_claims", _with_recon("""
+    SELECT client_id, file_hash, year, quarter, claim_id, policy_number, benefit_id, policy_effective_date, claim_amount
+    FROM (SELECT * FROM gold_tgt t WHERE NOT EXISTS (SELECT 1 FROM gold_src s WHERE s.claim_id = t.claim_id
+              AND s.policy_number = t.policy_number AND s.benefit_id = t.benefit_id
+              AND s.policy_effective_date = t.policy_effective_date AND s.year = t.year AND s.quarter = t.quarter)
+          UNION ALL SELECT * FROM gold_src)""", """
+    gold_src AS (SELECT c.* FROM c_claims c WHERE EXISTS (
+          SELECT 1 FROM recon r WHERE r.status = 'RECONCILED' AND r.client_id = c.client_id AND r.category = c.category
+            AND r.year = c.year AND r.period = c.quarter)),
+      gold_tgt AS (SELECT * REPLACE (CAST(0 AS DECIMAL(18,2)) AS claim_amount) FROM c_claims)"""))
+def q_upsert_gold_claims(spark, d):
+    """R4 + S10/S11: rows of RECONCILED claims periods upserted into a gold table that holds all periods with amount 0."""
+    p = Pipeline(spark, d)
+    src = rc.reconciled_rows(_validated(p.clean_claims), recon_results(p))
+    tgt = _validated(p.clean_claims).withColumn("claim_amount", F.lit(0).cast("decimal(18,2)"))
+    return up.upsert(tgt, src, up.merge_keys("claims")).select("client_id", "file_hash", "year", "quarter", "claim_id", "policy_number",
+                                                               "benefit_id", "policy_effective_date", "claim_amount")
+
+
 @register("upsert_validated", orc.with_views("""
     SELECT client_id, file_hash, year, quarter, policy_number, benefit_id, valuation_date, policy_effective_date,
            CAST(premium_amount AS DECIMAL(18,2)) AS premium_amount
@@ -400,14 +419,14 @@ def q_upsert_gold(spark, d):
               AND s.benefit_id = t.benefit_id AND s.valuation_date = t.valuation_date
               AND s.policy_effective_date = t.policy_effective_date AND s.year = t.year AND s.quarter = t.quarter)
           UNION ALL SELECT * FROM u_src)""", """
-    u_tgt AS (SELECT * FROM c_premium WHERE quarter IN ('Q1', 'Q2')),
+    u_tgt AS (SELECT * FROM c_premium WHERE quarter IN ('Q1', 'Q2', 'Q3')),
     u_src AS (SELECT * REPLACE (CASE WHEN quarter = 'Q2' THEN premium_amount + 1 ELSE premium_amount END AS premium_amount)
-              FROM c_premium WHERE quarter IN ('Q2', 'Q3'))"""))
+              FROM c_premium WHERE quarter IN ('Q2', 'Q3', 'Q4'))"""))
 def q_upsert_validated(spark, d):
-    """Keyed upsert (MERGE semantics, NULL keys never match) of Q2-Q3 rows into Q1-Q2 rows."""
+    """Keyed upsert (MERGE semantics, NULL keys never match) of the rows of Q2-Q4 into those of Q1-Q3."""
     c = _validated(Pipeline(spark, d).clean_premium)
-    tgt = c.filter(F.col("quarter").isin("Q1", "Q2"))
-    src = (c.filter(F.col("quarter").isin("Q2", "Q3"))
+    tgt = c.filter(F.col("quarter").isin("Q1", "Q2", "Q3"))
+    src = (c.filter(F.col("quarter").isin("Q2", "Q3", "Q4"))
            .withColumn("premium_amount", F.when(F.col("quarter") == "Q2", F.col("premium_amount") + 1)
                        .otherwise(F.col("premium_amount")).cast("decimal(18,2)")))
     return up.upsert(tgt, src, up.merge_keys("premium")).select(
