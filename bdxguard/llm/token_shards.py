@@ -11,8 +11,10 @@ so slot s lies at byte ``(s % per_shard) * stride`` of shard ``s // per_shard``:
 goes on there, without an index.
 
 The permutation is a function of index and key, so nothing is sorted globally to shuffle: the slot is computed where
-the text is, and rows are dealt to ranges of slots once.  A shard is written under a temporary name and then
-renamed; its bytes depend on its slots only, so a task that runs twice writes the same file.
+the text is, and rows are dealt to ranges of slots once.  On that way each sequence is compressed by zstd with one
+dictionary, trained on the sequences of at most ``SAMPLE_DOCS`` documents; it changes the size of the shuffle and
+nothing else.  A shard is written under a temporary name and then renamed; its bytes depend on its slots only, so a
+task that runs twice writes the same file.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,9 @@ ROUNDS = 4
 SHARE_DOCS = 4096
 #: Documents up to which the table of their first indexes is broadcast; beyond it the join shuffles.
 BROADCAST_DOCS = 500_000
+SAMPLE_DOCS = 256
+DICTIONARY_BYTES = 1 << 15
+LEVEL = 3
 _HEAD = np.dtype([("doc_id", "<i8"), ("piece", "<i4"), ("n", "<i4")])
 
 
@@ -132,17 +138,42 @@ def write_shards(docs: DataFrame, folder: str, encode: Encoder = byte_ids, n_ids
     nth = F.row_number().over(Window.partitionBy("i", "h").orderBy("n")) - 1  # equal rows: any order is the same
     again = joined("copies > 1").withColumn("first", F.col("first") + nth * F.col("pieces")).select("doc_id", "text", "first")
     least = F.lit(-(1 << 63)).cast("long")
+    few = indexed.orderBy(F.xxhash64("i", "h"), "i").limit(SAMPLE_DOCS).select(F.col("h").alias("th")).distinct()
+    dictionary = _dictionary(rows.join(F.broadcast(few), "th", "left_semi").select("text"), encode, layout)
     sequences = once.unionByName(again).select(F.coalesce("doc_id", least).alias("doc_id"), "text", "first").mapInArrow(
-        lambda batches: _sequences(batches, encode, layout, key), "shard int, slot long, doc_id long, piece int, ids binary")
+        lambda batches: _sequences(batches, encode, layout, key, dictionary), "shard int, slot long, doc_id long, piece int, ids binary")
     spread = sequences.repartition("shard").sortWithinPartitions("shard", "slot")
-    written = spread.mapInArrow(lambda batches: _write(batches, layout), "shard int, first_slot long, records int, sha256 string")
+    written = spread.mapInArrow(lambda batches: _write(batches, layout, dictionary), "shard int, first_slot long, records int, sha256 string")
     return layout, materialize(written, "slots-manifest")
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], encode: Encoder, layout: Layout, key: int) -> Iterator[pa.RecordBatch]:
+def _dictionary(texts: DataFrame, encode: Encoder, layout: Layout) -> bytes:
+    """A zstd dictionary for sequences like those of the given few texts; empty if they are too few to train on."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = layout.length * layout.itemsize
+        for batch in batches:
+            ids, per = encode(*text_view(column(batch, "text")))
+            ends = np.cumsum(per).tolist()
+            raw = [np.ascontiguousarray(ids[e - n:e].astype(f"<u{layout.itemsize}")).tobytes() for e, n in zip(ends, per.tolist(), strict=True)]
+            some = [r[a:a + step] for r in raw for a in range(0, min(len(r), 32 * step), step)]
+            yield pa.record_batch({"ids": pa.array(some, pa.binary())})
+
+    samples = sorted(bytes(r[0]) for r in texts.mapInArrow(cut, "ids binary").collect())
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
+def _shared(dictionary: bytes) -> dict:
+    return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+
+
+def _sequences(batches: Iterator[pa.RecordBatch], encode: Encoder, layout: Layout, key: int, dictionary: bytes) -> Iterator[pa.RecordBatch]:
     from .arrow import slices
 
     kind = np.dtype(f"<u{layout.itemsize}")
+    packer = zstandard.ZstdCompressor(LEVEL, write_dict_id=False, **_shared(dictionary))
     for batch in batches:
         for part in slices(batch, "text"):
             ids, per = encode(*text_view(column(part, "text")))
@@ -152,24 +183,25 @@ def _sequences(batches: Iterator[pa.RecordBatch], encode: Encoder, layout: Layou
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             size = np.minimum(per[doc] - piece * layout.length, layout.length)
             slot = feistel(column(part, "first").to_numpy()[doc] + piece, layout.total, key)
-            ends = np.zeros(len(doc) + 1, np.int32)
-            np.cumsum(size * layout.itemsize, out=ends[1:])
+            raw, ends = memoryview(np.ascontiguousarray(ids).view(np.uint8)), np.cumsum(size * layout.itemsize)
+            packed = [packer.compress(raw[e - n:e]) for e, n in zip(ends.tolist(), (size * layout.itemsize).tolist(), strict=True)]
             yield pa.record_batch({
                 "shard": pa.array((slot // layout.per_shard).astype(np.int32)), "slot": pa.array(slot),
                 "doc_id": column(part, "doc_id").take(pa.array(doc)), "piece": pa.array(piece.astype(np.int32)),
-                "ids": pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids).view(np.uint8))])})
+                "ids": pa.array(packed, pa.binary())})
 
 
-def _write(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], layout: Layout, dictionary: bytes) -> Iterator[pa.RecordBatch]:
     fs, _ = _file_system(layout.folder)
+    unpacker = zstandard.ZstdDecompressor(**_shared(dictionary))
     for group in groups(batches, ["shard"]):
         shard = group.column("shard")[0].as_py()
         first = shard * layout.per_shard
         slots = group.column("slot").to_numpy()
         if not np.array_equal(slots, np.arange(first, min(first + layout.per_shard, layout.total))):
             raise ValueError(f"shard {shard} does not hold each of its slots once")
-        data, offsets = text_view(group.column("ids"))
-        size = np.diff(offsets)
+        parts = [unpacker.decompress(p) for p in group.column("ids").to_pylist()]
+        data, size = np.frombuffer(b"".join(parts), np.uint8), np.array([len(p) for p in parts], np.int64)
         out = np.zeros((len(slots), layout.stride), np.uint8)
         head = np.zeros(len(slots), _HEAD)
         head["doc_id"], head["piece"], head["n"] = group.column("doc_id").to_numpy(), group.column("piece").to_numpy(), size // layout.itemsize
