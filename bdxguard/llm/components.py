@@ -10,15 +10,17 @@ partial aggregation and by skew-join splitting.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
 
 
-def _state(links: DataFrame) -> tuple:
-    row = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links written and read again, and their number and a sum over their hashes, observed by the write."""
+    seen = Observation()
+    table = materialize(links.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "links")
+    return table, (seen.get["n"], seen.get["sum"])
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,8 +30,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     edges = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
-    edges = materialize(edges, "links")
-    state = _state(edges)
+    edges, state = _written(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -38,8 +39,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = large.join(down, "u")
         small = (small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small.select("u", F.col("m").alias("v"))).distinct())
-        edges = materialize(small, "links")
-        after = _state(edges)
+        edges, after = _written(small)
         if after == state:
             break
         state = after

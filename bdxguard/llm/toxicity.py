@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialize
 from .arrow import binary_array, column, slices, text_view
 from .words import span_hashes, word_spans
 
@@ -111,10 +112,11 @@ def associated(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.flatnonzero((seen[0] + seen[1] >= MIN_DOCS) & (np.abs(seen[1] / n[1] - seen[0] / n[0]) >= MIN_Z * error))
 
 
-def fit(docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> Machine:
-    """Learn from slot arrays, 0/1 labels and example weights."""
+def fit(docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 11,
+        used: np.ndarray | None = None) -> Machine:
+    """Learn from slot arrays, 0/1 labels and example weights; ``used``: the slots that take part, if already known."""
     rng = np.random.default_rng(seed)
-    used = associated(docs, labels)
+    used = associated(docs, labels) if used is None else used
     slot = np.zeros(1 << HASH_BITS, np.int32)
     slot[used] = np.arange(1, len(used) + 1)
     rows = [r[r > 0] for r in (slot[d] for d in docs)]
@@ -166,7 +168,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     """Learn from the labelled documents that are not held out; without any, every score is one half.
 
     A label is a row with an id and ``toxic`` 0 or 1; an id with several labels counts as toxic if any says so.
-    The ids of the bounded sample are chosen from the labels table; only the slots of their texts reach the driver.
+    The ids of the bounded sample are chosen from the labels table.  Spark counts the slots of their texts, and only
+    the slots that take part reach the driver.
     """
     known = (labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
@@ -180,13 +183,39 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
         for batch in batches:
             for part in slices(batch, "__t"):
                 flat, per = terms(*text_view(column(part, "__t")))
-                yield pa.record_batch({"doc_id": column(part, "doc_id"), "toxic": column(part, "toxic"), "slots": binary_array(flat, per)})
+                ends = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
+                yield pa.record_batch({"doc_id": column(part, "doc_id"), "toxic": column(part, "toxic"),
+                                       "slots": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))})
+
+    sample = materialize(texts.select("doc_id", "toxic", "__t").mapInArrow(slots, "doc_id long, toxic int, slots array<int>"), "toxicity-sample")
+    used = np.array(_associated_slots(sample), np.int32)
+
+    def only_used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = column(batch, "slots")
+            flat = lists.flatten().to_numpy()
+            keep = np.isin(flat, used)
+            doc = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            yield pa.record_batch({"doc_id": column(batch, "doc_id"), "toxic": column(batch, "toxic"),
+                                   "slots": binary_array(flat[keep], np.bincount(doc[keep], minlength=batch.num_rows))})
 
     found = sorted((r["doc_id"], r["toxic"], bytes(r["slots"])) for r in
-                   texts.select("doc_id", "toxic", "__t").mapInArrow(slots, "doc_id long, toxic int, slots binary").collect())
+                   sample.mapInArrow(only_used, "doc_id long, toxic int, slots binary").collect())
     y = np.array([r[1] for r in found], float)
     share = [(total.get(k, 0) / max(sum(total.values()), 1)) / max((y == k).mean(), 1e-9) if len(y) else 1.0 for k in (0, 1)]
-    return fit([np.frombuffer(r[2], np.int32) for r in found], y, np.where(y == 1, share[1], share[0]))
+    return fit([np.frombuffer(r[2], np.int32) for r in found], y, np.where(y == 1, share[1], share[0]), used=used)
+
+
+def _associated_slots(sample: DataFrame) -> list[int]:
+    """The slots ``associated`` finds, counted by Spark over the sample's (toxic, slots) rows."""
+    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    n0, n1 = (float(max(n.get(k, 0), 1)) for k in (0, 1))
+    seen = (sample.select("toxic", F.explode("slots").alias("slot")).groupBy("slot")
+            .agg(F.count_if(F.col("toxic") == 0).alias("s0"), F.count_if(F.col("toxic") == 1).alias("s1")))
+    both = (F.col("s0") + F.col("s1")) / (n0 + n1)
+    error = F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / n0 + 1 / n1))
+    some = seen.where((F.col("s0") + F.col("s1") >= MIN_DOCS) & (F.abs(F.col("s1") / n1 - F.col("s0") / n0) >= MIN_Z * error))
+    return sorted(r[0] for r in some.select("slot").collect())
 
 
 def score(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:
