@@ -26,6 +26,7 @@ from .arrow import column, slices, text_view
 SEGMENT = 128
 STATE = 8
 TRAIN_DOCS = 800
+LANGUAGES_MAX = 500
 TRAIN_SEGMENTS = 4
 TRAIN_BYTES = 64
 TRAIN_STEPS = 500
@@ -226,11 +227,20 @@ def fit(segments: list[bytes], labels: list[str], steps: int = TRAIN_STEPS, seed
 def train(docs: DataFrame) -> Model | None:
     """Fit on documents with an id, a text and a language whose crc32 of the id is not 0 modulo 5; None if there is none.
 
-    At most TRAIN_DOCS documents a language are taken, by a hash of their ids; only their segments reach the driver.
+    At most TRAIN_DOCS documents of each of the LANGUAGES_MAX most frequent languages are taken, by a hash of their ids; only their segments reach the driver.
+    The hash first thins each language to about twice that many, so ranking them needs no more rows, however many
+    documents the language has.
     """
     able = docs.where("doc_id is not null and lang is not null").where(~held_out())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id"))
-    chosen = able.select("doc_id", "lang").withColumn("r", rank).where(F.col("r") <= TRAIN_DOCS).select("doc_id").distinct()
+    counts = able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES_MAX).collect()
+    if not counts:
+        return None
+    order = F.xxhash64("doc_id", F.lit(17))
+    parts = 1 << 40
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(parts, 2 * TRAIN_DOCS * parts // r["count"] + 1))])
+    thinned = able.select("doc_id", "lang").where(F.pmod(order, F.lit(parts)) < share[F.col("lang")])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
+    chosen = thinned.withColumn("r", rank).where(F.col("r") <= TRAIN_DOCS).select("doc_id").distinct()
     texts = (able.join(F.broadcast(chosen), "doc_id", "left_semi")
              .select("doc_id", "lang", F.lower("text").cast("binary").alias("bytes")))
 
