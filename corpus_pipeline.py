@@ -17,6 +17,14 @@ from bdxguard.sources.tables import materialize
 
 #: A document stays if some language has at least this mean probability over its bytes.
 MIN_LANGUAGE_SCORE = 0.4
+#: Rows of an Arrow batch at most: whole rows and their texts pass to Python, and a batch is held on both sides.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -26,23 +34,27 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network can tell; null texts, texts without letters and undecided ones go."""
+    _small_batches(spark)
     told = langid.predict(_whole(docs), langid.train(docs), ["row"])
     return told.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine, learned from the labels of the documents so far, scores below the threshold."""
+    _small_batches(spark)
     machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(_whole(docs), machine, ["row"]).where(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the n-gram Jaccard join stays: the one with the smallest doc_id."""
+    _small_batches(spark)
     return one_of_each(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every token of the documents goes: best-fit packing with conflicts."""
+    _small_batches(spark)
     return pack(docs)
 
 
