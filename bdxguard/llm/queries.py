@@ -86,10 +86,10 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bins for all documents, without copies together and with at most two documents of a source."""
-    from .packing import pack
+    """Bins for all documents, without copies or near copies together and with at most two documents of a source."""
+    from .packing import NEAR, pack
 
-    return pack(_table(spark, sf_dir, "documents"))
+    return pack(_table(spark, sf_dir, "documents"), near=NEAR)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
