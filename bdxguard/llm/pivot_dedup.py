@@ -70,18 +70,28 @@ def spread_out(rows: np.ndarray, wanted: int, angle: float) -> np.ndarray:
     return rows[taken]
 
 
+def sample_of(vectors: DataFrame) -> DataFrame:
+    """``(size, key, hash, wanted)``: rows of small hash of each dimension, about ``4 * PIVOTS_MAX`` where it has more; wanted: its pivots.
+
+    A ranking by the hash needs the first ``2 * PIVOTS_MAX`` at most; without the rest no task ranks the whole table.
+    """
+    hashed = vectors.select(F.octet_length("v").alias("size"), "key", F.xxhash64("v", F.lit(5)).alias("hash"))
+    total = hashed.groupBy("size").agg(F.count("*").alias("n"))
+    wanted = F.greatest(F.lit(PIVOTS_MIN), F.least(F.lit(PIVOTS_MAX), F.col("n") / VECTORS_EACH)).cast("int")
+    low = F.col("hash") / F.lit(2.0 ** 64) + 0.5 <= F.lit(4.0 * PIVOTS_MAX) / F.col("n")
+    return hashed.join(total, "size").where(low).select("size", "key", "hash", wanted.alias("wanted"))
+
+
 def pivots_of(vectors: DataFrame, threshold: float = THRESHOLD) -> dict[int, np.ndarray]:
     """Reference points (n x dimension, unit length) of each dimension, ``APART`` from each other.
 
     They come from a bounded sample of the distinct vectors, by a hash of their values, of twice as many.
     """
-    size = F.octet_length("v")
-    total = vectors.groupBy(size.alias("size")).agg(F.greatest(F.lit(PIVOTS_MIN), F.least(F.lit(PIVOTS_MAX), F.count("*") / VECTORS_EACH)).alias("wanted"))
-    rank = F.row_number().over(Window.partitionBy("size").orderBy(F.xxhash64("v", F.lit(5)), "key"))
-    few = vectors.select(size.alias("size"), "key", "v").withColumn("rank", rank).where(F.col("rank") <= 2 * PIVOTS_MAX)
+    rank = F.row_number().over(Window.partitionBy("size").orderBy("hash", "key"))
+    few = sample_of(vectors).withColumn("rank", rank).where("rank <= 2 * wanted").select("key", "rank", "wanted")
     found: dict[int, list] = {}
     wanted: dict[int, int] = {}
-    for r in few.join(total, "size").where("rank <= 2 * wanted").orderBy("size", "rank").select("v", F.col("wanted").cast("int")).collect():
+    for r in vectors.select("key", "v").join(few, "key").orderBy(F.octet_length("v"), "rank").select("v", "wanted").collect():
         found.setdefault(len(r[0]) // 8, []).append(np.frombuffer(r[0], np.float64))
         wanted[len(r[0]) // 8] = r[1]
     return {d: spread_out(np.stack(rows), wanted[d], APART * np.arccos(threshold)) for d, rows in found.items()}
