@@ -30,6 +30,8 @@ TRAIN_DOCS = 12000
 EPOCHS = 6
 BATCH = 64
 THRESHOLD = 0.5
+#: Re-used words are counted in equal blocks of at most so many words, as their share grows with the length of ordinary prose.
+BLOCK_WORDS = 3000
 
 _KIND = np.zeros(256, np.uint8)  # 0 other ASCII, 1 lower, 2 upper, 3 digit, 4 sentence mark, 5 symbol, 6 beyond ASCII
 _KIND[ord("a"):ord("z") + 1] = 1
@@ -46,7 +48,7 @@ class Measures:
 
     words: np.ndarray
     repeats: np.ndarray  # share of words equal to the one before
-    again: np.ndarray  # share of words that occurred before in the text
+    again: np.ndarray  # share of words that occurred before in their block of the text
     upper: np.ndarray  # share of upper case among ASCII letters
     symbols: np.ndarray  # share of symbols among bytes that are not white space
     marked: np.ndarray  # share of words that end with a symbol or are one
@@ -70,17 +72,22 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> tuple[Measures, dict[str,
     same[1:] = hashes[1:] == hashes[:-1]
     same &= ~first
     seen = np.ones(len(starts), bool)
+    again = np.ones(len(starts), bool)
     if len(starts):
         order = np.lexsort((np.arange(len(starts)), hashes, doc))
         fresh = np.ones(len(order), bool)
         fresh[1:] = (hashes[order][1:] != hashes[order][:-1]) | (doc[order][1:] != doc[order][:-1])
         seen[order[fresh]] = False
+        place = np.arange(len(starts)) - np.repeat(np.cumsum(counts) - counts, counts)
+        block = (place * np.repeat(-(-counts // BLOCK_WORDS), counts) // counts[doc])[order]
+        fresh[1:] |= block[1:] != block[:-1]
+        again[order[fresh]] = False
     last, head = (kind[ends - 1], kind[starts]) if len(starts) else (np.zeros(0, np.uint8),) * 2
     n = np.maximum(counts, 1)
     by_doc = lambda flags: np.bincount(doc, flags, minlength=len(counts)) / n
     upper, lower, symbol = (_per_text(kind == k, offsets) for k in (2, 1, 5))
     solid = np.bincount(doc, ends - starts, minlength=len(counts))
-    found = Measures(counts, by_doc(same), by_doc(seen), upper / np.maximum(upper + lower, 1), symbol / np.maximum(solid, 1),
+    found = Measures(counts, by_doc(same), by_doc(again), upper / np.maximum(upper + lower, 1), symbol / np.maximum(solid, 1),
                      by_doc(last == 5), solid / n, by_doc(last == 4))
     return found, {"doc": doc, "hashes": hashes, "same": same, "seen": seen, "head": head, "last": last, "size": ends - starts}
 
@@ -93,7 +100,7 @@ def _none(m: Measures) -> np.ndarray:
 #: kind of fault and say nothing of a text without it; the last two know what ordinary prose looks like.
 LABELLERS = {
     "stutter": (lambda m: m.repeats > 0.2, _none),
-    "few_words_used": (lambda m: (m.again > 0.85) & (m.words >= 30) & (m.words <= 3000), _none),
+    "few_words_used": (lambda m: (m.again > 0.85) & (m.words >= 30), _none),
     "shouting": (lambda m: m.upper > 0.5, _none),
     "symbols": (lambda m: m.symbols > 0.08, _none),
     "marked_words": (lambda m: m.marked > 0.2, _none),
