@@ -112,10 +112,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = Non
     return digests(_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str, vocabulary_a: str | None = None, vocabulary_b: str | None = None) -> DataFrame:
+    """Tokens, groups and links of every document under the 50k byte-level and the 32k piece vocabulary, with corpus counts of the links."""
+    from .alignment import alignment_counts
+
+    if vocabulary_a is None or vocabulary_b is None:
+        import public_tokenizers
+
+        vocabulary_a, vocabulary_b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment_counts(_table(spark, sf_dir, "documents"), vocabulary_a, vocabulary_b, ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_document_fingerprints, op3_language_id, op4_token_shards, op5_quality_classifier, op6_chat_formatting,
-        op7_embedding_near_dedup, op8_best_fit_packing, op9_toxicity, op10_byte_bpe)
+        op7_embedding_near_dedup, op8_best_fit_packing, op9_toxicity, op10_byte_bpe, op12_cross_tokenizer_alignment)
 }
 
 #: Queries whose rows SQL can express; the others are tested against brute force, a round trip or held-out accuracy.
