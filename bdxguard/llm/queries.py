@@ -123,10 +123,17 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str, vocabulary_
     return alignment_counts(_table(spark, sf_dir, "documents"), vocabulary_a, vocabulary_b, ["doc_id"])
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of all words of all documents that are long and frequent enough."""
+    from .spelling import variants
+
+    return variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_document_fingerprints, op3_language_id, op4_token_shards, op5_quality_classifier, op6_chat_formatting,
-        op7_embedding_near_dedup, op8_best_fit_packing, op9_toxicity, op10_byte_bpe, op12_cross_tokenizer_alignment)
+        op7_embedding_near_dedup, op8_best_fit_packing, op9_toxicity, op10_byte_bpe, op12_cross_tokenizer_alignment, op13_spelling_variants)
 }
 
 #: Queries whose rows SQL can express; the others are tested against brute force, a round trip or held-out accuracy.
