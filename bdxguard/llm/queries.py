@@ -112,6 +112,63 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = Non
     return digests(_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules over all documents with limits from the quantile sketches of their language and source."""
+    from .quality_rules import judge
+
+    return judge(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+l AS (SELECT *, list_filter(string_split_regex(t, '[ \t-\r]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines FROM d),
+win AS (SELECT r, i, {{'a': w[i], 'b': w[i + 1], 'c': w[i + 2]}} AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM l)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win) WHERE n >= 2),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS o(k) GROUP BY r),
+m AS (SELECT r, doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  (length(t) - length(translate(t, '{symbols}', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+  coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines FROM l LEFT JOIN covered USING (r)),
+f AS (SELECT *, (n_words < {least_words} OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+  CASE WHEN n_words > 0 THEN word_chars * {scale} // n_words ELSE 0 END AS word_chars_rate,
+  CASE WHEN n_words > 0 THEN n_symbols * {scale} // n_words ELSE 0 END AS symbol_rate,
+  CASE WHEN n_lines > 0 THEN n_dup_lines * {scale} // n_lines ELSE 0 END AS dup_line_rate,
+  CASE WHEN n_words > 0 THEN n_repeat_words * {scale} // n_words ELSE 0 END AS repeat_rate FROM m),
+v AS (SELECT lang, source, rate, value, value >> greatest(length(bin(value)) - {digits}, 0) << greatest(length(bin(value)) - {digits}, 0) AS bucket
+  FROM (SELECT lang, source, unnest(['word_chars_rate', 'symbol_rate', 'dup_line_rate', 'repeat_rate']) AS rate,
+    unnest([word_chars_rate, symbol_rate, dup_line_rate, repeat_rate]) AS value FROM f WHERE NOT base_failed)),
+s AS (
+  SELECT 'source' AS level, lang, source, rate, bucket, count(*) AS n FROM v GROUP BY ALL
+  UNION ALL SELECT 'lang', lang, NULL, rate, bucket, count(*) FROM v GROUP BY ALL
+  UNION ALL SELECT 'all', NULL, NULL, rate, bucket, count(*) FROM v GROUP BY ALL),
+u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY level, lang, source, rate) AS docs FROM s),
+q AS (SELECT level, lang, source, rate, max(docs) AS docs, min(bucket) FILTER (upto * 100 >= docs * 10) AS q10,
+  min(bucket) FILTER (upto * 100 >= docs * 50) AS q50, min(bucket) FILTER (upto * 100 >= docs * 90) AS q90 FROM u GROUP BY ALL),
+step(rate, least, two_sided) AS (VALUES {steps}),
+fence AS (SELECT level, lang, source, rate, docs, q90 + {spread} * greatest(q90 - q50, least) AS high,
+  CASE WHEN two_sided THEN q10 - {spread} * greatest(q50 - q10, least) ELSE 0 END AS low FROM q JOIN step USING (rate)),
+x AS (SELECT g.lang, g.source, a.rate,
+  CASE WHEN s.docs >= {least} THEN s.high WHEN b.docs >= {least} THEN b.high ELSE a.high END AS high,
+  CASE WHEN s.docs >= {least} THEN s.low WHEN b.docs >= {least} THEN b.low ELSE a.low END AS low,
+  CASE WHEN s.docs >= {least} THEN 'source' WHEN b.docs >= {least} THEN 'lang' ELSE 'all' END AS level
+  FROM (SELECT DISTINCT lang, source FROM v) g
+  JOIN (SELECT * FROM fence WHERE level = 'all') a ON true
+  JOIN (SELECT * FROM fence WHERE level = 'lang') b ON b.lang IS NOT DISTINCT FROM g.lang AND b.rate = a.rate
+  JOIN (SELECT * FROM fence WHERE level = 'source') s ON s.lang IS NOT DISTINCT FROM g.lang AND s.source IS NOT DISTINCT FROM g.source AND s.rate = a.rate),
+o AS (SELECT r, max(x.level) AS level, list(x.rate ORDER BY list_position({order}, x.rate)) FILTER (NOT base_failed AND (value > high OR value < low)) AS outside
+  FROM (SELECT r, lang, source, base_failed, unnest({order}) AS rate, unnest([word_chars_rate, symbol_rate, dup_line_rate, repeat_rate]) AS value FROM f) y
+  LEFT JOIN x ON x.lang IS NOT DISTINCT FROM y.lang AND x.source IS NOT DISTINCT FROM y.source AND x.rate = y.rate GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, level, coalesce(outside, []) AS outside,
+  NOT base_failed AND outside IS NULL AS kept FROM f JOIN o USING (r)"""
+
+
+def _op11_sql() -> str:
+    from . import quality_rules as q
+
+    return OP11_SQL.format(symbols=q.SYMBOLS, least_words=q.LEAST_WORDS, scale=q.SCALE, digits=q.BITS + 1, spread=q.SPREAD, least=q.LEAST,
+                           steps=", ".join(f"('{r}', {s}, {str(b).lower()})" for r, (s, b) in q.RATES.items()), order=str(list(q.RATES)))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str, vocabulary_a: str | None = None, vocabulary_b: str | None = None) -> DataFrame:
     """Tokens, groups and links of every document under the 50k byte-level and the 32k piece vocabulary, with corpus counts of the links."""
     from .alignment import alignment_counts
@@ -133,8 +190,8 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_document_fingerprints, op3_language_id, op4_token_shards, op5_quality_classifier, op6_chat_formatting,
-        op7_embedding_near_dedup, op8_best_fit_packing, op9_toxicity, op10_byte_bpe, op12_cross_tokenizer_alignment, op13_spelling_variants)
+        op7_embedding_near_dedup, op8_best_fit_packing, op9_toxicity, op10_byte_bpe, op11_quality_rules, op12_cross_tokenizer_alignment, op13_spelling_variants)
 }
 
 #: Queries whose rows SQL can express; the others are tested against brute force, a round trip or held-out accuracy.
-ORACLE: dict[str, str] = {"op6_chat_formatting": OP6_SQL.format(role=_escapes("role"), text=_escapes("text"))}
+ORACLE: dict[str, str] = {"op6_chat_formatting": OP6_SQL.format(role=_escapes("role"), text=_escapes("text")), "op11_quality_rules": _op11_sql()}
