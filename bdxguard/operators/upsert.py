@@ -61,15 +61,15 @@ def write_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     only after the swap: a crash in between is finished by ``recover_upserts``,
     which every upsert calls first.
     """
-    from ..sources.tables import remove_folder, try_read
+    from ..sources.tables import read_table, remove_folder, table_exists
 
     recover_upserts(spark, path)
-    target = try_read(spark, path)
-    exists = target is not None
-    if not exists:                     # create path (S11): same upsert against an empty target
-        target = empty_like(spark, source)
-    touched = source.select(*partition_by).distinct()
-    part_target = target.join(touched, list(partition_by), "left_semi") if exists else target
+    exists = table_exists(spark, path)
+    if exists:
+        target = read_table(spark, path, merge_schema=True, types={f.name: f.dataType for f in source.schema})
+        part_target = _touched(target, source, partition_by)
+    else:                              # create path (S11): same upsert against an empty target
+        part_target = empty_like(spark, source)
     merged = upsert(part_target, source, keys)
     stage = staging_path or f"{pending_folder(path)}/{uuid.uuid4().hex}"
     merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
@@ -78,6 +78,14 @@ def write_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
         remove_folder(spark, stage)
 
 
+def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of the target in partitions that the source writes to.  A null partition value is a partition like any
+    other: its keys never match (S10), but its folder is replaced as a whole, so its rows have to be carried over."""
+    t, s = target.alias("t"), source.select(*partition_by).distinct().alias("s")
+    same = [F.col(f"t.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in partition_by]
+    return t.join(s, same, "left_semi")
+
+
 def pending_folder(path: str) -> str:
     """Where completed merges wait until they are swapped in: beside the table, in the same store."""
     parent, _, name = path.rstrip("/").rpartition("/")
@@ -85,7 +93,9 @@ def pending_folder(path: str) -> str:
 
 
 def _swap(spark: SparkSession, stage: str, path: str, partition_by: Sequence[str]) -> None:
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    from ..sources.tables import read_table
+
+    (read_table(spark, stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 

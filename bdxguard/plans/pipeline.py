@@ -50,8 +50,9 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
     return tb.try_read(spark, path)
 
 
-def _fingerprint(df: DataFrame, data_cols) -> DataFrame:
-    return df.withColumn("_fp", F.md5(F.concat_ws("|", F.col("file_hash"), *[F.col(c) for c in data_cols])))
+#: Bronze has one schema for all files: their own columns are entries of ``data``, so new headers never change it.
+BRONZE = ("path string, file_hash string, file_name string, client_id string, year int, quarter string, data map<string, string>, _row_id long, "
+          "_fp string, source_path string, ingestion_time timestamp, run_id string, category string")
 
 
 INDEX_BUCKETS = 64
@@ -113,6 +114,7 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
 
     # ---- 4. canonicalise, stage, split (P3, P5-P8, D1-D13, A7, A12); PII is hashed at the sinks
     canon = cn.canonicalise(_bronze_rows(spark, queue, f"{w}/bronze").withColumn("run_id", F.lit(run_id)), meta.mapping)
+    # (each file's rows are compared below with what bronze logged for it)
     prem = st.stage_premium(canon.filter(F.col("category").isin(*PREMIUM_LIKE)))
     clm = st.stage_claims(canon.filter(F.col("category").isin(*CLAIMS_LIKE)))
     staged_tables = {}
@@ -127,11 +129,15 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     # every file of the queue has a log row, also one whose header has no rows below it
     counts = st.staging_log(sp, run_id).unionByName(st.staging_log(sc, run_id))
     zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows_read", "rows_to_silver", "rows_quarantined")]
+    whole = F.coalesce("rows_read", F.lit(0)) == F.coalesce("rows_written", "rows_read", F.lit(0))
     log = tb.materialize(
-        queue.select("client_id", "file_hash", "file_name", "category", "year", "quarter", "period", "period_type")
+        queue.select("client_id", "file_hash", "file_name", "category", "year", "quarter", "period", "period_type", "rows_written")
         .join(counts.select("file_hash", "rows_read", "rows_to_silver", "rows_quarantined"), "file_hash", "left")
         .select("client_id", "file_hash", "file_name", "category", "year", "quarter", *zero, F.lit(run_id).alias("run_id"),
-                F.lit("SUCCESS").alias("status"), "period", "period_type", F.current_timestamp().alias("processed_at")), "staging-log")
+                F.when(whole, "SUCCESS").otherwise("FAILED").alias("status"), "period", "period_type", F.current_timestamp().alias("processed_at")), "staging-log")
+    # a file of which rows went missing goes no further; its FAILED row offers it to the next run
+    done = log.filter("status = 'SUCCESS'").select("file_hash")
+    sp, sc = sp.join(done, "file_hash", "left_semi"), sc.join(done, "file_hash", "left_semi")
     tb.append(st.rule_counts(sp).unionByName(st.rule_counts(sc)).withColumn("run_id", F.lit(run_id)),
               f"{w}/audit/quarantine_summary")
     failures = va.load_failures(queue, log.filter("rows_to_silver > 0"), run_id, checked_at)
@@ -180,7 +186,7 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
                 up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
 
     # ---- 6. reconciliation and gold
-    scope = log.select("client_id", "category", "year", F.col("quarter").alias("period"))
+    scope = log.filter("status = 'SUCCESS'").select("client_id", "category", "year", F.col("quarter").alias("period"))
     def _union(cats):
         parts = [t for t in (_read(spark, f"{w}/silver/validated/{c}") for c in cats) if t is not None]
         out_ = parts[0] if parts else None
@@ -212,9 +218,11 @@ def pending_files(ingestion_log: DataFrame, staging_log: DataFrame | None) -> Da
     ok = ingestion_log.filter(F.col("status") == "SUCCESS")
     if staging_log is None:
         staging_log = ok.select("file_hash", "run_id", "status").filter(F.lit(False))
-    first = ok.groupBy("file_hash").agg(F.max(F.struct("run_id", "header")).alias("_last"))
-    return (ig.staging_candidates(ok, staging_log).join(first, "file_hash")
-            .withColumn("bronze_run", F.col("_last.run_id")).withColumn("header", F.col("_last.header")).drop("_last"))
+    if "rows_written" not in ok.columns:
+        ok = ok.withColumn("rows_written", F.lit(None).cast("long"))
+    first = ok.groupBy("file_hash").agg(F.max(F.struct("run_id", "header", "rows_written")).alias("_last"))
+    return (ig.staging_candidates(ok, staging_log).join(first, "file_hash").withColumn("bronze_run", F.col("_last.run_id"))
+            .withColumn("header", F.col("_last.header")).withColumn("rows_written", F.col("_last.rows_written")).drop("_last"))
 
 
 def _ingest(spark: SparkSession, inv: DataFrame, w: str, meta: Metadata, run_id: str) -> None:
@@ -242,29 +250,39 @@ def _ingest(spark: SparkSession, inv: DataFrame, w: str, meta: Metadata, run_id:
         todo = ig.files_to_ingest(todo, attempts)
     todo = tb.materialize(todo, "to-ingest")
     good = todo.filter(F.col("header_error").isNull() & (F.col("category") != "others"))
+    written = spark.createDataFrame([], "file_hash string, rows_written long")
     if _any(good):
-        bronze = sf.read_bordereaux(spark, good)
-        audit = ("path", "_row_id", "file_hash", "file_name", "client_id", "category", "year", "quarter")
-        bronze = (_fingerprint(bronze, sorted(c for c in bronze.columns if c not in audit)).withColumn("run_id", F.lit(run_id))
+        bronze = sf.scan_bordereaux(spark, good)
+        bronze = (bronze.withColumn("_fp", F.md5(F.concat_ws("|", "file_hash", F.to_json("data")))).withColumn("run_id", F.lit(run_id))
                   .withColumn("source_path", F.col("path")).withColumn("ingestion_time", F.current_timestamp()))
         # partitioned by run first: a run replaces only its own rows, and readers prune to the runs they need
         tb.write_partitions(bronze, f"{w}/bronze", ["run_id", "category"])
+        written = (spark.read.schema(BRONZE).parquet(f"{w}/bronze").filter(F.col("run_id") == run_id)
+                   .groupBy("file_hash").agg(F.count(F.lit(1)).alias("rows_written")))
         files = good.select("file_hash", "client_id", "file_name", "category")
         heads = sf.header_columns(good).join(good.select("path", "file_hash"), "path").drop("path").join(files, "file_hash")
         drift = dr.schema_drift(heads, dr.expected_frame(spark), run_id, mapping=meta.mapping)
         tb.append(drift, f"{w}/audit/schema_drift")
-    status = (F.when(F.col("header_error").isNotNull(), "FAILED").when(F.col("category") == "others", "UNKNOWN_CATEGORY").otherwise("SUCCESS"))
-    attempts = todo.select(*cols, "header", status.alias("status"), F.substring("header_error", 1, 200).alias("message"))
-    tb.append(attempts.unionByName(copies).withColumn("run_id", F.lit(run_id)).withColumn("logged_at", F.current_timestamp()),
+    # a file is only a success if bronze holds as many rows as the file has lines below its header
+    sizes = acc.groupBy("file_hash").agg(F.count(F.lit(1)).alias("duplicate_count"))
+    todo = (todo.withColumnRenamed("data_lines", "rows_read").join(written, "file_hash", "left").join(sizes, "file_hash", "left")
+            .withColumn("rows_written", F.coalesce("rows_written", F.lit(0).cast("long"))))
+    missing = F.col("rows_written") != F.col("rows_read")
+    status = (F.when(F.col("header_error").isNotNull(), "FAILED").when(F.col("category") == "others", "UNKNOWN_CATEGORY")
+              .when(missing, "FAILED").otherwise("SUCCESS"))
+    message = F.coalesce("header_error", F.when((status == "FAILED") & missing, F.format_string("ROWS_MISSING: %d of %d lines", "rows_written", "rows_read")))
+    attempts = todo.select(*cols, "header", status.alias("status"), F.substring(message, 1, 200).alias("message"), "rows_read", "rows_written", "duplicate_count")
+    tb.append(attempts.unionByName(copies, allowMissingColumns=True).withColumn("run_id", F.lit(run_id)).withColumn("logged_at", F.current_timestamp()),
               f"{w}/audit/ingestion_log")
 
 
 def _bronze_rows(spark: SparkSession, queue: DataFrame, path: str) -> DataFrame:
-    """Bronze rows of the queued files, each from the run that logged it; only those runs' partitions are read."""
+    """Bronze rows of the queued files as flat columns, each from the run that logged it; only those runs' partitions are read."""
     runs = sorted(r[0] for r in queue.select("bronze_run").distinct().collect())  # runs with pending files
-    rows = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col("run_id").cast("string").isin(runs))
+    rows = spark.read.schema(BRONZE).parquet(path).filter(F.col("run_id").isin(runs))
     mine = queue.select("file_hash", F.col("bronze_run").alias("_run"))
-    return rows.join(mine, (rows.file_hash == mine.file_hash) & (rows.run_id.cast("string") == mine._run), "left_semi")
+    rows = rows.join(mine, (rows.file_hash == mine.file_hash) & (rows.run_id == mine._run), "left_semi")
+    return sf.project(rows, sf.column_names(queue))
 
 
 def _queue_reviews(spark: SparkSession, heads: DataFrame, mapping: DataFrame, path: str) -> None:

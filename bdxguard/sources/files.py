@@ -4,25 +4,26 @@ Paths: ``binaryFile`` reports decoded paths while ``_metadata.file_path`` is
 URL-encoded, so metadata paths are decoded before any join on the path
 (a client folder such as ``MIDDLE EAST`` would otherwise never match).
 
-All files of a landing folder are read by *one* scan each, never one job per
-file.  Files can have different headers (schema drift); they are grouped by
-header signature and each group is read with its own header, then the groups
-are unioned by name.  The driver only loops over distinct header versions
-(a handful), never over files.
+All files of a landing folder are read by *one* scan, whatever their headers
+(schema drift): a row is a map from its file's column names to its values, named
+by joining the headers that the inventory already holds.  The driver loops over
+neither files nor header versions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import normalize_name, normalize_name_col
+from ..functions.columns import normalize_name_col
 from ..operators.ingest import file_inventory
 
 
 def _rel(path_col: str, root: str):
-    root = root.rstrip("/")
-    return F.regexp_replace(F.col(path_col), r"^.*?" + root.replace(".", r"\.") + "/", "")
+    root = re.sub(r"^[a-z0-9+.-]+:/*(?=/)", "", root.rstrip("/"))
+    return F.regexp_replace(F.col(path_col), r"^.*?\Q" + root.replace(r"\E", r"\E\\E\Q") + r"\E/", "")
 
 
 def scan_landing(spark: SparkSession, root: str) -> DataFrame:
@@ -33,7 +34,7 @@ def scan_landing(spark: SparkSession, root: str) -> DataFrame:
     header leave it.  Spark's reader leaves out files of length zero; they are
     added from the listing, so that no landed file goes unreported.
     """
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_escaped(root))
     return inventory_from_binary(raw, root).unionByName(_empty_files(spark, root))
 
 
@@ -59,6 +60,12 @@ def first_line(content) -> F.Column:
     return F.regexp_replace(F.regexp_replace(line, "\r$", ""), "^\ufeff", "")
 
 
+def data_lines(content) -> F.Column:
+    """Lines below the header that hold anything but blanks: as many rows as the CSV scan has to give for the file."""
+    starts = F.regexp_count(F.col(content).cast("string"), F.lit(r"(^|[\r\n])[\x00-\x09\x0b\x0c\x0e-\x20]*[^\x00-\x20]"))
+    return F.greatest(starts - 1, F.lit(0)).cast("long")
+
+
 def inventory_from_binary(raw: DataFrame, root: str) -> DataFrame:
     """Inventory rows from a ``binaryFile`` frame (batch or one micro-batch of a stream).
 
@@ -67,10 +74,10 @@ def inventory_from_binary(raw: DataFrame, root: str) -> DataFrame:
     could be a copy of another's.
     """
     empty = F.col("length") == 0
-    files = (raw.select("path", "length", "modificationTime", first_line("content").alias("header"),
+    files = (raw.select("path", "length", "modificationTime", first_line("content").alias("header"), data_lines("content").alias("data_lines"),
                         F.when(empty, F.md5("path")).otherwise(F.md5("content")).alias("file_hash"))
              .select("*", F.element_at(F.split("path", "/"), -1).alias("file_name"), _rel("path", root).alias("rel_path")))
-    names = F.transform(F.split("header", _CSV_SPLIT), lambda c: normalize_name_col(_unquoted(c)))
+    names = header_names("header")
     error = (F.when(F.col("length") == 0, "EMPTY_FILE").when(F.trim("header") == "", "NO_HEADER")
              .when(F.size(F.array_distinct(names)) < F.size(names), "DUPLICATE_COLUMN"))
     return file_inventory(files.withColumn("header_error", error))
@@ -97,32 +104,64 @@ def parse_header(header: str) -> list[str]:
     return next(csv.reader([header]))
 
 
-def read_bordereaux(spark: SparkSession, landing: DataFrame) -> DataFrame:
-    """S1 + S2: all accepted CSV files as one bronze frame of strings.
-
-    ``landing``: output of ``scan_landing`` (accepted rows without a header error
-    are read).  Files are grouped by header; each group is one CSV scan with
-    header on and every column a string (no inference), column names normalised,
-    then unioned by name.  Each row carries ``path``, the file's audit columns
-    (which take the place of data columns of the same name) and a row id assigned
-    in the scan.
+#: Audit columns of a bronze row; a data column of the same name gives way to them.
+AUDIT = ("path", "file_hash", "file_name", "client_id", "category", "year", "quarter")
+
+
+def _escaped(path: str) -> str:
+    """A path as a pattern that only matches itself (Spark reads paths with ``[ ] { } * ?`` as patterns)."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def decoded_path(path: Column) -> Column:
+    """``_metadata.file_path`` (percent-encoded) as the plain path that ``binaryFile`` reports; a plus sign is a plus sign."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def header_names(header: Column | str) -> Column:
+    """Normalised column names of a header line, in order."""
+    header = F.col(header) if isinstance(header, str) else header
+    return F.transform(F.split(header, _CSV_SPLIT), lambda c: normalize_name_col(_unquoted(c)))
+
+
+def scan_bordereaux(spark: SparkSession, landing: DataFrame) -> DataFrame:
+    """S1 + S8: the rows of all accepted files by one scan, however many headers there are.
+
+    ``landing``: output of ``scan_landing``; accepted rows without a header error are read.  The scan gives every row
+    as fields by position, as many as the widest header has.  The small table of files and headers is joined to it by
+    path and names the fields: ``data`` maps each file's own column names to the row's values (all strings).  The
+    driver learns the landing roots, the width and the oldest file's time (older files are left out of the listing),
+    never a path or a header.  ``_row_id`` is assigned in the scan.
     """
     acc = landing.filter(F.col("accepted") & F.col("header_error").isNull())
-    audit = acc.select("path", "file_hash", "file_name", "client_id", "category", "year", "quarter")
-    frames = []
-    # Loop over distinct header versions (a handful), not files.  The path list of a
-    # version is what the CSV reader's file index holds anyway; no task builds a list.
-    for (header,) in acc.select("header").distinct().collect():
-        paths = [r[0] for r in acc.filter(F.col("header") == header).select("path").collect()]
-        names = [normalize_name(c) for c in parse_header(header)]
-        schema = ", ".join(f"`{n}` string" for n in names)
-        df = (spark.read.option("header", True).schema(schema).csv(paths)
-              .select(*[F.col(f"`{n}`") for n in names if n not in audit.columns],
-                      F.url_decode(F.col("_metadata.file_path")).alias("path")))
-        frames.append(df)
-    if not frames:
-        return spark.createDataFrame([], "path string").join(audit, "path").withColumn("_row_id", F.lit(0).cast("long"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out.withColumn("_row_id", F.monotonically_increasing_id()).join(audit, "path")
+    files = acc.select(*AUDIT, header_names("header").alias("__names"))
+    root = F.expr("substring(path, 1, length(path) - length(rel_path) - 1)")
+    oldest = F.min("modificationTime") - F.expr("INTERVAL 1 SECOND")
+    bounds = acc.agg(F.max(F.size(header_names("header"))).alias("width"), F.date_format(oldest, "yyyy-MM-dd'T'HH:mm:ss").alias("after"),
+                     F.collect_set(root).alias("roots")).first()
+    if not bounds["width"]:
+        return files.select(*AUDIT, F.lit(None).cast("map<string, string>").alias("data"), F.lit(0).cast("long").alias("_row_id"))
+    fields = [f"f{i}" for i in range(bounds["width"])]
+    rows = (spark.read.option("header", True).schema(", ".join(f"{f} string" for f in fields)).option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.csv").option("modifiedAfter", bounds["after"]).csv([_escaped(r) for r in bounds["roots"]])
+            .select(F.array(*fields).alias("__values"), decoded_path(F.col("_metadata.file_path")).alias("path"),
+                    F.monotonically_increasing_id().alias("_row_id")))
+    data = F.map_from_arrays("__names", F.slice("__values", F.lit(1), F.size("__names")))
+    return rows.join(files, "path").select(*AUDIT, data.alias("data"), "_row_id")
+
+
+def project(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Rows with a ``data`` map as flat columns: the given names, null where a row's file has no such column."""
+    kept = [c for c in rows.columns if c != "data"]
+    return rows.select(*kept, *[F.col("data")[F.lit(n)].alias(n) for n in names if n not in kept])
+
+
+def column_names(headers: DataFrame) -> list[str]:
+    """All distinct normalised names in the headers, sorted: the columns of a flat frame."""
+    return sorted(r[0] for r in headers.select(F.explode(header_names("header")).alias("n")).distinct().collect())
+
+
+def read_bordereaux(spark: SparkSession, landing: DataFrame) -> DataFrame:
+    """S1 + S2: ``scan_bordereaux`` with one string column for every column name of any file."""
+    acc = landing.filter(F.col("accepted") & F.col("header_error").isNull())
+    return project(scan_bordereaux(spark, landing), [n for n in column_names(acc) if n not in AUDIT])

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_dir
 
@@ -49,12 +50,37 @@ def try_read(spark: SparkSession, path: str, merge_schema: bool = True) -> DataF
     return read_table(spark, path, merge_schema) if table_exists(spark, path) else None
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Parquet table scan; filters and projections on the result are pushed into the scan."""
+#: Types of the partition columns of the library's tables that are not text.
+PARTITION_TYPES = {"year": T.IntegerType(), "_clean": T.IntegerType(), "_bucket": T.IntegerType(), "batch_id": T.LongType()}
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a table folder, outermost first, from the names of its first folders."""
+    found = []
+    while True:
+        names = [n for n in folders(spark, path) if "=" in n and not n.startswith((".", "_SUCCESS"))]
+        if not names:
+            return found
+        found.append(names[0].split("=", 1)[0])
+        path = f"{path.rstrip('/')}/{names[0]}"
+
+
+def read_table(spark: SparkSession, path: str, merge_schema: bool = False, types: dict[str, T.DataType] = PARTITION_TYPES) -> DataFrame:
+    """Parquet table scan; filters and projections on the result are pushed into the scan.
+
+    Partition values are never guessed from folder names: a run id ``007``, a period ``01`` and ``1e3`` stay the text
+    that was written, and a table whose values are all null keeps its type.  Partition columns have the type that
+    ``types`` gives, else text.
+    """
     r = spark.read
     if merge_schema:
         r = r.option("mergeSchema", "true")
-    return r.parquet(path)
+    parts = partition_columns(spark, path)
+    found = r.parquet(path)
+    if not parts:
+        return found
+    fields = [T.StructField(f.name, types.get(f.name, T.StringType())) if f.name in parts else f for f in found.schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def restrict_to_files(df: DataFrame, files: DataFrame) -> DataFrame:
@@ -73,8 +99,11 @@ def write_scratch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
 
 
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and return a scan of it."""
-    return df.sparkSession.read.parquet(write_scratch(df, name, partition_by))
+    """Write ``df`` under the shared checkpoint folder and return a scan of it, with the columns and types of ``df``."""
+    path = write_scratch(df, name, partition_by)
+    if not partition_by:
+        return df.sparkSession.read.parquet(path)
+    return read_table(df.sparkSession, path, types={f.name: f.dataType for f in df.schema})
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
