@@ -81,14 +81,38 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
                     *[val[c].alias(f"{prefix}{c}") for c in right_cols])
 
 
+#: Most buckets one interval is expanded to; buckets widen with the span of the points beyond that.
+INTERVAL_BUCKETS = 64
+
+
 def range_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: Column | str,
-               start: str, end: str, how: str = "left") -> DataFrame:
-    """Equi keys + ``point BETWEEN start AND coalesce(end, far future)``."""
-    p = F.col(point) if isinstance(point, str) else point
-    cond = [left[k] == right[k] for k in on]
-    cond.append(p >= right[start])
-    cond.append(p <= F.coalesce(right[end], F.lit("9999-12-31").cast(right.schema[end].dataType)))
-    out = left.join(right, cond, how)
-    for k in on:
-        out = out.drop(right[k])
-    return out
+               start: str, end: str, how: str = "left", bucket_days: int = 31) -> DataFrame:
+    """Equi keys + ``start <= point <= end`` for dates (J13): the effective-dated join.
+
+    Time is cut into buckets.  An interval is expanded to the buckets that it touches between the first and the last
+    point of ``left`` (one aggregate), at most INTERVAL_BUCKETS; a point lies in one.  The join is an equi join on keys
+    and bucket with the boundaries as a residual, so a pair is found once, a key with many versions meets each row
+    with the few of its bucket, and a hot key is spread over its buckets (and split further by the skew join).
+    A null end is open; a null start, a null point or a null key matches nothing.  Output: the columns of ``left``, then
+    those of ``right`` without the keys.
+    """
+    p = (F.col(point) if isinstance(point, str) else point).cast("date")
+    first, last = left.agg(F.min(F.unix_date(p)), F.max(F.unix_date(p))).first()
+    rest = [c for c in right.columns if c not in on]
+    if first is None:
+        first, last = 0, -1
+    width = max(bucket_days, -(-(last - first + 1) // (INTERVAL_BUCKETS - 1)))
+
+    def bucket(days):
+        return F.floor((days - F.lit(first)) / F.lit(width)).cast("int")
+
+    low = F.greatest(bucket(F.unix_date(F.col(start).cast("date"))), F.lit(0))
+    high = F.least(F.coalesce(bucket(F.unix_date(F.col(end).cast("date"))), F.lit(INTERVAL_BUCKETS)), bucket(F.lit(last)))
+    touched = F.when(F.col(start).isNotNull() & (low <= high), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    r = right.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(on)], F.struct(*[F.col(c) for c in rest]).alias("__right"),
+                     F.col(start).alias("__start"), F.col(end).alias("__end"), F.explode(touched).alias("__rb"))
+    l = left.select("*", p.alias("__point"), bucket(F.unix_date(p)).alias("__lb"))
+    cond = (F.col("__lb") == F.col("__rb")) & (F.col("__point") >= F.col("__start")) & (F.col("__end").isNull() | (F.col("__point") <= F.col("__end")))
+    for i, c in enumerate(on):
+        cond &= l[c] == F.col(f"__k{i}")
+    return l.join(r, cond, how).select(*left.columns, *[F.col("__right")[c].alias(c) for c in rest])

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_by_days, frequency_multiplier, reinsured_sum
-from .joins import bounded_broadcast, join_null_safe
+from .joins import bounded_broadcast, join_null_safe, range_join
 
 # Fixed values from the reference.
 TREATY_KEYS = ("client_id", "benefit_id", "plan_code")
@@ -140,46 +140,37 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
 
 
 # --------------------------------------------------------------------- rates (V8, V9)
-def prepare_rates(rates: DataFrame) -> DataFrame:
-    """Rate table grouped per lookup key; each key holds its (few) effective-dated versions."""
-    return (rates.select(
-        F.col("client_id").alias("_r_client"), F.col("treaty_id").alias("_r_treaty"),
-        F.trim(F.col("benefit_id")).alias("_r_benefit"), F.col("age").cast("int").alias("_r_age"),
-        F.upper(F.trim(F.col("gender"))).alias("_r_gender"),
-        F.struct(F.col("rate").cast("decimal(18,6)").alias("rate"), F.col("effective_from").alias("effective_from"),
-                 F.col("effective_to").alias("effective_to")).alias("_r"))
-        .groupBy("_r_client", "_r_treaty", "_r_benefit", "_r_age", "_r_gender")
-        .agg(F.collect_list("_r").alias("_rates")))
-
-
-def attach_rates(rows: DataFrame, rates: DataFrame | None, as_of: bool = False) -> DataFrame:
-    """Add per-row counts ``_rate_missing`` and ``_rate_fail`` (rows of the rate join)."""
-    if rates is None:
-        return rows.withColumn("_rate_missing", F.lit(None).cast("int")).withColumn("_rate_fail", F.lit(None).cast("int"))
-    r = bounded_broadcast(prepare_rates(rates))
-    cond = [
-        rows["client_id"] == r["_r_client"], rows["treaty_id"] == r["_r_treaty"],
-        F.trim(rows["benefit_id"]) == r["_r_benefit"], rows["_current_age"].cast("int") == r["_r_age"],
-        F.upper(F.trim(rows["gender"])) == r["_r_gender"],
-    ]
-    out = rows.join(r, cond, "left").drop("_r_client", "_r_treaty", "_r_benefit", "_r_age", "_r_gender")
-    arr = F.col("_rates")
-    if as_of:
-        v = F.col("valuation_date")
-        arr = F.filter(arr, lambda x: (v >= x["effective_from"]) & (v <= F.coalesce(x["effective_to"], F.lit("9999-12-31").cast("date"))))
+RATE_KEYS = ("client_id", "treaty_id", "_r_benefit", "_r_age", "_r_gender")
+
+
+def rate_counts(rows: DataFrame, rates: DataFrame, as_of: bool = False) -> DataFrame:
+    """V8, V9 per file: ``_n_rate_missing`` and ``_n_rate_fail`` over the rows joined with their rates.
+
+    ``rows``: with treaty columns and ``_current_age``.  Every version of a rate counts, or with ``as_of`` those valid at
+    the valuation date (J13).  Nothing is collected per key: a rate with any number of versions is an ordinary join,
+    of which each file keeps two counters.
+    """
     # |risar/1000 * rate * freq - premium| > 0.01, compared scaled by 1000 so the
     # decimal arithmetic stays exact (no precision-loss rounding near the boundary).
-    mult = frequency_multiplier("policy_renewal_freq").cast("decimal(2,0)")
     # try_cast: a sum too wide for the exact product cannot be checked, and counts as failed instead of ending the run.
     risar = F.col("reinsured_sum_at_risk").try_cast("decimal(16,2)")
-    wide = F.col("reinsured_sum_at_risk").isNotNull() & risar.isNull()
-    prem1000 = F.col("premium_amount").cast("decimal(21,2)") * F.lit(1000)
-    n_matched = F.coalesce(F.size(arr), F.lit(0))
-    missing = F.when(n_matched == 0, F.lit(1)).otherwise(F.size(F.filter(arr, lambda x: x["rate"].isNull())))
-    fail = F.coalesce(F.size(F.filter(arr, lambda x: x["rate"].isNotNull() & F.coalesce(
-        wide | x["rate"].try_cast("decimal(14,6)").isNull()
-        | (F.abs(risar * x["rate"].try_cast("decimal(14,6)") * mult - prem1000) > F.lit(TOLERANCE * 1000)), F.lit(False)))), F.lit(0))
-    return out.withColumn("_rate_missing", missing).withColumn("_rate_fail", fail).drop("_rates")
+    look = rows.select(*FILE_COLUMNS, "treaty_id", F.trim("benefit_id").alias("_r_benefit"), F.col("_current_age").cast("int").alias("_r_age"),
+                       F.upper(F.trim("gender")).alias("_r_gender"), "valuation_date", risar.alias("_risar"),
+                       (F.col("reinsured_sum_at_risk").isNotNull() & risar.isNull()).alias("_wide"),
+                       frequency_multiplier("policy_renewal_freq").cast("decimal(2,0)").alias("_mult"),
+                       (F.col("premium_amount").cast("decimal(21,2)") * F.lit(1000)).alias("_premium"))
+    table = rates.select("client_id", "treaty_id", F.trim("benefit_id").alias("_r_benefit"), F.col("age").cast("int").alias("_r_age"),
+                         F.upper(F.trim("gender")).alias("_r_gender"), F.col("rate").cast("decimal(18,6)").alias("_rate"),
+                         *(("effective_from", "effective_to") if as_of else ()))
+    if as_of:
+        found = range_join(look, table, RATE_KEYS, "valuation_date", "effective_from", "effective_to")
+    else:
+        found = look.join(bounded_broadcast(table), list(RATE_KEYS), "left")
+    rate = F.col("_rate").try_cast("decimal(14,6)")
+    off = F.abs(F.col("_risar") * rate * F.col("_mult") - F.col("_premium")) > F.lit(TOLERANCE * 1000)
+    return found.groupBy(*FILE_COLUMNS).agg(
+        F.count_if(F.col("_rate").isNull()).alias("_n_rate_missing"),
+        F.count_if(F.col("_rate").isNotNull() & (F.col("_wide") | rate.isNull() | off)).alias("_n_rate_fail"))
 
 
 # ------------------------------------------------------------------- shared helpers
@@ -315,16 +306,18 @@ def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | Non
          .withColumn("_eff_fail", ~F.coalesce(F.col("is_inforce_block"), F.lit(False))
                      & (F.col("policy_effective_date") < F.col("effective_date")))
          .withColumn("_age_fail", (F.col("_current_age") < F.col("age_min")) | (F.col("_current_age") > F.col("age_max"))))
-    r = attach_rates(r, rates, as_of)
     agg = _file_agg(r, [
         F.count_if(F.array_contains("dq_reasons", "DUPLICATE_PREMIUM")).alias("_n_dup"),
         F.count_if(F.col("_nb")).alias("_n_nb"),
         F.count_if(F.col("_risar_fail")).alias("_n_risar"),
         F.count_if(F.col("_eff_fail")).alias("_n_eff"),
         F.count_if(F.col("_age_fail")).alias("_n_age"),
-        F.sum("_rate_missing").alias("_n_rate_missing"),
-        F.sum("_rate_fail").alias("_n_rate_fail"),
     ])
+    if rates is None:
+        agg = agg.withColumn("_n_rate_missing", F.lit(0)).withColumn("_n_rate_fail", F.lit(0))
+    else:
+        aged = enrich_with_treaty(clean, treaty).withColumn("_current_age", age_by_days("valuation_date", "date_of_birth"))
+        agg = join_null_safe(agg, rate_counts(aged, rates, as_of), FILE_COLUMNS, "left")
     files = _files_frame(agg)
     is_full = (F.col("category") == "premium") if not validate_adjustments else F.col("category").isin("premium", "premium_adj")
     has_rates = F.lit(rates is not None)

@@ -923,3 +923,98 @@ def q_promoted_rows(spark, d):
     ok = ~F.col("rejected") & (F.size("dq_reasons") == 0)
     return t.groupBy("client_id", "file_hash", "file_name", "year", "quarter").agg(
         F.count_if(ok).alias("promoted_rows"), F.count_if(~ok).alias("quarantined_rows"))
+
+
+# ------------------------------------------------------------------ row-level entries and the landing scan
+@register("ingestion_counts", orc.with_views(f"""
+    SELECT client_id, file_name, category, year, quarter, count(*) AS data_lines, count(*) AS rows_written, any_value(n) AS n_columns,
+        sum(len(list_filter(v, lambda x: x IS NOT NULL)))::BIGINT AS n_values,
+        sum(CASE WHEN policy_number IS NULL THEN 0 ELSE length(policy_number) END)::BIGINT AS policy_chars
+    FROM (SELECT client_id, file_name, category, year, quarter, policy_number, {len(fx.RAW_PREMIUM)} AS n, [{', '.join(fx.RAW_PREMIUM)}] AS v FROM raw_premium
+          UNION ALL
+          SELECT client_id, file_name, category, year, quarter, policy_number, {len(fx.RAW_CLAIMS)} AS n, [{', '.join(fx.RAW_CLAIMS)}] AS v FROM raw_claims)
+    GROUP BY ALL"""))
+def q_ingestion_counts(spark, d):
+    """All raw files landed as CSV; inventory, one scan for all headers, rows counted against lines per file."""
+    import uuid
+
+    from ..sources import files as sf
+    root = scratch_dir(spark, f"landing-{uuid.uuid4().hex[:12]}")
+    fx.land_csv(spark, [(fx.premium_raw(spark, d), fx.RAW_PREMIUM), (fx.claims_raw(spark, d), fx.RAW_CLAIMS)], root)
+    land = materialize(sf.scan_landing(spark, root), "landed")
+    rows = sf.scan_bordereaux(spark, land)
+    per = rows.groupBy("path").agg(
+        F.count(F.lit(1)).alias("rows_written"), F.max(F.size("data")).cast("int").alias("n_columns"),
+        F.sum(F.size(F.array_compact(F.map_values("data")))).alias("n_values"),
+        F.coalesce(F.sum(F.length(F.col("data")["policy_number"])), F.lit(0).cast("long")).alias("policy_chars"))
+    return land.filter("accepted").join(per, "path").select(
+        "client_id", "file_name", "category", "year", "quarter", "data_lines", "rows_written", "n_columns", "n_values", "policy_chars")
+
+
+@register("staged_rows", orc.with_views("""
+    SELECT file_hash, _fp, policy_number, premium_amount AS amount, array_to_string(dq_issues, '|') AS issues FROM s_premium
+    UNION ALL SELECT file_hash, _fp, policy_number, claim_amount, array_to_string(dq_issues, '|') FROM s_claims"""))
+def q_staged_rows(spark, d):
+    """Every staged premium and claims row with its typed amount and its rule tags."""
+    cols = lambda df, amount: df.select("file_hash", "_fp", "policy_number", F.col(amount).alias("amount"), F.array_join("dq_issues", "|").alias("issues"))
+    return cols(staged_premium(spark, d), "premium_amount").unionByName(cols(staged_claims(spark, d), "claim_amount"))
+
+
+@register("tagged_premium_rows", orc.with_views("""
+    SELECT file_hash, _fp, policy_number, treaty_id, coalesce(f_treaty, false) AS no_treaty, coalesce(f_dup, false) AS duplicate FROM p_flags"""))
+def q_tagged_premium_rows(spark, d):
+    """Every premium row joined with its treaties, with the two tags that quarantine it."""
+    rows = premium_validation(spark, d).rows
+    return rows.select("file_hash", "_fp", "policy_number", "treaty_id", F.array_contains("dq_reasons", "TREATY_MAPPING").alias("no_treaty"),
+                       F.array_contains("dq_reasons", "DUPLICATE_PREMIUM").alias("duplicate"))
+
+
+@register("tagged_claims_rows", orc.with_views("""
+    SELECT file_hash, _fp, claim_id, treaty_id, array_to_string(list_filter([CASE WHEN f_treaty THEN 'TREATY_MAPPING' END, CASE WHEN f_dup THEN 'DUPLICATE_CLAIMS' END,
+        CASE WHEN f_prem THEN 'PREMIUM_EXISTS' END, CASE WHEN f_risar THEN 'RISAR_GTE_CLAIM' END, CASE WHEN f_cal THEN 'CAL_CHECK' END],
+        lambda x: x IS NOT NULL), '|') AS reasons FROM c_flags"""))
+def q_tagged_claims_rows(spark, d):
+    """Every claims row joined with its treaties, with the tags that quarantine it."""
+    rows = claims_validation(spark, d).rows
+    return rows.select("file_hash", "_fp", "claim_id", "treaty_id", F.array_join("dq_reasons", "|").alias("reasons"))
+
+
+@register("quarantine_rows", orc.with_views("""
+    SELECT file_hash, _fp, unnest(dq_issues) AS rule FROM s_premium UNION ALL SELECT file_hash, _fp, unnest(dq_issues) FROM s_claims"""))
+def q_quarantine_rows(spark, d):
+    """Every quarantined row once for each rule it breaks."""
+    cols = lambda df: df.filter(F.size("dq_issues") > 0).select("file_hash", "_fp", F.explode("dq_issues").alias("rule"))
+    return cols(staged_premium(spark, d)).unionByName(cols(staged_claims(spark, d)))
+
+
+@register("sql_formulas", orc.with_views("""
+    SELECT p.client_id, p.file_hash,
+        CAST(sum(CASE WHEN quota_share IS NOT NULL AND retention_limit IS NOT NULL THEN
+                   CASE WHEN sum_at_risk > retention_limit THEN (sum_at_risk - retention_limit) * quota_share ELSE sum_at_risk * quota_share END
+                 WHEN quota_share IS NOT NULL THEN sum_at_risk * quota_share
+                 WHEN surplus_multiple IS NOT NULL THEN least(sum_at_risk - retention_limit, surplus_multiple * retention_limit)
+                 ELSE reinsured_sum_at_risk END) AS DECIMAL(24,2)) AS risar_total,
+        CAST(sum(reinsured_sum_at_risk * 0.001 * 1.25 * CASE lower(policy_renewal_freq) WHEN 'annual' THEN 1 WHEN 'quarterly' THEN 4 WHEN 'monthly' THEN 12 ELSE 1 END)
+             AS DECIMAL(24,2)) AS premium_total,
+        count(*) FILTER (WHERE date_trunc('month', valuation_date) = date_trunc('month', issue_date)) AS n_new,
+        sum(year(valuation_date) - year(date_of_birth) - CASE WHEN month(valuation_date) < month(date_of_birth)
+            OR (month(valuation_date) = month(date_of_birth) AND day(valuation_date) < day(date_of_birth)) THEN 1 ELSE 0 END)::BIGINT AS years,
+        sum(floor(date_diff('day', date_of_birth, valuation_date) / 365.25))::BIGINT AS years_by_days,
+        max('Q' || CAST(quarter(valuation_date) AS VARCHAR)) AS label
+    FROM c_premium p JOIN treaty_a t USING (client_id, benefit_id, plan_code) GROUP BY ALL"""))
+def q_sql_formulas(spark, d):
+    """F1-F7 as SQL functions, called from spark.sql over the clean premium rows and their treaties."""
+    from ..functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    p = Pipeline(spark, d)
+    rows = p.clean_premium.join(p.treaty_primary.select("client_id", "benefit_id", "plan_code", "quota_share", "retention_limit", "surplus_multiple",
+                                                        "policy_renewal_freq"), ["client_id", "benefit_id", "plan_code"])
+    return spark.sql("""
+        SELECT client_id, file_hash,
+            CAST(sum(bdx_reinsured_sum(sum_at_risk, quota_share, retention_limit, surplus_multiple, reinsured_sum_at_risk)) AS DECIMAL(24,2)) AS risar_total,
+            CAST(sum(bdx_expected_premium(reinsured_sum_at_risk, 1.25BD, bdx_frequency_multiplier(policy_renewal_freq))) AS DECIMAL(24,2)) AS premium_total,
+            count_if(bdx_new_or_renew(valuation_date, issue_date) = 'New') AS n_new,
+            CAST(sum(bdx_age_completed_years(valuation_date, date_of_birth)) AS BIGINT) AS years,
+            CAST(sum(bdx_age_by_days(valuation_date, date_of_birth)) AS BIGINT) AS years_by_days,
+            max(bdx_quarter_label(valuation_date)) AS label
+        FROM {rows} GROUP BY client_id, file_hash""", rows=rows)

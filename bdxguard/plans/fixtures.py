@@ -411,3 +411,24 @@ def customer_mapping(spark: SparkSession) -> DataFrame:
     return (spark.createDataFrame(list(CUSTOMER_MAPPING),
                                   "client_id string, raw_col_name string, canonical_name string, is_pii boolean, effective_to string")
             .withColumn("effective_to", F.col("effective_to").cast("date")))
+
+
+def land_csv(spark: SparkSession, frames: list[tuple[DataFrame, tuple[str, ...]]], root: str) -> None:
+    """Raw rows as CSV files ``root/<client>/<file name>``, the way clients land them (input of the landing scan)."""
+    from urllib.parse import unquote
+
+    from ..sources.tables import _hadoop, folders, remove_folder
+
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for k, (df, cols) in enumerate(frames):
+        parts = f"{root}_parts{k}"
+        (df.select("client_id", "file_name", *cols).repartition("client_id", "file_name")
+         .write.option("header", True).partitionBy("client_id", "file_name").csv(parts))
+        fs, _ = _hadoop(spark, parts)
+        for client in (f for f in folders(spark, parts) if "=" in f):
+            target = f"{root}/{unquote(client.split('=', 1)[1])}"
+            fs.mkdirs(path(target))
+            for name in folders(spark, f"{parts}/{client}"):
+                for part in folders(spark, f"{parts}/{client}/{name}"):
+                    fs.rename(path(f"{parts}/{client}/{name}/{part}"), path(f"{target}/{unquote(name.split('=', 1)[1])}"))
+        remove_folder(spark, parts)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import normalize_name_col
 from ..operators.ingest import file_inventory
+from .ranges import content_digests, plain_path
 
 
 def _rel(path_col: str, root: str):
@@ -26,16 +27,20 @@ def _rel(path_col: str, root: str):
     return F.regexp_replace(F.col(path_col), r"^.*?\Q" + root.replace(r"\E", r"\E\\E\Q") + r"\E/", "")
 
 
-def scan_landing(spark: SparkSession, root: str) -> DataFrame:
-    """S4 + S3 + S5 + S17: one row per landed file with md5 of its content, its header and the name-based inventory.
+#: Files of at least this size are hashed by byte ranges (sources/ranges.py), smaller ones as one value.
+WHOLE_BYTES = 1 << 28
 
-    ``binaryFile`` reads each file as one value; the content is hashed and its
-    first line taken in the same scan task, then dropped: only the digest and the
-    header leave it.  Spark's reader leaves out files of length zero; they are
-    added from the listing, so that no landed file goes unreported.
+
+def scan_landing(spark: SparkSession, root: str, whole_bytes: int = WHOLE_BYTES, **ranges) -> DataFrame:
+    """S4 + S3 + S5 + S17: one row per landed file with a digest of its content, its header and the name-based inventory.
+
+    ``binaryFile`` reads a file of less than ``whole_bytes`` as one value; the content is hashed (MD5) and its first
+    line taken in the same scan task, then dropped: only the digest and the header leave it.  Larger files get a tree
+    digest from byte ranges (``ranges``: leaf_bytes, range_bytes).  Spark's reader leaves out files of length zero;
+    they are added from the listing, so that no landed file goes unreported.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_escaped(root))
-    return inventory_from_binary(raw, root).unionByName(_empty_files(spark, root))
+    return inventory_from_binary(raw, root, whole_bytes, **ranges).unionByName(_empty_files(spark, root))
 
 
 def _empty_files(spark: SparkSession, root: str) -> DataFrame:
@@ -56,7 +61,10 @@ def _empty_files(spark: SparkSession, root: str) -> DataFrame:
 
 def first_line(content) -> F.Column:
     """First line of a file's bytes, without a byte-order mark or a carriage return."""
-    line = F.substring_index(F.col(content).cast("string"), "\n", 1)
+    return _header(F.substring_index(F.col(content).cast("string"), "\n", 1))
+
+
+def _header(line) -> F.Column:
     return F.regexp_replace(F.regexp_replace(line, "\r$", ""), "^\ufeff", "")
 
 
@@ -66,23 +74,38 @@ def data_lines(content) -> F.Column:
     return F.greatest(starts - 1, F.lit(0)).cast("long")
 
 
-def inventory_from_binary(raw: DataFrame, root: str) -> DataFrame:
+def inventory_from_binary(raw: DataFrame, root: str, whole_bytes: int = WHOLE_BYTES, **ranges) -> DataFrame:
     """Inventory rows from a ``binaryFile`` frame (batch or one micro-batch of a stream).
 
     ``header_error`` tells why a file cannot be read as a table: it is empty, or two of its column names are equal
     after normalising.  Such a file fails alone.  The hash of an empty file includes its path: it has no content that
     could be a copy of another's.
     """
-    empty = F.col("length") == 0
-    files = (raw.select("path", "length", "modificationTime", first_line("content").alias("header"), data_lines("content").alias("data_lines"),
-                        F.when(empty, F.md5("path")).otherwise(F.md5("content")).alias("file_hash"))
-             .select("*", F.element_at(F.split("path", "/"), -1).alias("file_name"), _rel("path", root).alias("rel_path")))
+    small = raw.filter(F.col("length") < whole_bytes)
+    digest = F.when(F.col("length") == 0, F.md5("path")).otherwise(F.md5("content"))
+    small = small.select("path", "length", "modificationTime", first_line("content").alias("header"), data_lines("content").alias("data_lines"),
+                         digest.alias("file_hash"))
+    large = raw.filter(F.col("length") >= whole_bytes).select("path", "length", "modificationTime")  # their content is not read here
+    files = small if large.limit(1).count() == 0 else small.unionByName(_large_files(large, root, whole_bytes, **ranges))
+    files = files.select("*", F.element_at(F.split("path", "/"), -1).alias("file_name"), _rel("path", root).alias("rel_path"))
     names = header_names("header")
     error = (F.when(F.col("length") == 0, "EMPTY_FILE").when(F.trim("header") == "", "NO_HEADER")
              .when(F.size(F.array_distinct(names)) < F.size(names), "DUPLICATE_COLUMN"))
     return file_inventory(files.withColumn("header_error", error))
 
 
+def _large_files(large: DataFrame, root: str, whole_bytes: int, **ranges) -> DataFrame:
+    """Digest, header and number of data lines of large files, each read by many tasks."""
+    spark = large.sparkSession
+    digests = content_digests(spark, root, whole_bytes, **ranges).select(
+        F.col("plain_path").alias("_plain"), "file_hash", _header("head").alias("header"))
+    lines = (spark.read.option("recursiveFileLookup", "true").text(_escaped(root)).filter(F.col("_metadata.file_size") >= whole_bytes)
+             .filter(F.col("value").rlike(r"[^\x00-\x20]")).groupBy(decoded_path(F.col("_metadata.file_path")).alias("path"))
+             .agg((F.count(F.lit(1)) - 1).alias("data_lines")))
+    found = large.withColumn("_plain", plain_path("path")).join(digests, "_plain", "left").join(lines, "path", "left")
+    return found.select("path", "length", "modificationTime", "header", F.coalesce("data_lines", F.lit(0)).cast("long").alias("data_lines"), "file_hash")
+
+
 # split on commas outside double quotes; then drop the surrounding quotes
 _CSV_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
