@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialize
 from .arrow import column, slices, text_view
 
 SEGMENT = 128
 STATE = 8
 TRAIN_DOCS = 800
-LANGUAGES_MAX = 500
 TRAIN_SEGMENTS = 4
 TRAIN_BYTES = 64
 TRAIN_STEPS = 500
@@ -107,8 +107,9 @@ def label_texts(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np
     part = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     begin = offsets[doc] + part * length[doc] // np.maximum(pieces[doc], 1)
     size = offsets[doc] + (part + 1) * length[doc] // np.maximum(pieces[doc], 1) - begin
-    for a in range(0, len(doc), SLICE // SEGMENT):
-        d, s, m = doc[a:a + SLICE // SEGMENT], begin[a:a + SLICE // SEGMENT], size[a:a + SLICE // SEGMENT]
+    width = max(1, SLICE // SEGMENT * 8 // max(k, 8))  # segments at once: fewer with many languages, so that memory stays the same
+    for a in range(0, len(doc), width):
+        d, s, m = doc[a:a + width], begin[a:a + width], size[a:a + width]
         steps = int(m.max())
         at = s[None] + np.arange(steps)[:, None]
         inside = np.arange(steps)[:, None] < m[None]
@@ -127,8 +128,8 @@ def label_texts(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np
 # --- training -------------------------------------------------------------------------------------------------
 
 
-def _forward(d: Direction, x: np.ndarray) -> tuple:
-    """States and what backpropagation needs, for x (T, N) bytes."""
+def _forward(d: Direction, x: np.ndarray, live: np.ndarray) -> tuple:
+    """States and what backpropagation needs, for x (T, N) bytes; where ``live`` is 0 the state stays zero."""
     steps, n = x.shape
     h = np.zeros((steps + 1, n, STATE))
     z, r, c, s = (np.zeros((steps, n, STATE)) for _ in range(4))
@@ -137,11 +138,11 @@ def _forward(d: Direction, x: np.ndarray) -> tuple:
         r[t] = _sigmoid(d.table[1][x[t]] + h[t] @ d.state[1])
         s[t] = h[t] @ d.state[2]
         c[t] = np.tanh(d.table[2][x[t]] + r[t] * s[t])
-        h[t + 1] = c[t] + z[t] * (h[t] - c[t])
+        h[t + 1] = (c[t] + z[t] * (h[t] - c[t])) * live[t][:, None]
     return h, z, r, c, s
 
 
-def _backward(d: Direction, x: np.ndarray, saved: tuple, dh_out: np.ndarray) -> tuple[list, list]:
+def _backward(d: Direction, x: np.ndarray, live: np.ndarray, saved: tuple, dh_out: np.ndarray) -> tuple[list, list]:
     """Gradients of tables and state matrices by backpropagation through time; dh_out: loss gradient of each state."""
     h, z, r, c, s = saved
     steps, n = x.shape
@@ -149,7 +150,7 @@ def _backward(d: Direction, x: np.ndarray, saved: tuple, dh_out: np.ndarray) ->
     state = [np.zeros((STATE, STATE)) for _ in range(3)]
     dh = np.zeros((n, STATE))
     for t in range(steps - 1, -1, -1):
-        dh = dh + dh_out[t]
+        dh = (dh + dh_out[t]) * live[t][:, None]
         dz = dh * (h[t] - c[t]) * z[t] * (1 - z[t])
         dc = dh * (1 - z[t]) * (1 - c[t] ** 2)
         ds = dc * r[t]
@@ -167,22 +168,26 @@ def _backward(d: Direction, x: np.ndarray, saved: tuple, dh_out: np.ndarray) ->
     return tables, state
 
 
-def loss_and_gradients(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
-    """Mean cross-entropy over all positions of segments x (T, N) with labels y (N), and its gradients."""
+def loss_and_gradients(model: Model, x: np.ndarray, y: np.ndarray, live: np.ndarray | None = None) -> tuple[float, list[np.ndarray]]:
+    """Mean cross-entropy over all positions of segments x (T, N) with labels y (N), and its gradients.
+
+    ``live`` (T, N): 0 at the positions beyond the end of a shorter segment, which count for nothing.
+    """
     steps, n = x.shape
-    ahead, back = _forward(model.reads[0], x), _forward(model.reads[1], x[::-1])
+    live = np.ones((steps, n)) if live is None else live
+    ahead, back = _forward(model.reads[0], x, live), _forward(model.reads[1], x[::-1], live[::-1])
     both = np.concatenate([ahead[0][1:], back[0][1:][::-1]], axis=2)
     logits = both @ model.out + model.bias
     logits -= logits.max(axis=2, keepdims=True)
     p = np.exp(logits)
     p /= p.sum(axis=2, keepdims=True)
-    loss = -np.log(p[:, np.arange(n), y] + 1e-12).mean()
+    loss = -(np.log(p[:, np.arange(n), y] + 1e-12) * live).sum() / live.sum()
     p[:, np.arange(n), y] -= 1.0
-    p /= steps * n
+    p *= live[:, :, None] / live.sum()
     g_out = np.tensordot(both, p, axes=([0, 1], [0, 1]))
     dh = p @ model.out.T
-    t0, s0 = _backward(model.reads[0], x, ahead, dh[:, :, :STATE])
-    t1, s1 = _backward(model.reads[1], x[::-1], back, dh[::-1, :, STATE:])
+    t0, s0 = _backward(model.reads[0], x, live, ahead, dh[:, :, :STATE])
+    t1, s1 = _backward(model.reads[1], x[::-1], live[::-1], back, dh[::-1, :, STATE:])
     return float(loss), [*t0, *s0, *t1, *s1, g_out, p.sum(axis=(0, 1))]
 
 
@@ -199,10 +204,12 @@ def new_model(languages: list[str], rng: np.random.Generator) -> Model:
 
 
 def fit(segments: list[bytes], labels: list[str], steps: int = TRAIN_STEPS, seed: int = 7) -> Model:
-    """Weights by Adam on balanced batches of equally long segments."""
+    """Weights by Adam on balanced batches; shorter segments are masked beyond their end."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
-    x = np.stack([np.frombuffer(s, np.uint8) for s in segments]).astype(np.intp)
+    size = np.array([len(s) for s in segments])
+    longest = int(size.max())
+    x = np.stack([np.frombuffer(s.ljust(longest, b"\0"), np.uint8) for s in segments]).astype(np.intp)
     y = np.array([languages.index(v) for v in labels])
     members = [np.flatnonzero(y == k) for k in range(len(languages))]
     model = new_model(languages, rng)
@@ -210,7 +217,8 @@ def fit(segments: list[bytes], labels: list[str], steps: int = TRAIN_STEPS, seed
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, (steps if len(languages) > 1 else 0) + 1):
         rows = np.concatenate([rng.choice(k, BATCH // len(members) + 1) for k in members])
-        _, grads = loss_and_gradients(model, x[rows].T, y[rows])
+        own = size[rows]
+        _, grads = loss_and_gradients(model, x[rows, :own.max()].T, y[rows], (np.arange(own.max())[:, None] < own[None]).astype(float))
         norm = np.sqrt(sum((g * g).sum() for g in grads))
         rate = 0.02 * (0.5 * (1 + np.cos(np.pi * step / steps)) + 0.02)
         for i, (p, g) in enumerate(zip(params, grads, strict=True)):
@@ -224,40 +232,42 @@ def fit(segments: list[bytes], labels: list[str], steps: int = TRAIN_STEPS, seed
     return model
 
 
+def segments_of(raw: bytes) -> list[bytes]:
+    """At most TRAIN_SEGMENTS segments of TRAIN_BYTES spread over a text; a shorter text is one segment."""
+    room = len(raw) - TRAIN_BYTES
+    if room < 0:
+        return [raw] if raw else []
+    at = range(0, room + 1, max(TRAIN_BYTES, room // TRAIN_SEGMENTS or 1))
+    return [raw[a:a + TRAIN_BYTES] for a in list(at)[:TRAIN_SEGMENTS]]
+
+
 def train(docs: DataFrame) -> Model | None:
-    """Fit on documents with an id, a text and a language whose crc32 of the id is not 0 modulo 5; None if there is none.
+    """Fit on documents with an id, a text that has a letter, and a language, whose crc32 of the id is not 0 modulo 5.
 
-    At most TRAIN_DOCS documents of each of the LANGUAGES_MAX most frequent languages are taken, by a hash of their ids; only their segments reach the driver.
-    The hash first thins each language to about twice that many, so ranking them needs no more rows, however many
-    documents the language has.
+    None if there is no such document.  At most TRAIN_DOCS ids of each language are taken, by a hash of the id; one row
+    of each (the smallest by language and segments, if ids repeat) gives segments, and only these reach the driver: at
+    most TRAIN_DOCS * TRAIN_SEGMENTS * TRAIN_BYTES bytes a language.  The hash first thins each language to about twice
+    that many, so ranking them needs no more rows, however many documents the language has.
     """
-    able = docs.where("doc_id is not null and lang is not null").where(~held_out())
-    counts = able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES_MAX).collect()
-    if not counts:
-        return None
-    order = F.xxhash64("doc_id", F.lit(17))
-    parts = 1 << 40
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(parts, 2 * TRAIN_DOCS * parts // r["count"] + 1))])
-    thinned = able.select("doc_id", "lang").where(F.pmod(order, F.lit(parts)) < share[F.col("lang")])
+    able = docs.where("doc_id is not null and lang is not null").where(~held_out()).where(F.col("text").rlike(r"\p{L}"))
+    order, parts = F.xxhash64("doc_id", F.lit(17)), 1 << 40
+    counts = materialize(able.groupBy("lang").count(), "languages")
+    thinned = (able.select("doc_id", "lang").join(counts, "lang")
+               .where(F.pmod(order, F.lit(parts)) < F.least(F.lit(parts), F.lit(2 * TRAIN_DOCS) * (F.lit(parts) / F.col("count") + 1))))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    chosen = thinned.withColumn("r", rank).where(F.col("r") <= TRAIN_DOCS).select("doc_id").distinct()
+    chosen = thinned.select("lang", "doc_id").distinct().withColumn("r", rank).where(F.col("r") <= TRAIN_DOCS).select("doc_id").distinct()
     texts = (able.join(F.broadcast(chosen), "doc_id", "left_semi")
              .select("doc_id", "lang", F.lower("text").cast("binary").alias("bytes")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, ids, segments = [], [], []
-            for i, lang, raw in zip(*(column(batch, c).to_pylist() for c in ("doc_id", "lang", "bytes")), strict=True):
-                room = len(raw or b"") - TRAIN_BYTES
-                at = range(0, room + 1, max(TRAIN_BYTES, room // TRAIN_SEGMENTS or 1)) if room >= 0 else []
-                for a in list(at)[:TRAIN_SEGMENTS]:
-                    langs.append(lang)
-                    ids.append(i)
-                    segments.append(raw[a:a + TRAIN_BYTES])
-            yield pa.record_batch({"lang": pa.array(langs, pa.string()), "doc_id": pa.array(ids, pa.int64()), "bytes": pa.array(segments, pa.binary())})
-
-    rows = sorted((r["lang"], r["doc_id"], bytes(r["bytes"])) for r in texts.mapInArrow(cut, "lang string, doc_id long, bytes binary").collect())
-    return fit([r[2] for r in rows], [r[0] for r in rows]) if rows else None
+            found = [segments_of(raw or b"") for raw in column(batch, "bytes").to_pylist()]
+            yield pa.record_batch({"lang": column(batch, "lang"), "doc_id": column(batch, "doc_id"), "segments": pa.array(found, pa.list_(pa.binary()))})
+
+    cuts = texts.mapInArrow(cut, "lang string, doc_id long, segments array<binary>").where(F.size("segments") > 0)
+    kept = cuts.groupBy("doc_id").agg(F.min(F.struct("lang", "segments")).alias("x")).select("doc_id", "x.*")
+    rows = sorted((r["lang"], r["doc_id"], [bytes(s) for s in r["segments"]]) for r in kept.collect())
+    return fit([s for r in rows for s in r[2]], [r[0] for r in rows for _ in r[2]]) if rows else None
 
 
 def held_out():

@@ -8,9 +8,11 @@ their words, such as an insult next to the mention of a group.
 
 Linear weights are learned by FTRL-proximal, whose L1 term keeps the thousands of
 neutral terms of a long text at exactly zero; the factors by AdaGrad with L2.
-Only slots found in ``MIN_DOCS`` training documents and more (or less) often in toxic
-ones by ``MIN_Z`` standard errors take part, so a slot without evidence never moves a
-score, however long the text.
+Two kinds of slots take part: those found in ``MIN_DOCS`` training documents and more
+(or less) often in toxic ones by ``MIN_Z`` standard errors, and those of pairs whose
+combination tells more than both alone, by ``PAIR_Z`` standard errors, whatever each
+does by itself (among the ``PAIR_SLOTS`` most frequent slots).  A slot without evidence
+never moves a score, however long the text.
 
 Training (see ``train``): at most ``TRAIN_POSITIVE`` toxic and ``TRAIN_NEGATIVE``
 other labelled documents by a hash of their ids, weighted back to the shares
@@ -38,6 +40,10 @@ TRAIN_POSITIVE = 3000
 TRAIN_NEGATIVE = 5000
 MIN_DOCS = 3
 MIN_Z = 4.0
+#: Pair test: standard errors, documents with each combination, least difference of rates, most frequent slots compared.
+PAIR_Z, PAIR_DOCS, PAIR_EFFECT, PAIR_SLOTS = 7.0, 20, 0.2, 1024
+#: Start of the factors of paired slots: large enough to leave the saddle that balanced terms start on.
+PAIR_START = 0.3
 EPOCHS = 25
 BATCH = 64
 THRESHOLD = 0.3
@@ -112,11 +118,51 @@ def associated(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.flatnonzero((seen[0] + seen[1] >= MIN_DOCS) & (np.abs(seen[1] / n[1] - seen[0] / n[0]) >= MIN_Z * error))
 
 
+def paired(docs: list[np.ndarray], labels: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Slots among ``frequent`` in a pair that interacts: with the toxic rates of documents that hold both, one or none,
+
+        both - first only - second only + none
+
+    is not zero by PAIR_Z standard errors (and PAIR_EFFECT), though each slot may be as common in either class.
+    """
+    n = len(frequent)
+    if not n or not len(docs):
+        return np.zeros(0, np.int64)
+    place = np.full(1 << HASH_BITS, -1)
+    place[frequent] = np.arange(n)
+    holds = np.zeros((len(docs), n), np.float32)
+    for i, d in enumerate(docs):
+        at = place[d]
+        holds[i, at[at >= 0]] = 1
+    y = labels.astype(np.float32)
+    both, both_toxic = holds.T @ holds, (holds * y[:, None]).T @ holds
+    one, one_toxic = np.diag(both), np.diag(both_toxic)
+    cells = [(both, both_toxic), (one[:, None] - both, one_toxic[:, None] - both_toxic), (one[None] - both, one_toxic[None] - both_toxic),
+             (len(docs) - one[:, None] - one[None] + both, y.sum() - one_toxic[:, None] - one_toxic[None] + both_toxic)]
+    effect, spread, enough = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32), np.ones((n, n), bool)
+    for (count, toxic), sign in zip(cells, (1, -1, -1, 1), strict=True):
+        enough &= count >= PAIR_DOCS
+        rate = (toxic + 0.5) / (np.maximum(count, 1) + 1)
+        effect += sign * rate
+        spread += rate * (1 - rate) / np.maximum(count, 1)
+    hit = enough & (np.abs(effect) >= np.maximum(PAIR_Z * np.sqrt(spread), PAIR_EFFECT))
+    return frequent[hit.any(axis=1)]
+
+
 def fit(docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 11,
-        used: np.ndarray | None = None) -> Machine:
-    """Learn from slot arrays, 0/1 labels and example weights; ``used``: the slots that take part, if already known."""
+        used: np.ndarray | None = None, frequent: np.ndarray | None = None) -> Machine:
+    """Learn from slot arrays, 0/1 labels and example weights.
+
+    ``used``: the slots that take part by themselves, ``frequent``: those whose pairs are tested, if already known.
+    """
     rng = np.random.default_rng(seed)
     used = associated(docs, labels) if used is None else used
+    if frequent is None:
+        seen = np.bincount(np.concatenate([*docs, np.zeros(0, np.int32)]), minlength=1 << HASH_BITS)
+        frequent = np.sort(np.argsort(-seen, kind="stable")[:PAIR_SLOTS])
+        frequent = frequent[seen[frequent] >= PAIR_DOCS]
+    pairs = paired(docs, labels, np.asarray(frequent))
+    used = np.union1d(used, pairs).astype(np.int64)
     slot = np.zeros(1 << HASH_BITS, np.int32)
     slot[used] = np.arange(1, len(used) + 1)
     rows = [r[r > 0] for r in (slot[d] for d in docs)]
@@ -124,6 +170,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs:
     share = float(np.clip((weights * labels).sum() / max(weights.sum(), 1e-9), 1e-4, 1 - 1e-4))
     bias = float(np.log(share / (1 - share)))
     linear, factors = np.zeros(n), rng.normal(0, 0.02, (n, FACTORS))
+    factors[slot[pairs]] = rng.normal(0, PAIR_START, (len(pairs), FACTORS))
     factors[0] = 0
     alpha, beta, l1, l2 = 0.15, 1.0, 0.6, 0.5  # FTRL-proximal
     z, g2 = np.zeros(n), np.zeros(n)
@@ -168,8 +215,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     """Learn from the labelled documents that are not held out; without any, every score is one half.
 
     A label is a row with an id and ``toxic`` 0 or 1; an id with several labels counts as toxic if any says so.
-    The ids of the bounded sample are chosen from the labels table.  Spark counts the slots of their texts, and only
-    the slots that take part reach the driver.
+    The ids of the bounded sample are chosen from the labels table, and one row of each id is learned from (the
+    smallest by its slots, if ids repeat).  Spark counts the slots of their texts, and only the slots that take part or
+    whose pairs are tested reach the driver.
     """
     known = (labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
@@ -187,14 +235,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
                 yield pa.record_batch({"doc_id": column(part, "doc_id"), "toxic": column(part, "toxic"),
                                        "slots": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))})
 
-    sample = materialize(texts.select("doc_id", "toxic", "__t").mapInArrow(slots, "doc_id long, toxic int, slots array<int>"), "toxicity-sample")
-    used = np.array(_associated_slots(sample), np.int32)
+    sample = texts.select("doc_id", "toxic", "__t").mapInArrow(slots, "doc_id long, toxic int, slots array<int>")
+    sample = materialize(sample.groupBy("doc_id").agg(F.min(F.struct("toxic", "slots")).alias("x")).select("doc_id", "x.*"), "toxicity-sample")
+    used, frequent = (np.array(x, np.int32) for x in _slots_of(sample))
+    wanted = np.union1d(used, frequent)
 
     def only_used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = column(batch, "slots")
             flat = lists.flatten().to_numpy()
-            keep = np.isin(flat, used)
+            keep = np.isin(flat, wanted)
             doc = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
             yield pa.record_batch({"doc_id": column(batch, "doc_id"), "toxic": column(batch, "toxic"),
                                    "slots": binary_array(flat[keep], np.bincount(doc[keep], minlength=batch.num_rows))})
@@ -203,19 +253,21 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
                    sample.mapInArrow(only_used, "doc_id long, toxic int, slots binary").collect())
     y = np.array([r[1] for r in found], float)
     share = [(total.get(k, 0) / max(sum(total.values()), 1)) / max((y == k).mean(), 1e-9) if len(y) else 1.0 for k in (0, 1)]
-    return fit([np.frombuffer(r[2], np.int32) for r in found], y, np.where(y == 1, share[1], share[0]), used=used)
+    return fit([np.frombuffer(r[2], np.int32) for r in found], y, np.where(y == 1, share[1], share[0]), used=used, frequent=frequent)
 
 
-def _associated_slots(sample: DataFrame) -> list[int]:
-    """The slots ``associated`` finds, counted by Spark over the sample's (toxic, slots) rows."""
+def _slots_of(sample: DataFrame) -> tuple[list[int], list[int]]:
+    """The slots ``associated`` finds and the PAIR_SLOTS most frequent ones, counted by Spark over the sample's (toxic, slots) rows."""
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n0, n1 = (float(max(n.get(k, 0), 1)) for k in (0, 1))
-    seen = (sample.select("toxic", F.explode("slots").alias("slot")).groupBy("slot")
-            .agg(F.count_if(F.col("toxic") == 0).alias("s0"), F.count_if(F.col("toxic") == 1).alias("s1")))
-    both = (F.col("s0") + F.col("s1")) / (n0 + n1)
+    seen = materialize(sample.select("toxic", F.explode("slots").alias("slot")).groupBy("slot")
+                       .agg(F.count_if(F.col("toxic") == 0).alias("s0"), F.count_if(F.col("toxic") == 1).alias("s1")), "slots")
+    total = F.col("s0") + F.col("s1")
+    both = total / (n0 + n1)
     error = F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / n0 + 1 / n1))
-    some = seen.where((F.col("s0") + F.col("s1") >= MIN_DOCS) & (F.abs(F.col("s1") / n1 - F.col("s0") / n0) >= MIN_Z * error))
-    return sorted(r[0] for r in some.select("slot").collect())
+    some = seen.where((total >= MIN_DOCS) & (F.abs(F.col("s1") / n1 - F.col("s0") / n0) >= MIN_Z * error))
+    most = seen.where(total >= PAIR_DOCS).orderBy(total.desc(), "slot").limit(PAIR_SLOTS)
+    return sorted(r[0] for r in some.select("slot").collect()), sorted(r[0] for r in most.select("slot").collect())
 
 
 def score(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:
