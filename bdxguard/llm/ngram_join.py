@@ -370,10 +370,12 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     gone, twice = told.where("not stays").select("doc_id", "th"), told.where("stays").select("doc_id", "th")
 
     def matched(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        keys = _ids(keys.toDF("__id", "__key"))
-        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__th") == F.col("__key")), how)
+        keys = _ids(keys.toDF("gone_id", "gone_th"))
+        return rows.join(keys, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("th") == F.col("gone_th")), how)
 
-    rows = docs.withColumn("__th", F.xxhash64(F.col("text").cast("string")))
+    # every row as one column: no column of docs can clash with those the joins need
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
+                       F.xxhash64(F.col("text").cast("string")).alias("th"))
     single = matched(matched(rows, gone, "left_anti"), twice, "left_anti")
-    repeated = matched(rows, twice, "left_semi").dropDuplicates(["doc_id", "__th"])
-    return single.unionByName(repeated).drop("__th")
+    repeated = matched(rows, twice, "left_semi").dropDuplicates(["id", "th"])
+    return single.unionByName(repeated).select("row.*")

@@ -143,18 +143,17 @@ def thresholds(rates: DataFrame) -> DataFrame:
     shares = {"q10": 0.1, "q50": 0.5, "q90": 0.9}
     fine = materialize(sketch(rates, ["lang", "source"]), "sketches")
     by_lang = merged(fine, ["lang"])
-    levels = [("source", fences(quantiles(fine, ["lang", "source"], shares), ["lang", "source"])),
-              ("lang", fences(quantiles(by_lang, ["lang"], shares), ["lang"]).withColumnRenamed("lang", "lang_")),
-              ("all", fences(quantiles(merged(by_lang, []), [], shares), []))]
-    limits = [c for c in levels[0][1].columns if c.startswith(("low_", "high_"))]
-    (_, source), (_, lang), (_, every) = levels
+    source = fences(quantiles(fine, ["lang", "source"], shares), ["lang", "source"])
+    lang = fences(quantiles(by_lang, ["lang"], shares), ["lang"]).withColumnRenamed("lang", "lang_")
+    limits = [c for c in source.columns if c.startswith(("low_", "high_"))]
+    every = fences(quantiles(merged(by_lang, []), [], shares), []).first()  # one row
 
     def named(df: DataFrame, level: str) -> DataFrame:
         return df.select(*[c for c in df.columns if c in ("lang", "lang_", "source")], F.struct("docs", F.lit(level).alias("level"), *limits).alias(f"of_{level}"))
 
     joined = named(source, "source").join(named(lang, "lang"), F.col("lang").eqNullSafe(F.col("lang_")), "left")
-    joined = joined.join(F.broadcast(named(every, "all")))  # the limits of all documents: one row
-    used = F.when(F.col("of_source.docs") >= LEAST, F.col("of_source")).when(F.col("of_lang.docs") >= LEAST, F.col("of_lang")).otherwise(F.col("of_all"))
+    of_all = F.struct(*[F.lit(every[c] if every else None).cast("long").alias(c) if c != "level" else F.lit("all").alias(c) for c in ("docs", "level", *limits)])
+    used = F.when(F.col("of_source.docs") >= LEAST, F.col("of_source")).when(F.col("of_lang.docs") >= LEAST, F.col("of_lang")).otherwise(of_all)
     return joined.select("lang", "source", used.alias("x")).select("lang", "source", "x.*")
 
 
