@@ -1018,3 +1018,17 @@ def q_sql_formulas(spark, d):
             CAST(sum(bdx_age_by_days(valuation_date, date_of_birth)) AS BIGINT) AS years_by_days,
             max(bdx_quarter_label(valuation_date)) AS label
         FROM {rows} GROUP BY client_id, file_hash""", rows=rows)
+
+
+@register("file_offers")
+def q_file_offers(spark, d):
+    """The events table as a stream of file events (file = user and week) through the state per file; what each
+    file was offered, dequeued or given up for.  No SQL: state and timers; tested against a plain loop."""
+    import uuid
+
+    from ..streaming import offers as of
+    e = spark.readStream.schema(fx.table(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d.rstrip("/"))
+    run = uuid.uuid4().hex[:12]
+    actions = scratch_dir(spark, f"offers-{run}")
+    of.run_offers(spark, fx.file_events(e), actions, scratch_dir(spark, f"offers-ckpt-{run}"))
+    return spark.read.parquet(actions).select("file_hash", "action", "failures", "at")

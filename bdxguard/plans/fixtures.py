@@ -432,3 +432,14 @@ def land_csv(spark: SparkSession, frames: list[tuple[DataFrame, tuple[str, ...]]
                 for part in folders(spark, f"{parts}/{client}/{name}"):
                     fs.rename(path(f"{parts}/{client}/{name}/{part}"), path(f"{target}/{unquote(name.split('=', 1)[1])}"))
         remove_folder(spark, parts)
+
+
+def file_events(events: DataFrame) -> DataFrame:
+    """Rows of the events table (or a stream of them) as file events: file = (user, week); signup and click -> LANDED,
+    error -> FAILED, view -> BLOCKED, purchase -> SUCCESS."""
+    client = F.concat(F.lit("U"), _s(F.col("user_id")))
+    week = F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd")
+    event = (F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "view", "BLOCKED")
+             .when(F.col("event_type") == "purchase", "SUCCESS").otherwise("LANDED"))
+    return events.select(F.md5(F.concat(client, F.lit("/"), week)).alias("file_hash"), client.alias("client_id"),
+                         F.concat(F.lit("bdx_"), week, F.lit(".csv")).alias("file_name"), event.alias("event"), F.col("ts").cast("timestamp").alias("at"))

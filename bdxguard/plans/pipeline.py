@@ -89,7 +89,8 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     cols = ["file_hash", "path", "file_name", "client_id", "category", "year", "quarter"]
     acc = inv.filter("accepted")
     new = ig.register_files(acc, _read(spark, f"{w}/audit/file_tracking"), order=["path"], payload=cols)
-    tb.append(tb.materialize(new, "registered").withColumn("run_id", F.lit(run_id)), f"{w}/audit/file_tracking")
+    tb.append(tb.materialize(new, "registered").withColumn("run_id", F.lit(run_id)).withColumn("tracked_at", F.current_timestamp()),
+              f"{w}/audit/file_tracking")
 
     # ---- 2. one attempt per file: bronze, then its status in the log
     _ingest(spark, inv, w, meta, run_id)
@@ -105,6 +106,8 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     _queue_reviews(spark, heads, meta.mapping, f"{w}/audit/mapping_review_queue")
     queue = tb.materialize(pending.join(gate.filter(F.col("status") == "QUEUED").select("file_hash"), "file_hash", "left_semi"), "queued")
     queued = queue.select("file_hash")
+    gate = tb.materialize(gate, "gate")
+    tb.append(gate.withColumn("run_id", F.lit(run_id)).withColumn("checked_at", F.current_timestamp()), f"{w}/audit/gate_log")
     out["gate"] = gate
     if queue.limit(1).count() == 0:   # nothing new or everything blocked: no further stage runs
         return out

@@ -19,12 +19,12 @@ from bdxguard.sources.tables import materialize
 MIN_LANGUAGE_SCORE = 0.4
 #: Rows of an Arrow batch at most: whole rows and their texts pass to Python, and a batch is held on both sides.
 BATCH_ROWS = 1000
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _small_batches(spark: SparkSession) -> None:
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    if not 0 < int(spark.conf.get(BATCH_KEY)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -65,8 +65,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again; the session's batch size is put back."""
+    before = spark.conf.get(BATCH_KEY)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    try:
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    finally:
+        spark.conf.set(BATCH_KEY, before)
     return docs
