@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import normalize_name, normalize_name_col
 from .drift import active_mapping
 
-SCOPE = ("client_id", "category")
+#: A mapping holds for a client's files of a category, or (``drift.mapping_as_of``) for one file.
+SCOPE = ("client_id", "category", "file_hash")
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import normalize_name_col
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, range_join
 
 FILE_KEYS = ("client_id", "file_hash", "file_name", "category")
 OPEN_STATUSES = ("PENDING", "AFFECTS_CALCULATIONS")
@@ -40,11 +40,11 @@ def normalized_headers(headers: DataFrame, raw_col: str = "raw_col_name") -> Dat
 
 def canonical_headers(headers: DataFrame, mapping: DataFrame) -> DataFrame:
     """Header names translated to canonical names by the client's active mapping (unmapped names kept)."""
-    h = normalized_headers(headers)
+    h, keys = normalized_headers(headers), _mapping_keys(mapping)
     m = (active_mapping(mapping)
-         .select("client_id", "category", normalize_name_col("raw_col_name").alias("column_name"), "canonical_name")
-         .dropDuplicates(["client_id", "category", "column_name"]))
-    return (h.join(m, ["client_id", "category", "column_name"], "left")
+         .select(*keys, normalize_name_col("raw_col_name").alias("column_name"), "canonical_name")
+         .dropDuplicates([*keys, "column_name"]))
+    return (h.join(m, [*keys, "column_name"], "left")
             .select(*FILE_KEYS, F.coalesce("canonical_name", "column_name").alias("column_name")).distinct())
 
 
@@ -71,11 +71,49 @@ def active_mapping(mapping: DataFrame) -> DataFrame:
     return mapping.filter(F.col("effective_to").isNull())
 
 
+def _mapping_keys(mapping: DataFrame) -> list[str]:
+    """What a mapping row holds for: the files of a client and category, or one file (``mapping_as_of``)."""
+    return ["client_id", "category", *(["file_hash"] if "file_hash" in mapping.columns else [])]
+
+
+MAPPING_LOG = ("client_id string, category string, raw_col_name string, canonical_name string, is_pii boolean, action string, decided_at timestamp")
+
+
+def mapping_intervals(log: DataFrame) -> DataFrame:
+    """The decisions on each raw column as slowly changing rows ``[effective_from, effective_to)``.
+
+    ``log``: MAPPING_LOG rows.  approve and affects_calculations open a row, and the next of these or a retire on the
+    column closes it; a reject changes no row.  Of decisions at the same instant the last by canonical name holds.
+    ``mapping_version`` counts the rows of a (client, category) by time.  A column's decisions are few; the window is per
+    column, and versions come from one per client and category over its decisions.
+    """
+    act, key = F.lower("action"), ["client_id", "category", "_raw"]
+    d = log.where(act.isin("approve", "affects_calculations", "retire")).where("decided_at IS NOT NULL").withColumn("_raw", normalize_name_col("raw_col_name")).withColumn("_opens", act.isin("approve", "affects_calculations"))
+    last = F.max_by(F.struct("raw_col_name", "canonical_name", "is_pii", "_opens"), F.struct(F.coalesce("canonical_name", F.lit("")), "_opens"))
+    d = d.groupBy(*key, "decided_at").agg(last.alias("x"))
+    d = d.withColumn("effective_to", F.lead("decided_at").over(Window.partitionBy(*key).orderBy("decided_at"))).where("x._opens")
+    version = F.row_number().over(Window.partitionBy("client_id", "category").orderBy("decided_at", "_raw")).cast("int")
+    return d.select("client_id", "category", F.col("x.raw_col_name").alias("raw_col_name"), F.col("x.canonical_name").alias("canonical_name"),
+                    F.coalesce("x.is_pii", F.lit(False)).alias("is_pii"), version.alias("mapping_version"), F.col("decided_at").alias("effective_from"), "effective_to")
+
+
+def mapping_as_of(files: DataFrame, intervals: DataFrame, at: str = "uploaded_at") -> DataFrame:
+    """The mapping of each file as it was when the file came in: rows per file, with ``file_hash`` as part of their scope.
+
+    ``files``: file_hash, client_id, category and the time ``at``.  A decision between two uploads changes only the later
+    file, however late either is processed.
+    """
+    own = files.select("file_hash", "client_id", "category", F.col(at).alias("_at")).distinct()
+    found = range_join(own, intervals, ["client_id", "category"], "_at", "effective_from", "effective_to", "inner", half_open=True)
+    return found.select("file_hash", "client_id", "category", "raw_col_name", "canonical_name", "is_pii", "mapping_version",
+                        F.lit(None).cast("timestamp").alias("effective_to"))
+
+
 def unmapped_columns(headers: DataFrame, mapping: DataFrame) -> DataFrame:
     """U4: header columns without an active mapping for the file's (client, category)."""
-    h = normalized_headers(headers)
-    m = active_mapping(mapping).select("client_id", "category", normalize_name_col("raw_col_name").alias("column_name")).distinct()
-    return h.join(m, ["client_id", "category", "column_name"], "left_anti")
+    h, keys = normalized_headers(headers), _mapping_keys(mapping)
+    m = active_mapping(mapping).select(*keys, normalize_name_col("raw_col_name").alias("column_name")).distinct()
+    return h.join(m, [*keys, "column_name"], "left_anti")
 
 
 def mapping_gate(headers: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -86,8 +86,10 @@ INTERVAL_BUCKETS = 64
 
 
 def range_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: Column | str,
-               start: str, end: str, how: str = "left", bucket_days: int = 31) -> DataFrame:
-    """Equi keys + ``start <= point <= end`` for dates (J13): the effective-dated join.
+               start: str, end: str, how: str = "left", bucket_days: int = 31, half_open: bool = False) -> DataFrame:
+    """Equi keys + ``start <= point <= end`` for dates or timestamps (J13): the effective-dated join.
+
+    With ``half_open`` the end itself is outside (``point < end``).
 
     Time is cut into buckets.  An interval is expanded to the buckets that it touches between the first and the last
     point of ``left`` (one aggregate), at most INTERVAL_BUCKETS; a point lies in one.  The join is an equi join on keys
@@ -96,8 +98,9 @@ def range_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: Colu
     A null end is open; a null start, a null point or a null key matches nothing.  Output: the columns of ``left``, then
     those of ``right`` without the keys.
     """
-    p = (F.col(point) if isinstance(point, str) else point).cast("date")
-    first, last = left.agg(F.min(F.unix_date(p)), F.max(F.unix_date(p))).first()
+    p = F.col(point) if isinstance(point, str) else point
+    day = F.unix_date(p.cast("date"))
+    first, last = left.agg(F.min(day), F.max(day)).first()
     rest = [c for c in right.columns if c not in on]
     if first is None:
         first, last = 0, -1
@@ -111,8 +114,9 @@ def range_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: Colu
     touched = F.when(F.col(start).isNotNull() & (low <= high), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
     r = right.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(on)], F.struct(*[F.col(c) for c in rest]).alias("__right"),
                      F.col(start).alias("__start"), F.col(end).alias("__end"), F.explode(touched).alias("__rb"))
-    l = left.select("*", p.alias("__point"), bucket(F.unix_date(p)).alias("__lb"))
-    cond = (F.col("__lb") == F.col("__rb")) & (F.col("__point") >= F.col("__start")) & (F.col("__end").isNull() | (F.col("__point") <= F.col("__end")))
+    l = left.select("*", p.alias("__point"), bucket(day).alias("__lb"))
+    before_end = F.col("__point") < F.col("__end") if half_open else F.col("__point") <= F.col("__end")
+    cond = (F.col("__lb") == F.col("__rb")) & (F.col("__point") >= F.col("__start")) & (F.col("__end").isNull() | before_end)
     for i, c in enumerate(on):
         cond &= l[c] == F.col(f"__k{i}")
     return l.join(r, cond, how).select(*left.columns, *[F.col("__right")[c].alias(c) for c in rest])

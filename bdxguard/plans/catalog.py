@@ -1032,3 +1032,23 @@ def q_file_offers(spark, d):
     actions = scratch_dir(spark, f"offers-{run}")
     of.run_offers(spark, fx.file_events(e), actions, scratch_dir(spark, f"offers-ckpt-{run}"))
     return spark.read.parquet(actions).select("file_hash", "action", "failures", "at")
+
+
+@register("mapping_as_of", """
+    WITH log AS (SELECT 'C' || (user_id % 7) AS client_id, CASE WHEN user_id % 2 = 0 THEN 'premium' ELSE 'claims' END AS category,
+            'col_' || (event_id % 40) AS raw, 'canon_' || (event_id % 13) AS canonical,
+            CASE event_type WHEN 'purchase' THEN 'approve' WHEN 'signup' THEN 'affects_calculations' WHEN 'error' THEN 'reject' ELSE 'retire' END AS action, ts
+        FROM events WHERE event_type NOT IN ('view', 'error')),
+    one AS (SELECT client_id, category, raw, ts, canonical, action IN ('approve', 'affects_calculations') AS opens FROM log
+        QUALIFY row_number() OVER (PARTITION BY client_id, category, raw, ts ORDER BY canonical DESC, action IN ('approve', 'affects_calculations') DESC) = 1),
+    spans AS (SELECT *, lead(ts) OVER (PARTITION BY client_id, category, raw ORDER BY ts) AS until FROM one),
+    files AS (SELECT md5('file' || event_id) AS file_hash, 'C' || (user_id % 7) AS client_id, CASE WHEN user_id % 2 = 0 THEN 'premium' ELSE 'claims' END AS category, ts
+        FROM events WHERE event_type = 'view')
+    SELECT f.file_hash, f.client_id, f.category, s.raw AS raw_col_name, s.canonical AS canonical_name
+    FROM files f JOIN spans s ON s.client_id = f.client_id AND s.category = f.category AND s.opens AND f.ts >= s.ts AND (s.until IS NULL OR f.ts < s.until)""")
+def q_mapping_as_of(spark, d):
+    """Events as mapping decisions and uploads; the mapping of each upload as of its time."""
+    from ..operators import drift as dr
+    log, files = fx.mapping_decisions(spark, d)
+    return dr.mapping_as_of(files, materialize(dr.mapping_intervals(log), "mapping-intervals")).select(
+        "file_hash", "client_id", "category", "raw_col_name", "canonical_name")

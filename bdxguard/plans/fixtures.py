@@ -443,3 +443,18 @@ def file_events(events: DataFrame) -> DataFrame:
              .when(F.col("event_type") == "purchase", "SUCCESS").otherwise("LANDED"))
     return events.select(F.md5(F.concat(client, F.lit("/"), week)).alias("file_hash"), client.alias("client_id"),
                          F.concat(F.lit("bdx_"), week, F.lit(".csv")).alias("file_name"), event.alias("event"), F.col("ts").cast("timestamp").alias("at"))
+
+
+def mapping_decisions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """events as mapping decisions (all but views) and file uploads (views) of seven clients."""
+    e = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("C"), _s(F.col("user_id") % 7)).alias("client_id"),
+        F.when(F.col("user_id") % 2 == 0, "premium").otherwise("claims").alias("category"))
+    action = (F.when(F.col("event_type") == "purchase", "approve").when(F.col("event_type") == "signup", "affects_calculations")
+              .when(F.col("event_type") == "error", "reject").otherwise("retire"))
+    log = e.where("event_type <> 'view'").select(
+        "client_id", "category", F.concat(F.lit("col_"), _s(F.col("event_id") % 40)).alias("raw_col_name"),
+        F.concat(F.lit("canon_"), _s(F.col("event_id") % 13)).alias("canonical_name"), F.lit(False).alias("is_pii"), action.alias("action"), F.col("ts").alias("decided_at"))
+    files = e.where("event_type = 'view'").select(F.md5(F.concat(F.lit("file"), _s(F.col("event_id")))).alias("file_hash"), "client_id", "category",
+                                                  F.col("ts").alias("uploaded_at"))
+    return log, files

@@ -15,7 +15,7 @@ read the validated premium (O7).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +40,8 @@ REQUIRED = {
 
 @dataclass
 class Metadata:
-    mapping: DataFrame            # column_mapping: client_id, category, raw_col_name, canonical_name, is_pii, effective_to
+    mapping: DataFrame            # column_mapping: client_id, category, raw_col_name, canonical_name, is_pii, effective_to; with
+                                  # effective_from too, each file is read by the rows valid when it was first seen
     treaty: DataFrame             # treaty_benefit_config
     rates: DataFrame | None       # rate_tables
     soa: DataFrame                # soa_entries
@@ -102,6 +103,10 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     pending = tb.materialize(pending_files(log, _read(spark, f"{w}/audit/staging_log")), "pending")
     heads = sf.header_columns(pending.withColumn("path", F.col("file_hash"))).withColumnRenamed("path", "file_hash").join(
         pending.select("file_hash", "client_id", "file_name", "category"), "file_hash")
+    if "effective_from" in meta.mapping.columns:
+        seen = _read(spark, f"{w}/audit/file_tracking").groupBy("file_hash").agg(F.min("tracked_at").alias("uploaded_at"))
+        as_of = dr.mapping_as_of(pending.join(seen, "file_hash"), meta.mapping)
+        meta = replace(meta, mapping=tb.materialize(as_of, "mapping-as-of"))
     gate = dr.mapping_gate(heads, meta.mapping)
     _queue_reviews(spark, heads, meta.mapping, f"{w}/audit/mapping_review_queue")
     queue = tb.materialize(pending.join(gate.filter(F.col("status") == "QUEUED").select("file_hash"), "file_hash", "left_semi"), "queued")
@@ -216,6 +221,36 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     return out
 
 
+def decide(spark: SparkSession, warehouse: str, decisions: DataFrame, decided_at: str | None = None) -> DataFrame:
+    """Store review decisions and return the mapping that follows from all of them.
+
+    ``decisions``: client_id, category, raw_col_name, canonical_name, is_pii, action (approve, affects_calculations,
+    reject, retire).  They are appended to ``audit/mapping_log``; items of the review queue that they settle get a row
+    with their new status, and the latest row of an item holds (``review_items``).  The result is the frame to give
+    ``Metadata.mapping``: rows with effective_from and effective_to.
+    """
+    w, when = warehouse.rstrip("/"), F.lit(decided_at).cast("timestamp") if decided_at else F.current_timestamp()
+    rows = tb.materialize(decisions.select("client_id", "category", "raw_col_name", "canonical_name", "is_pii", "action", when.alias("decided_at")), "decisions")
+    tb.append(rows, f"{w}/audit/mapping_log")
+    queue = _read(spark, f"{w}/audit/mapping_review_queue")
+    if queue is not None:
+        act = F.lower("action")
+        status = F.when(act == "approve", "APPROVED").when(act == "affects_calculations", "AFFECTS_CALCULATIONS").when(act == "reject", "REJECTED")
+        settled = rows.select("client_id", "category", cn.normalize_name_col("raw_col_name").alias("raw_col_name"), status.alias("_new"), "decided_at").where("_new IS NOT NULL")
+        settled = settled.groupBy("client_id", "category", "raw_col_name").agg(F.max_by("_new", "decided_at").alias("_new"), F.max("decided_at").alias("_at"))
+        items = review_items(queue).where("status = 'PENDING'").join(settled, ["client_id", "category", "raw_col_name"])
+        tb.append(tb.materialize(items.withColumn("status", F.col("_new")).withColumn("created_at", F.col("_at")).drop("_new", "_at"), "settled"),
+                  f"{w}/audit/mapping_review_queue")
+    return dr.mapping_intervals(tb.read_table(spark, f"{w}/audit/mapping_log"))
+
+
+def review_items(queue: DataFrame) -> DataFrame:
+    """Review items with their latest status."""
+    rest = [c for c in queue.columns if c not in ("client_id", "category", "raw_col_name")]
+    last = queue.groupBy("client_id", "category", "raw_col_name").agg(F.max_by(F.struct(*rest), F.struct("created_at", F.col("status") != "PENDING")).alias("x"))
+    return last.select("client_id", "category", "raw_col_name", "x.*")
+
+
 def pending_files(ingestion_log: DataFrame, staging_log: DataFrame | None) -> DataFrame:
     """Files in bronze that were never staged to the end, or whose latest staging run FAILED, with the run that ingested them."""
     ok = ingestion_log.filter(F.col("status") == "SUCCESS")
@@ -264,7 +299,8 @@ def _ingest(spark: SparkSession, inv: DataFrame, w: str, meta: Metadata, run_id:
                    .groupBy("file_hash").agg(F.count(F.lit(1)).alias("rows_written")))
         files = good.select("file_hash", "client_id", "file_name", "category")
         heads = sf.header_columns(good).join(good.select("path", "file_hash"), "path").drop("path").join(files, "file_hash")
-        drift = dr.schema_drift(heads, dr.expected_frame(spark), run_id, mapping=meta.mapping)
+        current = meta.mapping.where("effective_to IS NULL") if "effective_from" in meta.mapping.columns else meta.mapping
+        drift = dr.schema_drift(heads, dr.expected_frame(spark), run_id, mapping=current)
         tb.append(drift, f"{w}/audit/schema_drift")
     # a file is only a success if bronze holds as many rows as the file has lines below its header
     sizes = acc.groupBy("file_hash").agg(F.count(F.lit(1)).alias("duplicate_count"))
@@ -293,6 +329,8 @@ def _queue_reviews(spark: SparkSession, heads: DataFrame, mapping: DataFrame, pa
     queue = _read(spark, path)
     if queue is None:
         queue = spark.createDataFrame([], "client_id string, category string, raw_col_name string, file_name string, status string")
+    else:
+        queue = review_items(queue)
     items = tb.materialize(dr.review_queue_inserts(dr.unmapped_columns(heads, mapping), queue), "review-items")
     if _any(items):
         tb.append(items.withColumn("created_at", F.current_timestamp()), path)
