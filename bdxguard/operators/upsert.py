@@ -61,24 +61,31 @@ def write_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     only after the swap: a crash in between is finished by ``recover_upserts``,
     which every upsert calls first.
     """
-    from ..sources.tables import read_table, remove_folder, table_exists
+    from ..sources.tables import read_table, table_exists
 
     recover_upserts(spark, path)
     exists = table_exists(spark, path)
     if exists:
         target = read_table(spark, path, merge_schema=True, types={f.name: f.dataType for f in source.schema})
-        part_target = _touched(target, source, partition_by)
+        part_target = touched_rows(target, source, partition_by)
     else:                              # create path (S11): same upsert against an empty target
         part_target = empty_like(spark, source)
-    merged = upsert(part_target, source, keys)
+    replace_partitions(spark, upsert(part_target, source, keys), path, partition_by, staging_path)
+
+
+def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, partition_by: Sequence[str],
+                       staging_path: str | None = None) -> None:
+    """Replace the partitions that ``rows`` holds; ``rows`` may read the table itself.  Written beside it, then swapped in."""
+    from ..sources.tables import remove_folder
+
     stage = staging_path or f"{pending_folder(path)}/{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
     _swap(spark, stage, path, partition_by)
     if staging_path is None:
         remove_folder(spark, stage)
 
 
-def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def touched_rows(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of the target in partitions that the source writes to.  A null partition value is a partition like any
     other: its keys never match (S10), but its folder is replaced as a whole, so its rows have to be carried over."""
     t, s = target.alias("t"), source.select(*partition_by).distinct().alias("s")

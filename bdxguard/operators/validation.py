@@ -408,7 +408,8 @@ def refresh_premium_index(index: DataFrame | None, validated_premium: DataFrame,
 
 def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFrame | None,
                     claims_history: DataFrame | None = None, run_id: str = "run", checked_at: str | None = None,
-                    cal_by_key: bool = False, premium_index: DataFrame | None = None, present: DataFrame | None = None) -> Validation:
+                    cal_by_key: bool = False, premium_index: DataFrame | None = None, present: DataFrame | None = None,
+                    duplicate_history: DataFrame | None = None) -> Validation:
     """Claims and claims_adj validation.
 
     ``premium_history``: validated premium rows with treaty_id (the claims stage
@@ -417,7 +418,8 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     ``refresh_premium_index``); when given it is used instead of aggregating
     the history.  ``claims_history``: validated claims rows (client_id,
     claim_id, policy_number, benefit_id, insured_id, treaty_id, claim_amount,
-    file_hash); own-file rows are ignored.
+    file_hash); own-file rows are ignored.  ``duplicate_history``: the part of it that can hold a claim key of the
+    batch (V10); the whole ``claims_history`` without it.
     """
     full = F.col("category") == "claims"
     clean = _with_presence(clean, {**CLAIMS_OPTIONAL, "reinsured_sum_at_risk": "decimal(18,2)"}, present)
@@ -425,7 +427,7 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     # CAL life breaches) starts from this narrow base instead of from the joined chain.
     base = enrich_with_treaty(clean, treaty)
     breaches = cal_life_breaches(base.filter(full), claims_history, cal_by_key)
-    r, look = duplicate_flags(base, CLAIMS_DUP_KEYS, claims_history, full, with_lookup=True)
+    r, look = duplicate_flags(base, CLAIMS_DUP_KEYS, claims_history if duplicate_history is None else duplicate_history, full, with_lookup=True)
     if premium_history is not None or premium_index is not None:
         # batch keys from the duplicate rule's key-level aggregate (one row per key, already computed);
         # (client, policy, benefit) is a superset filter of the full (client, treaty, policy, benefit) key

@@ -278,6 +278,8 @@ def q_cal_life(spark, d):
 
 
 # ------------------------------------------------------------------ reconciliation
+from ..operators import deltas as dl  # noqa: E402
+from ..operators import pruning as pr  # noqa: E402
 from ..operators import recon as rc  # noqa: E402
 from ..operators import soa as so  # noqa: E402
 from ..operators import upsert as up  # noqa: E402
@@ -434,6 +436,77 @@ def q_upsert_validated(spark, d):
         "policy_effective_date", "premium_amount")
 
 
+# ------------------------------------------------------------------ tables kept by the changes of an upsert
+_MOVED = """
+    k_all AS (SELECT p.*, t.treaty_id FROM c_premium p JOIN treaty_a t USING (client_id, benefit_id, plan_code) WHERE p.category = 'premium'),
+    k_tgt AS (SELECT * FROM k_all WHERE quarter IN ('Q1', 'Q2', 'Q3')),
+    k_src AS (SELECT * REPLACE (CASE WHEN quarter = 'Q2' THEN reinsured_sum_at_risk - 1 ELSE reinsured_sum_at_risk END AS reinsured_sum_at_risk,
+                                CASE WHEN quarter = 'Q3' THEN treaty_id || '-N' ELSE treaty_id END AS treaty_id,
+                                CASE WHEN quarter = 'Q2' THEN premium_amount + 1 ELSE premium_amount END AS premium_amount)
+              FROM k_all WHERE quarter IN ('Q2', 'Q3', 'Q4')),
+    k_new AS (SELECT * FROM k_tgt t WHERE NOT EXISTS (SELECT 1 FROM k_src s WHERE s.policy_number = t.policy_number
+                  AND s.benefit_id = t.benefit_id AND s.valuation_date = t.valuation_date
+                  AND s.policy_effective_date = t.policy_effective_date AND s.year = t.year AND s.quarter = t.quarter)
+              UNION ALL SELECT * FROM k_src)"""
+
+
+def _moved(spark, d):
+    """Q1-Q3 as the validated premium, and Q2-Q4 as a promotion: lower sums and other amounts in Q2, another treaty in Q3."""
+    p = Pipeline(spark, d)
+    rows = _validated(p.premium_history)
+    q2, q3 = F.col("quarter") == "Q2", F.col("quarter") == "Q3"
+    src = (rows.filter(F.col("quarter").isin("Q2", "Q3", "Q4"))
+           .withColumn("reinsured_sum_at_risk", F.when(q2, F.col("reinsured_sum_at_risk") - 1).otherwise(F.col("reinsured_sum_at_risk")).cast("decimal(18,2)"))
+           .withColumn("premium_amount", F.when(q2, F.col("premium_amount") + 1).otherwise(F.col("premium_amount")).cast("decimal(18,2)"))
+           .withColumn("treaty_id", F.when(q3, F.concat("treaty_id", F.lit("-N"))).otherwise(F.col("treaty_id"))))
+    return rows.filter(F.col("quarter").isin("Q1", "Q2", "Q3")), src
+
+
+@register("premium_index_kept", orc.with_views("""
+    SELECT client_id, treaty_id, policy_number, benefit_id, CAST(max(reinsured_sum_at_risk) AS DECIMAL(18,2)) AS max_risar, max(valuation_date) AS last_paid_to,
+           min(policy_effective_date) AS first_effective
+    FROM k_new GROUP BY ALL""", _MOVED))
+def q_premium_index_kept(spark, d):
+    """The premium index kept by signed changes over an upsert that lowers sums and moves treaties."""
+    tgt, src = _moved(spark, d)
+    columns = (*dl.PREMIUM_KEYS, *dl.PREMIUM_VALUES)
+    held = dl.fold_values(None, tgt.select(*columns, F.lit(1).alias(dl.SIGN)))
+    index = dl.extremes(dl.fold_values(held, dl.changes(tgt, src, up.merge_keys("premium"), columns)))
+    return index.select(*dl.PREMIUM_KEYS, F.col("_max_risar").alias("max_risar"), F.col("_last_paid_to").alias("last_paid_to"),
+                        F.col("_first_effective").alias("first_effective"))
+
+
+@register("period_totals_kept", orc.with_views("""
+    SELECT client_id, category, year, quarter AS period, CAST(coalesce(sum(premium_amount), 0) AS DECIMAL(18,2)) AS file_amount
+    FROM k_new GROUP BY client_id, category, year, quarter""", _MOVED))
+def q_period_totals_kept(spark, d):
+    """Period amounts kept by signed changes over the same upsert, as the reconciliation reads them."""
+    tgt, src = _moved(spark, d)
+    columns = (*rc.GROUP_KEYS, "premium_amount")
+    held = dl.fold_totals(None, tgt.select(*columns, F.lit(1).alias(dl.SIGN)), "premium_amount")
+    totals = dl.fold_totals(held, dl.changes(tgt, src, up.merge_keys("premium"), columns), "premium_amount")
+    scope = tgt.select(*rc.GROUP_KEYS).unionByName(src.select(*rc.GROUP_KEYS))
+    return dl.amounts_of_totals(totals, scope).filter("_has_table").drop("_has_table")
+
+
+@register("history_duplicates", orc.with_views("""
+    SELECT b.client_id, b.file_hash, b.year, b.quarter, count(*) AS rows_seen_before
+    FROM (SELECT * FROM c_premium WHERE category = 'premium_adj') b
+    WHERE EXISTS (SELECT 1 FROM c_premium h WHERE h.category = 'premium' AND h.client_id = b.client_id AND h.policy_number = b.policy_number
+                    AND h.benefit_id = b.benefit_id AND h.valuation_date = b.valuation_date)
+    GROUP BY ALL"""))
+def q_history_duplicates(spark, d):
+    """Rows of the adjustment files whose key the premium history holds; the history is read only in the (year, quarter)
+    partitions whose key bitmaps meet those of the batch."""
+    c = Pipeline(spark, d).clean_premium
+    history, batch = c.filter(F.col("category") == "premium"), c.filter(F.col("category") == "premium_adj")
+    keys, by, exact = ("client_id", *va.PREMIUM_DUP_KEYS), ("year", "quarter"), ("valuation_date",)
+    read = pr.partitions_to_read(pr.key_maps(history, keys, by, exact), pr.key_maps(batch, keys, exact=exact), by, exact)
+    old = history.join(read, list(by), "left_semi").select(*keys).distinct()
+    return (batch.join(old, list(keys), "left_semi").groupBy("client_id", "file_hash", "year", "quarter")
+            .agg(F.count(F.lit(1)).alias("rows_seen_before")))
+
+
 # ------------------------------------------------------------------ SOA work lists
 @register("soa_net", orc.with_views("""
     SELECT client_id, year, period, version,

@@ -8,6 +8,9 @@ stage boundaries are tables under ``warehouse``:
   audit/quarantine_summary, audit/validation_results, audit/recon_results,
   bronze (partitioned by run, category), silver/staging (by run, category, clean flag),
   silver/validated/<category>, gold/<category>   (partitioned by year, period)
+  silver/period_totals/<category> (by year, period), silver/premium_values (by key bucket): kept by the changes of
+  each promotion, so reconciliation and claims checks do not read the validated history;
+  silver/key_maps/<category> (by year, period): bitmaps that tell which periods a duplicate check has to read
 
 Premium is validated and promoted before claims, because the claims checks
 read the validated premium (O7).
@@ -15,14 +18,17 @@ read the validated premium (O7).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import canonical as cn
+from ..operators import deltas as dl
 from ..operators import drift as dr
 from ..operators import ingest as ig
+from ..operators import pruning as pr
 from ..operators import recon as rc
 from ..operators import staging as st
 from ..operators import upsert as up
@@ -60,7 +66,7 @@ INDEX_BUCKETS = 64
 
 
 def _bucket():
-    """Hash bucket of a premium-index key (client, policy): the unit a refresh rewrites."""
+    """Hash bucket of a premium-values key (client, policy): the unit a change rewrites."""
     return F.pmod(F.xxhash64("client_id", "policy_number"), F.lit(INDEX_BUCKETS)).cast("int")
 
 
@@ -84,6 +90,7 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     out: dict[str, DataFrame] = {}
     for t in (*(f"silver/validated/{c}" for c in (*PREMIUM_LIKE, *CLAIMS_LIKE)), *(f"gold/{c}" for c in (*PREMIUM_LIKE, *CLAIMS_LIKE))):
         up.recover_upserts(spark, f"{w}/{t}")
+    _recover_kept(spark, w)
 
     # ---- 1. seen: the inventory, and each content hash tracked once
     inv = tb.materialize(inventory, "landing")
@@ -155,43 +162,27 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     # A kind of file absent from the run has no columns to check: its validation is skipped.
     clean_p = sp.filter(F.col("_clean") == 1).drop("_clean")
     if all(c in clean_p.columns for c in REQUIRED["premium"]):
-        hist_p = _read(spark, f"{w}/silver/validated/premium")
+        hist_p = _history(spark, w, "premium", clean_p)
         pv = va.validate_premium(clean_p, meta.treaty, meta.rates, hist_p, run_id=run_id, checked_at=checked_at, present=present)
         out["premium_checks"] = tb.materialize(pv.checks, "premium-checks")
         tb.append(out["premium_checks"], f"{w}/audit/validation_results")
         _export(pv, meta.mapping, f"{w}/quarantine/run_id={run_id}/premium", run_id)
         promote_p = tb.materialize(cn.mask_pii(_promotion_columns(pv.promotable(), run_id), meta.mapping), "promote-premium")
         for cat in PREMIUM_LIKE:
-            part = promote_p.filter(F.col("category") == cat)
-            if part.limit(1).count():
-                up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
-        # maintained premium index, hash-bucketed: only the buckets of the touched keys are read,
-        # recomputed (exact under updates) and rewritten (dynamic partition overwrite)
-        base_promoted = promote_p.filter(F.col("category") == "premium")
-        if base_promoted.limit(1).count():
-            touched = base_promoted.select("client_id", *va.PREMIUM_HISTORY_KEYS).distinct().withColumn("_bucket", _bucket())
-            old = _read(spark, f"{w}/silver/premium_index")
-            if old is not None:
-                old = old.join(touched.select("_bucket").distinct(), "_bucket", "left_semi").drop("_bucket")
-            index = tb.materialize(va.refresh_premium_index(
-                old, _read(spark, f"{w}/silver/validated/premium"), touched.drop("_bucket")).withColumn("_bucket", _bucket()),
-                "premium-index")
-            tb.write_partitions(index, f"{w}/silver/premium_index", ["_bucket"])
+            _promote(spark, promote_p.filter(F.col("category") == cat), w, cat)
 
     clean_c = sc.filter(F.col("_clean") == 1).drop("_clean")
     if all(c in clean_c.columns for c in REQUIRED["claims"]):
-        prem_index = _read(spark, f"{w}/silver/premium_index")
+        prem_index = _premium_index(spark, w, clean_c)
         claims_hist = _read(spark, f"{w}/silver/validated/claims")
         cv = va.validate_claims(clean_c, meta.treaty, None, claims_hist, run_id=run_id, checked_at=checked_at,
-                                premium_index=prem_index, present=present)
+                                premium_index=prem_index, present=present, duplicate_history=_history(spark, w, "claims", clean_c))
         out["claims_checks"] = tb.materialize(cv.checks, "claims-checks")
         tb.append(out["claims_checks"], f"{w}/audit/validation_results")
         _export(cv, meta.mapping, f"{w}/quarantine/run_id={run_id}/claims", run_id)
         promote_c = tb.materialize(cn.mask_pii(_promotion_columns(cv.promotable(), run_id), meta.mapping), "promote-claims")
         for cat in CLAIMS_LIKE:
-            part = promote_c.filter(F.col("category") == cat)
-            if part.limit(1).count():
-                up.write_upsert(spark, part, f"{w}/silver/validated/{cat}", up.merge_keys(cat))
+            _promote(spark, promote_c.filter(F.col("category") == cat), w, cat)
 
     # ---- 6. reconciliation and gold
     scope = log.filter("status = 'SUCCESS'").select("client_id", "category", "year", F.col("quarter").alias("period"))
@@ -203,7 +194,7 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
         return out_
 
     vp, vc = _union(PREMIUM_LIKE), _union(CLAIMS_LIKE)
-    res = rc.reconcile(rc.period_amounts(vp, vc, scope), meta.soa, run_id=run_id, checked_at=checked_at)
+    res = rc.reconcile(dl.amounts_of_totals(_period_totals(spark, w), scope), meta.soa, run_id=run_id, checked_at=checked_at)
     res = tb.materialize(res, "recon")
     tb.append(res, f"{w}/audit/recon_results")
     for cat, v in (("premium", vp), ("claims", vc)):
@@ -221,6 +212,144 @@ def run_files(spark: SparkSession, inventory: DataFrame, warehouse: str, meta: M
     return out
 
 
+# ------------------------------------------------------------------ tables kept by the changes of a promotion
+def _promote(spark: SparkSession, part: DataFrame, w: str, cat: str) -> None:
+    """Upsert the promoted rows of a category and bring the tables kept from it up to date by what changed.
+
+    The change is written before the upsert and removed after the last table that needs it.  A run that ends in
+    between leaves it there, and the next run sums its groups again from the validated table (``_recover_kept``).
+    Key maps only ever gain bits, so they are written first: no row is in the history before its bit.
+    """
+    if not _any(part):
+        return
+    if cat in KEY_MAPS:
+        _write_maps(spark, w, cat, part)
+    path, keys = f"{w}/silver/validated/{cat}", up.merge_keys(cat)
+    if tb.table_exists(spark, path):
+        target = tb.read_table(spark, path, merge_schema=True, types={f.name: f.dataType for f in part.schema})
+        target = up.touched_rows(target, part, up.PARTITION_KEYS)
+    else:
+        target = up.empty_like(spark, part)
+    change = f"{w}/silver/changes/{cat}/{uuid.uuid4().hex}"
+    dl.changes(target, part, keys, _kept_columns(cat)).write.parquet(change)
+    up.write_upsert(spark, part, path, keys)
+    delta = spark.read.parquet(change)
+    _write_totals(spark, w, cat, delta, delta)
+    if cat == "premium":
+        _write_values(spark, w, delta, delta)
+    tb.remove_folder(spark, change)
+
+
+def _kept_columns(cat: str) -> list[str]:
+    own = ("treaty_id", "policy_number", "benefit_id", *dl.PREMIUM_VALUES) if cat == "premium" else ()
+    return [*rc.GROUP_KEYS, dl.AMOUNTS[cat], *own]
+
+
+def _write_totals(spark: SparkSession, w: str, cat: str, delta: DataFrame, touched: DataFrame, afresh: bool = False) -> None:
+    """Fold a change into the period totals of a category; only the periods in ``touched`` are read and rewritten."""
+    path = f"{w}/silver/period_totals/{cat}"
+    old = None if afresh else _read(spark, path)
+    if old is not None:
+        old = up.touched_rows(old, touched, up.PARTITION_KEYS)
+    up.replace_partitions(spark, dl.fold_totals(old, delta, dl.AMOUNTS[cat]), path, up.PARTITION_KEYS)
+
+
+def _write_values(spark: SparkSession, w: str, delta: DataFrame, touched: DataFrame, afresh: bool = False) -> None:
+    """Fold a change into the premium values; only the key buckets in ``touched`` are read and rewritten."""
+    path = f"{w}/silver/premium_values"
+    old = None if afresh else _read(spark, path)
+    if old is not None:
+        old = old.filter(F.col("_bucket").isin(_buckets(touched)))
+    rows = dl.fold_values(old, delta).withColumn("_bucket", _bucket()).hint("rebalance", "_bucket")
+    up.replace_partitions(spark, rows, path, ["_bucket"])
+
+
+#: Key columns, exact columns and maps per exact value of the tables in which duplicates are looked for.
+KEY_MAPS = {"premium": (("client_id", *va.PREMIUM_DUP_KEYS), ("valuation_date",), 8), "claims": (("client_id", *va.CLAIMS_DUP_KEYS), (), 64)}
+
+
+def _write_maps(spark: SparkSession, w: str, cat: str, rows: DataFrame) -> None:
+    """Add the keys of some rows to the key maps of their periods."""
+    path, by = f"{w}/silver/key_maps/{cat}", up.PARTITION_KEYS
+    keys, exact, spread = KEY_MAPS[cat]
+    old = _read(spark, path)
+    if old is not None:
+        old = up.touched_rows(old, rows, by)
+    up.replace_partitions(spark, pr.merge_maps(old, pr.key_maps(rows, keys, by, exact, spread), by, exact), path, by)
+
+
+def _history(spark: SparkSession, w: str, cat: str, batch: DataFrame) -> DataFrame | None:
+    """Validated rows of the periods that can hold a key of the batch; None without a validated table.
+
+    The periods to read are a partition filter: one entry a quarter of history at most.
+    """
+    rows, maps = _read(spark, f"{w}/silver/validated/{cat}"), _read(spark, f"{w}/silver/key_maps/{cat}")
+    if rows is None or maps is None:
+        return rows
+    keys, exact, spread = KEY_MAPS[cat]
+    asked = pr.key_maps(batch.filter(F.col("category") == cat), keys, exact=exact, spread=spread)
+    found = F.lit(False)
+    for year, period in sorted(pr.partitions_to_read(maps, asked, up.PARTITION_KEYS, exact).collect(), key=str):
+        found = found | (F.col("year").eqNullSafe(F.lit(year)) & F.col("period").eqNullSafe(F.lit(period)))
+    return rows.filter(found)
+
+
+def _buckets(rows: DataFrame) -> list[int]:
+    """Key buckets of some rows: at most INDEX_BUCKETS numbers, used as a partition filter."""
+    return sorted(r[0] for r in rows.select(_bucket().alias("_bucket")).distinct().collect())
+
+
+def _premium_index(spark: SparkSession, w: str, claims: DataFrame) -> DataFrame | None:
+    """Premium index of the policies of the claims: only their buckets are read."""
+    values = _read(spark, f"{w}/silver/premium_values")
+    if values is None:
+        return None
+    mine = claims.select("client_id", "policy_number").distinct()
+    return dl.extremes(values.filter(F.col("_bucket").isin(_buckets(mine))).join(mine, ["client_id", "policy_number"], "left_semi"))
+
+
+def _period_totals(spark: SparkSession, w: str) -> DataFrame | None:
+    found = [t for t in (_read(spark, f"{w}/silver/period_totals/{c}") for c in (*PREMIUM_LIKE, *CLAIMS_LIKE)) if t is not None]
+    out = found[0] if found else None
+    for t in found[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def _recover_kept(spark: SparkSession, w: str) -> None:
+    """Make the kept tables fit the validated tables before a run.
+
+    A change that is still there belongs to a run that ended before it was folded in everywhere (or before its
+    upsert): its periods and buckets are summed again from the validated rows, whichever of the two it was.  Tables
+    that do not exist yet beside a validated table are built from it.
+    """
+    up.recover_upserts(spark, f"{w}/silver/premium_values", ["_bucket"])
+    for cat in (*PREMIUM_LIKE, *CLAIMS_LIKE):
+        up.recover_upserts(spark, f"{w}/silver/period_totals/{cat}")
+        left = [f"{w}/silver/changes/{cat}/{n}" for n in tb.folders(spark, f"{w}/silver/changes/{cat}")]
+        up.recover_upserts(spark, f"{w}/silver/key_maps/{cat}")
+        rows = _read(spark, f"{w}/silver/validated/{cat}")
+        if rows is not None:
+            if cat in KEY_MAPS and not tb.table_exists(spark, f"{w}/silver/key_maps/{cat}"):
+                _write_maps(spark, w, cat, rows)
+            columns = _kept_columns(cat)
+            rows = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in columns], F.lit(1).alias(dl.SIGN))
+            for path in (p for p in left if "_SUCCESS" in tb.folders(spark, p)):   # without the mark its upsert never began
+                change = spark.read.parquet(path).withColumn(dl.SIGN, F.lit(0))    # names groups that may hold no row any more
+                if tb.table_exists(spark, f"{w}/silver/period_totals/{cat}"):
+                    again = up.touched_rows(rows, change, up.PARTITION_KEYS).unionByName(change)
+                    _write_totals(spark, w, cat, again, change, afresh=True)
+                if cat == "premium" and tb.table_exists(spark, f"{w}/silver/premium_values"):
+                    again = rows.filter(_bucket().isin(_buckets(change))).unionByName(change)
+                    _write_values(spark, w, again, change, afresh=True)
+            if not tb.table_exists(spark, f"{w}/silver/period_totals/{cat}"):
+                _write_totals(spark, w, cat, rows, rows, afresh=True)
+            if cat == "premium" and not tb.table_exists(spark, f"{w}/silver/premium_values"):
+                _write_values(spark, w, rows, rows, afresh=True)
+        for path in left:
+            tb.remove_folder(spark, path)
+
+
 def decide(spark: SparkSession, warehouse: str, decisions: DataFrame, decided_at: str | None = None) -> DataFrame:
     """Store review decisions and return the mapping that follows from all of them.
 

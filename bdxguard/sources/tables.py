@@ -26,9 +26,11 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder of a table is there and holds anything but hidden entries; errors of the store rise."""
-    fs, p = _hadoop(spark, path)
-    return fs.exists(p) and any(not s.getPath().getName().startswith((".", "_")) for s in fs.listStatus(p))
+    """Whether the folder of a table is there and holds anything but hidden entries; errors of the store rise.
+
+    As in Spark's own listing, ``_SUCCESS`` is hidden and a partition folder such as ``_bucket=3`` is not.
+    """
+    return any("=" in n or not n.startswith("_") for n in folders(spark, path) if not n.startswith("."))
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
