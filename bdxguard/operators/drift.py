@@ -58,7 +58,7 @@ def schema_drift(headers: DataFrame, expected: DataFrame, run_id: str = "run",
     h = (normalized_headers(headers) if mapping is None else canonical_headers(headers, mapping))
     h = h.filter(F.col("category") != "others")
     files = h.select(*FILE_KEYS).distinct()
-    exp = files.join(bounded_broadcast(expected, 100_000), "category")  # expected: a few rows per category
+    exp = files.join(bounded_broadcast(expected), "category")  # expected: a few rows per category
     new = h.join(exp.select("file_hash", "column_name"), ["file_hash", "column_name"], "left_anti")
     missing = exp.join(h.select("file_hash", "column_name"), ["file_hash", "column_name"], "left_anti")
     return (new.withColumn("issue_type", F.lit("NEW_COLUMN"))

@@ -1,9 +1,9 @@
 """Join helpers: size-checked broadcast, mark joins, null-safe key joins, as-of join.
 
-SURVEY J3-J7, J12, J13.  A broadcast is only requested for a side whose row
-count was checked with a bounded ``limit(n + 1).count()`` (it never scans more
-than n + 1 rows); larger sides fall back to a shuffle join that AQE can still
-turn into a broadcast at run time from real statistics.
+SURVEY J3-J7, J12, J13.  A broadcast is only requested for a side whose bytes
+were measured (one partial aggregate, nothing gathered); larger sides fall back
+to a shuffle join that AQE can still turn into a broadcast at run time from real
+statistics.
 """
 
 from __future__ import annotations
@@ -12,14 +12,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if df has at most ``max_rows`` rows, else df unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from pyspark.sql import types as T
+
+#: Most bytes, as rows in memory, of a side that is broadcast on request.
+BROADCAST_BYTES = 64 << 20
+ROW_OVERHEAD = 32  # row header, null bits and hash entry
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row in a join's hash table: eight bytes a column, and the bytes of texts and nested values."""
+    size = F.lit(ROW_OVERHEAD + 8 * len(df.columns)).cast("long")
+    for f in df.schema:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size += F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
+            size += F.lit(16)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size += F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0)) * 2
+    return size
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if the rows of df take at most ``max_bytes``, else df unchanged.  Wide rows count as wide."""
+    n = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    return F.broadcast(df) if n <= max_bytes else df
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:

@@ -90,10 +90,9 @@ def prepare_treaty(treaty: DataFrame) -> DataFrame:
     return treaty.select(*TREATY_KEYS, *present, *missing, F.row_number().over(w).alias("_cfg_rank"))
 
 
-def enrich_with_treaty(rows: DataFrame, treaty: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+def enrich_with_treaty(rows: DataFrame, treaty: DataFrame) -> DataFrame:
     """Left join to the treaty config on (client, benefit, plan)."""
-    cfg = prepare_treaty(treaty)
-    cfg = bounded_broadcast(cfg) if broadcast_rows is None else bounded_broadcast(cfg, broadcast_rows)
+    cfg = bounded_broadcast(prepare_treaty(treaty))
     drop = [c for c in TREATY_COLUMNS if c in rows.columns]
     return rows.drop(*drop).join(cfg, list(TREATY_KEYS), "left")
 

@@ -963,6 +963,7 @@ def q_latest_staging_run(spark, d):
 # ------------------------------------------------------------------ streaming arrival (K1)
 from ..session import scratch_dir  # noqa: E402
 from ..streaming import arrival as ar  # noqa: E402
+from ..streaming.metrics import MetricStore  # noqa: E402
 
 
 @register("stream_bronze", orc.with_views("""
@@ -983,6 +984,24 @@ def q_stream_bronze(spark, d):
     return spark.read.parquet(tracking_path).select("file_hash", "doc_id", "client_id", "file_name")
 
 
+@register("stream_metrics", orc.with_views("""
+    SELECT 'file' AS source, file_hash, count(*) AS rows_seen, CAST(1 AS BIGINT) AS rows_written FROM trk GROUP BY file_hash
+    UNION ALL SELECT 'batch', NULL, count(*), count(DISTINCT file_hash) FROM trk
+    UNION ALL SELECT 'progress', NULL, count(*), NULL FROM documents"""))
+def q_stream_metrics(spark, d):
+    """What the arrival stream of documents stored: per content the copies seen and registered, the totals that the
+    batches observed, and the rows the engine reported as read; summed over the batches of the run."""
+    import uuid
+    schema = fx.table(spark, d, "documents").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+              .parquet(d.rstrip("/")))
+    run = uuid.uuid4().hex[:12]
+    store = MetricStore(spark, scratch_dir(spark, f"stream-metrics-{run}"), f"arrivals_{run}")
+    ar.run_arrivals(spark, stream, scratch_dir(spark, f"tracking-{run}"), scratch_dir(spark, f"arrivals-ckpt-{run}"),
+                    lambda b: ig.file_inventory(fx.landed_files_from(b)).filter(F.col("accepted")), store=store)
+    return store.read().groupBy("source", "file_hash").agg(F.sum("rows_seen").alias("rows_seen"), F.sum("rows_written").alias("rows_written"))
+
+
 @register("promoted_rows", orc.with_views("""
     SELECT f.client_id, f.file_hash, f.file_name, f.year, f.quarter,
         count(*) FILTER (WHERE NOT f.rejected AND NOT coalesce(r.f_treaty OR r.f_dup, false)) AS promoted_rows,

@@ -67,10 +67,10 @@ def _base(spark: SparkSession, sf_dir: str, claims: bool) -> DataFrame:
     li = ensure_parallelism(li)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    # nation ⋈ region has one row per nation; broadcast after the usual row-count check
+    # nation ⋈ region has one row per nation; broadcast after the usual size check
     nr = bounded_broadcast(table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
                                                                F.col("n_regionkey") == F.col("r_regionkey"))
-                           .select("n_nationkey", "r_name"), max_rows=100_000)
+                           .select("n_nationkey", "r_name"))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     b = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(c, F.col("o_custkey") == F.col("c_custkey"))
@@ -199,7 +199,7 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nr = bounded_broadcast(table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
                                                                F.col("n_regionkey") == F.col("r_regionkey"))
-                           .select("n_nationkey", "r_name"), max_rows=100_000)
+                           .select("n_nationkey", "r_name"))
     keys = (c.join(nr, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("r_name").alias("client_id"), _pick(F.col("c_custkey") % 3, BENEFITS).alias("benefit_id"),
                     (F.col("c_custkey") % 57 + 5).cast("int").alias("age"),
