@@ -962,6 +962,7 @@ def q_latest_staging_run(spark, d):
 
 # ------------------------------------------------------------------ streaming arrival (K1)
 from ..session import scratch_dir  # noqa: E402
+from ..sources import bucketed as bk  # noqa: E402
 from ..streaming import arrival as ar  # noqa: E402
 from ..streaming.metrics import MetricStore  # noqa: E402
 
@@ -1002,6 +1003,27 @@ def q_stream_metrics(spark, d):
     return store.read().groupBy("source", "file_hash").agg(F.sum("rows_seen").alias("rows_seen"), F.sum("rows_written").alias("rows_written"))
 
 
+@register("policy_history", orc.with_views("""
+    SELECT c.client_id, c.file_hash, count(*) AS n_claims, count(h.n) AS n_with_premium, CAST(sum(h.amt) AS DECIMAL(28,2)) AS premium_total
+    FROM c_claims c LEFT JOIN (SELECT client_id, policy_number, count(*) AS n, sum(premium_amount) AS amt FROM c_premium GROUP BY 1, 2) h
+      ON h.client_id = c.client_id AND h.policy_number = c.policy_number
+    GROUP BY c.client_id, c.file_hash"""))
+def q_policy_history(spark, d):
+    """Claims met with the premium of their policies, from a premium table laid out by (client, policy); its
+    aggregate and the join need no shuffle of the table."""
+    import uuid
+    p, keys = Pipeline(spark, d), ["client_id", "policy_number"]
+    path = scratch_dir(spark, f"premium-by-policy-{uuid.uuid4().hex[:12]}")
+    rows = p.clean_premium.select(*keys, "premium_amount")
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    bk.append_bucketed(rows, path, keys, bk.buckets_for(int(str(size))))
+    history = bk.read_bucketed(spark, path).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("premium_amount").alias("_amt"))
+    claims = p.clean_claims.groupBy("file_hash", *keys).agg(F.count(F.lit(1)).alias("_c"))
+    return (bk.aligned(claims, path).join(history, keys, "left").groupBy("client_id", "file_hash")
+            .agg(F.sum("_c").alias("n_claims"), F.coalesce(F.sum(F.when(F.col("_n").isNotNull(), F.col("_c"))), F.lit(0)).alias("n_with_premium"),
+                 F.sum(F.col("_amt") * F.col("_c")).cast("decimal(28,2)").alias("premium_total")))
+
+
 @register("promoted_rows", orc.with_views("""
     SELECT f.client_id, f.file_hash, f.file_name, f.year, f.quarter,
         count(*) FILTER (WHERE NOT f.rejected AND NOT coalesce(r.f_treaty OR r.f_dup, false)) AS promoted_rows,
