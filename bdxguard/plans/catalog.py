@@ -974,9 +974,7 @@ def q_stream_bronze(spark, d):
     """Documents arrive through a file-source stream; foreachBatch registers each
     content hash once (first arrival wins) into a tracking table; availableNow trigger."""
     import uuid
-    schema = fx.table(spark, d, "documents").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-              .parquet(d.rstrip("/")))
+    stream = fx.table_stream(spark, d, "documents")
     run = uuid.uuid4().hex[:12]
     tracking_path = scratch_dir(spark, f"tracking-{run}")
     q, _ = ar.run_arrivals(spark, stream, tracking_path, scratch_dir(spark, f"arrivals-ckpt-{run}"),

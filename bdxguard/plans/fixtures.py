@@ -39,6 +39,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a file-source stream of all its files: a table is one file or, once it is larger, a folder of files."""
+    from ..sources.tables import _hadoop
+
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    fs, p = _hadoop(spark, path)
+    r = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    if fs.getFileStatus(p).isDirectory():
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))    # a stream reads no single file
+
+
 def _pick(idx: Column, values) -> Column:
     """values[idx] as a compact array lookup (NULL when idx is NULL)."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
