@@ -991,9 +991,7 @@ def q_stream_metrics(spark, d):
     """What the arrival stream of documents stored: per content the copies seen and registered, the totals that the
     batches observed, and the rows the engine reported as read; summed over the batches of the run."""
     import uuid
-    schema = fx.table(spark, d, "documents").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-              .parquet(d.rstrip("/")))
+    stream = fx.table_stream(spark, d, "documents")
     run = uuid.uuid4().hex[:12]
     store = MetricStore(spark, scratch_dir(spark, f"stream-metrics-{run}"), f"arrivals_{run}")
     ar.run_arrivals(spark, stream, scratch_dir(spark, f"tracking-{run}"), scratch_dir(spark, f"arrivals-ckpt-{run}"),
@@ -1139,7 +1137,7 @@ def q_file_offers(spark, d):
     import uuid
 
     from ..streaming import offers as of
-    e = spark.readStream.schema(fx.table(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d.rstrip("/"))
+    e = fx.table_stream(spark, d, "events")
     run = uuid.uuid4().hex[:12]
     actions = scratch_dir(spark, f"offers-{run}")
     of.run_offers(spark, fx.file_events(e), actions, scratch_dir(spark, f"offers-ckpt-{run}"))
