@@ -8,6 +8,7 @@ statistics.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,6 +101,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
 
 #: Most buckets one interval is expanded to; buckets widen with the span of the points beyond that.
 INTERVAL_BUCKETS = 64
+DAY = 86400 * 1000000
 
 
 def range_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: Column | str,
@@ -112,28 +114,50 @@ def range_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: Colu
     point of ``left`` (one aggregate), at most INTERVAL_BUCKETS; a point lies in one.  The join is an equi join on keys
     and bucket with the boundaries as a residual, so a pair is found once, a key with many versions meets each row
     with the few of its bucket, and a hot key is spread over its buckets (and split further by the skew join).
+
+    An inner join cuts buckets on levels, each a quarter as wide as the one above.  An interval lies on the level whose
+    buckets are just wider than it, and touches two of these at most; a point looks at its bucket of every level that
+    holds intervals (one aggregate finds them).  So a point meets the intervals about as long as they are far from it,
+    however many a bucket of the first level holds: the work grows with points, intervals and result.  Other joins
+    have the first level only (a point without a match has to stay one row).
+
     A null end is open; a null start, a null point or a null key matches nothing.  Output: the columns of ``left``, then
     those of ``right`` without the keys.
     """
     p = F.col(point) if isinstance(point, str) else point
-    day = F.unix_date(p.cast("date"))
-    first, last = left.agg(F.min(day), F.max(day)).first()
+
+    def micros(t):
+        return F.unix_micros(t.cast("timestamp"))
+
+    first, last = left.agg(F.min(micros(p)), F.max(micros(p))).first()
     rest = [c for c in right.columns if c not in on]
     if first is None:
         first, last = 0, -1
-    width = max(bucket_days, -(-(last - first + 1) // (INTERVAL_BUCKETS - 1)))
+    top = max(bucket_days * DAY, -(-(last - first + 1) // (INTERVAL_BUCKETS - 1)))
 
-    def bucket(days):
-        return F.floor((days - F.lit(first)) / F.lit(width)).cast("int")
+    def bucket(t, level):
+        return F.expr("{} div greatest(shiftright({}L, 2 * {}), 1L)".format("({} - {}L)".format(t, first), top, level))
 
-    low = F.greatest(bucket(F.unix_date(F.col(start).cast("date"))), F.lit(0))
-    high = F.least(F.coalesce(bucket(F.unix_date(F.col(end).cast("date"))), F.lit(INTERVAL_BUCKETS)), bucket(F.lit(last)))
-    touched = F.when(F.col(start).isNotNull() & (low <= high), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-    r = right.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(on)], F.struct(*[F.col(c) for c in rest]).alias("__right"),
-                     F.col(start).alias("__start"), F.col(end).alias("__end"), F.explode(touched).alias("__rb"))
-    l = left.select("*", p.alias("__point"), bucket(day).alias("__lb"))
+    known = F.col(start).isNotNull()
+    for k in on:
+        known &= F.col(k).isNotNull()
+    span = right.filter(known).select(
+        *[F.col(c).alias(f"__k{i}") for i, c in enumerate(on)], F.struct(*[F.col(c) for c in rest]).alias("__right"),
+        F.col(start).alias("__start"), F.col(end).alias("__end"), F.greatest(micros(F.col(start)), F.lit(first)).alias("__low"),
+        F.least(F.coalesce(micros(F.col(end)), F.lit(last)), F.lit(last)).alias("__high")).filter("__low <= __high")
+    if how == "inner":
+        narrower = F.floor(F.ln(F.lit(float(top)) / (F.col("__high") - F.col("__low") + 1)) / math.log(4)).cast("int")
+        span = span.withColumn("__rl", F.greatest(narrower, F.lit(0)))
+        levels = sorted(r[0] for r in span.select("__rl").distinct().collect())     # one for each power of four: a few dozen at most
+    else:
+        span, levels = span.withColumn("__rl", F.lit(0)), [0]
+    r = span.select("*", F.explode(F.sequence(bucket("__low", "__rl"), bucket("__high", "__rl"))).alias("__rb")).drop("__low", "__high")
+    l = left.select("*", p.alias("__point"), (micros(p)).alias("__at"))
+    l = l.withColumn("__ll", F.lit(levels[0] if levels else 0) if len(levels) < 2 else F.explode(F.array(*[F.lit(x) for x in levels])))
+    l = l.withColumn("__lb", bucket("__at", "__ll")).drop("__at")
     before_end = F.col("__point") < F.col("__end") if half_open else F.col("__point") <= F.col("__end")
-    cond = (F.col("__lb") == F.col("__rb")) & (F.col("__point") >= F.col("__start")) & (F.col("__end").isNull() | before_end)
+    cond = ((F.col("__ll") == F.col("__rl")) & (F.col("__lb") == F.col("__rb")) & (F.col("__point") >= F.col("__start"))
+            & (F.col("__end").isNull() | before_end))
     for i, c in enumerate(on):
         cond &= l[c] == F.col(f"__k{i}")
     return l.join(r, cond, how).select(*left.columns, *[F.col("__right")[c].alias(c) for c in rest])
