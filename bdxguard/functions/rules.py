@@ -1,7 +1,7 @@
 """Rule registry: a rule is a named Column predicate with the columns it needs.
 
 All rules of a stage are evaluated in one ``select`` as one array column
-(P7): ``filter(array(when(c1, 'r1'), when(c2, 'r2'), ...), x -> x is not null)``.
+(P7): ``concat(when(c1, array('r1')) else array(), when(c2, array('r2')) else array(), ...)``.
 A NULL condition leaves the row unflagged.  A rule whose required columns are
 absent is *skipped* (P12) and reported with status ``SKIPPED``.
 """
@@ -37,12 +37,19 @@ def skipped_rules(rules: Sequence[Rule], columns: Iterable[str]) -> list[Rule]:
     return [r for r in rules if not r.applies(cols)]
 
 
+def names_where(pairs: Sequence[tuple[str, Column]]) -> Column:
+    """Array of the names whose condition is true, in order (NULL -> not named).
+
+    Built by ``concat`` of arrays: ``filter`` over an array has no generated code, and Spark would interpret every
+    condition inside it, row by row.
+    """
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(c, F.array(F.lit(n))).otherwise(none) for n, c in pairs]).cast("array<string>")
+
+
 def tag_array(rules: Sequence[Rule]) -> Column:
     """Array of the names of the rules whose condition is true (NULL -> not flagged)."""
-    if not rules:
-        return F.array().cast("array<string>")
-    arr = F.array(*[F.when(r.condition(), F.lit(r.name)) for r in rules])
-    return F.filter(arr, lambda x: x.isNotNull())
+    return names_where([(r.name, r.condition()) for r in rules])
 
 
 def add_tags(df: DataFrame, rules: Sequence[Rule], col: str = "dq_issues") -> DataFrame:

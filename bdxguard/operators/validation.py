@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_by_days, frequency_multiplier, reinsured_sum
+from ..functions.rules import names_where
 from .joins import bounded_broadcast, join_null_safe, range_join
 
 # Fixed values from the reference.
@@ -173,11 +174,6 @@ def rate_counts(rows: DataFrame, rates: DataFrame, as_of: bool = False) -> DataF
 
 
 # ------------------------------------------------------------------- shared helpers
-def _fail_tags(pairs: Sequence[tuple[str, Column]]) -> Column:
-    arr = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in pairs])
-    return F.filter(arr, lambda x: x.isNotNull())
-
-
 def _check(name: str, status: Column, failed: Column, emit: Column | None = None) -> Column:
     s = F.struct(F.lit(name).alias("check_name"), status.alias("status"), failed.cast("bigint").alias("failed_count"))
     return s if emit is None else F.when(emit, s)
@@ -295,7 +291,7 @@ def validate_premium(clean: DataFrame, treaty: DataFrame, rates: DataFrame | Non
     r = duplicate_flags(clean, PREMIUM_DUP_KEYS, history, full)
     r = enrich_with_treaty(r, treaty)
     r = r.withColumn("_current_age", age_by_days("valuation_date", "date_of_birth"))
-    r = r.withColumn("dq_reasons", _fail_tags([
+    r = r.withColumn("dq_reasons", names_where([
         ("TREATY_MAPPING", F.col("treaty_id").isNull()),
         ("DUPLICATE_PREMIUM", full & (F.col("_dup_file") | F.col("_dup_hist"))),
     ]))
@@ -447,7 +443,7 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
                   .otherwise(F.col("_max_risar").isNull() | (F.col("_max_risar") < claim)))
     cal_fail = (((F.col("cal_level") == "policy") & (claim > F.col("cal_limit")))
                 | (F.coalesce(F.col("_cal_life_breach"), F.lit(False)) & (F.col("cal_level") == "life")))
-    r = r.withColumn("dq_reasons", _fail_tags([
+    r = r.withColumn("dq_reasons", names_where([
         ("TREATY_MAPPING", F.col("treaty_id").isNull()),
         ("DUPLICATE_CLAIMS", full & (F.col("_dup_file") | F.col("_dup_hist"))),
         ("PREMIUM_EXISTS", full & F.col("_has_prem").isNull()),

@@ -57,7 +57,15 @@ def _pick(idx: Column, values) -> Column:
 
 
 def _iso(d: Column) -> Column:
-    return F.date_format(d, "yyyy-MM-dd")
+    """``yyyy-MM-dd`` of a date: what its cast gives, without the formatter."""
+    return _s(d)
+
+
+def _dmy(d: Column) -> Column:
+    """``dd-MM-yyyy`` of a date."""
+    iso = _iso(d)
+    plain = F.concat(F.substring(iso, 9, 2), F.substring(iso, 5, 4), F.substring(iso, 1, 4))
+    return F.when(F.length(iso) == 10, plain).otherwise(F.date_format(d, "dd-MM-yyyy"))
 
 
 def _s(c: Column) -> Column:
@@ -162,7 +170,7 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     m.update({
         "claim_id": F.concat(F.lit("C"), _s(ok), F.lit("-"), _s(F.col("l_linenumber"))),
         "policy_effective_date": _iso(F.col("_od")),
-        "loss_event_date": F.when(ok % 997 == 6, F.lit(None).cast("string")).otherwise(F.date_format(ship, "dd-MM-yyyy")),
+        "loss_event_date": F.when(ok % 997 == 6, F.lit(None).cast("string")).otherwise(_dmy(ship)),
         "reported_date": _iso(F.date_add(ship, (F.col("l_quantity").cast("int") - 5))),
         "claim_amount": _s(amount),
         "reporting_period": F.concat(_s(F.col("year")), F.col("quarter")),

@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot leaves methods of more bytecode interpreted; Spark then generates code operator by operator instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -68,7 +70,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the session settings the operators rely on to an existing session."""
     for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone",
-              "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.codegen.hugeMethodLimit"):
         try:
             spark.conf.set(k, DEFAULT_CONF[k])
         except Exception:  # static conf on a shared session: keep what it has
