@@ -22,7 +22,7 @@ from .tables import _hadoop, folders
 
 LAYOUT = "_layout.json"
 #: Compressed bytes of a bucket: a task holds the groups of a whole bucket, many times as large in memory.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 #: A bucket is too large for one task if it is above both this many times the mean and BUCKET_BYTES.
 SKEW_FACTOR = 5
 
