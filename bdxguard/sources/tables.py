@@ -90,13 +90,28 @@ def restrict_to_files(df: DataFrame, files: DataFrame) -> DataFrame:
     return df.join(files.select("file_hash").distinct(), "file_hash", "left_semi")
 
 
+#: Partitions of a written table that a task keeps open side by side; a task that meets more sorts the rest of its rows.
+OPEN_PARTITIONS = 8
+
+
 def write_scratch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as a Parquet table under the shared checkpoint folder; return its path."""
+    """Write ``df`` as a Parquet table under the shared checkpoint folder; return its path.
+
+    Few partitions are written side by side: without that, every task sorts all its rows by the partition columns and
+    holds them for it, which takes memory in proportion to the rows of the task.
+    """
     path = scratch_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     w = df.write.mode("overwrite").option("compression", "lz4")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if not partition_by:
+        w.parquet(path)
+        return path
+    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, str(OPEN_PARTITIONS))
+    try:
+        w.partitionBy(*partition_by).parquet(path)
+    finally:
+        conf.set(key, before)
     return path
 
 
