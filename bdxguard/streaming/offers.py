@@ -55,12 +55,12 @@ class FileOffers(StatefulProcessor):
         self.handle = handle
         self.file = handle.getValueState("file", _STATE)
 
-    def _save(self, client: str, name: str, status: str, failures: int, timer: int | None) -> None:
-        for old in list(self.handle.listTimers()):
+    def _save(self, state: tuple, timer: int | None, known: bool) -> None:
+        for old in list(self.handle.listTimers()) if known else ():
             self.handle.deleteTimer(old)
         if timer is not None:
             self.handle.registerTimer(timer)
-        self.file.update((client, name, status, failures))
+        self.file.update(state)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         landed, told = None, set()
@@ -71,30 +71,35 @@ class FileOffers(StatefulProcessor):
             elif r.event in _ORDER and r.at is not None:
                 told.add((r.at, _ORDER[r.event], r.event, r.client_id or "", r.file_name or ""))
         events = sorted(told | ({(landed[0], 0, LANDED, *landed[1:])} if landed and landed[0] is not None else set()))
+        # every call of the state store is a message to the JVM: the state is read once and written once, not by each event
+        before = self.file.get() if events and self.file.exists() else None
+        state, timer = before, None
         for at, _, event, client, name in events:
-            yield from self._step(key[0], event, at, client, name)
-
-    def _step(self, file_hash: str, event: str, at: dt.datetime, client: str, name: str) -> Iterator[Row]:
+            step = self._step(state, event, at, client, name)
+            if step is not None:
+                state, timer, action = step
+                if action is not None:
+                    yield _action(key[0], state[0], state[1], action, state[3], at)
+        if state is not before:
+            self._save(state, timer, before is not None)
+
+    def _step(self, known: tuple | None, event: str, at: dt.datetime, client: str, name: str) -> tuple[tuple, int | None, str | None] | None:
+        """State, timer and action after an event; None if it changes nothing."""
         now = _millis(at)
-        known = self.file.get() if self.file.exists() else None
         if known is None:
-            if event == LANDED:
-                self._save(client, name, "OFFERED", 0, None)
-                yield _action(file_hash, client, name, "OFFER", 0, at)
-            return
+            return ((client, name, "OFFERED", 0), None, "OFFER") if event == LANDED else None
         client, name, status, failures = known
         if status in ("DONE", "GIVEN_UP") or event == LANDED:
-            return
+            return None
         if event == SUCCESS:
-            self._save(client, name, "DONE", failures, now + self.keep)
-            yield _action(file_hash, client, name, "DEQUEUE", failures, at)
-        elif status == "OFFERED" and event == BLOCKED:
-            self._save(client, name, "WAITING", failures, now + self.reoffer)
-        elif status == "OFFERED" and failures + 1 >= self.max_retries:
-            self._save(client, name, "GIVEN_UP", failures + 1, now + self.keep)
-            yield _action(file_hash, client, name, "GIVE_UP", failures + 1, at)
-        elif status == "OFFERED":
-            self._save(client, name, "WAITING", failures + 1, now + self.retry)
+            return (client, name, "DONE", failures), now + self.keep, "DEQUEUE"
+        if status != "OFFERED":
+            return None
+        if event == BLOCKED:
+            return (client, name, "WAITING", failures), now + self.reoffer, None
+        if failures + 1 >= self.max_retries:
+            return (client, name, "GIVEN_UP", failures + 1), now + self.keep, "GIVE_UP"
+        return (client, name, "WAITING", failures + 1), now + self.retry, None
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.file.exists():
