@@ -51,6 +51,12 @@ SAMPLE_ONE_IN = 32
 FREQUENT_MIN = 4
 #: Rows of a tile above which it is cut into blocks of about this size.
 BLOCK_ROWS = 2048
+#: Bytes of text that a task hashes at once; its arrays take some forty times that.
+TEXT_BYTES = 1 << 18
+#: Pairs of a tile looked at side by side, and words of their bitmaps compared side by side: bound a task's memory.
+TILE_PAIRS = 1 << 18
+TILE_WORDS = 1 << 19
+
 
 def sets_of(batch: pa.RecordBatch, text: str, size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text of a batch."""
@@ -109,7 +115,7 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
     """
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", TEXT_BYTES):
                 sets = sets_of(part, "t", size)
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 yield pa.record_batch({"shingle": pa.array(flat.view(np.int64))})
@@ -127,7 +133,7 @@ def describe(docs: DataFrame, text: str, size: int, percent: int, frequent: np.n
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__t"):
+            for part in slices(batch, "__t", TEXT_BYTES):
                 sets = sets_of(part, "__t", size)
                 lead = [_leading(s, shared.value, percent) if len(s) else s for s in sets]
                 bits = [parity_bitmap(s, bitmap_width(len(s))) if len(s) else np.zeros(0, np.uint8) for s in sets]
@@ -200,7 +206,7 @@ class _Join:
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in slices(batch, "t"):
+                for part in slices(batch, "t", TEXT_BYTES):
                     found = sets_of(part, "t", size)
                     flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
                     yield pa.record_batch({"key": pa.array([set_key(s) for s in found], pa.int64()),
@@ -309,8 +315,9 @@ def tile_candidates(tile: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarra
     for w in widths:
         for v in (x for x in widths if x >= w):
             right, ri = fold(bits[v], w), rows[v]
-            for c in range(0, len(rows[w]), 256):
-                li = rows[w][c:c + 256]
+            many, most = max(1, TILE_PAIRS // len(ri)), max(1, TILE_WORDS // w)
+            for c in range(0, len(rows[w]), many):
+                li = rows[w][c:c + many]
                 lo, hi = np.minimum(n[li, None], n[None, ri]), np.maximum(n[li, None], n[None, ri])
                 may = (comp[li, None] != comp[None, ri]) & (lo * 100 >= hi * percent) & (home[li, None] | home[None, ri])
                 may &= (100 + percent) * np.minimum(after[li, None], after[None, ri]) >= percent * (lo + hi)
@@ -319,9 +326,9 @@ def tile_candidates(tile: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarra
                 if p != q:
                     may &= own[li, None] != own[None, ri]
                 i, j = np.nonzero(may)
-                for s in range(0, len(i), 65536):
-                    x, y = i[s:s + 65536], j[s:s + 65536]
-                    left = bits[w][c:c + 256]
+                for s in range(0, len(i), most):
+                    x, y = i[s:s + most], j[s:s + most]
+                    left = bits[w][c:c + many]
                     differ = np.bitwise_count(left[x] ^ right[y]).sum(axis=1, dtype=np.int64)
                     both = n[li[x]] + n[ri[y]]
                     ok = (100 + percent) * ((both - differ) // 2) >= percent * both

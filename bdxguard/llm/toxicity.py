@@ -47,6 +47,8 @@ PAIR_START = 0.3
 EPOCHS = 25
 BATCH = 64
 THRESHOLD = 0.3
+#: Bytes of text that a task hashes at once; its arrays take some forty times that.
+TEXT_BYTES = 1 << 18
 #: Bytes at the ends of words that are not part of a term (fixed values, ASCII punctuation).
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _TRIM = np.zeros(256, bool)
@@ -229,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__t"):
+            for part in slices(batch, "__t", TEXT_BYTES):
                 flat, per = terms(*text_view(column(part, "__t")))
                 ends = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
                 yield pa.record_batch({"doc_id": column(part, "doc_id"), "toxic": column(part, "toxic"),
@@ -277,7 +279,7 @@ def score(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__t"):
+            for part in slices(batch, "__t", TEXT_BYTES):
                 made = shared.value.scores(*terms(*text_view(column(part, "__t"))))
                 yield pa.RecordBatch.from_arrays([*[column(part, c) for c in keep], pa.array(made, pa.float64())], names=[*keep, "score"])
 

@@ -38,7 +38,7 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _powers or len(_powers["up"]) < n:
-        size = max(n, _WINDOW + 4096)
+        size = 1 << max(n, 1 << 12).bit_length()
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             p = np.full(size, base, np.uint64)
             p[0] = 1

@@ -20,11 +20,19 @@ MIN_LANGUAGE_SCORE = 0.4
 #: Rows of an Arrow batch at most: whole rows and their texts pass to Python, and a batch is held on both sides.
 BATCH_ROWS = 1000
 BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: And bytes: the buffers of a batch lie beside the executor's heap, on its side as on Python's.
+BATCH_BYTES = 2 << 20
+BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def _small_batches(spark: SparkSession) -> None:
-    if not 0 < int(spark.conf.get(BATCH_KEY)) <= BATCH_ROWS:
-        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
+    for key, most in ((BATCH_KEY, BATCH_ROWS), (BYTES_KEY, BATCH_BYTES)):
+        if not 0 < _number(spark.conf.get(key)) <= most:
+            spark.conf.set(key, str(most))
+
+
+def _number(value: str) -> int:
+    return int(value.rstrip("bB"))
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -65,12 +73,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again; the session's batch size is put back."""
-    before = spark.conf.get(BATCH_KEY)
+    """All stages over ``documents``, each written to the shared folder and read again; the session's batch sizes are put back."""
+    before = {key: spark.conf.get(key) for key in (BATCH_KEY, BYTES_KEY)}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     try:
         for name, stage in STAGES:
             docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     finally:
-        spark.conf.set(BATCH_KEY, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return docs
