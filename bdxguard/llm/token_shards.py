@@ -46,6 +46,8 @@ BROADCAST_DOCS = 500_000
 SAMPLE_DOCS = 256
 DICTIONARY_BYTES = 1 << 15
 LEVEL = 3
+#: Bytes of shards that a task reads back.
+READ_BYTES = 1 << 27
 _HEAD = np.dtype([("doc_id", "<i8"), ("piece", "<i4"), ("n", "<i4")])
 
 
@@ -144,7 +146,8 @@ def write_shards(docs: DataFrame, folder: str, encode: Encoder = byte_ids, n_ids
         lambda batches: _sequences(batches, encode, layout, key, dictionary), "shard int, slot long, doc_id long, piece int, ids binary")
     spread = sequences.repartition("shard").sortWithinPartitions("shard", "slot")
     written = spread.mapInArrow(lambda batches: _write(batches, layout, dictionary), "shard int, first_slot long, records int, sha256 string")
-    return layout, materialize(written, "slots-manifest")
+    # One small file, not one for each task: on a plain file system every file costs a few processes started by its executor.
+    return layout, materialize(written.hint("rebalance"), "slots-manifest")
 
 
 def _dictionary(texts: DataFrame, encode: Encoder, layout: Layout) -> bytes:
