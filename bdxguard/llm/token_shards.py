@@ -252,7 +252,9 @@ def read_back(spark: SparkSession, layout: Layout, manifest: DataFrame) -> DataF
                         "piece": pa.array(heads["piece"].copy()), "n_tokens": pa.array(heads["n"].copy()),
                         "ids_sha256": pa.array([hashlib.sha256(r[:n * layout.itemsize]).hexdigest() for r, n in zip(raw, heads["n"].tolist(), strict=True)], pa.string())})
 
-    spread = manifest.select("shard", "first_slot", "records").repartition("shard")
+    # A given number of partitions: by size the few rows of the manifest would all be joined into one task.
+    tasks = max(1, -(-layout.total * layout.stride // READ_BYTES))
+    spread = manifest.select("shard", "first_slot", "records").repartition(tasks)
     out = spread.mapInArrow(run, "slot long, shard int, byte_offset long, doc_id long, piece int, n_tokens int, ids_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(-(1 << 63)).cast("long"), F.col("doc_id")))
 
