@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import age_by_days, frequency_multiplier, reinsured_sum
 from ..functions.rules import names_where
-from .joins import bounded_broadcast, join_null_safe, range_join
+from ..sources.tables import boundary
+from .joins import BROADCAST_BYTES, bounded_broadcast, join_null_safe, range_join, row_bytes
 
 # Fixed values from the reference.
 TREATY_KEYS = ("client_id", "benefit_id", "plan_code")
@@ -99,8 +100,22 @@ def enrich_with_treaty(rows: DataFrame, treaty: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------- duplicates
-def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | None,
-                    scope: Column | None = None, with_lookup: bool = False):
+def duplicate_suspects(src: DataFrame, history: DataFrame | None, key: Column) -> DataFrame:
+    """Hashes ``_h`` of the keys that can tag a row: met twice in ``src``, or in ``src`` and in another file of the history.
+
+    ``key`` is the hash of a row's key.  Equal keys have equal hashes, so nothing is missed; a hash that two keys share
+    only makes both suspects.  A row costs a few numbers here, not its key as text.
+    """
+    met = src.select(key.alias("_h"), F.xxhash64("file_hash").alias("_f"), F.lit(1).alias("_n"))
+    if history is not None:
+        met = met.unionByName(history.select(key.alias("_h"), F.xxhash64("file_hash").alias("_f"), F.lit(0).alias("_n")))
+        found = met.groupBy("_h").agg(F.sum("_n").alias("_n"), F.min("_f").alias("_first"), F.max("_f").alias("_last"))
+        return found.filter((F.col("_n") > 1) | ((F.col("_n") > 0) & (F.col("_first") != F.col("_last")))).select("_h")
+    return met.groupBy("_h").agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 1).select("_h")
+
+
+def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | None, scope: Column | None = None,
+                    file: str = "file_hash") -> DataFrame:
     """In-file (W1/V2/V10) and historical (V3/V10) duplicate flags with one join of the rows.
 
     In a (file, keys) group every row but one is a duplicate; the kept row has the smallest content fingerprint, and
@@ -108,19 +123,24 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
     duplicate if its (client, keys) appear in the history of another file.
 
     Both rules depend only on (file, keys): the kept-row aggregate per (file, keys) (partial, so a hot key costs a
-    counter) is joined with the history aggregate per (client, keys) at key level, and the rows are shuffled once to
-    pick up ``_dup_file`` and ``_dup_hist``.
+    counter) is joined with the history aggregate per (client, keys) at key level, and the rows pick up ``_dup_file`` and
+    ``_dup_hist`` from it.  Only suspects (``duplicate_suspects``) and their history are aggregated by their keys, and
+    where few keys tag a row, these are broadcast and the rows are not shuffled.  ``file``: a column that stands for
+    ``file_hash`` in the join of the rows.
     """
     ordv = F.conv(F.substring("_fp", 1, 15), 16, 10).cast("bigint")
     src = rows if scope is None else rows.filter(scope)
-    look = src.groupBy("file_hash", "client_id", *keys).agg(F.min_by("_row_id", ordv).alias("_keep"),
-                                                           F.count(F.lit(1)).alias("_n"))
-    all_keys = look
+    if history is not None:     # one type of a key on both sides, as equal values of two types hash differently
+        history = history.select("file_hash", *[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in ("client_id", *keys)])
+    key = F.xxhash64("client_id", *keys, *(["file_hash"] if history is None else []))
+    suspects = bounded_broadcast(boundary(duplicate_suspects(src, history, key), "duplicate-suspects"))
+    by = list(dict.fromkeys(["file_hash", file, "client_id", *keys]))
+    look = (src.select(*by, "_row_id", ordv.alias("_ord"), key.alias("_h")).join(suspects, "_h", "left_semi")
+            .groupBy(*by).agg(F.min_by("_row_id", "_ord").alias("_keep"), F.count(F.lit(1)).alias("_n")))
     if history is not None:
         hf = F.xxhash64("file_hash")
-        batch_keys = look.select("client_id", *keys).distinct()        # from the key-level lookup, not the rows
-        h = (history.select("client_id", *keys, hf.alias("_hf"))
-             .join(batch_keys, ["client_id", *keys], "left_semi")          # only keys of this batch
+        h = (history.select("client_id", *keys, hf.alias("_hf"), key.alias("_h"))
+             .join(suspects, "_h", "left_semi")          # only keys of this batch
              .groupBy("client_id", *keys)
              .agg(F.min("_hf").alias("_h_min"), F.max("_hf").alias("_h_max")))
         own = F.xxhash64("file_hash")
@@ -130,13 +150,19 @@ def duplicate_flags(rows: DataFrame, keys: Sequence[str], history: DataFrame | N
     else:
         look = look.withColumn("_hist", F.lit(False))
     # Only keys that tag a row (repeated in the file, or seen in another file) go back to the
-    # rows: duplicates are rare, so this side is small and AQE broadcasts it.
-    look = look.filter((F.col("_n") > 1) | F.col("_hist")).drop("_n")
-    out = join_null_safe(rows, look.drop("client_id"), ["file_hash", *keys], "left")
+    # rows: duplicates are rare, so this side is small; written, its size is known before the rows are shuffled.
+    look = look.filter((F.col("_n") > 1) | F.col("_hist")).select(file, *keys, "_keep", "_hist")
+    out = join_null_safe(rows, bounded_broadcast(boundary(look, "duplicates")), [file, *keys], "left")
     dup = F.col("_keep").isNotNull() & (F.col("_row_id") != F.col("_keep"))
-    out = (out.withColumn("_dup_file", F.coalesce(dup, F.lit(False)))
-           .withColumn("_dup_hist", F.coalesce(F.col("_hist"), F.lit(False))).drop("_keep", "_hist"))
-    return (out, all_keys) if with_lookup else out
+    return (out.withColumn("_dup_file", F.coalesce(dup, F.lit(False)))
+            .withColumn("_dup_hist", F.coalesce(F.col("_hist"), F.lit(False))).drop("_keep", "_hist"))
+
+
+# --------------------------------------------------------------------- files as numbers
+def file_numbers(rows: DataFrame) -> DataFrame:
+    """The files of the rows: FILE_COLUMNS, a number ``_file`` of each, and ``_same``, one number for each ``file_hash``."""
+    files = boundary(rows.select(*FILE_COLUMNS).distinct().withColumn("_file", F.monotonically_increasing_id()), "files")
+    return files.withColumn("_same", F.min("_file").over(Window.partitionBy("file_hash")))
 
 
 # --------------------------------------------------------------------- rates (V8, V9)
@@ -358,6 +384,18 @@ def premium_history_aggregate(premium_history: DataFrame, batch_keys: DataFrame
                  F.min("policy_effective_date").alias("_first_effective")))
 
 
+def batch_part(known: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``known`` that the batch can meet, if its keys can be broadcast; else ``known``.
+
+    A semi join with more keys shuffles all of ``known`` and the keys, which the join that follows does anyway.
+    (client, policy, benefit) is a superset filter of the full (client, treaty, policy, benefit) key.
+    """
+    keys_of = batch.select(*keys)
+    if (keys_of.agg(F.sum(row_bytes(keys_of))).first()[0] or 0) > BROADCAST_BYTES:
+        return known
+    return known.join(F.broadcast(keys_of.distinct()), list(keys), "left_semi")
+
+
 def cal_life_breaches(rows: DataFrame, claims_history: DataFrame | None, by_key: bool = False) -> DataFrame:
     """(file_hash, client_id, insured_id) whose life-level claims exceed the limit.
 
@@ -365,31 +403,39 @@ def cal_life_breaches(rows: DataFrame, claims_history: DataFrame | None, by_key:
     (insured, treaty, benefit); summed per insured (reference grouping) or per
     (insured, treaty, benefit) with ``by_key=True``.
 
-    History is restricted to the batch's keys, then one aggregate over the union
-    of "file has key" markers and history amounts gives, per (key, file), the
-    file's own history sum; a window per key (one row per file, bounded) adds
-    the key's total.  Other files = total - own.  No claim row is replicated
-    and no pair of files is ever emitted.
+    One aggregate over the union of the life rows and the history amounts gives, per
+    (key, file), the file's current sum and limit and its own history sum; a window per
+    key (one row per file, bounded) adds the key's total.  Other files = total - own.
+    Every row is shuffled once, as part of its (key, file) sum.  No claim row is
+    replicated and no pair of files is ever emitted.
     """
     grp = ["file_hash", "client_id", "insured_id"] + (["treaty_id", "benefit_id"] if by_key else [])
     k4 = ["client_id", "insured_id", "treaty_id", "benefit_id"]
-    # one pass over the life rows: per (key, file) sums and limits; everything below reads this
-    life = (rows.filter(F.col("cal_level") == "life").groupBy(*k4, "file_hash")
-            .agg(F.sum("claim_amount").alias("_c"), F.min("cal_limit").alias("_l")))
-    cur = life.groupBy(*grp).agg(F.sum("_c").alias("_cur"), F.min("_l").alias("_lim"))
+    life = rows.filter(F.col("cal_level") == "life").select(
+        *k4, "file_hash", F.lit(1).alias("_is_cur"), F.col("claim_amount").alias("_c"), F.col("cal_limit").alias("_l"))
     if claims_history is None:
-        tot = cur.withColumn("_hist", F.lit(0))
+        tot = (life.groupBy(*grp).agg(F.sum("_c").alias("_cur"), F.min("_l").alias("_lim"))
+               .withColumn("_hist", F.lit(0)))
     else:
         amt_t = claims_history.schema["claim_amount"].dataType
-        hist = claims_history.join(life.select(*k4), k4, "left_semi")          # J7: these insureds only
-        marks = life.select(*k4, "file_hash", F.lit(1).alias("_is_cur"), F.lit(None).cast(amt_t).alias("_amt"))
-        amounts = hist.select(*k4, "file_hash", F.lit(0).alias("_is_cur"), F.col("claim_amount").alias("_amt"))
-        per = (marks.unionByName(amounts).groupBy(*k4, "file_hash")
-               .agg(F.max("_is_cur").alias("_is_cur"), F.coalesce(F.sum("_amt"), F.lit(0)).alias("_s_file")))
-        per = per.withColumn("_s_all", F.sum("_s_file").over(Window.partitionBy(*k4)))
-        other = (per.filter(F.col("_is_cur") == 1)
-                 .groupBy(*grp).agg(F.sum(F.col("_s_all") - F.col("_s_file")).alias("_hist")))
-        tot = cur.join(other, grp, "left")
+        known = F.lit(True)
+        for k in k4:  # a history claim without its whole key belongs to no insured's sum
+            known &= F.col(k).isNotNull()
+        cur = life.select("*", F.lit(None).cast(amt_t).alias("_amt"))
+        hist = claims_history.filter(known).select(
+            *k4, "file_hash", F.lit(0).alias("_is_cur"), F.lit(None).cast(life.schema["_c"].dataType).alias("_c"),
+            F.lit(None).cast(life.schema["_l"].dataType).alias("_l"), F.col("claim_amount").alias("_amt"))
+        per = (cur.unionByName(hist).groupBy(*k4, "file_hash")
+               .agg(F.max("_is_cur").alias("_is_cur"), F.sum("_c").alias("_c"), F.min("_l").alias("_l"),
+                    F.coalesce(F.sum("_amt"), F.lit(0)).alias("_s_file")))
+        w = Window.partitionBy(*k4)
+        per = per.withColumn("_s_all", F.sum("_s_file").over(w)).filter(F.col("_is_cur") == 1)
+        tot = per.groupBy(*grp).agg(F.sum("_c").alias("_cur"), F.min("_l").alias("_lim"),
+                                    F.sum(F.col("_s_all") - F.col("_s_file")).alias("_hist"))
+        whole = F.lit(True)
+        for k in grp:
+            whole &= F.col(k).isNotNull()
+        tot = tot.withColumn("_hist", F.when(whole, F.col("_hist")))
     return (tot.filter((F.col("_cur") + F.coalesce(F.col("_hist"), F.lit(0))) > F.col("_lim"))
             .select(*grp).withColumn("_cal_life_breach", F.lit(True)))
 
@@ -426,26 +472,36 @@ def validate_claims(clean: DataFrame, treaty: DataFrame, premium_history: DataFr
     """
     full = F.col("category") == "claims"
     clean = _with_presence(clean, {**CLAIMS_OPTIONAL, "reinsured_sum_at_risk": "decimal(18,2)"}, present)
-    # Treaty enrichment first (broadcast, no shuffle): every later branch (duplicates,
-    # CAL life breaches) starts from this narrow base instead of from the joined chain.
-    base = enrich_with_treaty(clean, treaty)
-    breaches = cal_life_breaches(base.filter(full), claims_history, cal_by_key)
-    r, look = duplicate_flags(base, CLAIMS_DUP_KEYS, claims_history if duplicate_history is None else duplicate_history, full, with_lookup=True)
+    # Treaty enrichment first (broadcast, no shuffle); the breaches and the duplicates are small tables of their own,
+    # done one after the other, before the rows are joined with them.
+    breaches = boundary(cal_life_breaches(enrich_with_treaty(clean, treaty).filter(full), claims_history, cal_by_key), "cal-life")
+    # The rows are shuffled up to three times.  A file's name, hash and period are most of their bytes: numbers stand for
+    # them meanwhile, if the files can be broadcast.
+    files = file_numbers(clean)
+    numbers = bounded_broadcast(files)
+    if numbers is files:
+        files, file, r = None, "file_hash", clean
+    else:
+        file, r = "_same", join_null_safe(clean, numbers, FILE_COLUMNS, "inner")
+    r = duplicate_flags(r, CLAIMS_DUP_KEYS, claims_history if duplicate_history is None else duplicate_history, full, file)
+    r = enrich_with_treaty(r, treaty)
     if premium_history is not None or premium_index is not None:
-        # batch keys from the duplicate rule's key-level aggregate (one row per key, already computed);
-        # (client, policy, benefit) is a superset filter of the full (client, treaty, policy, benefit) key
-        keys = look.select("client_id", "policy_number", "benefit_id").distinct()
-        if premium_index is not None:
-            pidx = premium_index.join(keys, ["client_id", "policy_number", "benefit_id"], "left_semi")
-        else:
-            ph = premium_history.join(keys, ["client_id", "policy_number", "benefit_id"], "left_semi")
-            pidx = premium_history_aggregate(ph)
+        known = premium_index if premium_index is not None else premium_history
+        known = batch_part(known, clean.filter(full), ["client_id", "policy_number", "benefit_id"])
+        pidx = known if premium_index is not None else premium_history_aggregate(known)
         r = r.join(pidx, ["client_id", *PREMIUM_HISTORY_KEYS], "left")
     else:
         r = (r.withColumn("_has_prem", F.lit(None).cast("boolean")).withColumn("_max_risar", F.lit(None).cast("decimal(18,2)"))
              .withColumn("_last_paid_to", F.lit(None).cast("date")).withColumn("_first_effective", F.lit(None).cast("date")))
-    bkeys = ["file_hash", "client_id", "insured_id"] + (["treaty_id", "benefit_id"] if cal_by_key else [])
-    r = r.join(breaches, bkeys, "left")
+    bkeys = [file, "client_id", "insured_id"] + (["treaty_id", "benefit_id"] if cal_by_key else [])
+    if files is not None:
+        of_hash = F.broadcast(files.select("file_hash", "_same").distinct())
+        breaches = breaches.join(of_hash, "file_hash").select(*bkeys, "_cal_life_breach")
+    r = r.join(bounded_broadcast(breaches), bkeys, "left")
+    if files is not None:
+        order = [c for c in r.columns if c not in ("_file", "_same")]
+        named = F.broadcast(files.select("_file", *[c for c in FILE_COLUMNS if c != "client_id"]))
+        r = r.drop(*[c for c in FILE_COLUMNS if c != "client_id"]).join(named, "_file").select(*order)
     claim = F.col("claim_amount")
     risar_fail = (F.when(_has("reinsured_sum_at_risk"), F.col("reinsured_sum_at_risk") < claim)
                   .otherwise(F.col("_max_risar").isNull() | (F.col("_max_risar") < claim)))

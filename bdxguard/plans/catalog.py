@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..operators import staging as st
 from ..operators import validation as va
-from ..sources.tables import materialize, write_scratch
+from ..operators.joins import bounded_broadcast
+from ..sources.tables import materialize, release_shuffles, write_scratch
 from . import fixtures as fx
 from . import oracle as orc
 
@@ -69,9 +70,11 @@ class Pipeline:
                 return self.spark.read.parquet(path)
             except Exception:  # noqa: BLE001 - table gone: write it again
                 pass
-        path = write_scratch(build(), name, partition_by)
+        path = write_scratch(build(), name, partition_by, "zstd")  # fingerprints in hex: only an entropy coder shortens them
         _TABLES[key] = path
-        return self.spark.read.parquet(path)
+        out = self.spark.read.parquet(path)     # before the release: the next job's events replace the last ones of the write
+        release_shuffles(self.spark)
+        return out
 
     @staticmethod
     def _flag_clean(df: DataFrame) -> DataFrame:
@@ -112,7 +115,7 @@ class Pipeline:
         return self.treaty.filter(F.col("segment_id") == "A")
 
     def _with_treaty_id(self, df, how):
-        t = self.treaty_primary.select("client_id", "benefit_id", "plan_code", "treaty_id")
+        t = bounded_broadcast(self.treaty_primary.select("client_id", "benefit_id", "plan_code", "treaty_id"))
         return df.join(t, ["client_id", "benefit_id", "plan_code"], how)
 
     @property
@@ -141,6 +144,10 @@ class Pipeline:
             self.clean_claims, self.treaty, None, self.claims_history,
             run_id=orc.RUN_ID2, checked_at=orc.CHECKED_AT2, premium_index=self.premium_index))
 
+    def check_table(self, name: str, validation) -> DataFrame:
+        """Check rows of a validation: an audit table of one row per (file, check)."""
+        return self._get(name, lambda: self._table(name, lambda: validation().checks))
+
 
 def staged_premium(spark, d):
     """Staged premium as one plan (no intermediate table), for single-use queries."""
@@ -899,7 +906,10 @@ def q_asof_premium(spark, d):
 
 
 def _all_checks(p: Pipeline):
-    return p.premium_validation().checks.unionByName(p.claims_validation().checks)
+    """Check rows of both validations, each written when it is done (``audit/validation_results`` of the pipeline): the
+    shuffles of one are gone before the other begins."""
+    premium = p.check_table("premium-checks", p.premium_validation)
+    return premium.unionByName(p.check_table("claims-checks", p.claims_validation))
 
 
 _ALL_CHECKS = """

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,14 +95,14 @@ def restrict_to_files(df: DataFrame, files: DataFrame) -> DataFrame:
 OPEN_PARTITIONS = 8
 
 
-def write_scratch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
+def write_scratch(df: DataFrame, name: str, partition_by: Sequence[str] = (), compression: str = "lz4") -> str:
     """Write ``df`` as a Parquet table under the shared checkpoint folder; return its path.
 
     Few partitions are written side by side: without that, every task sorts all its rows by the partition columns and
     holds them for it, which takes memory in proportion to the rows of the task.
     """
     path = scratch_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    w = df.write.mode("overwrite").option("compression", "lz4")
+    w = df.write.mode("overwrite").option("compression", compression)
     if not partition_by:
         w.parquet(path)
         return path
@@ -115,6 +116,21 @@ def write_scratch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
     return path
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps deleted now, those of the steps before a written table above all.
+
+    Spark deletes them once the driver's collector has met the plan that made them, at the latest after
+    ``spark.cleaner.periodicGC.interval`` (30 minutes): until then all steps of a run lie on the disks together.  Only
+    shuffles that no frame refers to any more are affected.  The event of a step's end still refers to its plan, so it is
+    waited for first; where that takes long, the next call finds them.
+    """
+    try:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(2000)
+    except Py4JJavaError:
+        pass
+    spark._jvm.System.gc()
+
+
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and return a scan of it, with the columns and types of ``df``."""
     path = write_scratch(df, name, partition_by)
@@ -123,6 +139,13 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return read_table(df.sparkSession, path, types={f.name: f.dataType for f in df.schema})
 
 
+def boundary(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` as the end of a step: the shuffles behind the table are let go."""
+    out = materialize(df, name)
+    release_shuffles(df.sparkSession)
+    return out
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append with the partition layout of the table; readers merge evolving schemas."""
     w = df.write.mode("append")
